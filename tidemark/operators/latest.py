@@ -12,16 +12,18 @@ from tidemark.functions.stats import number_rows
 SOURCE_KEYS = ("segment", "product", "parameter", "source_id")
 
 
-def newest_first(date: str = "as_of_date", seq: str = "obs_seq") -> Column:
-    """Ordering for min_by: latest date, then first inserted, then lowest value."""
-    return F.struct(-F.unix_date(F.col(date)), F.col(seq), F.col("value"))
+def newest_first() -> Column:
+    """Ordering for min_by: latest date, then store order, then lowest value."""
+    return F.struct(-F.unix_date(F.col("as_of_date")), F.col("stored_segment"), F.col("obs_seq"), F.col("value"))
 
 
 def read_side(observations: DataFrame) -> DataFrame:
-    """Apply the read-side aliases and the product default."""
-    return observations.withColumn("segment", L.canonical_segment(F.col("segment"))).withColumn(
-        "product", L.product_for(F.col("product"), F.col("segment"))
-    )
+    """Apply the read-side aliases and the product default; keep the stored name."""
+    canonical = L.canonical_segment(F.col("segment"))
+    return observations.withColumns({
+        "stored_segment": F.col("segment"), "segment": canonical,
+        "product": L.product_for(F.col("product"), canonical),
+    })
 
 
 def latest_numeric(observations: DataFrame) -> DataFrame:
@@ -44,9 +46,10 @@ def latest_numeric(observations: DataFrame) -> DataFrame:
 
 def latest_per_source(observations: DataFrame, keys: Sequence[str] = ("source_id",)) -> DataFrame:
     """Newest row per source of a set, nulls included."""
-    rest = [c for c in observations.columns if c not in keys]
+    rows = read_side(observations)
+    rest = [c for c in rows.columns if c not in keys]
     return (
-        observations.groupBy(*keys)
+        rows.groupBy(*keys)
         .agg(F.min_by(F.struct(*rest), newest_first()).alias("row"))
         .select(*keys, "row.*")
     )
@@ -98,10 +101,10 @@ def segment_trend(observations: DataFrame) -> DataFrame:
     """
     keys = ["segment", "parameter", "source_id"]
     per_date = (
-        observations.withColumn("segment", L.canonical_segment(F.col("segment")))
+        read_side(observations)
         .where(F.col("value").isNotNull())
         .groupBy(*keys, "as_of_date")
-        .agg(F.min_by("value", F.struct("obs_seq", "value")).alias("value"))
+        .agg(F.min_by("value", F.struct("stored_segment", "obs_seq", "value")).alias("value"))
     )
     newest = W.partitionBy(*keys).orderBy(F.desc("as_of_date"))
     paired = per_date.select(

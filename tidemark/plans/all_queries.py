@@ -1,4 +1,4 @@
 """Imports every query module so the registry is complete."""
 
-from tidemark.plans import model_queries  # noqa: F401
+from tidemark.plans import model_queries, registry_queries  # noqa: F401
 from tidemark.plans.catalog import ORACLES, QUERIES  # noqa: F401

@@ -81,7 +81,7 @@ rd AS (
   SELECT *, COALESCE(NULLIF(stored_product, ''), {PRODUCT.format(s='segment')}) AS product FROM (
     SELECT *, CASE WHEN stored_segment = 'commercial_property_investment' THEN 'commercial_property' ELSE stored_segment END AS segment FROM obs))"""
 
-NEWEST = "ORDER BY as_of_date DESC, obs_seq, value"
+NEWEST = "ORDER BY as_of_date DESC, stored_segment, obs_seq, value"
 
 LATEST = f"""
 latest AS (

@@ -198,7 +198,14 @@ def benchmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entries arriving from the split date on; a share re-publish an earlier day."""
+    """Entries arriving from the split date on.
+
+    Some re-publish an earlier day, some repeat a value, some are new sources.
+    """
     late = benchmark_arrivals(spark, sf_dir).where(F.col("value_date") >= F.lit(SPLIT_DATE).cast("date"))
-    back = F.when(F.col("event_id") % 11 == 0, F.date_sub("value_date", 10)).otherwise(F.col("value_date"))
-    return late.withColumn("arrival_day", F.col("value_date")).withColumn("value_date", back)
+    e = F.col("event_id")
+    return late.withColumns({
+        "source_id": F.when(e % 17 == 0, F.concat("source_id", F.lit("_new"))).otherwise(F.col("source_id")),
+        "value": F.when(e % 3 == 0, F.lit(0.05)).otherwise(F.col("value")),
+        "value_date": F.when(e % 11 == 0, F.date_sub("value_date", 10)).otherwise(F.col("value_date")),
+    })
