@@ -471,7 +471,8 @@ UNION ALL SELECT 'stale', 'flag', 'stale:' || source_id, 1 FROM gstale WHERE sta
 UNION ALL SELECT 'quality', 'flag', 'low_quality:' || source_id || ':' || low_dimensions, 1 FROM gqual WHERE low_dimensions <> ''
 UNION ALL SELECT 'coverage', 'flag', 'low_coverage:' || segment || ':' || source_count, 1 FROM gcover WHERE NOT meets_threshold
 UNION ALL SELECT 'peer_comparison', 'flag', 'divergence:' || segment || ':' || printf('%.2f', round(divergence * 100, 2)) || '%', 1 FROM gpeer WHERE status = 'compared' AND breached
-UNION ALL SELECT 'pillar3_peer_divergence', 'flag', 'pillar3_divergence:' || source_id || ':' || printf('%.4f', value) || '_vs_median_' || printf('%.4f', peer_median), 1 FROM gdiv WHERE breached"""))
+UNION ALL SELECT 'pillar3_peer_divergence', 'flag', 'pillar3_divergence:' || source_id || ':' || CAST(CAST(round(CAST(value AS DECIMAL(28, 10)), 4) AS DECIMAL(18, 4)) AS VARCHAR)
+  || '_vs_median_' || CAST(CAST(round(CAST(peer_median AS DECIMAL(28, 10)), 4) AS DECIMAL(18, 4)) AS VARCHAR), 1 FROM gdiv WHERE breached"""))
 def annual_review(spark, sf):
     return governance.annual_review(
         _bench(spark, sf), _segments(spark, sf), tables.quality_matrix(spark), REVIEW_DATE, own=_own(spark, sf))
