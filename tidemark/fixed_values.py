@@ -336,6 +336,24 @@ BAND_TABLE_PORTFOLIOS = (
     ("sovereign", "sovereign"),
     ("financial institution", "financial_institution"),
 )
+# labels of one bank come before the shared list
+BANK_BAND_PORTFOLIOS = {
+    "cba": (),
+    "nab": (
+        ("retail sme", "retail_sme"), ("large corporate", "corporate_general"),
+        ("specialised lending income-producing real estate", "commercial_property_investment"),
+        ("sovereign and central bank", "sovereign"), ("bank", "financial_institution"),
+    ),
+    "wbc": (
+        ("rbnz regulated entities - non-retail", "rbnz_non_retail"),
+        ("rbnz regulated entities - retail", "rbnz_retail"),
+        ("retail sme", "retail_sme"), ("large corporate", "corporate_general"),
+    ),
+    "anz": (
+        ("qualifying revolving retail (qrr)", "retail_qrr"),
+        ("retail sme", "retail_sme"), ("large corporate", "corporate_general"),
+    ),
+}
 MACQUARIE_PORTFOLIOS = (
     ("specialised lending - ipre", "commercial_property_investment"),
     ("specialised lending- ipre", "commercial_property_investment"),

@@ -6,7 +6,7 @@ Unparseable text gives null, never an error.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -17,6 +17,15 @@ DASHES = ("-", "–", "—")
 NULL_TOKENS = (*DASHES, "n/a", "na", "")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it many times in ``body``.
+
+    For costly text expressions under long rule chains only: it leaves
+    generated code, so plain columns should be used directly.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def number_token(token: Column) -> Column:
     """Number of a table cell: thousands commas and a trailing % are dropped."""
     t = F.replace(F.trim(token), F.lit(","), F.lit(""))

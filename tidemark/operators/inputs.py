@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import fixed_values as V
 from tidemark.functions import labels as L
 from tidemark.functions.stats import exact_median
 from tidemark.operators.latest import latest_numeric
+from tidemark.sources.tables import Scenario, scenario_frame
 
 
 def rate6(value: Column) -> Column:
@@ -75,18 +78,14 @@ def expected_loss(summary: DataFrame) -> DataFrame:
     )
 
 
-def stress_testing(el: DataFrame, scenarios: DataFrame, bands: DataFrame) -> DataFrame:
+def stress_testing(el: DataFrame, scenarios: Sequence[Scenario], bands: DataFrame) -> DataFrame:
     """Every expected-loss row under every scenario, floored at the product band.
 
-    Scenarios and bands are configuration, a handful of rows each.
+    Scenarios are configuration and enter as literals; bands are a ten-row dimension.
     """
     upper = bands.select("product", F.col("upper_band_pd").alias("pd_upper"))
-    plan = scenarios.agg(F.collect_list(F.struct(*scenarios.columns)).alias("plan"))
-    rows = (
-        el.join(F.broadcast(upper), "product", "left")
-        .join(F.broadcast(plan))
-        .withColumn("s", F.explode("plan"))
-    )
+    plan = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(Scenario._fields, s)]) for s in scenarios])
+    rows = el.join(F.broadcast(upper), "product", "left").withColumn("s", F.explode(plan))
     pd_x = F.col("pd_decimal") * F.col("s.pd_x")
     stressed_pd = F.when(F.col("s.floored"), F.greatest(pd_x, F.col("pd_upper"))).otherwise(pd_x)
     stressed_lgd = F.least(F.lit(1.0), F.col("lgd_decimal") * F.col("s.lgd_x"))
@@ -132,24 +131,17 @@ def portfolio_monitor(summary: DataFrame) -> DataFrame:
     )
 
 
-def stress_supplement(el: DataFrame, scenarios: DataFrame, bands: DataFrame) -> DataFrame:
+def stress_supplement(el: DataFrame, scenarios: Sequence[Scenario], bands: DataFrame) -> DataFrame:
     """Scenario definitions in order, then reverse-stress rows, as one table."""
-    fields = "section string, ord int, name string, detail string, multiplier double"
-    head = scenarios.selectExpr(
+    head = scenario_frame(el.sparkSession, scenarios).selectExpr(
         "'scenario' AS section", "ord", "scenario AS name", "macro_path AS detail", "pd_x AS multiplier")
     tail = reverse_stress(el, bands).selectExpr(
         "'reverse_stress' AS section", "CAST(NULL AS INT) AS ord", "concat(segment, '/', product) AS name",
         "segment_label AS detail", "breach_pd_multiplier AS multiplier")
-    return head.unionByName(tail).to(_schema(fields))
-
-
-def _schema(text: str):
-    from pyspark.sql.types import _parse_datatype_string
-
-    return _parse_datatype_string(text)
+    return head.unionByName(tail)
 
 
-def model_input_bundle(observations: DataFrame, scenarios: DataFrame, bands: DataFrame) -> dict[str, DataFrame]:
+def model_input_bundle(observations: DataFrame, scenarios: Sequence[Scenario], bands: DataFrame) -> dict[str, DataFrame]:
     """The five export tables from one shared reduction of the observations."""
     latest = latest_numeric(observations)
     summary = rate_summary(latest)

@@ -98,12 +98,13 @@ def report_meta(observations: DataFrame) -> DataFrame:
     pairs = read_side(observations).groupBy("segment", "source_id").agg(
         F.count(F.lit(1)).alias("n"), F.min("as_of_date").alias("lo"), F.max("as_of_date").alias("hi"))
     sources = pairs.groupBy("source_id").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    segments = pairs.select("segment").distinct().agg(F.count(F.lit(1)).alias("n_segments"))
-    totals = sources.agg(
-        F.sum("n").alias("n_observations"), F.count(F.lit(1)).alias("n_sources"),
+    per_source = sources.select("n", "lo", "hi", F.lit(1).alias("is_source"), F.lit(0).alias("is_segment"))
+    segments = pairs.select("segment").distinct().select(
+        F.lit(0).cast("long").alias("n"), F.lit(None).cast("date").alias("lo"), F.lit(None).cast("date").alias("hi"),
+        F.lit(0).alias("is_source"), F.lit(1).alias("is_segment"))
+    return per_source.unionByName(segments).agg(
+        F.sum("n").alias("n_observations"), F.sum("is_segment").alias("n_segments"), F.sum("is_source").alias("n_sources"),
         F.min("lo").alias("data_as_of_min"), F.max("hi").alias("data_as_of_max"))
-    return totals.crossJoin(F.broadcast(segments)).select(
-        "n_observations", "n_segments", "n_sources", "data_as_of_min", "data_as_of_max")
 
 
 def executive_counts(observations: DataFrame) -> DataFrame:
@@ -205,7 +206,8 @@ def report_headline(meta: DataFrame, wide: DataFrame) -> DataFrame:
     """Headline counts beside the distinct banks of the industry view."""
     # the bank list is bounded by the industry label map
     banks = wide.agg(F.array_join(F.array_sort(F.collect_set("bank")), ", ").alias("banks"), F.count(F.lit(1)).alias("n_industry_rows"))
-    return meta.crossJoin(F.broadcast(banks))
+    both = meta.unionByName(banks, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def newest_publications(links: DataFrame, limit: int = 3) -> DataFrame:

@@ -80,7 +80,7 @@ def expected_loss_inputs(spark, sf):
 
 @query("stress_testing_inputs", O.with_(*BASE, O.SUMMARY, EL, BANDS, SCENARIOS, STRESS, body=STRESS_SELECT))
 def stress_testing_inputs(spark, sf):
-    return inputs.stress_testing(_el(spark, sf), tables.stress_scenarios(spark), tables.reality_check_bands(spark))
+    return inputs.stress_testing(_el(spark, sf), tables.stress_scenarios(), tables.reality_check_bands(spark))
 
 
 REVERSE = """
@@ -99,7 +99,7 @@ def reverse_stress(spark, sf):
 SELECT 'scenario' AS section, ord, scenario AS name, macro_path AS detail, pd_x AS multiplier FROM scenarios
 UNION ALL SELECT 'reverse_stress', NULL, segment || '/' || product, segment_label, breach_pd_multiplier FROM reverse_rows"""))
 def stress_supplement(spark, sf):
-    return inputs.stress_supplement(_el(spark, sf), tables.stress_scenarios(spark), tables.reality_check_bands(spark))
+    return inputs.stress_supplement(_el(spark, sf), tables.stress_scenarios(), tables.reality_check_bands(spark))
 
 
 _MONITOR = ", ".join(
@@ -131,7 +131,7 @@ UNION ALL SELECT 'portfolio_monitor_inputs', segment, product, NULL, {O.dec6("ma
 def model_input_bundle(spark, sf):
     """All five tables in long form; the file export is ``plans.exports``."""
     b = inputs.model_input_bundle(
-        testbed.observations(spark, sf), tables.stress_scenarios(spark), tables.reality_check_bands(spark))
+        testbed.observations(spark, sf), tables.stress_scenarios(), tables.reality_check_bands(spark))
     none = F.lit(None).cast("string")
     shape = {
         "pd_inputs": (F.col("source_id"), "pd_decimal"), "lgd_inputs": (F.col("source_id"), "lgd_decimal"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from pathlib import Path
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -43,17 +44,31 @@ def _yaml(path: str | Path) -> dict:
     return yaml.safe_load(Path(path).read_text(encoding="utf-8"))
 
 
-def stress_scenarios(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """Ordered scenarios; text is whitespace-collapsed."""
-    rows = V.STRESS_SCENARIOS if path is None else [
-        (i, name, s["label"], float(s["pd_multiplier"]), float(s["lgd_multiplier"]),
-         float(s["ccf_multiplier"]), bool(s.get("apply_reality_check_floor", False)), s["macro_path"])
+class Scenario(NamedTuple):
+    ord: int
+    scenario: str
+    scenario_label: str
+    pd_x: float
+    lgd_x: float
+    ccf_x: float
+    floored: bool
+    macro_path: str
+
+
+def stress_scenarios(path: str | None = None) -> list[Scenario]:
+    """Ordered scenarios, from a YAML file or the standing set; text is collapsed."""
+    if path is None:
+        return [Scenario(*row) for row in V.STRESS_SCENARIOS]
+    return [
+        Scenario(i, name, " ".join(s["label"].split()), float(s["pd_multiplier"]), float(s["lgd_multiplier"]),
+                 float(s["ccf_multiplier"]), bool(s.get("apply_reality_check_floor", False)), " ".join(s["macro_path"].split()))
         for i, (name, s) in enumerate(_yaml(path)["scenarios"].items())
     ]
-    dim = dimension(spark, rows, "ord int, scenario string, scenario_label string, pd_x double, "
-                                 "lgd_x double, ccf_x double, floored boolean, macro_path string")
-    return dim.withColumn("macro_path", collapse(F.col("macro_path"))).withColumn(
-        "scenario_label", collapse(F.col("scenario_label")))
+
+
+def scenario_frame(spark: SparkSession, scenarios: Iterable[Scenario]) -> DataFrame:
+    return dimension(spark, scenarios, "ord int, scenario string, scenario_label string, pd_x double, "
+                                       "lgd_x double, ccf_x double, floored boolean, macro_path string")
 
 
 def reality_check_bands(spark: SparkSession, path: str | None = None) -> DataFrame:
