@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,3 +40,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder or os.path.join("/tmp", "tidemark-checkpoints"))
     return df.checkpoint(eager=True)
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder for stream state and staged tables.
+
+    It lies under the shared folder the cluster names; a local one is used
+    only where none is configured, as in tests.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/tidemark-work"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark import fixed_values as V, schemas
+from tidemark.functions.labels import lookup
 
 
 # --- stored tables ------------------------------------------------------------------
@@ -215,30 +216,30 @@ def source_documents(sidecars: DataFrame) -> DataFrame:
     )
 
 
+# --- fixed values: file kinds by suffix, and files that are not data ------------------
 FILE_KINDS = {
-    "pdf": "pdf", "xlsx": "excel", "xls": "excel", "csv": "csv", "json": "json",
-    "html": "html", "htm": "html", "yaml": "yaml", "yml": "yaml", "txt": "text", "md": "text",
+    "pdf": "pdf", "xlsx": "xlsx", "xls": "xls", "csv": "csv", "html": "html_snapshot",
+    "md": "manual_note", "txt": "text", "zip": "archive",
 }
 NOISE_FILES = (".gitkeep", ".DS_Store", "Thumbs.db")
 
 
 def raw_file_inventory(spark: SparkSession, root: str) -> DataFrame:
     """One row per raw file; only file metadata is read, never the content."""
-    from tidemark.functions.labels import lookup
-
-    base = root.rstrip("/") + "/"
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
         .select("path", "length", "modificationTime")
     )
-    relative = F.regexp_replace(F.col("path"), "^.*" + base.replace(".", r"\."), "")
+    base = root.rstrip("/") + "/"
+    relative = F.substring_index("path", base, -1)
     parts = F.split(relative, "/")
     name = F.element_at(parts, -1)
     suffix = F.lower(F.regexp_extract(name, r"\.([^.]+)$", 1))
-    return files.where(~name.isin(*NOISE_FILES)).select(
-        F.when(F.size(parts) > 1, parts[0]).otherwise("").alias("source_family"),
-        F.when(F.size(parts) > 2, parts[1]).otherwise("").alias("subfamily"),
-        name.alias("filename"), relative.alias("relative_path"),
-        F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified_utc"),
-        F.coalesce(lookup(suffix, FILE_KINDS), F.lit("other")).alias("kind"),
+    manual = name.endswith("_MANUAL.md") | name.contains("GATE.md")
+    noise = name.isin(*NOISE_FILES) | name.startswith(".") | F.array_contains(parts, "__pycache__")
+    return files.where(~noise).select(
+        parts[0].alias("source_family"), F.when(F.size(parts) > 2, parts[1]).otherwise("").alias("subfamily"),
+        name.alias("filename"), relative.alias("relative_path"), F.col("length").alias("size_bytes"),
+        F.col("modificationTime").alias("modified_utc"),
+        F.when(manual, F.lit("manual_note")).otherwise(F.coalesce(lookup(suffix, FILE_KINDS), F.lit("other"))).alias("kind"),
     )

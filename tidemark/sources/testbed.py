@@ -99,9 +99,7 @@ def industry_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     bank_of = nation.select(
         F.col("n_nationkey").alias("c_nationkey"), by_key(F.col("r_name"), BANK_OF_REGION).alias("bank_code")
     ).where(F.col("bank_code").isNotNull())
-    # twenty-five nations at most: the geography dimension of the benchmark schema
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment").join(
-        F.broadcast(bank_of), "c_nationkey")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment").join(bank_of, "c_nationkey")
     bank = F.col("bank_code")
     industry = L.first_match([(bank == b, by_key(F.col("c_mktsegment"), m)) for b, m in INDUSTRY_NAMES.items()])
     metric = pick(F.col("o_orderkey") % 4, ORDER_METRICS)
