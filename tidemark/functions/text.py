@@ -26,6 +26,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def in_match(text: Column, pattern: str, body: Callable[[Column], Column]) -> Column:
+    """Scan ``text`` once for ``pattern`` and work on the short match; null without one."""
+    return let(F.regexp_extract(text, pattern, 0), lambda m: F.when(m != "", body(m)))
+
+
 def number_token(token: Column) -> Column:
     """Number of a table cell: thousands commas and a trailing % are dropped."""
     t = F.replace(F.trim(token), F.lit(","), F.lit(""))
@@ -162,13 +167,13 @@ _SLASH = r"\b(\d{1,2})/(\d{1,2})/(20\d{2})\b"
 
 def parse_mixed_date(text: Column) -> Column:
     """First date in text: ISO, then day month year, then d/m/y."""
-    def part(pattern: str, i: int) -> Column:
-        return F.regexp_extract(text, pattern, i)
+    def g(hit: Column, pattern: str, i: int) -> Column:
+        return F.regexp_extract(hit, pattern, i)
 
     return F.coalesce(
-        date_of(part(_ISO, 1), part(_ISO, 2), part(_ISO, 3)),
-        date_of(part(_LONG, 3), month_number(part(_LONG, 2)), part(_LONG, 1)),
-        date_of(part(_SLASH, 3), part(_SLASH, 2), part(_SLASH, 1)),
+        in_match(text, _ISO, lambda m: date_of(g(m, _ISO, 1), g(m, _ISO, 2), g(m, _ISO, 3))),
+        in_match(text, _LONG, lambda m: date_of(g(m, _LONG, 3), month_number(g(m, _LONG, 2)), g(m, _LONG, 1))),
+        in_match(text, _SLASH, lambda m: date_of(g(m, _SLASH, 3), g(m, _SLASH, 2), g(m, _SLASH, 1))),
     )
 
 
@@ -181,14 +186,15 @@ def month_end_in_text(text: Column) -> Column:
     plain = rf"(?i)(?:in\s+|for\s+|[-–—]\s*)({_NAMES})\s+(\d{{4}})"
 
     def read(p: str) -> Column:
-        return date_of(F.regexp_extract(text, p, 2), month_number(F.regexp_extract(text, p, 1), False), F.lit("01"))
+        return in_match(text, p, lambda m: date_of(
+            F.regexp_extract(m, p, 2), month_number(F.regexp_extract(m, p, 1), False), F.lit("01")))
 
     return F.last_day(F.coalesce(read(dated), read(plain)))
 
 
 def _stated(text: Column, pattern: str) -> Column:
-    return date_of(F.regexp_extract(text, pattern, 3), month_number(F.regexp_extract(text, pattern, 2), False),
-                   F.regexp_extract(text, pattern, 1))
+    return in_match(text, pattern, lambda m: date_of(
+        F.regexp_extract(m, pattern, 3), month_number(F.regexp_extract(m, pattern, 2), False), F.regexp_extract(m, pattern, 1)))
 
 
 _DMY = r"\s+(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})"
@@ -203,19 +209,26 @@ def quarter_ended(text: Column, default: Column) -> Column:
 def half_year_end(text: Column, default: Column) -> Column:
     """June-year heading: 1H is the December before, 2H and FY end in June."""
     p = r"(?i)(1H|2H|FY)\s*(?:FY)?\s*(\d{2,4})"
-    half, raw = F.upper(F.regexp_extract(text, p, 1)), F.regexp_extract(text, p, 2).try_cast("int")
-    year = F.when(raw < 100, raw + 2000).otherwise(raw)
-    return F.coalesce(
-        F.when(half == "1H", F.make_date(year - 1, F.lit(12), F.lit(31)))
-        .when(half != "", F.make_date(year, F.lit(6), F.lit(30))), default)
+
+    def end(m: Column) -> Column:
+        raw = F.regexp_extract(m, p, 2).try_cast("int")
+        year = F.when(raw < 100, raw + 2000).otherwise(raw)
+        return F.when(F.upper(m).startswith("1H"), F.make_date(year - 1, F.lit(12), F.lit(31))).otherwise(
+            F.make_date(year, F.lit(6), F.lit(30)))
+
+    return F.coalesce(in_match(text, p, end), default)
 
 
 def annual_period_end(text: Column, default: Column) -> Column:
     """Annual-report date: a stated day, else the June end of "FY25"."""
     stated = _stated(text, r"(?i)(?:as\s+at|year\s+ended|period\s+ended|reporting\s+date)" + _DMY)
-    raw = F.regexp_extract(text, r"(?i)\bFY\s*(\d{2,4})\b", 1).try_cast("int")
-    year = F.when(raw < 100, raw + 2000).otherwise(raw)
-    return F.coalesce(stated, F.make_date(year, F.lit(6), F.lit(30)), default)
+    fy = r"(?i)\bFY\s*(\d{2,4})\b"
+
+    def june(m: Column) -> Column:
+        raw = F.regexp_extract(m, fy, 1).try_cast("int")
+        return F.make_date(F.when(raw < 100, raw + 2000).otherwise(raw), F.lit(6), F.lit(30))
+
+    return F.coalesce(stated, in_match(text, fy, june), default)
 
 
 def cover_date(text: Column) -> Column:
@@ -231,9 +244,11 @@ def page_as_of_date(text: Column, bank: str) -> Column:
         "cba": r"(?m)^\s*(\d{1,2})\s+(June|December|Jun|Dec)\s+(\d{4})\s*$",
     }
     if bank == "anz":
-        return date_of(F.regexp_extract(text, r"(?m)^\s*Sep\s+(\d{2})\s*$", 1), F.lit("09"), F.lit("30"))
+        p = r"(?m)^\s*Sep\s+(\d{2})\s*$"
+        return in_match(text, p, lambda m: date_of(F.regexp_extract(m, p, 1), F.lit("09"), F.lit("30")))
     p = patterns[bank]
-    return date_of(F.regexp_extract(text, p, 3), month_number(F.regexp_extract(text, p, 2)), F.regexp_extract(text, p, 1))
+    return in_match(text, p, lambda m: date_of(
+        F.regexp_extract(m, p, 3), month_number(F.regexp_extract(m, p, 2)), F.regexp_extract(m, p, 1)))
 
 
 def year_quarter(period: Column) -> Column:
@@ -252,8 +267,13 @@ def quarter_label(date: Column) -> Column:
 def portfolio_size(text: Column) -> Column:
     """"loan portfolio of $2.4B" -> integer millions."""
     p = r"(?i)loan\s+portfolio\s+(?:of\s+|increased\s+to\s+|grew\s+to\s+)?\$\s*(\d+(?:\.\d+)?)\s*(B|billion|M|million)"
-    amount, unit = F.regexp_extract(text, p, 1).try_cast("double"), F.lower(F.regexp_extract(text, p, 2))
-    return F.round(F.when(unit.startswith("b"), amount * 1000).otherwise(amount)).cast("int")
+
+    def millions(m: Column) -> Column:
+        amount = F.regexp_extract(m, p, 1).try_cast("double")
+        scale = F.when(F.lower(F.regexp_extract(m, p, 2)).startswith("b"), F.lit(1000.0)).otherwise(F.lit(1.0))
+        return F.round(amount * scale).cast("int")
+
+    return in_match(text, p, millions)
 
 
 # --- URLs and titles -----------------------------------------------------------------------

@@ -27,7 +27,7 @@ _CUT, _END = "\u0001", "\u0002"
 
 
 def trimmed_lines(text: Column) -> Column:
-    return F.transform(F.split(text, "\n"), lambda x: F.trim(F.regexp_replace(x, r"[\r\t]", " ")))
+    return F.transform(F.split(F.translate(text, "\r\t", "  "), "\n"), lambda x: F.trim(x))
 
 
 def carried_lines(df: DataFrame, lines: Column, label: Callable[[Column, Column, Column], Column]) -> DataFrame:
@@ -48,7 +48,9 @@ def carried_lines(df: DataFrame, lines: Column, label: Callable[[Column, Column,
 def _prefix(line: Column, index_prefix: str | None, band: str = BAND) -> Column:
     """Text before the PD band; the whole line when it has no band."""
     head = F.trim(F.regexp_replace(line, band, ""))
-    return F.when(line.rlike(band) & F.lit(index_prefix is not None), F.trim(F.regexp_replace(head, index_prefix or "^$", ""))).otherwise(head)
+    if index_prefix is None:
+        return head
+    return F.when(line.rlike(band), F.trim(F.regexp_replace(head, index_prefix, ""))).otherwise(head)
 
 
 def portfolio_label(patterns: Sequence[tuple[str, str]], index_prefix: str | None = None):
@@ -79,6 +81,16 @@ def portfolio_label(patterns: Sequence[tuple[str, str]], index_prefix: str | Non
     return label
 
 
+def _band_cells(lines: DataFrame, keys: Sequence[str], band: str, columns: dict[str, int],
+                tidy: Callable[[Column], Column] = lambda rest: rest) -> DataFrame:
+    """Band lines as (keys, label, pd_band, named token values); each line is split once."""
+    rest = tidy(F.regexp_extract("line", band, 2))
+    cells = X.let(F.split(F.trim(rest), r"\s+"), lambda tok: F.struct(
+        *[X.number_token(F.get(tok, F.lit(i))).alias(n) for n, i in columns.items()]))
+    return lines.where(F.col("label").isNotNull() & F.col("line").rlike(band)).select(
+        *keys, "label", F.regexp_extract("line", band, 1).alias("pd_band"), F.inline(F.array(cells)))
+
+
 def _metric_rows(rows: DataFrame, keys: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
     """PD and LGD cells as rows, implausible values dropped."""
     cells = F.array(*[F.struct(F.lit(m).alias("metric_name"), (F.col(m) / 100).alias("value"), F.lit(hi).alias("hi"))
@@ -103,11 +115,7 @@ def band_rows(pages: DataFrame, patterns: Sequence[tuple[str, str]] = V.BAND_TAB
     keys = [c for c in pages.columns if c != "text"]
     bodies = pages.where(F.col("text").rlike(TABLE_HEADER)).withColumn("text", F.regexp_replace("text", NEXT_TABLE, ""))
     lines = carried_lines(bodies, trimmed_lines(F.col("text")), portfolio_label(patterns, index_prefix))
-    tokens = F.split(F.trim(F.regexp_extract("line", BAND, 2)), r"\s+")
-    rows = lines.where(F.col("line").rlike(BAND) & F.col("label").isNotNull()).select(
-        *keys, "label", F.regexp_extract("line", BAND, 1).alias("pd_band"),
-        X.number_token(F.get(tokens, F.lit(4))).alias("pd"), X.number_token(F.get(tokens, F.lit(6))).alias("lgd"))
-    return _metric_rows(rows, keys)
+    return _metric_rows(_band_cells(lines, keys, BAND, {"pd": 4, "lgd": 6}), keys)
 
 
 def target_pages(pages: DataFrame, target: str) -> DataFrame:
@@ -142,12 +150,8 @@ def split_percent_rows(pages: DataFrame, target: str,
         return F.when(~line.rlike(MACQUARIE_BAND), X.contains_class(line, patterns))
 
     lines = carried_lines(bodies, trimmed_lines(F.col("text")), label)
-    rest = F.regexp_replace(F.regexp_extract("line", MACQUARIE_BAND, 2), r"(\S+) %(?=\s|$)", "$1%")
-    tokens = F.split(F.trim(rest), r"\s+")
-    rows = lines.where(F.col("line").rlike(MACQUARIE_BAND) & F.col("label").isNotNull()).select(
-        *keys, "label", F.regexp_extract("line", MACQUARIE_BAND, 1).alias("pd_band"),
-        X.number_token(F.get(tokens, F.lit(4))).alias("pd"), X.number_token(F.get(tokens, F.lit(6))).alias("lgd"),
-        X.number_token(F.get(tokens, F.lit(3))).alias("ead_mn"))
+    rows = _band_cells(lines, keys, MACQUARIE_BAND, {"pd": 4, "lgd": 6, "ead_mn": 3},
+                       lambda rest: F.regexp_replace(rest, r"(\S+) %(?=\s|$)", "$1%"))
     return _metric_rows(rows, keys, ["ead_mn"])
 
 
@@ -191,9 +195,7 @@ def alias_band_rows(pages: DataFrame, source: str = "judo") -> DataFrame:
         return X.let(_prefix(line, None, LOOSE_BAND), lambda prefix: F.when(prefix != "", segment(prefix)))
 
     lines = carried_lines(pages, trimmed_lines(F.col("text")), label)
-    tokens = F.split(F.trim(F.regexp_extract("line", LOOSE_BAND, 2)), r"\s+")
-    value = X.number_token(F.get(tokens, F.lit(4))) / 100
-    rows = lines.where(F.col("line").rlike(LOOSE_BAND) & F.col("label").isNotNull()).select(
+    rows = _band_cells(lines, keys, LOOSE_BAND, {"pd": 4}).select(
         *keys, F.split_part("label", F.lit("|"), F.lit(1)).alias("segment"), F.substring_index("label", "|", -1).alias("published_label"),
-        F.regexp_replace(F.regexp_extract("line", LOOSE_BAND, 1), r"\s+", " ").alias("pd_band"), value.alias("value"))
+        F.regexp_replace("pd_band", r"\s+", " ").alias("pd_band"), (F.col("pd") / 100).alias("value"))
     return rows.where(F.col("value").between(0.0, V.METRIC_CEILINGS["pd"])).withColumn("value", F.least("value", F.lit(1.0)))

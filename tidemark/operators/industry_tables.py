@@ -124,11 +124,13 @@ def table_rows(pages: DataFrame, layout: TableLayout, *, strict: bool = True, pe
     if layout.row_index:
         lines = lines.where(F.col("line").rlike(r"^\d{1,2}\s+")).withColumn("line", F.regexp_replace("line", r"^\d{1,2}\s+", ""))
     pattern = _peel(layout.tokens)
+    # the right edge must hold figures before the full pattern is tried
+    likely = lines.where(F.col("line").rlike(r"[\d)–—-]$"))
     label = F.regexp_extract("line", pattern, 1)
     if layout.footnotes:
         label = F.regexp_replace(label, r"\(\d+\)\s*$", "")
-    rows = lines.where(F.col("line").rlike(pattern)).select(
-        *keys, "as_of_date", F.trim(label).alias("label"), F.split(F.regexp_extract("line", pattern, 2), r"\s+").alias("tokens"))
+    cut = F.struct(F.trim(label).alias("label"), F.split(F.regexp_extract("line", pattern, 2), r"\s+").alias("tokens"))
+    rows = likely.select(*keys, "as_of_date", F.inline(F.array(cut))).where(F.size("tokens") == layout.tokens)
     # column headings that end in figures are not rows of the table
     rows = rows.where(F.col("label").rlike("[A-Za-z]") & ~F.lower("label").rlike(r"\$m|industry sector"))
     known = _known(layout.bank, F.col("label"))

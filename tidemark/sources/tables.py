@@ -16,6 +16,16 @@ from tidemark.functions.labels import lookup
 
 # --- stored tables ------------------------------------------------------------------
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out where a scan has fewer splits than the session has cores.
+
+    A few files of one row group each would leave most cores idle. A scan that
+    already splits well is returned as it is, so large inputs gain no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def scan_observations(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.RAW_OBSERVATIONS).parquet(path)
 

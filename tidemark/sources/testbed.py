@@ -8,12 +8,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions import labels as L
+from tidemark.sources.tables import spread
 
 AS_OF = "2001-12-31"
 
 
+WIDE_TABLES = ("lineitem", "orders", "events", "pages", "documents")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(scan) if name in WIDE_TABLES else scan
 
 
 def quarter_end(date: Column) -> Column:
