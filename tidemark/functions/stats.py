@@ -22,36 +22,44 @@ def value_bucket(value: Column) -> Column:
     return F.floor(F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0)) * GRID).cast("int")
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median") -> DataFrame:
-    """Exact median of ``value`` per key group: keys + [out, n]. Nulls are ignored.
-
-    One shuffle of the distinct values; the bucket totals that locate the
-    middle ranks are at most GRID + 1 small rows per group.
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
+                 newest: str | None = None) -> DataFrame:
+    """Exact median of ``value`` per key group: keys + [out, n, min, max].
+
+    Nulls are ignored. ``newest`` names a column whose maximum is carried along,
+    so one pass serves a whole summary. One shuffle of the distinct values; the
+    bucket totals that locate the middle ranks are at most GRID + 1 small rows
+    per group.
     """
     keys = list(keys)
+    carried = [] if newest is None else [newest]
     counts = (
         df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+        .groupBy(*keys, F.col(value).alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_c"), *[F.max(c).alias(c) for c in carried])
         .withColumn("_b", value_bucket(F.col("_v")))
     )
     by_key = W.partitionBy(*keys)
-    totals = counts.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bc"))
+    totals = counts.groupBy(*keys, "_b").agg(
+        F.sum("_c").alias("_bc"), F.min("_v").alias("_min"), F.max("_v").alias("_max"), *[F.max(c).alias(c) for c in carried])
     middle = (
         totals
-        .withColumn("_n", F.sum("_bc").over(by_key))
-        .withColumn("_before", F.sum("_bc").over(by_key.orderBy("_b").rowsBetween(W.unboundedPreceding, 0)) - F.col("_bc"))
+        .withColumns({
+            "_n": F.sum("_bc").over(by_key), "_min": F.min("_min").over(by_key), "_max": F.max("_max").over(by_key),
+            **{c: F.max(c).over(by_key) for c in carried},
+            "_before": F.sum("_bc").over(by_key.orderBy("_b").rowsBetween(W.unboundedPreceding, 0)) - F.col("_bc")})
         .withColumn("_lo", F.floor((F.col("_n") + 1) / 2))
         .withColumn("_hi", F.floor(F.col("_n") / 2) + 1)
         .where((F.col("_before") < F.col("_hi")) & (F.col("_before") + F.col("_bc") >= F.col("_lo")))
-        .select(*keys, "_b", "_n", "_before", "_lo", "_hi")
+        .select(*keys, "_b", "_n", "_min", "_max", "_before", "_lo", "_hi", *carried)
     )
     upto = F.sum("_c").over(W.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)) + F.col("_before")
-    ranked = counts.join(middle, [*keys, "_b"]).withColumn("_upto", upto)
+    ranked = counts.drop(*carried).join(middle, [*keys, "_b"]).withColumn("_upto", upto)
     covers_lo = (F.col("_upto") >= F.col("_lo")) & (F.col("_upto") - F.col("_c") < F.col("_lo"))
     covers_hi = (F.col("_upto") >= F.col("_hi")) & (F.col("_upto") - F.col("_c") < F.col("_hi"))
     return ranked.groupBy(*keys).agg(
         ((F.max(F.when(covers_lo, F.col("_v"))) + F.max(F.when(covers_hi, F.col("_v")))) / 2).alias(out),
-        F.max("_n").alias("n"),
+        F.max("_n").alias("n"), F.max("_min").alias("min"), F.max("_max").alias("max"), *[F.max(c).alias(c) for c in carried],
     )
 
 

@@ -44,7 +44,8 @@ def _by_segment(benchmarks: DataFrame, data_type: str) -> DataFrame:
 def peer_comparison(benchmarks: DataFrame, segments: DataFrame, own: DataFrame, data_type: str = "pd",
                     threshold: float = V.OWN_VS_PEER_DIVERGENCE) -> DataFrame:
     """Own estimate against the peer median of each requested segment."""
-    peers = exact_median(_by_segment(benchmarks, data_type), ["segment"], "value", "peer_median").withColumnRenamed("n", "peer_count")
+    peers = exact_median(_by_segment(benchmarks, data_type), ["segment"], "value", "peer_median").select(
+        "segment", "peer_median", F.col("n").alias("peer_count"))
     rows = segments.select("segment").join(peers, "segment", "left").join(own.select("segment", F.col("value").alias("own")), "segment", "left")
     gap = F.when(F.col("peer_median") == 0, F.lit(0.0)).otherwise(
         F.try_divide(F.abs(F.col("own") - F.col("peer_median")), F.col("peer_median")))
@@ -75,7 +76,7 @@ def pillar3_divergence(benchmarks: DataFrame, multiple: float = V.PILLAR3_DIVERG
     """Each Pillar 3 entry against its (segment, type, date) median; small cohorts are listed as skipped."""
     keys = ["segment", "data_type", "value_date"]
     rows = live_versions(benchmarks).where(F.col("source_type") == "pillar3").withColumnRenamed("asset_class", "segment")
-    medians = exact_median(rows, keys, "value", "peer_median").withColumnRenamed("n", "cohort_size")
+    medians = exact_median(rows, keys, "value", "peer_median").select(*keys, "peer_median", F.col("n").alias("cohort_size"))
     enough = F.col("cohort_size") >= min_cohort
     value, med = F.col("value"), F.col("peer_median")
     ratio = F.when((med <= 0) | (value < 0), F.lit(None).cast("double")).when(

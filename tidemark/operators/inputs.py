@@ -10,6 +10,7 @@ from tidemark import fixed_values as V
 from tidemark.functions import labels as L
 from tidemark.functions.stats import exact_median
 from tidemark.operators.latest import latest_numeric
+from tidemark.session import staged
 from tidemark.sources.tables import Scenario, scenario_frame
 
 
@@ -33,13 +34,9 @@ def model_observations(latest: DataFrame) -> DataFrame:
 def rate_summary(latest: DataFrame) -> DataFrame:
     """Median, range, count and newest date per (segment, product, model parameter)."""
     keys = ["segment", "product", "model_parameter"]
-    rows = model_observations(latest)
-    spread = rows.groupBy(*keys).agg(
-        F.min("value").alias("min_decimal"), F.max("value").alias("max_decimal"),
-        F.count(F.lit(1)).alias("source_count"), F.max("as_of_date").alias("as_of_date"),
-    )
-    median = exact_median(rows, keys, "value", "median_decimal").drop("n")
-    return median.join(spread, keys)
+    return exact_median(model_observations(latest), keys, "value", "median_decimal", newest="as_of_date").select(
+        *keys, "median_decimal", F.col("min").alias("min_decimal"), F.col("max").alias("max_decimal"),
+        F.col("n").alias("source_count"), "as_of_date")
 
 
 def parameter_inputs(latest: DataFrame, parameter: str) -> DataFrame:
@@ -142,9 +139,13 @@ def stress_supplement(el: DataFrame, scenarios: Sequence[Scenario], bands: DataF
 
 
 def model_input_bundle(observations: DataFrame, scenarios: Sequence[Scenario], bands: DataFrame) -> dict[str, DataFrame]:
-    """The five export tables from one shared reduction of the observations."""
-    latest = latest_numeric(observations)
-    summary = rate_summary(latest)
+    """The five export tables from one shared reduction of the observations.
+
+    The newest row per source and its summary are staged as tables, so the
+    observations are scanned once for all five.
+    """
+    latest = staged(latest_numeric(observations), "latest")
+    summary = staged(rate_summary(latest), "summary")
     el = expected_loss(summary)
     return {
         "pd_inputs": parameter_inputs(latest, "pd"),

@@ -27,7 +27,7 @@ def per_source_observations(observations: DataFrame) -> DataFrame:
                           "page_or_table_ref", "source_url"), _newest()).alias("row"),
         F.max("as_of_date").alias("latest_as_of"), F.count(F.lit(1)).alias("n_vintages"),
     ).select(*keys, "row.*", "latest_as_of", "n_vintages")
-    medians = exact_median(rows, keys, "value", "median_value").drop("n")
+    medians = exact_median(rows, keys, "value", "median_value").select(*keys, "median_value")
     return latest.join(medians, keys, "left").withColumn(
         "cohort", L.cohort_for(F.col("source_type"), F.col("source_id"))).withColumns({
             "friendly_name": L.friendly_name(F.col("source_id")), "cohort_label": L.cohort_label(F.col("cohort")),
@@ -37,7 +37,7 @@ def per_source_observations(observations: DataFrame) -> DataFrame:
 
 def cohort_medians(per_source: DataFrame) -> DataFrame:
     """Median of latest values per (parameter, segment, cohort)."""
-    out = exact_median(per_source, ["parameter", "segment", "cohort"], "latest_value", "median")
+    out = exact_median(per_source, ["parameter", "segment", "cohort"], "latest_value", "median").drop("min", "max")
     return out.withColumn("cohort_label", L.cohort_label(F.col("cohort")))
 
 
@@ -130,15 +130,14 @@ def headline_segment(observations: DataFrame, rules: FlagRules) -> DataFrame:
     pick = flags.agg(F.max_by("segment", lead).alias("segment"), F.array_join(thin, ", ").alias("thin_segments"),
                      F.min(F.when(F.col("n_outlier_sources") > 0, F.col("segment"))).alias("outlier_segment"))
     big4 = with_cohort(observations).where(L.is_big4(F.col("source_id")) & F.col("value").isNotNull())
-    spread = big4.groupBy("segment").agg(F.min("value").alias("big4_low"), F.max("value").alias("big4_high"),
-                                         F.count(F.lit(1)).alias("n_disclosures"))
-    median = exact_median(big4, ["segment"], "value", "big4_median").drop("n")
+    spread = exact_median(big4, ["segment"], "value", "big4_median").select(
+        "segment", F.col("min").alias("big4_low"), F.col("max").alias("big4_high"), "big4_median", F.col("n").alias("n_disclosures"))
     marked = flagged_sources(observations, rules).where("outlier").select(
         F.col("segment").alias("outlier_segment"), "source_id")
     ranked = marked.withColumn("_r", F.row_number().over(W.partitionBy("outlier_segment").orderBy("source_id"))).where("_r <= 3")
     names = ranked.groupBy("outlier_segment").agg(F.array_join(F.array_sort(F.collect_list("source_id")), ", ").alias("first_outliers"))
     return (
-        pick.join(spread.join(median, "segment"), "segment", "left").join(names, "outlier_segment", "left")
+        pick.join(spread, "segment", "left").join(names, "outlier_segment", "left")
         .select("segment", "big4_low", "big4_high", F.round("big4_median", 8).alias("big4_median"), "n_disclosures",
                 "thin_segments", "outlier_segment", "first_outliers"))
 
@@ -172,7 +171,7 @@ def nonbank_latest_rates(observations: DataFrame) -> DataFrame:
 
 def anchor_view(inputs: DataFrame, rate: str) -> DataFrame:
     """Every source of a segment beside the segment median, where two or more disclose."""
-    med = exact_median(inputs, ["segment"], rate, "segment_median").where("n >= 2").drop("n")
+    med = exact_median(inputs, ["segment"], rate, "segment_median").where("n >= 2").select("segment", "segment_median")
     return inputs.join(med, "segment").select(
         "segment", "source_id", L.anchor_label(F.col("source_type"), F.col("source_id")).alias("label"), rate,
         F.round("segment_median", 8).alias("segment_median"), (F.col("source_type") == "apra_performance").alias("is_floor"))
