@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 from pathlib import Path
 from typing import NamedTuple
@@ -11,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark import fixed_values as V, schemas
-from tidemark.functions.labels import lookup
+from tidemark.functions.labels import default_note, lookup
+from tidemark.sources import seeds
 
 
 # --- stored tables ------------------------------------------------------------------
@@ -253,3 +255,18 @@ def raw_file_inventory(spark: SparkSession, root: str) -> DataFrame:
         F.col("modificationTime").alias("modified_utc"),
         F.when(manual, F.lit("manual_note")).otherwise(F.coalesce(lookup(suffix, FILE_KINDS), F.lit("other"))).alias("kind"),
     )
+
+
+def seed_benchmarks(spark: SparkSession) -> DataFrame:
+    """The starting registry: one version per entry, a standing note where none is given."""
+    rows = []
+    for line in seeds.ENTRIES.strip().splitlines():
+        source_id, who, source_type, data_type, segment, value, options, note = line.split("|")
+        opt = dict(o.split("=", 1) for o in options.split(";") if o)
+        name, url = seeds.PUBLISHERS[who]
+        rows.append((
+            source_id, 1, opt.get("p", name), source_type, data_type, segment, "AU", opt.get("u", url), note or None, float(value),
+            dt.date.fromisoformat(opt.get("d", "2024-12-31")), int(opt.get("y", 5)), None, None,
+            dt.date.fromisoformat(opt.get("r", "2025-03-01")), opt.get("q", "HIGH"), None, None))
+    note = default_note(*[F.col(c) for c in ("source_type", "publisher", "asset_class", "data_type", "value_date", "url", "source_id")])
+    return dimension(spark, rows, schemas.BENCHMARKS).withColumn("notes", F.coalesce("notes", note))
