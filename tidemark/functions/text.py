@@ -87,7 +87,7 @@ def map_segment(source: str, label: Column) -> Column:
         (F.lit(alias.lower()).contains(s) | s.contains(alias.lower()), F.lit(segment))
         for segment, sources in V.SEGMENT_ALIAS_MAP.items() for alias in sources.get(source, [])
     ]
-    return first_match(rules) if rules else F.lit(None).cast("string")
+    return F.when(s != "", first_match(rules)) if rules else F.lit(None).cast("string")
 
 
 def band_slug(band: Column) -> Column:

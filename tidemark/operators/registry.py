@@ -196,11 +196,11 @@ def bridge_to_observations(benchmarks: DataFrame, observations: DataFrame) -> Da
 def append_observations(accepted: DataFrame, path: str) -> None:
     """Append-only write, clustered by parameter and year of the as-of date.
 
-    A salt spreads a parameter-year that holds most rows over many writers.
+    The rebalance hint lets adaptive execution split a parameter-year that holds
+    most rows over many writers and join the small ones.
     """
     rows = accepted.withColumn("as_of_year", F.year("as_of_date"))
-    salt = F.pmod(F.xxhash64("source_id", "as_of_date", "segment", "obs_seq"), F.lit(32))
-    rows.repartition("parameter", "as_of_year", salt).write.mode("append").partitionBy("parameter", "as_of_year").parquet(path)
+    rows.hint("rebalance", "parameter", "as_of_year").write.mode("append").partitionBy("parameter", "as_of_year").parquet(path)
 
 
 def write_registry_snapshot(rows: DataFrame, path: str) -> None:

@@ -201,6 +201,13 @@ def bands_export(bands: DataFrame) -> DataFrame:
                         F.array_join("lower_sources", "|").alias("lower_sources"))
 
 
+def bands_with_gaps(bands: DataFrame, observations: DataFrame) -> DataFrame:
+    """Band export beside the number of its sources the store does not hold."""
+    used = bands.select(F.col("product").alias("used_by"), F.explode(F.array_distinct(F.concat("upper_sources", "lower_sources"))).alias("source_id"))
+    gaps = band_source_check(used, observations).groupBy(F.col("used_by").alias("product")).agg(F.count(F.lit(1)).alias("n_missing_sources"))
+    return bands_export(bands).join(gaps, "product", "left").withColumn("n_missing_sources", F.coalesce("n_missing_sources", F.lit(0)))
+
+
 def report_headline(meta: DataFrame, wide: DataFrame) -> DataFrame:
     """Headline counts beside the distinct banks of the industry view."""
     # the bank list is bounded by the industry label map

@@ -92,6 +92,12 @@ def industry_row_checks(spark, sf):
     return checks.check_industry_rows(broken).select("row_seq", F.array_join("errors", ",").alias("errors"))
 
 
+@query("provenance_check", O.with_(ROWS, body="SELECT bank_code, count(*) AS n, count(value_aud_m) AS n_values FROM ir GROUP BY bank_code"))
+def provenance_check(spark, sf):
+    rows = checks.require_columns(_rows(spark, sf), checks.PROVENANCE_COLUMNS, "provenance_check")
+    return rows.groupBy("bank_code").agg(F.count(F.lit(1)).alias("n"), F.count("value_aud_m").alias("n_values"))
+
+
 @query("harmonise_industry", O.with_(ROWS, LABELS, body="""
 SELECT row_seq, i.bank_code, industry_published, canonical_bucket FROM ir i JOIN labels_map l ON l.bank_code = i.bank_code AND l.label_norm = lower(industry_published)"""))
 def harmonise_industry(spark, sf):

@@ -78,6 +78,11 @@ def expected_loss_inputs(spark, sf):
     return _el(spark, sf)
 
 
+@query("expected_loss_bps", O.with_(*BASE, O.SUMMARY, EL, body="SELECT segment, product, expected_loss_rate_decimal, expected_loss_rate_bps FROM el"))
+def expected_loss_bps(spark, sf):
+    return _el(spark, sf).select("segment", "product", "expected_loss_rate_decimal", "expected_loss_rate_bps")
+
+
 @query("stress_testing_inputs", O.with_(*BASE, O.SUMMARY, EL, BANDS, SCENARIOS, STRESS, body=STRESS_SELECT))
 def stress_testing_inputs(spark, sf):
     return inputs.stress_testing(_el(spark, sf), tables.stress_scenarios(), tables.reality_check_bands(spark))

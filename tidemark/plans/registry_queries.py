@@ -127,10 +127,16 @@ def sink_order(spark, sf):
         "segment", "source_id", "as_of_date", "parameter", "value").orderBy("segment", "source_id", F.desc("as_of_date"))
 
 
-@query("observation_set_json")
+@query("observation_set_json", O.with_(*OBS3, SEGMED, FLAGSRC, FLAGS, body="""
+SELECT segment, 'observation' AS kind, source_id AS json_source_id, value AS json_value, CAST(NULL AS BIGINT) AS json_n_sources FROM rd
+UNION ALL SELECT segment, 'flags', NULL, NULL, n_sources FROM flags"""))
 def observation_set_json(spark, sf):
     obs = registry.query_observations(_obs(spark, sf))
-    return registry.observation_set_json(obs, flags.validation_flags(_obs(spark, sf), RULES))
+    lines = registry.observation_set_json(obs, flags.validation_flags(_obs(spark, sf), RULES))
+    return lines.select(
+        "segment", "kind", F.get_json_object("json", "$.source_id").alias("json_source_id"),
+        F.get_json_object("json", "$.value").cast("double").alias("json_value"),
+        F.get_json_object("json", "$.n_sources").cast("long").alias("json_n_sources"))
 
 
 # --- flags and trend --------------------------------------------------------------------------

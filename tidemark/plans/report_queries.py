@@ -161,3 +161,14 @@ SELECT used_by, r.source_id FROM refs r WHERE r.source_id NOT IN (SELECT {_HELD}
 def band_source_check(spark, sf):
     held = _obs(spark, sf).withColumn("source_id", F.expr(_HELD))
     return reporting.band_source_check(reporting.band_references(spark), held)
+
+
+_BANDS = [(p, up_pd, low_pd, "|".join(up), "|".join(low), ",".join(dict.fromkeys((*up, *low)))) for p, (low_pd, up_pd, up, low) in V.REALITY_CHECK_BANDS.items()]
+
+
+@query("reality_check_bands", O.with_(O.OBS, "b AS " + O.values(_BANDS, "product, upper_band_pd, lower_band_pd, upper_sources, lower_sources, every"), body=f"""
+SELECT product, upper_band_pd, lower_band_pd, upper_sources, lower_sources,
+  (SELECT count(*) FROM (SELECT unnest(string_split(every, ',')) AS s) WHERE s NOT IN (SELECT {_HELD} FROM obs)) AS n_missing_sources FROM b"""))
+def reality_check_bands(spark, sf):
+    held = _obs(spark, sf).withColumn("source_id", F.expr(_HELD))
+    return reporting.bands_with_gaps(tables.reality_check_bands(spark), held)

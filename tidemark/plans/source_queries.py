@@ -319,7 +319,11 @@ def audit_append(spark, sf):
     return spark.read.parquet(path).select("operation", "entity_id", F.get_json_object("params_json", "$.parameter").alias("parameter"), "result_summary")
 
 
-@query("refusal_log")
+@query("refusal_log", """
+SELECT * FROM (VALUES ('CrossBankAggregation', 'inter_bank_aggregate(''pd_value'')'), ('IncompatiblePeriodLength', 'write_offs(period=None)'),
+  ('CrossBankAggregation', 'provisions_same_basis(''aps220_specific'')'), ('MissingProvenance', 'intra_bank_totals')) AS t(refusal_type, requested_aggregation)
+WHERE (SELECT count(DISTINCT r_name) FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
+  WHERE o_orderkey % 4 = 2 AND r_name <> 'MIDDLE EAST') > 1""")
 def refusal_log(spark, sf):
     """Refusals raised by data and by request, kept as rows."""
     totals, labels = _intra(spark, sf), tables.industry_labels(spark)
@@ -335,7 +339,7 @@ def refusal_log(spark, sf):
             attempt()
         except checks.RefusedError as error:
             refused.append(error)
-    return industry.refusal_log(spark, refused)
+    return industry.refusal_log(spark, refused).select("refusal_type", "requested_aggregation")
 
 
 STREAMED = """
