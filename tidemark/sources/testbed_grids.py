@@ -74,7 +74,7 @@ def quarterly_cells(spark: SparkSession, sf: str) -> DataFrame:
         row = (F.col("k") + offset).cast("int")
         def cell(col: Column, text: Column | None, number: Column | None) -> Column:
             return _cell(sheet, 0, col, text, number).withField("row_idx", row)
-        return [cell(zero, name, None), cell(one, F.lit("n/a"), None), cell(F.lit(2), None, value), cell(F.lit(3), None, F.lit(7.0))]
+        return [cell(zero, name, None), cell(one, F.lit("n/a"), None), cell(F.lit(2), None, value), cell(F.lit(3), None, F.when(value.isNotNull(), F.lit(7.0)))]
 
     later = [c for c in rows(ead, F.lit(1.0), 40)]
     return _cells(base, F.concat(F.lit("cba-"), F.col("as_of").cast("string")), rows(npe, F.col("npe"), 5) + rows(ead, F.col("ead"), 5) + later)
