@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,26 +29,18 @@ def build_session(master: str | None = None, app_name: str = "tidemark", **conf:
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder the cluster names.
-
-    Only where no folder is configured (tests) is a local one set.
-    """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder or os.path.join("/tmp", "tidemark-checkpoints"))
-    return df.checkpoint(eager=True)
-
-
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder for stream state and staged tables.
+    """A fresh folder for stream state and staged tables, under ``spark.checkpoint.dir``.
 
-    It lies under the shared folder the cluster names; a local one is used
-    only where none is configured, as in tests.
+    A single-machine session without that setting gets a temporary folder. On a
+    cluster each executor has a disk of its own, so there the setting is required.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/tidemark-work"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="tidemark-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
