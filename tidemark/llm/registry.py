@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate
+from tidemark.llm import decontaminate, line_dedup, near_duplicates
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -15,9 +15,21 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates.near_duplicate_components(read(spark, sf_dir, "documents"), k=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_decontamination": op2_decontamination,
+    "op7_near_duplicates": op7_near_duplicates,
+    "op10_line_dedup": op10_line_dedup,
 }
 ORACLES = {
     "op2_decontamination": decontaminate.ORACLE_SQL,
+    "op7_near_duplicates": near_duplicates.ORACLE_SQL,
 }
