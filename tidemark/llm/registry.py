@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, line_dedup, near_duplicates
+from tidemark.llm import bpe, decontaminate, language_model, line_dedup, near_duplicates
+
+
+def tokenizer_path() -> str:
+    """The byte-level vocabulary the encoding queries are run with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,9 +31,27 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(read(spark, sf_dir, "documents"))
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded(read(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_model.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return found.select("doc_id", "lang", "n_symbols", "perplexity", "accepted")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # here, as the pipeline itself reads this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op2_decontamination": op2_decontamination,
+    "op4_quality_classifier": op4_quality_classifier,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_bpe": op8_bpe,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLES = {
