@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, language_model, line_dedup, near_duplicates
+from tidemark.llm import bpe, decontaminate, language_model, line_dedup, main_text, near_duplicates, toxicity
 
 
 def tokenizer_path() -> str:
@@ -46,9 +46,19 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(read(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "pipeline": pipeline,
+    "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
+    "op3_main_text": op3_main_text,
     "op4_quality_classifier": op4_quality_classifier,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_bpe": op8_bpe,
