@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, language_model, line_dedup, main_text, near_duplicates, toxicity
+from tidemark.llm import bpe, decontaminate, language_model, line_dedup, main_text, near_duplicates, pii, quality_rules, toxicity
 
 
 def tokenizer_path() -> str:
@@ -54,14 +54,25 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(read(spark, sf_dir, "pages"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonyms(read(spark, sf_dir, "documents"), key="tidemark")
+
+
 QUERIES = {
     "pipeline": pipeline,
     "op1_toxicity": op1_toxicity,
     "op2_decontamination": op2_decontamination,
     "op3_main_text": op3_main_text,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_quality_rules": op5_quality_rules,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_bpe": op8_bpe,
+    "op9_pii": op9_pii,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLES = {
