@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, language_model, line_dedup, main_text, near_duplicates, pii, quality_rules, toxicity
+from tidemark.llm import bpe, chat, decontaminate, language_model, line_dedup, main_text, near_duplicates, pii, quality_rules, toxicity
 
 
 def tokenizer_path() -> str:
@@ -63,6 +63,11 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonyms(read(spark, sf_dir, "documents"), key="tidemark")
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat.with_hostile_turns(read(spark, sf_dir, "conversations"))
+    return chat.read_back(chat.formatted(rows, tokenizer_path()))
+
+
 QUERIES = {
     "pipeline": pipeline,
     "op1_toxicity": op1_toxicity,
@@ -70,6 +75,7 @@ QUERIES = {
     "op3_main_text": op3_main_text,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_quality_rules": op5_quality_rules,
+    "op6_chat_format": op6_chat_format,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_bpe": op8_bpe,
     "op9_pii": op9_pii,
@@ -77,5 +83,6 @@ QUERIES = {
 }
 ORACLES = {
     "op2_decontamination": decontaminate.ORACLE_SQL,
+    "op6_chat_format": chat.ORACLE_SQL,
     "op7_near_duplicates": near_duplicates.ORACLE_SQL,
 }
