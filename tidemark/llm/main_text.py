@@ -157,7 +157,7 @@ class Weights:
         return self.words.get(key, self.words.get(key.split(".")[0], 1.0))
 
     def tag(self, key: str) -> float:
-        return self.tags.get(key, self.tags.get(key.split(".")[0], -0.1 if key.lstrip("/").split(".")[0] in _INLINE else -0.5))
+        return self.tags.get(key, self.tags.get(key.split(".")[0], -0.1 if key.lstrip("/").split(".")[0] in _INLINE else -0.4))
 
 
 def main_text(html: str | None, weights: Weights) -> str:

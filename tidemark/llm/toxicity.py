@@ -223,6 +223,9 @@ def fit_weights(counts: np.ndarray, toxic: np.ndarray, rounds: int = 50) -> np.n
     """Logistic weights of log(1 + count), by Newton steps from the defaults and drawn towards them."""
     if not len(toxic) or not toxic.any() or toxic.all():
         return DEFAULT_WEIGHTS.copy()
+    # sorted, so that the order in which tasks deliver rows does not show in the last digits
+    order = np.lexsort([*counts.T, toxic])
+    counts, toxic = counts[order], toxic[order]
     x = np.c_[np.ones(len(counts)), np.log1p(counts)]
     w, pull = DEFAULT_WEIGHTS.copy(), np.r_[0.01, np.full(len(PATTERNS), 0.5)]
     for _ in range(rounds):
