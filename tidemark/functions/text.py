@@ -6,6 +6,7 @@ Unparseable text gives null, never an error.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, functions as F
@@ -17,6 +18,30 @@ DASHES = ("-", "–", "—")
 NULL_TOKENS = (*DASHES, "n/a", "na", "")
 
 
+# --- patterns from plain phrases -------------------------------------------------------------
+
+def words(phrase: str) -> str:
+    """Pattern of a phrase with any white space between its words."""
+    return r"\s+".join(re.escape(w) for w in phrase.split())
+
+
+def any_of(*phrases: str) -> str:
+    """Pattern of one of several phrases, longest first."""
+    return "(?:" + "|".join(words(p) for p in sorted(phrases, key=len, reverse=True)) + ")"
+
+
+# --- white space -------------------------------------------------------------------------------
+
+_SPACES = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000\t\f\v\r"
+_BREAKS = "\u0085\u2028\u2029"
+_NOTHING = "".join(map(chr, range(1, 9))) + "\u000e\u000f\u200b\u2060\ufeff"
+
+
+def plain_text(text: Column) -> Column:
+    """Published text with one kind of space and of line end, and without control and zero-width characters."""
+    return F.translate(text, _SPACES + _BREAKS + _NOTHING, " " * len(_SPACES) + "\n" * len(_BREAKS))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it many times in ``body``.
 
@@ -159,8 +184,10 @@ def exact_period_code(date: Column) -> Column:
     )
 
 
-_LONG = (r"(?i)\b(\d{1,2})\s+(jan|january|feb|february|mar|march|apr|april|may|jun|june|jul|july|aug|august|"
-         r"sep|sept|september|oct|october|nov|november|dec|december)\s+(20\d{2})\b")
+# month names, and their usual three- and four-letter forms
+_SHORT = [m[:3] for m in V.MONTHS] + ["sept"]
+_MONTH = "|".join(sorted({*V.MONTHS, *_SHORT}, key=len, reverse=True))
+_LONG = rf"(?i)\b(\d{{1,2}})\s+({_MONTH})\s+(20\d{{2}})\b"
 _ISO = r"\b(20\d{2})-(\d{2})-(\d{2})\b"
 _SLASH = r"\b(\d{1,2})/(\d{1,2})/(20\d{2})\b"
 
@@ -177,7 +204,7 @@ def parse_mixed_date(text: Column) -> Column:
     )
 
 
-_NAMES = "january|february|march|april|may|june|july|august|september|october|november|december"
+_NAMES = "|".join(V.MONTHS)
 
 
 def month_end_in_text(text: Column) -> Column:
@@ -202,8 +229,9 @@ _DMY = r"\s+(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})"
 
 def quarter_ended(text: Column, default: Column) -> Column:
     """Trading-update date: "quarter ended", then "as at"."""
-    as_at = r"(?i)(?:as\s+at\s+|end\s+of\s+the\s+quarter\s+\(\s*)(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})"
-    return F.coalesce(_stated(text, r"(?i)quarter\s+ended" + _DMY), _stated(text, as_at), default)
+    day = _DMY.removeprefix(r"\s+")
+    leads = (words("quarter ended") + r"\s+", words("as at") + r"\s+|" + words("end of the quarter") + r"\s+\(\s*")
+    return F.coalesce(*(_stated(text, f"(?i)(?:{lead}){day}") for lead in leads), default)
 
 
 def half_year_end(text: Column, default: Column) -> Column:
@@ -266,7 +294,7 @@ def quarter_label(date: Column) -> Column:
 
 def portfolio_size(text: Column) -> Column:
     """"loan portfolio of $2.4B" -> integer millions."""
-    p = r"(?i)loan\s+portfolio\s+(?:of\s+|increased\s+to\s+|grew\s+to\s+)?\$\s*(\d+(?:\.\d+)?)\s*(B|billion|M|million)"
+    p = rf"(?i){words('loan portfolio')}\s+(?:{any_of('of', 'increased to', 'grew to')}\s+)?\$\s*(\d+(?:\.\d+)?)\s*(billion|million|B|M)"
 
     def millions(m: Column) -> Column:
         amount = F.regexp_extract(m, p, 1).try_cast("double")
@@ -278,9 +306,15 @@ def portfolio_size(text: Column) -> Column:
 
 # --- URLs and titles -----------------------------------------------------------------------
 
-def safe_slug(text: Column) -> Column:
-    dashed = F.regexp_replace(text, "[^A-Za-z0-9]+", "-")
-    return F.lower(F.substring(F.regexp_replace(dashed, "^-+|-+$", ""), 1, 80))
+#: Readable part of a file name; a longer text goes on with a digest of all of it.
+SLUG_CHARS = 80
+
+
+def safe_slug(text: Column, whole: Column | None = None) -> Column:
+    """File-name form of a text. Where it has to be cut, 12 digits of the SHA-256 of ``whole`` (the text itself by default) keep names apart."""
+    dashed = F.lower(F.regexp_replace(F.regexp_replace(text, "[^A-Za-z0-9]+", "-"), "^-+|-+$", ""))
+    digest = F.substring(F.sha2(text if whole is None else whole, 256), 1, 12)
+    return F.when(F.length(dashed) <= SLUG_CHARS, dashed).otherwise(F.concat_ws("-", F.substring(dashed, 1, SLUG_CHARS), digest))
 
 
 def url_path(url: Column) -> Column:
@@ -291,7 +325,7 @@ def url_path(url: Column) -> Column:
 def url_slug(url: Column) -> Column:
     """Slug of the last path part, without its extension."""
     tail = F.element_at(F.split(F.regexp_replace(url_path(url), "/+$", ""), "/"), -1)
-    return safe_slug(F.regexp_replace(tail, r"\.[^.]*$", ""))
+    return safe_slug(F.regexp_replace(tail, r"\.[^.]*$", ""), url)
 
 
 def url_suffix(url: Column) -> Column:
@@ -317,22 +351,5 @@ def absolute_url(base: str, href: Column) -> Column:
 
 # --- display -----------------------------------------------------------------------------------
 
-def percent_text(value: Column, digits: int = 2, signed: bool = False) -> Column:
-    pattern = f"%{'+' if signed else ''}.{digits}f%%"
-    return F.coalesce(F.when(value.isNotNull(), F.format_string(pattern, value * 100)), F.lit(""))
-
-
-def bps_text(value: Column) -> Column:
-    return F.coalesce(F.when(value.isNotNull(), F.format_string("%.0f bps", value * 10000)), F.lit(""))
-
-
-def ratio_text(value: Column) -> Column:
-    return F.coalesce(F.when(value.isNotNull(), F.format_string("%.2fx", value)), F.lit(""))
-
-
 def four_places(value: Column) -> Column:
     return F.coalesce(F.when(value.isNotNull(), F.format_string("%.4f", value)), F.lit(""))
-
-
-def date_window(first: Column, last: Column) -> Column:
-    return F.when(first == last, first.cast("string")).otherwise(F.concat_ws(" to ", first.cast("string"), last.cast("string")))

@@ -21,17 +21,19 @@ TABLE_HEADER = r"(?mi)^\s*CR6\s*:\s*IRB"
 NEXT_TABLE = r"(?smi)^\s*CR(?:7|8|9|10)\s*:.*"
 MACQUARIE_HEADER = r"(?i)Table\s+7\s*:\s*CR6\s*-\s*IRB"
 MACQUARIE_DATE = r"(?i)\b((?:30|31)\s+(?:March|September)\s+\d{4})\b"
+# a line of the table, its default band perhaps broken in two
+ANY_BAND = r"\d+\.\d+ to <\d+\.\d+|100\.00 \(Non-"
 NON_PERFORMING = "100.00 (Non-Performing)"
 
 _CUT, _END = "\u0001", "\u0002"
 
 
 def trimmed_lines(text: Column) -> Column:
-    return F.transform(F.split(F.translate(text, "\r\t", "  "), "\n"), lambda x: F.trim(x))
+    return F.transform(F.split(X.plain_text(text), "\n"), lambda x: F.trim(x))
 
 
 def carried_lines(df: DataFrame, lines: Column, label: Callable[[Column, Column, Column], Column]) -> DataFrame:
-    """Explode lines with the label of the last labelled line at or above them.
+    """Explode lines with the label of the last labelled line at or above them, and their number.
 
     ``label(line, index, all_lines)`` is null on lines that do not relabel.
     """
@@ -39,10 +41,13 @@ def carried_lines(df: DataFrame, lines: Column, label: Callable[[Column, Column,
     marked = F.transform(
         F.col("_lines"),
         lambda x, i: F.concat(F.coalesce(F.concat(F.lit(_CUT), label(x, i, F.col("_lines")), F.lit(_END)), F.lit("")), x))
-    pieces = held.withColumn("_piece", F.explode(F.split(F.array_join(marked, "\n"), "\n?" + _CUT))).drop("_lines")
+    kept = [c for c in held.columns if c != "_lines"]
+    pieces = held.select(*kept, F.posexplode(F.split(F.array_join(marked, "\n"), "\n?" + _CUT)).alias("_at", "_piece"))
     labelled = F.col("_piece").contains(_END)
-    return pieces.withColumn("label", F.when(labelled, F.substring_index("_piece", _END, 1))).withColumn(
-        "line", F.explode(F.split(F.substring_index("_piece", _END, -1), "\n"))).drop("_piece")
+    lines = pieces.select(*kept, "_at", F.when(labelled, F.substring_index("_piece", _END, 1)).alias("label"),
+                          F.posexplode(F.split(F.substring_index("_piece", _END, -1), "\n")).alias("_in", "line"))
+    # pieces are in page order, and so are the lines of a piece
+    return lines.select(*kept, F.struct("_at", "_in").alias("line_no"), "label", "line")
 
 
 def _prefix(line: Column, index_prefix: str | None, band: str = BAND) -> Column:
@@ -113,7 +118,8 @@ def band_rows(pages: DataFrame, patterns: Sequence[tuple[str, str]] = V.BAND_TAB
     after the band is the PD, the seventh the LGD, both in percent.
     """
     keys = [c for c in pages.columns if c != "text"]
-    bodies = pages.where(F.col("text").rlike(TABLE_HEADER)).withColumn("text", F.regexp_replace("text", NEXT_TABLE, ""))
+    plain = pages.withColumn("text", X.plain_text(F.col("text")))
+    bodies = plain.where(F.col("text").rlike(TABLE_HEADER)).withColumn("text", F.regexp_replace("text", NEXT_TABLE, ""))
     lines = carried_lines(bodies, trimmed_lines(F.col("text")), portfolio_label(patterns, index_prefix))
     return _metric_rows(_band_cells(lines, keys, BAND, {"pd": 4, "lgd": 6}), keys)
 
@@ -122,21 +128,23 @@ def target_pages(pages: DataFrame, target: str) -> DataFrame:
     """Pages of the banded table for one report date, continuation pages included.
 
     A header page decides by its dates; a later page of another date ends the
-    run; other pages follow the page before. The state travels as a light
-    column, sliced by page number so one huge document is not one sort.
+    run; other pages follow the page before. Only (document, page, state) is
+    sorted, sliced by page number so one huge document is not one sort; the text
+    of pages that hold a band line joins what is kept.
     """
+    pages = pages.withColumn("text", X.plain_text(F.col("text")))
     dates = F.regexp_extract_all("text", F.lit(MACQUARIE_DATE), F.lit(1))
     hit = F.exists(dates, lambda d: F.lower(F.regexp_replace(d, r"\s+", " ")) == target.lower())
     state = F.when(F.col("text").rlike(MACQUARIE_HEADER), hit).when((F.size(dates) > 0) & ~hit, F.lit(False))
-    marked = pages.withColumns({"_state": state, "_slice": F.floor(F.col("page_no") / 1000)})
+    marked = pages.select("doc_id", "page_no", state.alias("_state"), F.floor(F.col("page_no") / 1000).alias("_slice"))
     local = W.partitionBy("doc_id", "_slice").orderBy("page_no").rowsBetween(W.unboundedPreceding, 0)
     lasts = marked.groupBy("doc_id", "_slice").agg(
         F.max_by("_state", F.when(F.col("_state").isNotNull(), F.col("page_no"))).alias("_end"))
     before = W.partitionBy("doc_id").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     carried = lasts.withColumn("_carry", F.last("_end", True).over(before)).drop("_end")
-    return (
-        marked.withColumn("_here", F.last("_state", True).over(local)).join(carried, ["doc_id", "_slice"])
-        .where(F.coalesce("_here", "_carry", F.lit(False))).drop("_state", "_slice", "_here", "_carry"))
+    kept = (marked.withColumn("_here", F.last("_state", True).over(local)).join(carried, ["doc_id", "_slice"])
+            .where(F.coalesce("_here", "_carry", F.lit(False))).select("doc_id", "page_no").distinct())
+    return pages.where(F.col("text").rlike(ANY_BAND)).join(kept, ["doc_id", "page_no"])
 
 
 def split_percent_rows(pages: DataFrame, target: str,

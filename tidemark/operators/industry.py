@@ -138,9 +138,10 @@ def inter_bank_aggregate(totals: DataFrame, metric: str, labels: DataFrame, *, v
         raise RefusedError("CrossBankAggregation", f"inter_bank_aggregate({metric!r})",
                            "only exposure, non-performing exposure and write-offs are summable across banks")
     rows = consumer_view(harmonise(totals.where(F.col("metric") == metric), labels), view)
+    # the period comes first: a total of another period says nothing about these parts
+    rows = writeoff_period(rows, months) if metric == "write_offs_aud_m" else most_recent_per_bank(rows)
     if geography == "prefer_total":
         rows = prefer_total(rows, ("bank_code", "industry_published", "as_of_date"))
-    rows = writeoff_period(rows, months) if metric == "write_offs_aud_m" else most_recent_per_bank(rows)
     return _by_bucket(rows, metric, months if metric == "write_offs_aud_m" else None)
 
 

@@ -90,7 +90,7 @@ def _known(bank: str, label: Column) -> Column:
 
 def _dated(pages: DataFrame, bank: str) -> DataFrame:
     """Pages with their printed date; a page without one is never given one."""
-    return pages.withColumn("as_of_date", X.page_as_of_date(F.col("text"), bank))
+    return pages.withColumn("text", X.plain_text(F.col("text"))).withColumn("as_of_date", X.page_as_of_date(F.col("text"), bank))
 
 
 def undated_pages(pages: DataFrame, bank: str) -> DataFrame:
@@ -159,16 +159,43 @@ def table_rows(pages: DataFrame, layout: TableLayout, *, strict: bool = True, pe
         F.when(F.col("industry_published").isNull(), F.concat(F.lit("unmatched label: "), F.col("label"))).alias("error"))
 
 
-def matrix_rows(pages: DataFrame) -> DataFrame:
-    """Two-half portfolio by industry matrix; the total column is not read."""
+def _matrix_halves(pages: DataFrame) -> DataFrame:
+    """Dated pages with the data lines of each half of their matrix."""
     keys = [c for c in pages.columns if c != "text"]
     dated = _dated(pages, "cba").where(F.col("as_of_date").isNotNull())
-    halves = F.split(F.regexp_replace("text", r"(?mi)^\s*industry sector \(continued\)\s*$", _CUT), _CUT)
-    parts = dated.select(*keys, "as_of_date", F.posexplode(F.slice(halves, 1, 2)).alias("half", "part"))
+    parts = F.split(F.regexp_replace("text", r"(?mi)^\s*industry sector \(continued\)\s*$", _CUT), _CUT)
+    pattern = _peel(8)
+
+    def data(part: Column) -> Column:
+        return F.filter(trimmed_lines(F.regexp_replace(part, r"(?smi)^\s*total credit exposures.*", "")), lambda x: x.rlike(pattern))
+
+    return dated.select(*keys, "as_of_date", F.transform(parts, data).alias("halves"))
+
+
+def _matrix_fault() -> Column:
+    known = len(MATRIX_PORTFOLIOS)
+    odd = F.filter("halves", lambda lines: F.size(lines) != known)
+    return (F.when(F.size("halves") > 2, F.concat(F.size("halves").cast("string"), F.lit(" matrix halves, at most 2 are known")))
+            .when(F.size(odd) > 0, F.concat(F.size(odd[0]).cast("string"), F.lit(f" data rows in a matrix half, {known} are known"))))
+
+
+def refused_matrix_pages(pages: DataFrame) -> DataFrame:
+    """Quarantine: dated matrix pages whose rows cannot be named by their place."""
+    keys = [c for c in pages.columns if c != "text"]
+    return _matrix_halves(pages).select(*keys, "as_of_date", _matrix_fault().alias("reason")).where("reason is not null")
+
+
+def matrix_rows(pages: DataFrame) -> DataFrame:
+    """Two-half portfolio by industry matrix; the total column is not read.
+
+    A row's place names its portfolio, so a page is read only if each of at most
+    two halves has exactly the known rows; others are in ``refused_matrix_pages``.
+    """
+    keys = [c for c in pages.columns if c != "text"]
     pattern = _peel(8)
-    body = F.regexp_replace("part", r"(?smi)^\s*total credit exposures.*", "")
-    data = F.slice(F.filter(trimmed_lines(body), lambda x: x.rlike(pattern)), 1, len(MATRIX_PORTFOLIOS))
-    rows = parts.select(*keys, "as_of_date", "half", F.posexplode(data).alias("row", "line"))
+    whole = _matrix_halves(pages).where(_matrix_fault().isNull())
+    parts = whole.select(*keys, "as_of_date", F.posexplode("halves").alias("half", "data"))
+    rows = parts.select(*keys, "as_of_date", "half", F.posexplode("data").alias("row", "line"))
     names = F.when(F.col("half") == 0, F.array(*[F.lit(i) for i in MATRIX_LEFT])).otherwise(F.array(*[F.lit(i) for i in MATRIX_RIGHT]))
     cells = rows.withColumns({
         "portfolio_type": F.get(F.array(*[F.lit(p) for p in MATRIX_PORTFOLIOS]), F.col("row")), "names": names,

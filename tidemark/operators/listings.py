@@ -100,7 +100,7 @@ def download_pdf_links(links: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def glob_regex(glob: str) -> str:
     """A shell glob as an anchored regular expression, built once on the driver."""
-    special = set(".^$+{}()|\\")
+    special = set(".^$+{}()[]|\\")
     body = "".join(".*" if c == "*" else "." if c == "?" else ("\\" + c if c in special else c) for c in glob.lower())
     return f"(?s)^{body}$"
 
@@ -123,7 +123,7 @@ def tiered_link_match(links: DataFrame, rules: Sequence[LinkRule], keys: Sequenc
     """
     href, text = F.lower("href"), F.lower("title")
     tail = F.substring_index(F.element_at(F.split(href, "/"), -1), "?", 1)
-    both = F.concat_ws(" ", text, href)
+    both, path = F.concat_ws(" ", text, href), X.url_path(href)
 
     def any_of(column: Column, words: Sequence[str]) -> Column:
         out = F.lit(False)
@@ -136,7 +136,7 @@ def tiered_link_match(links: DataFrame, rules: Sequence[LinkRule], keys: Sequenc
         return first_match([
             (any_of(both, r.vetoes), F.lit(None).cast("int")),
             (tail.rlike(pattern) | text.rlike(pattern), F.lit(1)),
-            (F.substring_index(href, "?", 1).endswith(r.extension.lower()) & any_of(both, r.keywords), F.lit(2))])
+            (path.endswith(r.extension.lower()) & any_of(F.concat_ws(" ", text, path), r.keywords), F.lit(2))])
 
     hits = F.array(*[F.struct(F.lit(r.target).alias("target"), tier(r).alias("tier")) for r in rules])
     return links.select(*keys, "pos", F.col("href").alias("link"), F.explode(hits).alias("h")).where(F.col("h.tier").isNotNull()).groupBy(

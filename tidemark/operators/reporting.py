@@ -126,8 +126,8 @@ def headline_segment(observations: DataFrame, rules: FlagRules) -> DataFrame:
     flags = validation_flags(observations, rules)
     # the segment list is the fixed canonical vocabulary, so these lists stay short
     lead = F.struct((F.col("segment") == "commercial_property").alias("c"), F.col("n_sources"), F.col("segment"))
-    thin = F.slice(F.array_sort(F.collect_set(F.when(F.col("n_sources") < 2, F.col("segment")))), 1, 5)
-    pick = flags.agg(F.max_by("segment", lead).alias("segment"), F.array_join(thin, ", ").alias("thin_segments"),
+    thin = F.array_sort(F.collect_set(F.when(F.col("n_sources") < 2, F.col("segment"))))
+    pick = flags.agg(F.max_by("segment", lead).alias("segment"), F.array_join(thin, ", ").alias("thin_segments"), F.size(thin).cast("long").alias("n_thin"),
                      F.min(F.when(F.col("n_outlier_sources") > 0, F.col("segment"))).alias("outlier_segment"))
     big4 = with_cohort(observations).where(L.is_big4(F.col("source_id")) & F.col("value").isNotNull())
     spread = exact_median(big4, ["segment"], "value", "big4_median").select(
@@ -135,11 +135,13 @@ def headline_segment(observations: DataFrame, rules: FlagRules) -> DataFrame:
     marked = flagged_sources(observations, rules).where("outlier").select(
         F.col("segment").alias("outlier_segment"), "source_id")
     ranked = marked.withColumn("_r", F.row_number().over(W.partitionBy("outlier_segment").orderBy("source_id"))).where("_r <= 3")
-    names = ranked.groupBy("outlier_segment").agg(F.array_join(F.array_sort(F.collect_list("source_id")), ", ").alias("first_outliers"))
+    firsts = ranked.groupBy("outlier_segment").agg(F.array_join(F.array_sort(F.collect_list("source_id")), ", ").alias("first_outliers"))
+    # the first three names, as published, beside the number of all
+    names = firsts.join(marked.groupBy("outlier_segment").agg(F.count("*").alias("n_outliers")), "outlier_segment")
     return (
         pick.join(spread, "segment", "left").join(names, "outlier_segment", "left")
         .select("segment", "big4_low", "big4_high", F.round("big4_median", 8).alias("big4_median"), "n_disclosures",
-                "thin_segments", "outlier_segment", "first_outliers"))
+                "thin_segments", "n_thin", "outlier_segment", "first_outliers", F.coalesce("n_outliers", F.lit(0).cast("long")).alias("n_outliers")))
 
 
 def provenance(observations: DataFrame) -> DataFrame:

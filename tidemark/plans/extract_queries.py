@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.labels import first_match
 from tidemark.operators import bands, disclosures, industry_tables as tables_ops
 from tidemark.plans import oracle_parts as O
 from tidemark.plans.catalog import query
@@ -33,11 +34,21 @@ UNION ALL SELECT doc_id, 'corporate_sme', 'lgd', lgd, '0.00 to <0.15' FROM li WH
 UNION ALL SELECT doc_id, 'corporate_sme', 'pd', pd, '0.15 to <0.25' FROM li WHERE k = 3"""
 
 
-@query("cr6_rows", "WITH" + L0.replace("li AS (SELECT *", "li AS (SELECT *, CASE WHEN l_linenumber = 7 THEN -1 ELSE l_orderkey % 5 END AS k", 1) + CR6)
+CR6_ROWS = "WITH" + L0.replace("li AS (SELECT *", "li AS (SELECT *, CASE WHEN l_linenumber = 7 THEN -1 ELSE l_orderkey % 5 END AS k", 1) + CR6
+
+
+@query("cr6_rows", CR6_ROWS)
 def cr6_rows(spark, sf):
     return _r8(bands.band_rows(P.band_pages(spark, sf))).drop("page_no")
 
 
+@query("cr6_rows_dirty", CR6_ROWS)
+def cr6_rows_dirty(spark, sf):
+    """The same pages with non-breaking spaces, form feeds, zero-width and control characters give the same rows."""
+    dirt = F.concat(F.lit("\u0001\ufeff"), F.regexp_replace(F.regexp_replace("text", " ", "\u00a0"), "\n", "\u0002\f\n\u200b"))
+    return _r8(bands.band_rows(P.band_pages(spark, sf).withColumn("text", dirt))).drop("page_no")
+
+
 SPLIT = """
 sp AS (
   SELECT doc_id, 'pd' AS metric_name, pd AS value, l_quantity AS ead_mn, '0.00 to <0.15' AS pd_band FROM li WHERE l_linenumber % 2 = 1
@@ -133,8 +144,6 @@ def line_metric_regex(spark, sf):
 
 @query("section_carry_forward", O.with_(L0, body="SELECT 'consumer_secured' AS label, 2 * count(*) AS n FROM li UNION ALL SELECT NULL, 3 * count(*) FROM li"))
 def section_carry_forward(spark, sf):
-    from tidemark.functions.labels import first_match
-
     def label(line, i, lines):
         return first_match([(line.rlike(f"(?i){p}"), F.lit(s)) for s, p in disclosures.UPDATE_SECTIONS])
 
@@ -249,6 +258,18 @@ def industry_matrix(spark, sf):
         F.count(F.lit(1)).alias("n_pages"), F.sum("value_aud_m").alias("total"))
 
 
+@query("refused_matrix_pages", """
+SELECT CAST(c_custkey AS VARCHAR) AS doc_id, DATE '2025-06-30' AS as_of_date,
+  CASE WHEN c_custkey % 4 = 1 THEN '11 data rows in a matrix half, 10 are known' ELSE '3 matrix halves, at most 2 are known' END AS reason
+FROM customer WHERE c_custkey % 4 IN (1, 3)""")
+def refused_matrix_pages(spark, sf):
+    more = first_match([
+        (F.col("doc_id").cast("long") % 4 == 1, F.regexp_replace("text", r"(?m)^Industry Sector$", "Industry Sector\nPortfolio X 1 1 1 1 1 1 1 1")),
+        (F.col("doc_id").cast("long") % 4 == 3, F.concat("text", F.lit("\nIndustry Sector (continued)\nPortfolio A 1 1 1 1 1 1 1 1")))], F.col("text"))
+    pages = P.matrix_pages(spark, sf).withColumn("text", more)
+    return tables_ops.refused_matrix_pages(pages).select("doc_id", "as_of_date", "reason")
+
+
 @query("bank_industry_rows", """
 WITH c AS (SELECT CAST(c_custkey AS VARCHAR) AS doc_id, CAST(c_custkey + 1000 AS DOUBLE) AS n FROM customer)
 SELECT doc_id, bank_code, metric, sum(CASE WHEN v < 0 THEN n ELSE v END) AS total, count(*) AS n_rows, max(m) AS months FROM c CROSS JOIN (VALUES

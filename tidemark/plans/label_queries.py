@@ -318,6 +318,16 @@ def url_slug(spark, sf):
                                             X.publication_filename(url, F.lit("t")).alias("filename"))
 
 
+@query("long_url_slug", """
+SELECT page_id, side, repeat('quarterly-report-', 6)[:80] || '-' || sha256('https://www.site.example/a/' || repeat('Quarterly_Report_', 6) || page_id || '_' || side || '.pdf')[:12] AS slug
+FROM pages CROSS JOIN (VALUES ('a'), ('b')) AS t(side)""")
+def long_url_slug(spark, sf):
+    """Two addresses per page that agree on more characters than a file name keeps."""
+    side = F.explode(F.array(F.lit("a"), F.lit("b"))).alias("side")
+    url = F.concat(F.lit("https://www.site.example/a/" + "Quarterly_Report_" * 6), F.col("page_id").cast("string"), F.lit("_"), F.col("side"), F.lit(".pdf"))
+    return table(spark, sf, "pages").select("page_id", side).select("page_id", "side", X.url_slug(url).alias("slug"))
+
+
 @query("portfolio_size", """
 SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN CAST(o_custkey % 90 + 1 AS INT) WHEN 1 THEN CAST((o_custkey % 90 + 1) * 100 AS INT) END AS size_m FROM orders""")
 def portfolio_size(spark, sf):

@@ -97,7 +97,8 @@ def executive_counts(spark, sf):
 
 @query("headline_segment", O.with_(*OBS3, SEGMED, FLAGSRC, FLAGS, body=f"""
 SELECT 'commercial_property' AS segment, min(value) AS big4_low, max(value) AS big4_high, round(median(value), 8) AS big4_median, count(*) AS n_disclosures,
-  '' AS thin_segments, (SELECT min(segment) FROM flagsrc WHERE flag_type = 'outlier') AS outlier_segment,
+  '' AS thin_segments, 0::BIGINT AS n_thin, (SELECT count(*) FROM flagsrc WHERE flag_type = 'outlier' AND segment = (SELECT min(segment) FROM flagsrc WHERE flag_type = 'outlier')) AS n_outliers,
+  (SELECT min(segment) FROM flagsrc WHERE flag_type = 'outlier') AS outlier_segment,
   (SELECT string_agg(source_id, ', ' ORDER BY source_id) FROM (SELECT source_id FROM flagsrc WHERE flag_type = 'outlier'
      AND segment = (SELECT min(segment) FROM flagsrc WHERE flag_type = 'outlier') ORDER BY source_id LIMIT 3)) AS first_outliers
 FROM coh WHERE segment = 'commercial_property' AND {O.BIG4} AND value IS NOT NULL"""))

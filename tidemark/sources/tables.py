@@ -18,16 +18,6 @@ from tidemark.sources import seeds
 
 # --- stored tables ------------------------------------------------------------------
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out where a scan has fewer splits than the session has cores.
-
-    A few files of one row group each would leave most cores idle. A scan that
-    already splits well is returned as it is, so large inputs gain no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def scan_observations(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.RAW_OBSERVATIONS).parquet(path)
 
@@ -260,13 +250,7 @@ def raw_file_inventory(spark: SparkSession, root: str) -> DataFrame:
 def seed_benchmarks(spark: SparkSession) -> DataFrame:
     """The starting registry: one version per entry, a standing note where none is given."""
     rows = []
-    for line in seeds.ENTRIES.strip().splitlines():
-        source_id, who, source_type, data_type, segment, value, options, note = line.split("|")
-        opt = dict(o.split("=", 1) for o in options.split(";") if o)
-        name, url = seeds.PUBLISHERS[who]
-        rows.append((
-            source_id, 1, opt.get("p", name), source_type, data_type, segment, "AU", opt.get("u", url), note or None, float(value),
-            dt.date.fromisoformat(opt.get("d", "2024-12-31")), int(opt.get("y", 5)), None, None,
-            dt.date.fromisoformat(opt.get("r", "2025-03-01")), opt.get("q", "HIGH"), None, None))
+    for source_id, publisher, source_type, data_type, segment, value, value_date, years, quality, retrieved, url, note in seeds.ENTRIES:
+        rows.append((source_id, 1, publisher, source_type, data_type, segment, "AU", url, note, value, value_date, years, None, None, retrieved, quality, None, None))
     note = default_note(*[F.col(c) for c in ("source_type", "publisher", "asset_class", "data_type", "value_date", "url", "source_id")])
     return dimension(spark, rows, schemas.BENCHMARKS).withColumn("notes", F.coalesce("notes", note))

@@ -8,17 +8,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions import labels as L
-from tidemark.sources.tables import spread
 
 AS_OF = "2001-12-31"
 
 
-WIDE_TABLES = ("lineitem", "orders", "events", "pages", "documents")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(scan) if name in WIDE_TABLES else scan
+def pages_table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
+    """A table from which pages are rendered and parsed row by row, dealt out by row keys.
+
+    The rows are narrow and the work on each is heavy, so the shuffle is small beside what it spreads;
+    adaptive execution sets the number of partitions.
+    """
+    return table(spark, sf_dir, name).repartition(*keys)
 
 
 def quarter_end(date: Column) -> Column:

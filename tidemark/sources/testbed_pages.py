@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions import labels as L
-from tidemark.sources.testbed import pick, table
+from tidemark.sources.testbed import pick, pages_table, table
 
 LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(l_shipdate as date))"
 
@@ -27,7 +27,7 @@ def row(*parts: Column | str) -> Column:
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "lineitem").withColumns({
+    return pages_table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").withColumns({
         "doc_id": F.expr(LINE_ID), "page_no": F.lit(1),
         "pd_pct": num((F.col("l_discount") + F.col("l_tax")) * 100), "lgd_pct": num(F.col("l_discount") * 100, 1)})
 
@@ -135,7 +135,7 @@ def industry_pages(spark: SparkSession, sf: str, bank: str) -> DataFrame:
         "cba_npe": page("CRB(f)(i)", F.concat(F.lit("30 June "), F.date_format(d, "yyyy")), "Industry Sector $M 1 2 3", row("Manufacturing", n, "–", paren),
                         row("Wholesale & Retail Trade 1", n, "3"), "Total 9 9 9"),
     }
-    return table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("doc_id"), F.lit(1).alias("page_no"), texts[bank].alias("text"))
+    return pages_table(spark, sf, "orders", "o_orderkey").select(F.col("o_orderkey").cast("string").alias("doc_id"), F.lit(1).alias("page_no"), texts[bank].alias("text"))
 
 
 def matrix_pages(spark: SparkSession, sf: str) -> DataFrame:
