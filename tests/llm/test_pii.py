@@ -42,6 +42,11 @@ def test_equal_values_link_and_keys_differ(docs):
     assert run(docs, "4539148803436467", key="other") != run(docs, "4539148803436467")
 
 
+def test_values_beside_other_numbers(docs):
+    cards, phone = run(docs, "4539148803436467 12 and 4539148803436467 4539148803436467.", "call +19745553436 now")
+    assert "4539148803436467" not in cards and cards[16:19] == " 12" and "9745553436" not in phone
+
+
 def test_permutation_is_one_to_one(docs):
     dates = [f"{y}-{m:02d}-{d:02d}" for y in (1900, 1999, 2099) for m in range(1, 13) for d in (1, 15, 28)]
     assert len(set(run(docs, *dates))) == len(dates)

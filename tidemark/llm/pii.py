@@ -35,8 +35,9 @@ DATE_ISO = r"(?<![0-9A-Za-z-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9A-Za-z-])"
 DATE_DAY = r"(?<![0-9A-Za-z./])[0-9]{2}([./])[0-9]{2}\1[0-9]{4}(?![0-9A-Za-z/])"
 IP = r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"
 SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
-CARD = r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
-PHONE = r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9A-Za-z])"
+CARD = r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])"
+PHONE = (r"(?<![0-9A-Za-z+])(?:\+[0-9]{8,15}|(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4})"
+         r"(?![0-9A-Za-z])")
 #: In the order in which they are tried at one place; a card is tried before a phone, which is a shorter stretch of digits.
 KINDS = {"email": EMAIL, "iban": IBAN, "date_iso": DATE_ISO, "date_day": DATE_DAY, "ip": IP, "ssn": SSN, "card": CARD, "phone": PHONE}
 ANY = "|".join(p.replace(r"([./])", r"(?<point>[./])").replace(r"\1", r"\k<point>") for p in KINDS.values())
