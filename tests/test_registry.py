@@ -132,7 +132,7 @@ def test_refresh_stream_continues_versions_and_replays_cleanly(spark, tmp_path):
         refresh.refresh_stream(spark, f"{base}/in", f"{base}/reg", f"{base}/act", f"{base}/cp").awaitTermination()
     assert sorted(r.action for r in spark.read.parquet(f"{base}/act").collect()) == ["add", "skip_unchanged", "supersede"]
     stored = spark.read.parquet(f"{base}/reg")
-    live = refresh.live_registry(stored).first()
+    live = tables.live_versions(stored).first()
     assert (stored.count(), live.version, live.value) == (2, 2, .2)
     _, again = refresh.apply_batch(second, stored, 1)
     assert sorted((r.version, r.value) for r in again.collect()) == [(2, .2)]

@@ -24,11 +24,26 @@ def scan_observations(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_benchmarks(spark: SparkSession, path: str, latest_only: bool = True) -> DataFrame:
     table = spark.read.schema(schemas.BENCHMARKS).parquet(path)
-    return live_versions(table) if latest_only else table
+    return live_versions(table) if latest_only else with_pointers(table)
 
 
 def live_versions(benchmarks: DataFrame) -> DataFrame:
-    return benchmarks.where(F.col("superseded_by").isNull())
+    """Highest version per source: the one meaning of "live" in every read.
+
+    Stored rows are never rewritten, so pointers are derived on reading: the
+    live row points nowhere, whatever it said when it was stored.
+    """
+    rest = [c for c in benchmarks.columns if c not in ("source_id", "superseded_by")]
+    newest = benchmarks.groupBy("source_id").agg(F.max_by(F.struct(*rest), F.col("version")).alias("row")).select("source_id", "row.*")
+    pointer = F.lit(None).cast(benchmarks.schema["superseded_by"].dataType).alias("superseded_by")
+    return newest.select(*(pointer if c == "superseded_by" else F.col(c) for c in benchmarks.columns))
+
+
+def with_pointers(benchmarks: DataFrame) -> DataFrame:
+    """Every stored version, older ones pointing to their own id as the published registry does."""
+    last = benchmarks.groupBy(F.col("source_id").alias("_id")).agg(F.max("version").alias("_last"))
+    joined = benchmarks.join(last, F.col("source_id") == F.col("_id")).withColumn("superseded_by", F.when(F.col("version") < F.col("_last"), F.col("source_id")))
+    return joined.select(*benchmarks.columns)
 
 
 # --- small dimensions: rows fixed by configuration, never by data volume ---------------

@@ -33,6 +33,8 @@ def apply_batch(entries: DataFrame, stored: DataFrame, batch_id: int) -> tuple[D
 def refresh_stream(spark: SparkSession, source: str, registry_path: str, actions_path: str, checkpoint: str) -> StreamingQuery:
     """Apply the conflict policy as files arrive.
 
+    Arrival order is batch first, then ``inserted_at`` inside a batch: files of one
+    trigger are one batch, so a limit on files per trigger is part of the order.
     Each batch overwrites only its own ``batch_id`` partition, so a batch that
     is replayed after a failure leaves one copy. Readers take the highest
     version per source as live, which needs no rewrite of earlier rows.
@@ -58,9 +60,3 @@ def refresh_stream(spark: SparkSession, source: str, registry_path: str, actions
         read_entries(spark, source).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
-
-
-def live_registry(table: DataFrame) -> DataFrame:
-    """Highest version per source of an append-only registry."""
-    rest = [c for c in table.columns if c != "source_id"]
-    return table.groupBy("source_id").agg(F.max_by(F.struct(*rest), F.col("version")).alias("row")).select("source_id", "row.*")
