@@ -27,6 +27,7 @@ larger one wins; repeated rows are scored alike; other columns are not read.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -185,7 +186,7 @@ def _toxic_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i, word in enumerate(words):
                 if len(word) < 4:
                     continue
-                nearby = hash((words[i - 1] if i else "", words[i + 1] if i + 1 < len(words) else ""))
+                nearby = zlib.crc32(" ".join(words[max(i - 1, 0):i + 2:2]).encode())
                 for stem in _stems_of(word):
                     mine.add(stem)
                     if len(around[stem]) < 4 * SURROUNDINGS:
