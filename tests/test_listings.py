@@ -21,6 +21,19 @@ def test_listing_entries(spark):
                    "issue-three": ("Issue Three & more", dt.date(2025, 12, 1))}
 
 
+def test_dates_beside_below_and_above_links(spark):
+    item = "/news-and-publications/"
+    html = (f'<article><h3><a href="{item}a">A</a></h3><p>15 April 2026</p></article><ul><li><span>1 May 2026</span><div><a href={item}b>B</a></div></li>'
+            f'<li><a href="{item}c"><div>C</div></a><time datetime="2026-06-02">June</time></li></ul>'
+            f'<section><p><a href="{item}d">D</a> 3 July 2026</p><p><a href="{item}e">E</a> 4 July 2026</p></section>'
+            f'<section>5 July 2026 <a href="{item}f">F</a> 6 July 2026 <a href="{item}g">G</a></section>'
+            f'<article><a href="mailto:x@y.z">Mail</a><a href="javascript:go()">Go</a><a href="{item}h">H\u00a0h</a></article>')
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    got = {r.title: r.published_date for r in listings.listing_entries(pages, listings.APRA_INSIGHT).collect()}
+    day = lambda m, d: dt.date(2026, m, d)
+    assert got == {"A": day(4, 15), "B": day(5, 1), "C": day(6, 2), "D": day(7, 3), "E": day(7, 4), "F": day(7, 5), "G": day(7, 6), "H h": None}
+
+
 def test_glob_and_vetoes(spark):
     links = spark.createDataFrame([(1, 0, "/a/Report_Q4_2025.pdf?x=1", "Download"), (1, 1, "/b/other.pdf", "Pillar 3 disclosure"), (1, 2, "/c/report_q3.pdf", "presentation")],
                                   "page_id int, n int, href string, title string").withColumn("pos", F.struct("n"))

@@ -338,11 +338,12 @@ def publication_filename(url: Column, title: Column) -> Column:
 
 
 def absolute_url(base: str, href: Column) -> Column:
-    """Join a listing link to its site root or page folder."""
+    """Join a listing link to its site root or page folder; null for mail, script and other links that are no pages."""
     root = "/".join(base.split("/")[:3])
     folder = base.rsplit("/", 1)[0]
     return (
         F.when(href.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*://"), href)
+        .when(href.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), F.lit(None).cast("string"))
         .when(href.startswith("//"), F.concat(F.lit(base.split(":")[0] + ":"), href))
         .when(href.startswith("/"), F.concat(F.lit(root), href))
         .otherwise(F.concat(F.lit(folder + "/"), href))

@@ -12,8 +12,10 @@ from tidemark.functions import text as X
 from tidemark.functions.labels import first_match
 from tidemark.sources.tables import collapse
 
-ANCHOR = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
-CONTAINER = r"(?i)(?=<(?:li|article|tr|section|div|p)\b)"
+# the address is quoted either way or bare; a link may hold blocks, and ends at its own closing tag
+ANCHOR = r"""(?is)<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)</a>"""
+CONTAINER = r"(?i)(?=<(?:li|article|tr|section)\b)"
+TIME = r"""(?i)<time[^>]*?\bdatetime\s*=\s*["']?([^"'\s>]*)[^>]*>"""
 
 
 def strip_tags(html: Column) -> Column:
@@ -24,19 +26,22 @@ def strip_tags(html: Column) -> Column:
 
 
 def anchors(pages: DataFrame) -> DataFrame:
-    """Every link of every page with its text, its position and its container's text.
+    """Every link of every page with its text, its position and the text beside it.
 
-    The page is cut at container tags, so the text around a link is the
-    nearest enclosing piece. One pass over each page, in its own row.
+    The page is cut at item containers and each item at its links: ``before``
+    and ``after`` are the texts up to the neighbouring links, ``lead`` is the
+    text before the item's first link. One pass over each page, in its own row.
     """
     keys = [c for c in pages.columns if c != "html"]
-    pieces = pages.select(*keys, F.posexplode(F.split("html", CONTAINER)).alias("piece_no", "piece"))
-    found = pieces.where(F.col("piece").rlike(r"(?i)<a\b")).select(
-        *keys, "piece_no", "piece", F.posexplode(F.regexp_extract_all("piece", F.lit(ANCHOR), F.lit(0))).alias("link_no", "a"))
+    html = F.regexp_replace(X.plain_text(F.col("html")), TIME, " $1 ")
+    pieces = pages.select(*keys, F.posexplode(F.split(html, CONTAINER)).alias("piece_no", "piece"))
+    cut = pieces.where(F.col("piece").rlike(r"(?i)<a\b")).select(*keys, "piece_no", "piece", F.split("piece", ANCHOR, -1).alias("gaps"))
+    found = cut.select(*keys, "piece_no", "gaps", F.posexplode(F.regexp_extract_all("piece", F.lit(ANCHOR), F.lit(0))).alias("link_no", "a"))
+    gap = lambda i: strip_tags(F.get("gaps", i))
     return found.select(
-        *keys, F.struct("piece_no", "link_no").alias("pos"), F.trim(F.regexp_extract("a", ANCHOR, 1)).alias("href"),
-        strip_tags(F.regexp_extract("a", ANCHOR, 2)).alias("title"),
-        F.concat_ws(" ", strip_tags(F.col("piece")), F.regexp_extract("piece", r"""(?i)<time[^>]*datetime=["']([^"']*)""", 1)).alias("around"))
+        *keys, F.struct("piece_no", "link_no").alias("pos"), F.trim(F.concat(*(F.regexp_extract("a", ANCHOR, i) for i in (1, 2, 3)))).alias("href"),
+        strip_tags(F.regexp_extract("a", ANCHOR, 4)).alias("title"), gap(F.col("link_no")).alias("before"), gap(F.col("link_no") + 1).alias("after"),
+        gap(F.lit(0)).alias("lead"))
 
 
 @dataclass(frozen=True)
@@ -57,7 +62,11 @@ CFR_PUBLICATIONS = Listing("cfr_publications", "https://www.cfr.gov.au/publicati
 
 
 def listing_entries(pages: DataFrame, listing: Listing) -> DataFrame:
-    """Publication entries: absolute URL, title, nearest date; first link of a URL wins."""
+    """Publication entries: absolute URL, title, nearest date; first link of a URL wins.
+
+    A date inside the link counts first. In an item that has a date before its
+    first link dates precede their links; otherwise they follow.
+    """
     site = "/".join(listing.landing_url.split("/")[:3])
     url = X.absolute_url(listing.landing_url, F.col("href"))
     rows = anchors(pages).withColumn("url", url).withColumn("path", X.url_path(F.col("url")))
@@ -66,7 +75,8 @@ def listing_entries(pages: DataFrame, listing: Listing) -> DataFrame:
         F.col("url").startswith(site) & F.col("path").startswith(listing.path_prefix) & (F.col("title") != "")
         & (tail != "") & ~tail.isin(*listing.landing_tails)
         & (F.regexp_replace("url", "/+$", "") != listing.landing_url.rstrip("/")))
-    dated = rows.where(keep).withColumn("published_date", X.parse_mixed_date(F.col("around")))
+    inside, before, after, lead = (X.parse_mixed_date(F.col(c)) for c in ("title", "before", "after", "lead"))
+    dated = rows.where(keep).withColumn("published_date", F.coalesce(inside, F.when(lead.isNotNull(), before), after, before))
     order = F.struct(*[c for c in pages.columns if c != "html"], "pos")
     return dated.groupBy("url").agg(
         F.min_by(F.struct("title", "published_date"), order).alias("first")).select(

@@ -227,6 +227,23 @@ def _pages(spark, sf):
     return table(spark, sf, "pages").select("page_id", "html")
 
 
+@query("dated_listing_entries", """
+SELECT 'apra_insight' AS source_key, kind || ' ' || page_id AS title, 'https://www.apra.gov.au/news-and-publications/' || kind || '-' || page_id AS url,
+  DATE '2024-01-01' + CAST(page_id % 600 + off AS INT) AS published_date
+FROM pages CROSS JOIN (VALUES ('sibling', 0), ('before', 1), ('block', 2)) AS t(kind, off)""")
+def dated_listing_entries(spark, sf):
+    """Given pages followed by a listing: the date beside, before or after the link, block and bare links, links that are no pages."""
+    def day(off):
+        return F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 600 + off).cast("int")), "d MMMM yyyy")
+
+    k, at = F.col("page_id").cast("string"), F.lit("/news-and-publications/")
+    listing = F.concat(
+        F.lit("<article><h3><a href='"), at, F.lit("sibling-"), k, F.lit("'>sibling "), k, F.lit("</a></h3><p>"), day(0), F.lit("</p></article><ul><li><span>"), day(1),
+        F.lit("</span><div><a href="), at, F.lit("before-"), k, F.lit(">before "), k, F.lit('</a></div></li><li><a href="'), at, F.lit("block-"), k,
+        F.lit('"><div>block '), k, F.lit("</div></a> "), day(2), F.lit("</li><li><a href='mailto:a@b.c'>mail</a></li></ul>"))
+    return listings.listing_entries(_pages(spark, sf).withColumn("html", F.concat("html", listing)), listings.APRA_INSIGHT)
+
+
 @query("html_listing_entries", O.with_(LINKS, body="""
 SELECT 'site' AS source_key, arg_min(title, page_id * 100000 + pos) AS title, 'https://site.example' || href AS url, CAST(NULL AS DATE) AS published_date
 FROM lk WHERE href LIKE '/%' AND title <> '' AND href NOT IN ('/', '/The', '/index') GROUP BY href"""))
