@@ -229,14 +229,16 @@ bench AS (
     SELECT *, CAST(row_number() OVER (PARTITION BY source_id ORDER BY arrived, event_id) AS INT) AS version
     FROM arr WHERE value_date < DATE '2024-01-24')),
 live AS (SELECT * FROM bench WHERE superseded_by IS NULL)"""
-REG = (ARRIVALS, BENCH)
+# a refresh meets the registry as it stood on the split date; all other reads see every arrival
+REG_SPLIT = (ARRIVALS, BENCH)
+REG = (ARRIVALS, BENCH.replace(f"WHERE value_date < DATE '{testbed.SPLIT_DATE}'", ""))
 BCOLS = ("source_id, version, publisher, source_type, data_type, asset_class, geography, url, notes, value, value_date, period_years, "
          "condition, component, retrieval_date, quality_score, superseded_by")
 BLIST = [c.strip() for c in BCOLS.split(",")]
 
 
-def _bench(spark, sf):
-    return testbed.benchmarks(spark, sf).select(*BLIST)
+def _bench(spark, sf, before=None):
+    return testbed.benchmarks(spark, sf, before).select(*BLIST)
 
 
 @query("scan_benchmarks_latest", O.with_(*REG, body=f"SELECT {BCOLS} FROM live"))
@@ -329,15 +331,15 @@ acts AS (
 
 def _actions(spark, sf):
     hour = F.floor(F.col("arrived") / 3600000000)
-    return registry.refresh_actions(testbed.incoming(spark, sf), _bench(spark, sf), testbed.arrival_order(), hour)
+    return registry.refresh_actions(testbed.incoming(spark, sf), _bench(spark, sf, testbed.SPLIT_DATE), testbed.arrival_order(), hour)
 
 
-@query("refresh_actions", O.with_(*REG, INCOMING, body="SELECT * FROM acts"))
+@query("refresh_actions", O.with_(*REG_SPLIT, INCOMING, body="SELECT * FROM acts"))
 def refresh_actions(spark, sf):
     return _actions(spark, sf).select("source_id", "event_id", "value", "value_date", "action", "reason")
 
 
-@query("refresh_counts", O.with_(*REG, INCOMING, body="SELECT action, count(*) AS n FROM acts GROUP BY action"))
+@query("refresh_counts", O.with_(*REG_SPLIT, INCOMING, body="SELECT action, count(*) AS n FROM acts GROUP BY action"))
 def refresh_counts(spark, sf):
     return registry.refresh_counts(_actions(spark, sf))
 
@@ -347,12 +349,12 @@ def ingest_status(spark, sf):
     return registry.ingest_status(_bench(spark, sf))
 
 
-@query("duplicate_versions", O.with_(*REG, INCOMING, body="""
+@query("duplicate_versions", O.with_(*REG_SPLIT, INCOMING, body="""
 SELECT source_id, version, 'batch' AS found_in FROM (SELECT source_id, user_version AS version FROM (
   SELECT source_id, 1 AS user_version FROM inc)) GROUP BY ALL HAVING count(*) > 1
 UNION ALL SELECT DISTINCT source_id, 1, 'stored' FROM inc a WHERE EXISTS (SELECT 1 FROM bench b WHERE b.source_id = a.source_id AND b.version = 1)"""))
 def duplicate_versions(spark, sf):
-    return registry.duplicate_versions(testbed.incoming(spark, sf).withColumn("version", F.lit(1)), _bench(spark, sf))
+    return registry.duplicate_versions(testbed.incoming(spark, sf).withColumn("version", F.lit(1)), _bench(spark, sf, testbed.SPLIT_DATE))
 
 
 BRIDGED = """

@@ -86,7 +86,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(part, "l_partkey").drop("l_partkey")
 
 
-BANK_OF_REGION = {"AFRICA": "cba", "AMERICA": "nab", "ASIA": "wbc", "EUROPE": "anz"}
+BANK_OF_REGION = {"AFRICA": "cba", "AMERICA": "nab", "ASIA": "wbc", "EUROPE": "anz", "MIDDLE EAST": "anz"}
 INDUSTRY_NAMES = {
     "cba": {"FURNITURE": "Construction", "MACHINERY": "Manufacturing", "BUILDING": "Commercial Property",
             "AUTOMOBILE": "Transport & Storage", "HOUSEHOLD": "Consumer"},
@@ -196,12 +196,14 @@ def arrival_order() -> list[Column]:
     return [F.col("arrived"), F.col("event_id")]
 
 
-def benchmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registry content: arrivals before the split date, versioned per source."""
+def benchmarks(spark: SparkSession, sf_dir: str, before: str | None = None) -> DataFrame:
+    """Registry content: all arrivals, or those before a date, versioned per source."""
     from tidemark.operators.latest import assign_versions
 
-    before = benchmark_arrivals(spark, sf_dir).where(F.col("value_date") < F.lit(SPLIT_DATE).cast("date"))
-    return assign_versions(before, arrival_order(), F.col("value_date"))
+    arrivals = benchmark_arrivals(spark, sf_dir)
+    if before is not None:
+        arrivals = arrivals.where(F.col("value_date") < F.lit(before).cast("date"))
+    return assign_versions(arrivals, arrival_order(), F.col("value_date"))
 
 
 def incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
