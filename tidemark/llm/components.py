@@ -28,7 +28,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while True:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(smallest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         links = staged(hung.unionByName(smallest.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "links")

@@ -4,15 +4,15 @@
    are one class, found by a 128-bit digest of the set; the rest works on classes.
 2. Minima of HASHES random hashes give BANDS band keys and a signature of the low
    BITS bits of each minimum, packed into 64-bit words.
-3. Within a band bucket every class is paired with the bucket's smallest class
-   only, which is linear in the bucket. The packed signatures give the similarity,
-   corrected for chance agreement of low bits, by counting bits; pairs well below
-   the threshold go, the rest are confirmed on their full sets.
+3. Within a band bucket every class is paired with HUBS members of the bucket only,
+   drawn by hash, which is linear in the bucket. The packed signatures give the
+   similarity, corrected for chance agreement of low bits, by counting bits; pairs
+   well below the threshold go, the rest are confirmed on their full sets.
 4. Components of the confirmed links follow. Buckets that now lie in one component
-   are done, as no further link could change the answer. In the others, classes of
-   different components are joined, with length and signature bounds inside the join,
-   and confirmed too. So no link that matters is skipped, and a large group of
-   copies costs its size, not its square.
+   are done, as no further link could change the answer. In the others, classes with
+   a likely partner in another component are compared on full sets, inside a join
+   that only emits confirmed links. So no link that matters is skipped, and a large
+   group of copies costs its size, not its square.
 
 A pair at the threshold shares no band with probability (1 - 0.8**ROWS)**BANDS,
 3e-6; the signature bound lies 4.5 standard deviations below the threshold.
@@ -41,6 +41,8 @@ BANDS, ROWS, BITS = 32, 5, 2
 HASHES = BANDS * ROWS
 WORDS = HASHES * BITS // 64
 PERCENT = 80
+#: Members of a bucket that all others are paired with.
+HUBS = 3
 
 _rng = np.random.default_rng(7)
 _MULTIPLIERS = (_rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) * 2 + 1).astype(np.uint32)
@@ -153,18 +155,26 @@ def _may_link(a: str, b: str, percent: int) -> Column:
     return (100 * F.least(*sizes) >= percent * F.greatest(*sizes)) & (_estimate(a, b) >= _lowest(percent))
 
 
+def _sets_of(nodes: DataFrame, classes: DataFrame, documents: DataFrame, k: int) -> DataFrame:
+    """(node, grams) of the given classes, as a table."""
+    wanted = classes.join(nodes, "node", "left_semi").select("node", F.col("first.doc_id").alias("at_id"), F.col("first.text_key").alias("at_key"))
+    texts = documents.select("doc_id", "text", F.xxhash64("text").alias("key")).alias("d").join(
+        wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.at_id")) & (F.col("d.key") == F.col("w.at_key"))).select("node", "text")
+    return staged(_full_sets(texts, k).dropDuplicates(["node"]), "sets")
+
+
+def _enough(a: str, b: str, percent: int) -> Column:
+    common = F.size(F.array_intersect(a, b))
+    return 100 * common >= percent * (F.size(a) + F.size(b) - common)
+
+
 def _confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs (a, b) of classes whose full sets meet the threshold."""
     pairs = staged(pairs, "pairs")
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = classes.join(nodes, "node", "left_semi").select("node", "first.*").select("node", F.col("doc_id").alias("at_id"), "text_key")
-    texts = documents.select("doc_id", "text", F.xxhash64("text").alias("key")).alias("d").join(
-        wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.at_id")) & (F.col("d.key") == F.col("w.text_key"))).select("node", "text")
-    sets = staged(_full_sets(texts, k).dropDuplicates(["node"]), "sets")
+    sets = _sets_of(nodes, classes, documents, k)
     left, right = sets.select(F.col("node").alias("a"), F.col("grams").alias("ga")), sets.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
-    common = F.size(F.array_intersect("ga", "gb"))
-    return (pairs.join(left, "a").join(right, "b")
-            .where(100 * common >= percent * (F.size("ga") + F.size("gb") - common)).select("a", "b"))
+    return pairs.join(left, "a").join(right, "b").where(_enough("ga", "gb", percent)).select("a", "b")
 
 
 def near_duplicate_components(documents: DataFrame, k: int = 5, percent: int = PERCENT) -> DataFrame:
@@ -176,28 +186,42 @@ def near_duplicate_components(documents: DataFrame, k: int = 5, percent: int = P
         F.min("bands").alias("bands")), "classes")
     light = classes.select("node", *sketched)
     members = classes.select("node", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last").select("bucket", "hub")
+    draws = [F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node"))["node"] for turn in range(HUBS)]
+    shared = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.array_distinct(F.array(*draws)).alias("hubs")).where(
+        "low <> high").select("bucket", "hubs")
     placed = staged(members.join(shared, "bucket"), "placed")
-    stars = placed.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    stars = placed.select("node", F.explode("hubs").alias("hub")).where("node <> hub").select(
+        F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
     def likely(pairs: DataFrame) -> DataFrame:
         return (pairs.join(light.alias("x"), F.col("a") == F.col("x.node")).join(light.alias("y"), F.col("b") == F.col("y.node"))
                 .where(_may_link("x", "y", percent)).select("a", "b"))
 
-    links = staged(_confirmed(likely(stars), classes, documents, k, percent), "confirmed")
-    parts = staged(connected_components(links), "parts")
-    open_members = placed.select("bucket", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = open_members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-    loose = staged(open_members.join(mixed, "bucket", "left_semi").join(light, "node"), "loose")
-    x, y = loose.alias("x"), loose.alias("y")
-    across = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component")) & _may_link("x", "y", percent))
-    tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = across.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    links = links.unionByName(_confirmed(more, classes, documents, k, percent))
-    parts = connected_components(links)
+    parts = staged(connected_components(_confirmed(likely(stars), classes, documents, k, percent)), "parts")
+
+    def loose(parts: DataFrame) -> DataFrame:
+        """Members of buckets that lie in more than one component."""
+        members = placed.select("bucket", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        mixed = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
+        return staged(members.join(mixed, "bucket", "left_semi"), "loose")
+
+    def joined_by(links: DataFrame, parts: DataFrame) -> DataFrame:
+        known = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        return staged(connected_components(known.unionByName(links.select("a", "b"))), "parts")
+
+    left_over = loose(parts).join(light, "node")
+    x, y = left_over.alias("x"), left_over.alias("y")
+    other = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component")) & _may_link("x", "y", percent)
+    hopeful = staged(x.join(y, other, "left_semi"), "hopeful")
+    sets = _sets_of(hopeful.select("node").distinct(), classes, documents, k)
+    full = hopeful.join(sets, "node")
+    x, y = full.alias("x"), full.alias("y")
+    across = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") < F.col("y.component")) & _may_link("x", "y", percent)
+                    & _enough("x.grams", "y.grams", percent))
+    parts = joined_by(across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), parts)
 
     grouped = classes.select("node", "lowest", "first").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    names = grouped.groupBy("component").agg(F.min("lowest").alias("component_id"), F.min("first").alias("keeper"))
+    names = staged(grouped.groupBy("component").agg(F.min("lowest").alias("component_id"), F.min("first").alias("keeper")), "names")
     named = grouped.select("node", "component").join(names, "component").select("node", "component_id", "keeper")
     own = rows.select("doc_id", "text_key", "n_shingles", "node").join(named, "node", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     stays = F.isnull("keeper") | (F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("text_key") == F.col("keeper.text_key")))
