@@ -27,8 +27,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near duplicates, over two-word shingles as in the operator's query."""
-    return near_duplicates.keep_first(docs, k=2)
+    """The first document of each group of near duplicates, over the operator's own five-word shingles."""
+    return near_duplicates.keep_first(docs)
 
 
 def drop_benchmark_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

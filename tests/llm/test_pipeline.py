@@ -52,3 +52,14 @@ def test_stages_keep_columns_and_take_odd_rows(spark):
                 assert counts == {1: 2, None: 1, 2: 1, 3: 1}
             if frame is docs and name == "near_dedup":
                 assert counts == {1: 1, None: 1, 2: 1, 3: 1}
+
+
+def test_near_dedup_stage_takes_five_words(spark):
+    """Five edits in a hundred words: near duplicates by two words, none by five."""
+    words = [f"w{i}" for i in range(100)]
+    edited = [f"x{i}" if i % 20 == 10 else w for i, w in enumerate(words)]
+    texts = [(1, " ".join(words)), (2, " ".join(edited)), (3, " ".join(words[:99]))]
+    assert {c for _, _, c in components(texts, 2)} == {1}
+    assert [(d, c) for d, _, c in components(texts, 5)] == [(1, 1), (2, 2), (3, 1)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    assert sorted(r.doc_id for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, SMALL).collect()) == [1, 2]
