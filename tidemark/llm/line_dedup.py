@@ -1,4 +1,4 @@
-"""Line deduplication by winnowing over line hashes.
+"""Deduplication of repeated runs of lines and of words, by winnowing over their hashes.
 
 A line is a stretch between line feeds; it is compared without its outer white
 space, and lines without a word are not compared at all. A run of lines counts
@@ -15,10 +15,22 @@ when it has at least MIN_WORDS words. A later copy of a run loses those lines.
 4. Every window that is not the first of its content marks its lines; a document
    drops its marked lines and keeps the rest, byte for byte.
 
-Places are ordered by doc_id, then line. Nothing is paired within a group: each
+5. Runs of RUN_WORDS words are found wherever they lie, inside a line or across line
+   ends, by the same means over words: each window of RUN_WORDS words has one anchor,
+   its smallest hash of GRAM words. The windows of one anchor follow each other, and
+   their union is one content, of which the first place stays. Where the unions of an
+   anchor differ, as at the ends of a run, each window of their first places is
+   compared by itself, so a run is known to the word. Every later window
+   marks its words; of places in one text that overlap, the first stays whole. A
+   line all of whose words are marked goes like a marked line, others lose the marked
+   words. Steps 1 to 4 are needed only for runs of lines with fewer words than that.
+
+Places are ordered by doc_id, then line or word. Nothing is paired within a group: each
 place meets only the first one, so a passage in a third of all texts is a grouped
 minimum and a join with one row on its other side.
 
+Words are compared without the white space between them.
+
 Defined cases: a null text stays null, an empty one empty; a text all of whose
 lines are marked becomes empty and its row stays; rows that repeat doc_id and text
 are treated as one document and stay alike; a null doc_id comes after all others;
@@ -31,6 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +53,9 @@ from tidemark.session import staged
 
 #: Fewest words of a run that counts as a repeated passage.
 MIN_WORDS = 20
+#: Words of a window that counts as repeated wherever it lies, and of the stretch that anchors it.
+RUN_WORDS = 20
+GRAM = 10
 
 _NOT_FEED = np.arange(256) != 10
 
@@ -162,31 +178,200 @@ def repeated_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFram
     return marked_lines.dropDuplicates(["doc_id", "text_key"])  # rows that repeat doc_id and text have one entry
 
 
-def _without(text: Column, removed: Column) -> Column:
-    """The text less the lines at the sorted places, in time linear in the lines."""
-    flags = F.flatten(F.transform(removed, lambda at, j: F.concat(
-        F.array_repeat(F.lit(True), at - F.coalesce(F.get(removed, j - 1), F.lit(-1)) - 1), F.array(F.lit(False)))))
-    return F.array_join(F.zip_with(F.split(text, "\n", -1), flags, lambda line, keep: F.when(F.coalesce(keep, F.lit(True)), line)), "\n")
+def word_anchors(words: np.ndarray, bounds: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor hash, row, first and last window start, and hash of the union of the windows, of every anchor.
+
+    Rows are stretches of ``words``; a start counts words of its row. A window's anchor
+    is its smallest hash of ``GRAM`` words, the last of equals.
+    """
+    gram = min(GRAM, run)
+    rows = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    n = len(words) - run + 1
+    starts = np.flatnonzero(rows[:n] == rows[run - 1:]) if n > 0 else np.zeros(0, np.int64)
+    if not len(starts):
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), none, none, none, np.zeros(0, np.uint64)
+    steps = np.arange(len(words), dtype=np.uint64)
+    grams = np.zeros(len(words) - gram + 1, np.uint64)
+    for i in range(gram):
+        grams += words[i:i + len(grams)] * B._ROLL[i]
+    grams = B.mix(grams)
+    best, at = grams[starts].copy(), starts.copy()
+    for i in range(1, run - gram + 1):
+        other = grams[starts + i]
+        less = other <= best
+        best[less] = other[less]
+        at[less] = starts[less] + i
+    fresh = np.ones(len(starts), bool)
+    fresh[1:] = (at[1:] != at[:-1]) | (rows[starts[1:]] != rows[starts[:-1]])
+    first = np.flatnonzero(fresh)
+    last = np.r_[first[1:], len(starts)] - 1
+    powers, inverses = B._power_tables(len(words) + 1)
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * powers[:len(words)], out=sums[1:])
+    a, b = starts[first], starts[last] + run
+    # where the anchor lies within the union counts as well, as offsets of the windows are compared by it
+    place = (at[first] - a).astype(np.uint64)
+    union = B.mix((sums[b] - sums[a]) * inverses[a] + (b - a).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + B.mix(place + np.uint64(1)))
+    row = rows[a]
+    return best[first], row, a - bounds[row], starts[last] - bounds[row], union
+
+
+def _words_of(piece: B.Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and end of every word, and word bounds of the rows."""
+    starts, ends, rows = B.spans(piece.data, piece.offsets, B.SPACED)
+    return B.span_hashes(piece.data, starts, ends), starts, ends, B.row_bounds(rows, piece.last - piece.first)
+
+
+def _anchor_table(documents: DataFrame, run: int) -> DataFrame:
+    """Per text with a window its anchors: hashes, first and last window starts, hashes of the unions."""
+    keyed = documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    schema = T.StructType([keyed.schema["doc_id"], *T._parse_datatype_string(
+        "text_key long, anchors array<long>, starts array<int>, lasts array<int>, unions array<long>").fields])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for p in B.pieces(batch.column("text")):
+                words, _, _, bounds = _words_of(p)
+                anchors, row, first, last, union = word_anchors(words, bounds, run)
+                own = B.row_bounds(row, p.last - p.first)
+                part = batch.slice(p.first, p.last - p.first)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("text_key"), B.list_array(anchors.view(np.int64), own), B.list_array(first.astype(np.int32), own),
+                     B.list_array(last.astype(np.int32), own), B.list_array(union.view(np.int64), own)], schema.fieldNames())
+
+    return keyed.mapInArrow(scan, schema).where(F.size("anchors") > 0)
+
+
+def _single_windows(batches: Iterator[pa.RecordBatch], run: int) -> Iterator[pa.RecordBatch]:
+    """Each window of the anchors whose first windows are given: content hash and start."""
+    for batch in batches:
+        for p in B.pieces(batch.column("text")):
+            words, _, _, bounds = _words_of(p)
+            _, row, first, last, _ = word_anchors(words, bounds, run)
+            part = batch.slice(p.first, p.last - p.first)
+            wanted = part.column("wanted")
+            asked = np.repeat(np.arange(len(wanted)), wanted.value_lengths().to_numpy())
+            take = np.isin((row << 32) + first, (asked << 32) + wanted.flatten().to_numpy())
+            row, first, last = row[take], first[take], last[take]
+            each = last - first + 1
+            row = np.repeat(row, each)
+            start = np.repeat(first, each) + np.arange(int(each.sum())) - np.repeat(np.cumsum(each) - each, each)
+            powers, inverses = B._power_tables(len(words) + 1)
+            sums = np.zeros(len(words) + 1, np.uint64)
+            np.cumsum(words * powers[:len(words)], out=sums[1:])
+            at = bounds[row] + start
+            content = B.mix((sums[at + run] - sums[at]) * inverses[at]) if len(at) else np.zeros(0, np.uint64)
+            rows = pa.array(row)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").take(rows), part.column("text_key").take(rows), pa.array(content.view(np.int64)),
+                                              pa.array(start.astype(np.int32))], ["doc_id", "text_key", "content", "start"])
+
+
+def repeated_words(documents: DataFrame, run: int = RUN_WORDS) -> DataFrame:
+    """(doc_id, text_key, spans): stretches of words (from, to) that repeat an earlier run, for every text that has some."""
+    texts = staged(_anchor_table(documents, run), "anchors")
+    # rows that repeat doc_id and text have the same places and so count once
+    anchors = texts.select("doc_id", "text_key", F.explode(F.arrays_zip("anchors", "starts", "lasts", "unions")).alias("a")).select(
+        F.col("a.anchors").alias("anchor"), "doc_id", "text_key", F.col("a.starts").alias("start"), F.col("a.lasts").alias("last"), F.col("a.unions").alias("union"))
+    known = texts.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    hits = staged(anchors.join(known, "anchor", "left_semi"), "hits")
+    place = F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "text_key", "start")
+    groups = staged(hits.groupBy("anchor", "union").agg(F.min(place).alias("first"), F.max(place).alias("end")), "groups")
+    apart = groups.groupBy("anchor").agg(F.min("union").alias("low"), F.max("union").alias("high")).where("low <> high").select("anchor")
+
+    def later(found: DataFrame, end: Column) -> DataFrame:
+        """Words of places behind the first; in the first place's own text only what lies behind its first window."""
+        own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+        start = F.when(own, F.greatest("start", F.col("first.start") + run)).otherwise(F.col("start"))
+        return found.where(place != F.col("first")).select("doc_id", "text_key", F.struct(start.alias("from"), end.alias("to")).alias("span"))
+
+    alike = later(hits.join(groups.where("first <> end").select("anchor", "union", "first"), ["anchor", "union"]), F.col("last") + run)
+    mixed = groups.join(apart, "anchor", "left_semi").groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.text_key").alias("text_key")).agg(
+        F.collect_set("first.start").alias("wanted")).alias("w")
+    near = documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text").alias("d").join(mixed, _same("d", "w")).select("d.doc_id", "d.text_key", "text", "wanted")
+    schema = T.StructType([documents.schema["doc_id"], *T._parse_datatype_string("text_key long, content long, start int").fields])
+    single = staged(near.mapInArrow(lambda batches: _single_windows(batches, run), schema), "single")
+    first = single.groupBy("content").agg(F.min(place).alias("first"), F.max(place).alias("end")).where("first <> end").select("content", "first")
+    return alike.unionByName(later(single.join(first, "content"), F.col("start") + run)).groupBy("doc_id", "text_key").agg(F.collect_set("span").alias("spans"))
+
+
+def _without(text: str, removed: list[int], spans: list[dict]) -> tuple[str, int]:
+    """The text less the lines at the given places and the words in the given stretches, and how many lines went."""
+    raw = np.frombuffer(text.encode("utf-8"), np.uint8)
+    starts, ends, _ = B.spans(raw, np.array([0, len(raw)]), B.SPACED)
+    change = np.zeros(len(starts) + 1, np.int64)
+    for span in spans:
+        if span["to"] > span["from"]:
+            change[span["from"]] += 1
+            change[span["to"]] -= 1
+    marked = np.cumsum(change[:-1]) > 0
+    feeds = np.flatnonzero(raw == 10)
+    first, last = np.r_[0, feeds + 1], np.r_[feeds, len(raw)]
+    low, high = np.searchsorted(starts, first), np.searchsorted(starts, last)
+    totals = np.r_[0, np.cumsum(marked)]
+    n_marked = totals[high] - totals[low]
+    gone = (n_marked > 0) & (n_marked == high - low)
+    gone[removed] = True
+    kept = []
+    data = raw.tobytes()
+    for i in np.flatnonzero(~gone).tolist():
+        if not n_marked[i]:
+            kept.append(data[first[i]:last[i]])
+            continue
+        own = marked[low[i]:high[i]].tolist()
+        s, e = starts[low[i]:high[i]].tolist(), ends[low[i]:high[i]].tolist()
+        parts, at = [], int(first[i])
+        for j, out in enumerate(own):
+            if out and not (j and own[j - 1]):
+                stop = j
+                while stop < len(own) and own[stop]:
+                    stop += 1
+                # a cut takes the white space behind it, at the end of the line that before it
+                parts.append(data[at:s[j] if stop < len(own) else e[j - 1]])
+                at = s[stop] if stop < len(own) else e[-1]
+        parts.append(data[at:last[i]])
+        kept.append(b"".join(parts))
+    return b"\n".join(kept).decode("utf-8"), int(gone.sum())
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Row, new text and number of lines that went."""
+    for batch in batches:
+        texts = batch.column("text").to_pylist()
+        counts = [0] * len(texts)
+        removed, spans = batch.column("removed"), batch.column("spans")
+        for i in np.flatnonzero(pa.compute.or_(removed.is_valid(), spans.is_valid()).to_numpy(zero_copy_only=False)).tolist():
+            texts[i], counts[i] = _without(texts[i], removed[i].as_py() or [], spans[i].as_py() or [])
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string()), pa.array(counts, pa.int64())], ["row", "text", "n_lines_removed"])
 
 
-def _cleaned(documents: DataFrame, min_words: int) -> DataFrame:
+def _cleaned(documents: DataFrame, min_words: int, run_words: int) -> DataFrame:
     """(row, text, n_lines_removed): each input row as a struct, and its new text."""
-    marked = repeated_lines(documents.select("doc_id", "text"), min_words).alias("m")
+    texts = documents.select("doc_id", "text")
+    words = repeated_words(texts, run_words)
+    if min_words < run_words:
+        lines, words = repeated_lines(texts, min_words).alias("m"), words.alias("n")
+        own = F.col("m.text_key").isNotNull()
+        marks = lines.join(words, _same("m", "n"), "full").select(
+            F.when(own, F.col("m.doc_id")).otherwise(F.col("n.doc_id")).alias("doc_id"), F.coalesce("m.text_key", "n.text_key").alias("text_key"), "removed", "spans")
+    else:  # a repeated run of lines is one of words
+        marks = words.withColumn("removed", F.lit(None).cast("array<int>"))
+    marks = marks.alias("m")
     rows = documents.select(F.struct("*").alias("row"), F.xxhash64("text").alias("text_key"), F.col("doc_id")).alias("d")
-    joined = rows.join(marked, _same("d", "m"), "left")
-    text = F.when(F.col("removed").isNull(), F.col("row.text")).otherwise(_without(F.col("row.text"), F.col("removed")))
-    return joined.select("row", text.alias("text"), F.when(F.col("removed").isNull(), 0).otherwise(F.size("removed")).cast("long").alias("n_lines_removed"))
+    joined = rows.join(marks, _same("d", "m"), "left").select("row", F.col("row.text").alias("text"), "removed", "spans")
+    schema = T.StructType([joined.schema["row"], T.StructField("text", T.StringType()), T.StructField("n_lines_removed", T.LongType())])
+    return joined.mapInArrow(_cut, schema)
 
 
-def drop_repeated_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def drop_repeated_lines(documents: DataFrame, min_words: int = MIN_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
     """``documents`` with later copies of runs deleted from ``text`` and, where present, ``n_chars`` brought up to date."""
-    cleaned = _cleaned(documents, min_words)
+    cleaned = _cleaned(documents, min_words, run_words)
     length = F.coalesce(F.length("text"), F.lit(0))
     return cleaned.select(*(F.col("text") if c == "text" else length.cast(documents.schema[c].dataType).alias(c) if c == "n_chars"
                             else F.col(f"row.`{c}`").alias(c) for c in documents.columns))
 
 
-def report(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def report(documents: DataFrame, min_words: int = MIN_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
     """Per row: doc_id, n_lines before, n_lines_removed, and the new text."""
     n_lines = F.when(F.coalesce(F.col("row.text"), F.lit("")) == "", 0).otherwise(F.size(F.split("row.text", "\n", -1))).cast("long")
-    return _cleaned(documents.select("doc_id", "text"), min_words).select(F.col("row.doc_id").alias("doc_id"), n_lines.alias("n_lines"), "n_lines_removed", "text")
+    return _cleaned(documents.select("doc_id", "text"), min_words, run_words).select(F.col("row.doc_id").alias("doc_id"), n_lines.alias("n_lines"), "n_lines_removed", "text")
