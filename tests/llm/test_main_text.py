@@ -50,3 +50,33 @@ def test_table_edges(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")
     assert sorted(((r.page_id, r.text, r.n_chars) for r in M.extract(pages).collect()), key=str) == [(1, "same words", 10), (1, "same words", 10), (None, "", 0)]
     assert M.extract(pages.limit(0)).count() == 0
+
+
+def test_content_is_not_cut_by_names():
+    inside = "<article><h2 id='related-work'>Related work</h2><section id='search'><p>one two</p></section><div class='social'>three four</div>" \
+             "<div class='ad'>buy this</div><p>five six</p></article>"
+    assert text(f"<body><p>menu</p>{inside}</body>") == "Related work one two three four five six"
+
+
+def test_forms_around_content_are_wrappers():
+    menu = "<nav>menu words</nav><form id='s'><label>Find words</label><input name=q></form>"
+    assert text(f"<body><form id='aspnetForm' class='search'><nav>menu</nav><article><p>body of the page</p></article><footer>end</footer></form></body>") == "body of the page"
+    assert text(f"<body>{menu}<form action='x'><div><p>most of the words of this page lie in here</p></div></form></body>") == "most of the words of this page lie in here"
+    assert text("<p>plain text of the page</p><form><label>Your name</label></form>") == "plain text of the page"
+    assert text("<div><form><p>word</p></div>" * 20_000).startswith("word")
+
+
+def test_short_marks_beside_and_within_content_stay():
+    long = " ".join(["word"] * 60)
+    for a, b in ((long, "short second one"), ("short first one", long)):
+        assert text(f"<body><p>x</p><article><p>{a}</p></article><hr><article><p>{b}</p></article><p>y</p></body>") == f"{a} {b}"
+    assert text(f"<body><p>x</p><main><p>an intro</p><article><p>{long}</p></article></main><p>y</p></body>") == f"an intro {long}"
+    assert text(f"<body><article><p>{long}</p></article><div class='related'><article><p>a teaser</p></article></div></body>") == long
+
+
+def test_labelled_pages_overrule_words(spark):
+    rows = [(i, "u", f"<body><p>menu</p><article><div class='social'><p>body {i}</p></div></article></body>") for i in range(30)]
+    rows.append((99, "u", "<body><div class='social'><p>all of the text lies here</p></div></body>"))
+    rows.append((98, "u", "<body><p>some plain text here</p><div class='related'><p>other things</p></div></body>"))
+    got = {r.page_id: r.text for r in M.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[98] == "some plain text here" and got[99] == "all of the text lies here" and got[7] == "body 7"

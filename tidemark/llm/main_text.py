@@ -6,7 +6,11 @@ stretch with the highest sum. The weights come from labelled pages, those that m
 their content with <article> or <main>: how often words under an element, and tags
 themselves, lie inside and outside that mark. Text of elements that never hold
 content (scripts, menus, forms, notices, adverts, comments and so on, by name, role,
-class or learned weight) is left out wherever it lies.
+class or learned weight) is left out wherever it lies. Inside <article> and <main>
+only exact class names and roles of known blocks count; elsewhere a key that labelled
+pages mostly have inside their mark overrules its words. A form that holds <article>,
+<main> or most of the words of the page is a wrapper. Marks of content within content,
+or one after the other, are no border.
 
 Weights are learned from at most SAMPLE pages, the first by a hash of page_id;
 all pages are then extracted whole, in one pass.
@@ -21,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
@@ -32,6 +37,8 @@ from pyspark.sql import types as T
 
 #: Pages that are read to learn weights, at most.
 SAMPLE = 5_000
+#: Score of a tag that marks content within or beside content.
+WITHIN = -0.4
 #: Element keys whose weights are kept, most frequent first.
 KEYS = 5_000
 
@@ -47,6 +54,11 @@ _HINTS = frozenset("""ad ads adv advert adverts advertisement advertising banner
     popup modal overlay sidebar nav navbar navigation menu breadcrumb breadcrumbs footer header masthead comment comments discussion disqus respond reply replies
     share sharing social related recommended newsletter subscribe subscription signup login search toolbar pagination pager widget copyright
     contentinfo complementary hidden""".split())
+#: Whole class names of blocks that are no content even inside <article> or <main>, and whole roles.
+_BLOCKS = frozenset("""ad ads ad-slot ad-banner ad-container ad-unit ad-wrapper adsbygoogle advert adverts advertisement cookie-notice cookie-banner
+    cookie-consent share-buttons share-bar social-share sharedaddy related-posts related-articles newsletter-signup newsletter-form breadcrumb breadcrumbs
+    pagination comment comments comment-body comment-list comments-area disqus navbar""".split())
+_ROLES = frozenset("navigation search dialog alertdialog".split())
 #: Words that, without one of the above, mark content inside a wrapper that was taken for something else.
 _LIKELY = frozenset("content article post entry story main maincontent body text".split())
 _CLOSES_P = frozenset("""address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul""".split())
@@ -60,18 +72,58 @@ _PARTS = re.compile(r"[a-z]+|\d+")
 class Element:
     """An open element: its name, its key for weights, and whether its text is left out."""
 
-    __slots__ = ("name", "key", "out", "content")
+    __slots__ = ("name", "key", "out", "content", "inner", "apart")
 
-    def __init__(self, name: str, key: str, out: int, content: bool):
+    def __init__(self, name: str, key: str, out: int, parent: Element | None):
         # out: 0 no, 1 by a mark that content inside may lift, 2 by its name
-        self.name, self.key, self.out, self.content = name, key, out, content
-
-
-def _marks(attrs: str) -> tuple[list[str], bool]:
-    """Class, id and role words of a tag in order, and whether it is hidden."""
+        self.name, self.key, self.out = name, key, out
+        # inner: within content; apart: within what is left out
+        self.inner, self.apart = bool(parent and parent.content), bool(parent and parent.out)
+        self.content = name in _CONTENT or self.inner
+
+
+class Outline:
+    """Words before each token of a page, ends of its forms and starts of its content marks."""
+
+    def __init__(self, html: str):
+        self.places, self.words, self.ends, self.marks = [0], [0], [], []
+        at, end = 0, len(html)
+        while at < end:
+            found = _TOKEN.search(html, at)
+            stop = found.start() if found else end
+            self.places.append(stop)
+            self.words.append(self.words[-1] + len(html[at:stop].split()))
+            if not found:
+                break
+            at, name = found.end(), (found["name"] or "").lower()
+            if found["close"]:
+                if name == "form":
+                    self.ends.append(found.start())
+            elif name in _CONTENT:
+                self.marks.append(found.start())
+            elif name in _RAW:
+                at = _raw_end(html, name, at)
+
+    def is_wrapper(self, at: int) -> bool:
+        """Whether the form that opens at a place holds a content mark or most of the words."""
+        i = bisect_left(self.ends, at)
+        end = self.ends[i] if i < len(self.ends) else self.places[-1]
+        if bisect_left(self.marks, at) < bisect_left(self.marks, end):
+            return True
+        before, upto = (self.words[bisect_right(self.places, x) - 1] for x in (at, end))
+        return 2 * (upto - before) > self.words[-1]
+
+
+def _raw_end(html: str, name: str, at: int) -> int:
+    closing = re.compile(rf"</{re.escape(name)}\s*(?:>|\Z)", re.I).search(html, at)
+    return closing.end() if closing else len(html)
+
+
+def _marks(attrs: str) -> tuple[list[str], bool, bool]:
+    """Class, id and role words of a tag in order, whether it is hidden, and whether it is a known block by a whole class name or role."""
     if not attrs or "=" not in attrs and "hidden" not in attrs.lower():
-        return [], False
-    words, hidden = [], False
+        return [], False, False
+    words, hidden, block = [], False, False
     for name, value in _ATTR.findall(attrs):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "style":
@@ -80,30 +132,34 @@ def _marks(attrs: str) -> tuple[list[str], bool]:
             hidden |= name == "hidden" or value == "true"
         else:
             words += _PARTS.findall(value)
-    return list(dict.fromkeys(w for w in words if not w.isdigit())), hidden
+            if name != "id":
+                block |= not (_BLOCKS if name == "class" else _ROLES).isdisjoint(value.split())
+    return list(dict.fromkeys(w for w in words if not w.isdigit())), hidden, block
 
 
-def _left_out(name: str, marks: list[str], hidden: bool, parent: Element | None, content: bool) -> int:
+def _left_out(name: str, marks: list[str], hidden: bool, block: bool, parent: Element | None, wrapper: bool, lifted: bool) -> int:
     """Whether text of a new element is left out, as Element.out has it."""
     above = parent.out if parent else 0
-    if above == 2 or hidden or name in _NEVER:
+    if above == 2 or hidden or name in _NEVER and not wrapper:
         return 2
-    hints = _HINTS.intersection(marks)
-    if content:  # a heading block of the content belongs to it
-        hints -= {"header", "masthead"}
-    elif name == "header":
+    if parent and parent.content:
+        return 1 if block else 0 if name in _CONTENT else above
+    if name in _CONTENT:
+        return 1 if block else 0
+    if name == "header":
         return 2
-    if hints and name not in ("html", "body", "main"):
-        return 1
-    return 0 if name in _CONTENT or not _LIKELY.isdisjoint(marks) else above
+    if not lifted and _HINTS.intersection(marks) and name not in ("html", "body"):
+        return 0 if wrapper else 1
+    return 0 if lifted or not _LIKELY.isdisjoint(marks) else above
 
 
-def units(html: str) -> Iterator[tuple[str, str, Element | None, str]]:
+def units(html: str, lifted: frozenset[str] = frozenset()) -> Iterator[tuple[str, str, Element | None, str]]:
     """(kind, value, element, key) in page order: kind "text" with its parent, or "tag", "inline" with the tag's element and key.
 
     Text of raw elements is not given at all.
     """
     stack: list[Element] = []
+    outline = None
     at, end = 0, len(html)
     while at < end:
         found = _TOKEN.search(html, at)
@@ -127,7 +183,7 @@ def units(html: str) -> Iterator[tuple[str, str, Element | None, str]]:
             else:
                 yield "inline" if name in _INLINE else "tag", name, None, "/" + name
             continue
-        marks, hidden = _marks(found["attrs"])
+        marks, hidden, block = _marks(found["attrs"])
         key = ".".join([name, *marks])
         if name in _CLOSES_P:
             for depth in range(len(stack) - 1, -1, -1):
@@ -137,21 +193,23 @@ def units(html: str) -> Iterator[tuple[str, str, Element | None, str]]:
                 if stack[depth].name not in _INLINE:
                     break
         parent = stack[-1] if stack else None
-        content = name in _CONTENT or bool(parent and parent.content)
-        element = Element(name, key, _left_out(name, marks, hidden, parent, content), content)
+        wrapper = False
+        if name == "form":
+            outline = outline or Outline(html)
+            wrapper = outline.is_wrapper(found.start())
+        element = Element(name, key, _left_out(name, marks, hidden, block, parent, wrapper, key in lifted), parent)
         yield "inline" if name in _INLINE else "tag", name, element, key
         if name in _RAW:
-            closing = re.compile(rf"</{re.escape(name)}\s*(?:>|\Z)", re.I).search(html, at)
-            at = closing.end() if closing else end
+            at = _raw_end(html, name, at)
         elif name not in _VOID and not found["attrs"].rstrip().endswith("/"):
             stack.append(element)
 
 
 class Weights:
-    """Score of a word under an element, and of a tag, by key."""
+    """Score of a word under an element, and of a tag, by key; keys that are content whatever their words."""
 
-    def __init__(self, words: dict[str, float], tags: dict[str, float]):
-        self.words, self.tags = words, tags
+    def __init__(self, words: dict[str, float], tags: dict[str, float], lifted: frozenset[str] = frozenset()):
+        self.words, self.tags, self.lifted = words, tags, lifted
 
     def word(self, key: str) -> float:
         return self.words.get(key, self.words.get(key.split(".")[0], 1.0))
@@ -164,8 +222,8 @@ def main_text(html: str | None, weights: Weights) -> str:
     """Whole text of the best stretch, blocks joined by one space."""
     if not html:
         return ""
-    scores, texts, plain = [], [], False
-    for kind, value, element, key in units(html):
+    scores, texts, plain, left = [], [], False, None
+    for kind, value, element, key in units(html, weights.lifted):
         if kind == "text":
             if element is not None and element.out:
                 continue
@@ -177,6 +235,14 @@ def main_text(html: str | None, weights: Weights) -> str:
             plain |= score > 0
         else:
             scores.append(-0.1 if element is not None and element.out else weights.tag(key))
+            if value in _CONTENT and element is not None and not element.out:
+                if element.inner:
+                    scores[-1] = WITHIN
+                elif not element.apart:  # from one mark to the next there is no border
+                    if key.startswith("/"):
+                        left = len(scores) - 1
+                    elif left is not None:
+                        scores[left] = scores[-1] = WITHIN
             texts.append("" if kind == "inline" else " ")
     if not plain:
         return ""
@@ -205,9 +271,9 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         sums[element.key][0 if element.content else 1] += n
                 else:
                     if value in _CONTENT:
-                        inside = not key.startswith("/")
+                        inside = not key.startswith("/") or bool(element and element.inner)
                         continue
-                    if element is not None and element.out:
+                    if element is not None and element.out and (element.out == 2 or _HINTS.isdisjoint(element.key.split(".")[1:])):
                         continue
                     sums[key][2 if inside else 3] += 1
     keys = list(sums)
@@ -222,15 +288,17 @@ def learn(pages: DataFrame) -> Weights:
     found = sample.mapInArrow(_counts, "key string, words_in long, words_out long, tags_in long, tags_out long").groupBy("key").agg(
         *(F.sum(c).alias(c) for c in ("words_in", "words_out", "tags_in", "tags_out")))
     rows = found.orderBy(F.desc(F.col("words_in") + F.col("words_out") + F.col("tags_in") + F.col("tags_out")), "key").limit(KEYS).collect()
-    words, tags = {"": 0.2, "body": 0.2}, {}
+    words, tags, lifted = {"": 0.2, "body": 0.2}, {}, set()
     for r in rows:
         if r.words_in + r.words_out >= 20:
             words[r.key] = max(-2.0, min(1.0, math.log((r.words_in + 1) / (r.words_out + 1))))
         if r.tags_in + r.tags_out >= 20:
             tags[r.key] = -max(0.1, min(5.0, math.log((r.tags_out + 1) / (r.tags_in + 1))))
+            if r.tags_in > r.tags_out and not _HINTS.isdisjoint(r.key.split(".")[1:]):
+                lifted.add(r.key)
     for mark in _CONTENT:
         tags[mark] = tags["/" + mark] = -20.0
-    return Weights(words, tags)
+    return Weights(words, tags, frozenset(lifted))
 
 
 def extract(pages: DataFrame) -> DataFrame:
