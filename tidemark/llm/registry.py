@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, decontaminate, language_model, line_dedup, main_text, near_duplicates, pii, quality_rules, simhash, toxicity
+from tidemark.llm import bpe, chat, decontaminate, language_model, line_dedup, main_text, near_duplicates, pii, prefix_trie, quality_rules, simhash, toxicity
 
 
 def tokenizer_path() -> str:
@@ -68,6 +68,10 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.formatted(rows, tokenizer_path()))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read(spark, sf_dir, "conversations"))
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
 
@@ -84,10 +88,12 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_pii": op9_pii,
     "op10_line_dedup": op10_line_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_simhash": op13_simhash,
 }
 ORACLES = {
     "op2_decontamination": decontaminate.ORACLE_SQL,
     "op6_chat_format": chat.ORACLE_SQL,
     "op7_near_duplicates": near_duplicates.ORACLE_SQL,
+    "op11_prefix_trie": prefix_trie.ORACLE_SQL,
 }
