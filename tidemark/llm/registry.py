@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, chat, decontaminate, language_model, line_dedup, main_text, near_duplicates, pii, prefix_trie, quality_rules, simhash, toxicity
+from tidemark.llm import bpe, chat, decontaminate, language_model, lexical_search, line_dedup, main_text, near_duplicates, pii, prefix_trie, quality_rules, simhash, toxicity
 
 
 def tokenizer_path() -> str:
@@ -72,6 +72,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(read(spark, sf_dir, "conversations"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(read(spark, sf_dir, "documents"))
 
@@ -89,6 +93,7 @@ QUERIES = {
     "op9_pii": op9_pii,
     "op10_line_dedup": op10_line_dedup,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_lexical_search": op12_lexical_search,
     "op13_simhash": op13_simhash,
 }
 ORACLES = {
@@ -96,4 +101,5 @@ ORACLES = {
     "op6_chat_format": chat.ORACLE_SQL,
     "op7_near_duplicates": near_duplicates.ORACLE_SQL,
     "op11_prefix_trie": prefix_trie.ORACLE_SQL,
+    "op12_lexical_search": lexical_search.ORACLE_SQL,
 }
