@@ -49,3 +49,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = work_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the folders of ``staged`` tables that nothing reads any more."""
+    for table in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()[:1]}:
+            path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
