@@ -31,7 +31,7 @@ def test_dates_beside_below_and_above_links(spark):
     pages = spark.createDataFrame([(1, html)], "page_id long, html string")
     got = {r.title: r.published_date for r in listings.listing_entries(pages, listings.APRA_INSIGHT).collect()}
     day = lambda m, d: dt.date(2026, m, d)
-    assert got == {"A": day(4, 15), "B": day(5, 1), "C": day(6, 2), "D": day(7, 3), "E": day(7, 4), "F": day(7, 5), "G": day(7, 6), "H h": None}
+    assert got == {"A": day(4, 15), "B": day(5, 1), "C": day(6, 2), "D": day(7, 3), "E": day(7, 4), "F": day(7, 5), "G": day(7, 5), "H h": None}
 
 
 def test_glob_and_vetoes(spark):
@@ -39,13 +39,44 @@ def test_glob_and_vetoes(spark):
                                   "page_id int, n int, href string, title string").withColumn("pos", F.struct("n"))
     rules = [listings.LinkRule("glob", "report_q?_*.pdf", ("pillar",), ".pdf"), listings.LinkRule("words", "nothing*", ("pillar 3",), ".pdf"),
              listings.LinkRule("veto", "*.pdf*", ("report",), ".pdf", ("download", "pillar", "presentation"))]
-    got = {r.target: (r.link, r.matched_by) for r in listings.tiered_link_match(links, rules, ["page_id"]).collect()}
-    assert got == {"glob": ("/a/Report_Q4_2025.pdf?x=1", "primary-glob"), "words": ("/b/other.pdf", "fallback-keywords")}
+    got = {r.target: (r.link, r.matched_by) for r in listings.tiered_link_match(links, rules, ["page_id"], F.lit("https://s.example/x/y")).collect()}
+    assert got == {"glob": ("https://s.example/a/Report_Q4_2025.pdf?x=1", "primary-glob"), "words": ("https://s.example/b/other.pdf", "fallback-keywords")}
 
 
 def test_stream_emits_each_url_once_across_batches(spark, tmp_path):
     base = str(tmp_path)
     for n, html in enumerate(('<a href="/x">X</a><a href="/y">Y</a>', '<a href="/x">X</a><a href="/z">Z</a>')):
-        spark.createDataFrame([(n, "u", html)], publications.PAGE_SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        html += '<a href="mailto:a@b.c">Mail</a><a href="rel">R</a>'
+        spark.createDataFrame([(n, "https://s.example/d/p?q", html)], publications.PAGE_SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/in")
         publications.publication_stream(spark, f"{base}/in", f"{base}/out", f"{base}/cp").awaitTermination()
-    assert sorted(r.url for r in spark.read.schema("url string, title string").parquet(f"{base}/out").collect()) == ["/x", "/y", "/z"]
+    assert sorted(r.url for r in spark.read.schema("url string, title string").parquet(f"{base}/out").collect()) == [f"https://s.example/{u}" for u in ("d/rel", "x", "y", "z")]
+
+
+def test_a_header_date_belongs_to_no_entry_below_it(spark):
+    item = "/news-and-publications/"
+    html = (f'<div><p>Page updated 1 May 2026</p><div><a href="{item}a">A</a><p>15 (16) April 2026</p></div><div><a href="{item}b">B</a><p>17 April 2026</p></div>'
+            f'<ul><li><h3><a href="{item}c">C</a></h3></li></ul></div>')
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    got = {r.title: r.published_date for r in listings.listing_entries(pages, listings.APRA_INSIGHT).collect()}
+    assert got == {"A": dt.date(2026, 5, 1), "B": dt.date(2026, 4, 17), "C": None}
+
+
+def test_broken_pages():
+    assert listings.links_of("") == [] and listings.links_of("a < b <3 > <") == []
+    deep = "<div>" * 3000 + '<a href="x">deep</a>'
+    assert listings.links_of(deep) == [("x", "deep", "", "")]
+    page = '<p>1/2/2024<a href="&#47;u?a=1&amp;b" title=">">U &amp; <b>V</a></p></i><a href=w>W <a href=\'z\'>Z<script>"</a>2020-01-01"</script><!-- 3 May 2024 -->'
+    assert listings.links_of(page) == [("/u?a=1&b", "U & V", "1/2/2024", ""), ("w", "W", "", ""), ("z", "Z", "", "")]
+    wide = "".join(f'<li><a href="{i}">t{i}</a> {i % 28 + 1} May 2024</li>' for i in range(20_000))
+    got = listings.links_of(f"<ul>{wide}</ul>")
+    assert len(got) == 20_000 and got[5] == ("5", "t5", "6 May 2024", "1 May 2024")
+
+
+def test_links_join_the_address_of_their_page(spark):
+    import urllib.parse as u
+
+    base = ["https://s.example/d/p?q#f", "https://s.example", "http://s.example/d/"]
+    hrefs = ["/x", "rel/y", "?z=1", "//other.example/a", "https://t.example/b", "mailto:a@b", "#top", "javascript:go()"]
+    rows = spark.createDataFrame([(b, h) for b in base for h in hrefs], "b string, h string")
+    got = {(r.b, r.h): r.u for r in rows.select("b", "h", listings.X.absolute_url(F.col("b"), F.col("h")).alias("u")).collect()}
+    assert got == {(b, h): None if h.split(":")[0] in ("mailto", "javascript") else u.urljoin(b, h) for b in base for h in hrefs}

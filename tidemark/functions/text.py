@@ -191,6 +191,9 @@ _LONG = rf"(?i)\b(\d{{1,2}})\s+({_MONTH})\s+(20\d{{2}})\b"
 _ISO = r"\b(20\d{2})-(\d{2})-(\d{2})\b"
 _SLASH = r"\b(\d{1,2})/(\d{1,2})/(20\d{2})\b"
 
+#: The shapes of a printed date, the first that is found counts before the next.
+DATE_SHAPES = (_ISO, _LONG, _SLASH)
+
 
 def parse_mixed_date(text: Column) -> Column:
     """First date in text: ISO, then day month year, then d/m/y."""
@@ -337,16 +340,20 @@ def publication_filename(url: Column, title: Column) -> Column:
     return F.concat(slug, F.coalesce(F.nullif(url_suffix(url), F.lit("")), F.lit(".pdf")))
 
 
-def absolute_url(base: str, href: Column) -> Column:
-    """Join a listing link to its site root or page folder; null for mail, script and other links that are no pages."""
-    root = "/".join(base.split("/")[:3])
-    folder = base.rsplit("/", 1)[0]
+def absolute_url(base: str | Column, href: Column) -> Column:
+    """Join a link to the address of its page; null for mail, script and other links that are no pages."""
+    page = F.lit(base) if isinstance(base, str) else base
+    bare = F.regexp_replace(page, "[?#].*$", "")
+    root = F.regexp_extract(page, "^[^:/?#]+://[^/?#]*", 0)
+    path = F.regexp_replace(F.substr(bare, F.length(root) + 1), "[^/]*$", "")
     return (
         F.when(href.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*://"), href)
         .when(href.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:"), F.lit(None).cast("string"))
-        .when(href.startswith("//"), F.concat(F.lit(base.split(":")[0] + ":"), href))
-        .when(href.startswith("/"), F.concat(F.lit(root), href))
-        .otherwise(F.concat(F.lit(folder + "/"), href))
+        .when(href.startswith("//"), F.concat(F.substring_index(page, "//", 1), href))
+        .when(href.startswith("/"), F.concat(root, href))
+        .when(href.startswith("?"), F.concat(bare, href))
+        .when(href.startswith("#"), F.concat(F.regexp_replace(page, "#.*$", ""), href))
+        .otherwise(F.concat(root, F.when(path == "", "/").otherwise(path), href))
     )
 
 

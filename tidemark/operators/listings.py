@@ -2,46 +2,120 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import bisect
+import html
+import re
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark import fixed_values as V
 from tidemark.functions import text as X
 from tidemark.functions.labels import first_match
-from tidemark.sources.tables import collapse
 
-# the address is quoted either way or bare; a link may hold blocks, and ends at its own closing tag
-ANCHOR = r"""(?is)<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)</a>"""
-CONTAINER = r"(?i)(?=<(?:li|article|tr|section)\b)"
-TIME = r"""(?i)<time[^>]*?\bdatetime\s*=\s*["']?([^"'\s>]*)[^>]*>"""
+# comments, scripts and styles hold no text; then tags, text, and a stray "<"
+_EVENT = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<(/?)([a-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>|[^<]+|<")
+_VALUE = r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+_HREF = re.compile(r"(?is)(?:^|[\s\"'])href" + _VALUE)
+_DATETIME = re.compile(r"(?is)(?:^|[\s\"'])datetime" + _VALUE)
+_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_DATES = [re.compile(p) for p in X.DATE_SHAPES]
 
 
-def strip_tags(html: Column) -> Column:
-    text = F.regexp_replace(html, "<[^>]*>", " ")
-    for entity, plain in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(plain))
-    return collapse(text)
+def _attribute(pattern: re.Pattern, tag: str) -> str | None:
+    hit = pattern.search(tag)
+    return None if hit is None else html.unescape(next(g for g in hit.groups() if g is not None)).strip()
 
 
-def anchors(pages: DataFrame) -> DataFrame:
-    """Every link of every page with its text, its position and the text beside it.
+def links_of(page: str) -> list[tuple[str, str, str, str]]:
+    """Address, text, and the dates printed in the parent and in the grandparent of every link of a page.
 
-    The page is cut at item containers and each item at its links: ``before``
-    and ``after`` are the texts up to the neighbouring links, ``lead`` is the
-    text before the item's first link. One pass over each page, in its own row.
+    One fold over the page's tags with a stack of open elements. An end tag closes the
+    nearest element of its name and all inside; without one it counts for nothing. A
+    ``datetime`` counts as text of its ``<time>``. Elements are stretches of the page's
+    text, so the dates inside one are found by bisection: of each shape the first.
     """
+    parts: list[str] = []
+    size = 0
+    begin, end, parent = [], [], []  # of each element, its stretch of text and the element around it
+    stack: list[tuple[str, int]] = []
+    open_names: Counter = Counter()
+    found: list[tuple[str, int]] = []
+
+    def say(text: str) -> None:
+        nonlocal size
+        text = " ".join(html.unescape(text).split())
+        if text:
+            parts.append(text)
+            size += len(text) + 1
+
+    def close(name: str) -> None:
+        while open_names[name]:
+            top, element = stack.pop()
+            open_names[top] -= 1
+            end[element] = size
+            if top == name:
+                return
+
+    for event in _EVENT.finditer(page):
+        name = (event[3] or "").lower()
+        if not name:
+            if event[0] == "<" or not event[0].startswith("<"):
+                say(event[0])
+        elif event[2]:
+            close(name)
+        elif name not in _VOID:
+            if name == "a":  # a link ends where the next begins
+                close("a")
+            element = len(begin)
+            begin.append(size), end.append(size), parent.append(stack[-1][1] if stack else -1)
+            stack.append((name, element))
+            open_names[name] += 1
+            if name == "a" and (href := _attribute(_HREF, event[4])) is not None:
+                found.append((href, element))
+            if name == "time":
+                say(_attribute(_DATETIME, event[4]) or "")
+            if event[4].endswith("/"):
+                close(name)
+    for _, element in stack:
+        end[element] = size
+    text = " ".join(parts)
+    places = [[m.span() for m in shape.finditer(text)] for shape in _DATES] if found else []
+
+    def dates(element: int) -> str:
+        hits = []
+        for spans in places if element >= 0 else []:
+            at = bisect.bisect_left(spans, (begin[element], 0))
+            if at < len(spans) and spans[at][1] <= end[element]:
+                hits.append(text[slice(*spans[at])])
+        return " | ".join(hits)
+
+    return [(href, text[begin[e]:end[e]].strip(), dates(parent[e]), dates(parent[parent[e]] if parent[e] >= 0 else -1)) for href, e in found]
+
+
+def anchors(pages: DataFrame) -> DataFrame:
+    """Every link of every page: ``pos`` in the page, address, text, and the dates ``beside`` (its parent) and ``around`` (its grandparent)."""
     keys = [c for c in pages.columns if c != "html"]
-    html = F.regexp_replace(X.plain_text(F.col("html")), TIME, " $1 ")
-    pieces = pages.select(*keys, F.posexplode(F.split(html, CONTAINER)).alias("piece_no", "piece"))
-    cut = pieces.where(F.col("piece").rlike(r"(?i)<a\b")).select(*keys, "piece_no", "piece", F.split("piece", ANCHOR, -1).alias("gaps"))
-    found = cut.select(*keys, "piece_no", "gaps", F.posexplode(F.regexp_extract_all("piece", F.lit(ANCHOR), F.lit(0))).alias("link_no", "a"))
-    gap = lambda i: strip_tags(F.get("gaps", i))
-    return found.select(
-        *keys, F.struct("piece_no", "link_no").alias("pos"), F.trim(F.concat(*(F.regexp_extract("a", ANCHOR, i) for i in (1, 2, 3)))).alias("href"),
-        strip_tags(F.regexp_extract("a", ANCHOR, 4)).alias("title"), gap(F.col("link_no")).alias("before"), gap(F.col("link_no") + 1).alias("after"),
-        gap(F.lit(0)).alias("lead"))
+    schema = T.StructType([*(pages.schema[c] for c in keys), *T._parse_datatype_string(
+        "pos struct<link_no int>, href string, title string, beside string, around string").fields])
+    names = schema.fieldNames()
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, links = [], []
+            for i, page in enumerate(batch.column("html").to_pylist()):
+                own = links_of(page) if page else []
+                rows.extend([i] * len(own))
+                links.extend((n, *link) for n, link in enumerate(own))
+            take = pa.array(rows, pa.int64())
+            n, *columns = zip(*links) if links else [()] * 5
+            pos = pa.StructArray.from_arrays([pa.array(n, pa.int32())], ["link_no"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in keys), pos, *(pa.array(c, pa.string()) for c in columns)], names)
+
+    return pages.select(*keys, X.plain_text(F.col("html")).alias("html")).mapInArrow(scan, schema)
 
 
 @dataclass(frozen=True)
@@ -64,8 +138,7 @@ CFR_PUBLICATIONS = Listing("cfr_publications", "https://www.cfr.gov.au/publicati
 def listing_entries(pages: DataFrame, listing: Listing) -> DataFrame:
     """Publication entries: absolute URL, title, nearest date; first link of a URL wins.
 
-    A date inside the link counts first. In an item that has a date before its
-    first link dates precede their links; otherwise they follow.
+    The date is the first inside the link, else in the element around it, else in the one around that.
     """
     site = "/".join(listing.landing_url.split("/")[:3])
     url = X.absolute_url(listing.landing_url, F.col("href"))
@@ -75,8 +148,7 @@ def listing_entries(pages: DataFrame, listing: Listing) -> DataFrame:
         F.col("url").startswith(site) & F.col("path").startswith(listing.path_prefix) & (F.col("title") != "")
         & (tail != "") & ~tail.isin(*listing.landing_tails)
         & (F.regexp_replace("url", "/+$", "") != listing.landing_url.rstrip("/")))
-    inside, before, after, lead = (X.parse_mixed_date(F.col(c)) for c in ("title", "before", "after", "lead"))
-    dated = rows.where(keep).withColumn("published_date", F.coalesce(inside, F.when(lead.isNotNull(), before), after, before))
+    dated = rows.where(keep).withColumn("published_date", F.coalesce(*(X.parse_mixed_date(F.col(c)) for c in ("title", "beside", "around"))))
     order = F.struct(*[c for c in pages.columns if c != "html"], "pos")
     return dated.groupBy("url").agg(
         F.min_by(F.struct("title", "published_date"), order).alias("first")).select(
@@ -126,8 +198,8 @@ class LinkRule:
     vetoes: tuple[str, ...] = ()
 
 
-def tiered_link_match(links: DataFrame, rules: Sequence[LinkRule], keys: Sequence[str]) -> DataFrame:
-    """First link per (page, target) in the best tier; vetoed links never match.
+def tiered_link_match(links: DataFrame, rules: Sequence[LinkRule], keys: Sequence[str], page_url: Column) -> DataFrame:
+    """First link per (page, target) in the best tier, joined to the page's address; vetoed links and links to no page never match.
 
     The rules are configuration and compile into one expression per link.
     """
@@ -149,7 +221,8 @@ def tiered_link_match(links: DataFrame, rules: Sequence[LinkRule], keys: Sequenc
             (path.endswith(r.extension.lower()) & any_of(F.concat_ws(" ", text, path), r.keywords), F.lit(2))])
 
     hits = F.array(*[F.struct(F.lit(r.target).alias("target"), tier(r).alias("tier")) for r in rules])
-    return links.select(*keys, "pos", F.col("href").alias("link"), F.explode(hits).alias("h")).where(F.col("h.tier").isNotNull()).groupBy(
+    link = X.absolute_url(page_url, F.col("href"))
+    return links.select(*keys, "pos", link.alias("link"), F.explode(hits).alias("h")).where(F.col("h.tier").isNotNull() & F.col("link").isNotNull()).groupBy(
         *keys, F.col("h.target").alias("target")).agg(
         F.min_by(F.struct("link", F.col("h.tier").alias("tier")), F.struct("h.tier", "pos")).alias("b")).select(
         *keys, "target", "b.link", F.when(F.col("b.tier") == 1, "primary-glob").otherwise("fallback-keywords").alias("matched_by"))

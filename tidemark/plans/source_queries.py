@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -228,19 +230,31 @@ def _pages(spark, sf):
 
 
 @query("dated_listing_entries", """
-SELECT 'apra_insight' AS source_key, kind || ' ' || page_id AS title, 'https://www.apra.gov.au/news-and-publications/' || kind || '-' || page_id AS url,
-  DATE '2024-01-01' + CAST(page_id % 600 + off AS INT) AS published_date
-FROM pages CROSS JOIN (VALUES ('sibling', 0), ('before', 1), ('block', 2)) AS t(kind, off)""")
+SELECT 'apra_insight' AS source_key, CASE kind WHEN 'inside' THEN 'inside ' || page_id || ' of ' || strftime(d, '%-d %B %Y') ELSE kind || ' ' || page_id END AS title,
+  'https://www.apra.gov.au/news-and-publications/' || kind || '-' || page_id AS url, CASE WHEN kind <> 'headed' THEN d END AS published_date
+FROM (SELECT page_id, kind, DATE '2024-01-01' + CAST(page_id % 600 + off AS INT) AS d
+      FROM pages CROSS JOIN (VALUES ('sibling', 0), ('before', 1), ('block', 2), ('inside', 3), ('parent', 4), ('grand', 5), ('shared', 6), ('second', 6), ('headed', 7)) AS t(kind, off))""")
 def dated_listing_entries(spark, sf):
-    """Given pages followed by a listing: the date beside, before or after the link, block and bare links, links that are no pages."""
-    def day(off):
-        return F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 600 + off).cast("int")), "d MMMM yyyy")
-
-    k, at = F.col("page_id").cast("string"), F.lit("/news-and-publications/")
-    listing = F.concat(
-        F.lit("<article><h3><a href='"), at, F.lit("sibling-"), k, F.lit("'>sibling "), k, F.lit("</a></h3><p>"), day(0), F.lit("</p></article><ul><li><span>"), day(1),
-        F.lit("</span><div><a href="), at, F.lit("before-"), k, F.lit(">before "), k, F.lit('</a></div></li><li><a href="'), at, F.lit("block-"), k,
-        F.lit('"><div>block '), k, F.lit("</div></a> "), day(2), F.lit("</li><li><a href='mailto:a@b.c'>mail</a></li></ul>"))
+    """Given pages followed by a dated listing: dates in the link, its parent and its grandparent, before and after it; a date in the page header belongs to no link."""
+    k, at = F.col("page_id").cast("string"), "/news-and-publications/"
+
+    def page(*parts):
+        """Text with links (kind) and dates (days after the first)."""
+        out = []
+        for part in parts:
+            if isinstance(part, int):
+                out.append(F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 600 + part).cast("int")), "d MMMM yyyy"))
+            else:
+                out += [k if bit == "#" else F.lit(bit) for bit in re.split("(#)", part)]
+        return F.concat(*out)
+
+    listing = page(
+        "<div><p>Page updated ", 9, f"</p><section><div><a href='{at}sibling-#'>sibling #</a><p>15 (16) ", 0, "</p></div>",
+        "<ul><li><span>", 1, f"</span><div><a href={at}before-#>before #</a></div></li><li><a href=\"{at}block-#\"><div>block #</div></a> ", 2,
+        f"</li><li>", 8, f"<b><a href='{at}inside-#'>inside # of ", 3, "</a></b></li></ul>",
+        f"<p><a href='{at}parent-#'>parent #</a> ", 4, f"</p><article><h3><a href='{at}grand-#'>grand #</a></h3><br><p>", 5, "</p></article>",
+        f"<p><a href='{at}shared-#'>shared #</a> ", 6, f" <a href='{at}second-#'>second #</a> ", 7, "</p>",
+        f"<div><div><h3><a href='{at}headed-#'>headed #</a></h3></div></div><a href='mailto:a@b.c'>mail</a></section></div>")
     return listings.listing_entries(_pages(spark, sf).withColumn("html", F.concat("html", listing)), listings.APRA_INSIGHT)
 
 
@@ -262,12 +276,13 @@ RULES = (listings.LinkRule("glob_er", "*er", ("the",), ""), listings.LinkRule("k
 
 
 @query("tiered_link_match", O.with_(LINKS, body="""
-SELECT page_id, target, arg_min(href, tier * 100000 + pos) AS link, CASE min(tier) WHEN 1 THEN 'primary-glob' ELSE 'fallback-keywords' END AS matched_by FROM (
+SELECT page_id, target, regexp_extract(any_value(url), '^[a-z]+://[^/]+') || arg_min(href, tier * 100000 + pos) AS link, CASE min(tier) WHEN 1 THEN 'primary-glob' ELSE 'fallback-keywords' END AS matched_by FROM (
   SELECT page_id, pos, href, 'glob_er' AS target, CASE WHEN lower(href) LIKE '%er' OR lower(title) LIKE '%er' THEN 1 WHEN contains(lower(title || ' ' || href), 'the') THEN 2 END AS tier FROM lk
   UNION ALL SELECT page_id, pos, href, 'keyword_on', CASE WHEN contains(lower(title || ' ' || href), 'tion') THEN NULL WHEN lower(href) LIKE '/zzz%' OR lower(title) LIKE 'zzz%' THEN 1
-    WHEN contains(lower(title || ' ' || href), 'on') THEN 2 END FROM lk) WHERE tier IS NOT NULL GROUP BY page_id, target"""))
+    WHEN contains(lower(title || ' ' || href), 'on') THEN 2 END FROM lk) JOIN pages USING (page_id) WHERE tier IS NOT NULL GROUP BY page_id, target"""))
 def tiered_link_match(spark, sf):
-    return listings.tiered_link_match(listings.anchors(_pages(spark, sf)), RULES, ["page_id"])
+    links = listings.anchors(table(spark, sf, "pages").select("page_id", "url", "html"))
+    return listings.tiered_link_match(links, RULES, ["page_id"], F.col("url"))
 
 
 @query("download_pdf_links", O.with_(LINKS, body="""
@@ -377,7 +392,8 @@ def refresh_stream(spark, sf):
     return spark.read.parquet(f"{base}/actions").select("source_id", "value", "value_date", "action")
 
 
-@query("publication_stream", O.with_(LINKS, body="SELECT DISTINCT href AS url FROM lk WHERE href <> '' AND title <> ''"))
+@query("publication_stream", O.with_(LINKS, body="""
+SELECT DISTINCT regexp_extract(url, '^[a-z]+://[^/]+') || href AS url FROM lk JOIN pages USING (page_id) WHERE href LIKE '/%' AND title <> ''"""))
 def publication_stream(spark, sf):
     base = work_folder(spark, "publications")
     publications.publication_stream(spark, f"{sf}/pages*.parquet", f"{base}/links", f"{base}/state").awaitTermination()
