@@ -33,7 +33,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,8 +48,8 @@ RADIUS = 4
 SEGMENTS = 5
 #: Segments of a chain that the join itself meets. 3 gives keys of 39 bits, for more than some 10**8 fingerprints.
 CHAIN = 2
-#: Members of a bucket that all others are compared with.
-HUBS = 3
+#: Members of a bucket that all others are compared with, besides the least and the greatest.
+DRAWS = 2
 
 #: The five primes of XXH64, fixed values.
 P1, P2, P3, P4, P5 = (np.uint64(p) for p in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
@@ -236,20 +236,23 @@ def linked_fingerprints(nodes: DataFrame, chain: int = CHAIN, segments: int = SE
     # of two that meet, one stands there by its own bits
     shared = staged(spots.groupBy(*bucket).agg(F.count("*").alias("n"), F.max("own").alias("own")).where("n > 1 AND own").select(*bucket), "shared")
     met = staged(spots.join(small_side(shared), bucket, "left_semi"), "met")
-    draws = [F.min_by("bits", F.when(F.col("own"), F.xxhash64("bits", F.lit(turn)))) for turn in range(HUBS)]
-    hubs = staged(met.groupBy(*bucket).agg(F.count("*").alias("n"), F.array_distinct(F.array(*draws)).alias("hubs")), "hubs")
+    owned = F.when(F.col("own"), F.col("bits"))
+    ends = [F.min(owned), F.max(owned)]  # two members are two hubs, of more some are drawn
+    draws = [F.min_by("bits", F.when(F.col("own"), F.xxhash64("bits", F.lit(turn)))) for turn in range(DRAWS)]
+    hubs = staged(met.groupBy(*bucket).agg(F.count("*").alias("n"), F.count(owned).alias("n_own"), F.array_distinct(F.array(*ends, *draws)).alias("hubs")), "hubs")
     stars = met.join(hubs, bucket).select("start", "bits", F.explode("hubs").alias("hub")).where("bits <> hub").where(
         chain_holds("bits", "hub", F.col("start"), chain, segments, radius))
     parts = staged(connected_components(stars.select(F.col("bits").alias("a"), F.col("hub").alias("b"))), "parts")
 
-    # buckets of several components in which two members met no hub
-    crowded = met.join(hubs.where(F.col("n") > F.size("hubs") + 1).select(*bucket), bucket).select(*bucket, "bits")
+    # buckets of several components in which one that stands by its own bits and another met no hub
+    unmet = (F.col("n_own") > F.size("hubs")) & (F.col("n") > F.size("hubs") + 1)
+    crowded = met.join(hubs.where(unmet).select(*bucket), bucket).select(*bucket, "bits")
     located = crowded.join(parts, crowded.bits == parts.node, "left").withColumn("component", F.coalesce("component", "bits")).drop("node")
     mixed = located.groupBy(*bucket).agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select(*bucket)
     loose = located.join(mixed, bucket, "left_semi").select("bits").distinct()
     patterns = loose.mapInArrow(lambda batches: _half_way(batches, radius), "pattern long, bits long")
-    shares = patterns.groupBy("pattern").agg(F.min("bits").alias("a"), F.max("bits").alias("b")).where("a <> b")
-    more = patterns.join(shares.select("pattern", "a"), "pattern").where("bits <> a").select("a", F.col("bits").alias("b"))
+    # a pattern has 2,081 neighbours at most, so its window is small
+    more = patterns.withColumn("a", F.min("bits").over(W.partitionBy("pattern"))).where("bits <> a").select("a", F.col("bits").alias("b"))
     known = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
     return connected_components(known.unionByName(more))
 
@@ -257,7 +260,9 @@ def linked_fingerprints(nodes: DataFrame, chain: int = CHAIN, segments: int = SE
 def simhash_components(documents: DataFrame, k: int = WORDS) -> DataFrame:
     """One row per row of ``documents``: doc_id, fingerprint, component_id."""
     rows = staged(fingerprints(documents, k), "fingerprints")
-    nodes = staged(rows.groupBy("bits").agg(F.min("doc_id").alias("lowest")), "nodes")
+    # every fingerprint becomes some seventy rows further on, so they are dealt to all tasks
+    tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    nodes = staged(rows.groupBy("bits").agg(F.min("doc_id").alias("lowest")).repartition(tasks, "bits"), "nodes")
     parts = linked_fingerprints(nodes.select("bits"))
     grouped = nodes.join(parts, nodes.bits == parts.node, "left").withColumn("component", F.coalesce("component", "bits"))
     names = grouped.groupBy("component").agg(F.min("lowest").alias("component_id"))
