@@ -134,5 +134,32 @@ def test_refresh_stream_continues_versions_and_replays_cleanly(spark, tmp_path):
     stored = spark.read.parquet(f"{base}/reg")
     live = tables.live_versions(stored).first()
     assert (stored.count(), live.version, live.value) == (2, 2, .2)
-    _, again = refresh.apply_batch(second, stored, 1)
+    again = refresh.versions(refresh.decide(second, stored, 1), stored, 1)
     assert sorted((r.version, r.value) for r in again.collect()) == [(2, .2)]
+
+
+def test_a_batch_reads_the_buckets_of_its_sources_only(spark, tmp_path):
+    base = str(tmp_path)
+    first = bench(spark, *[{"source_id": f"s{i}", "inserted_at": dt.datetime(2025, 1, 1)} for i in range(200)])
+    first.coalesce(1).write.parquet(f"{base}/in")
+    refresh.refresh_stream(spark, f"{base}/in", f"{base}/reg", f"{base}/act", f"{base}/cp").awaitTermination()
+    bucket = spark.createDataFrame([("s7",)], "source_id string").select(refresh.bucket_of().alias("b")).first().b
+    held = refresh.stored_versions(spark, f"{base}/reg", [bucket])
+    assert {r.bucket for r in held.select("bucket").distinct().collect()} == {bucket} and 0 < held.count() < 20
+    files = spark.read.parquet(f"{base}/reg").inputFiles()
+    assert len({f.split("bucket=")[1].split("/")[0] for f in files}) > 50
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert refresh.stored_versions(spark, f"{base}/none", [1]).count() == 0
+
+
+def test_superseding_nothing_live_is_refused(spark):
+    stored = bench(spark, {"source_id": "a", "version": 3})
+    entries = bench(spark, {"source_id": "a", "value": .2}, {"source_id": "zz", "value": .3})
+    assert {r.source_id: (r.prior_version, r.dropped) for r in registry.supersede_verdicts(stored, entries.drop("version")).collect()} == {
+        "a": (3, None), "zz": (None, "nothing_to_supersede")}
+    order = [F.col("value")]
+    good = registry.supersede(stored, entries.where("source_id = 'a'"), order, F.to_date("inserted_at"))
+    assert [(r.source_id, r.version, r.superseded_by) for r in good.collect()] == [("a", 4, None)]
+    with pytest.raises(Exception, match="no live benchmark to supersede: zz"):
+        registry.supersede(stored, entries, order, F.to_date("inserted_at")).collect()

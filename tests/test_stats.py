@@ -31,16 +31,19 @@ def test_exact_median_carries_the_newest_date(spark):
     assert (row["median"], row.d) == (0.2, 9)
 
 
-def test_number_rows_and_previous_value_across_slices(spark):
+def test_number_rows_and_folded_state_across_slices(spark):
     rnd = random.Random(3)
     rows = [("hot" if i % 3 else "cold", i, rnd.randint(0, 4)) for i in range(400)]
     rnd.shuffle(rows)
     df = spark.createDataFrame(rows, "k string, t int, v int")
     slices = F.floor(F.col("t") / 10)
     numbered = {(r.k, r.t): r.rn for r in stats.number_rows(df, ["k"], [F.col("t")], slices).collect()}
-    previous = {(r.k, r.t): r.p for r in stats.previous_in_order(df, ["k"], [F.col("t")], slices, "v", "p").collect()}
+    sized = stats.number_rows(df, ["k"], [F.col("t")], slices, total="all").collect()
+    assert {(r.k, r["all"]) for r in sized} == {(k, sum(x == k for x, _, _ in rows)) for k in ("hot", "cold")}
+    entry = F.struct(F.col("v").alias("v"), F.col("t").alias("t"))
+    before = {(r.k, r.t): r.p and tuple(r.p) for r in stats.state_before(df, ["k"], [F.col("t")], slices, entry, "p").collect()}
     for key in ("hot", "cold"):
-        ordered = sorted((t, v) for k, t, v in rows if k == key)
-        for n, (t, _) in enumerate(ordered):
-            assert numbered[key, t] == n + 1
-            assert previous[key, t] == (ordered[n - 1][1] if n else None)
+        own = sorted((t, v) for k, t, v in rows if k == key)
+        for i, (t, _) in enumerate(own):
+            assert numbered[key, t] == i + 1
+            assert before[key, t] == (max((v, u) for u, v in own[:i]) if i else None)

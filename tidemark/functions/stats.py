@@ -14,6 +14,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from tidemark.session import staged
+
 # Rates lie in [0, 1]; wider values fall into the two end buckets, still exact.
 GRID = 4096
 
@@ -63,17 +65,19 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "med
     )
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], coarse: Column, out: str = "rn") -> DataFrame:
-    """1-based position of each row in its key group.
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], coarse: Column, out: str = "rn",
+                total: str | None = None) -> DataFrame:
+    """1-based position of each row in its key group, and the group's size where ``total`` names a column for it.
 
     ``coarse`` must not decrease along ``order`` (a day of a timestamp). The
     sort runs per (key, coarse) slice; slice offsets come from slice counts.
     """
     keys = list(keys)
+    whole = {} if total is None else {total: F.sum("_sc").over(W.partitionBy(*keys))}
     sliced = df.withColumn("_slice", coarse)
     slices = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_sc"))
     along = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, 0)
-    offsets = slices.withColumn("_offset", F.sum("_sc").over(along) - F.col("_sc")).drop("_sc")
+    offsets = slices.withColumns({"_offset": F.sum("_sc").over(along) - F.col("_sc"), **whole}).drop("_sc")
     local = F.row_number().over(W.partitionBy(*keys, "_slice").orderBy(*order))
     return (
         sliced.withColumn("_local", local)
@@ -83,23 +87,23 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], coa
     )
 
 
-def previous_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[Column], coarse: Column,
-                      value: str, out: str) -> DataFrame:
-    """``lag(value)`` within each key group, sorted slice by slice as above."""
+def state_before(df: DataFrame, keys: Sequence[str], order: Sequence[Column], coarse: Column, entry: Column, out: str) -> DataFrame:
+    """Greatest ``entry`` (a struct) of all rows before each row in its key group, in two levels.
+
+    Each (key, coarse) slice is folded by itself and gives one summary, its greatest entry; the
+    summaries of a key are folded in turn and carried into their slices. The folded slices are a
+    written table, so the input is read once and no key is ever one sort. ``coarse`` must not
+    decrease along ``order``.
+    """
     keys = list(keys)
-    sliced = df.withColumn("_slice", coarse)
-    rank = F.struct(*order)
-    lasts = sliced.groupBy(*keys, "_slice").agg(F.max_by(F.struct(F.col(value).alias("v")), rank).alias("_last"))
-    along = W.partitionBy(*keys).orderBy("_slice")
-    carried = lasts.withColumn("_carry", F.lag("_last").over(along)).drop("_last")
-    local = F.lag(F.struct(F.col(value).alias("v"))).over(W.partitionBy(*keys, "_slice").orderBy(*order))
-    return (
-        sliced.withColumn("_local", local)
-        .join(carried, [*keys, "_slice"])
-        .withColumn("_prev", F.coalesce(F.col("_local"), F.col("_carry")))
-        .withColumn(out, F.col("_prev.v"))
-        .drop("_slice", "_local", "_carry", "_prev")
-    )
+    whole = W.partitionBy(*keys, "_slice")
+    along = whole.orderBy(*order)
+    folded = staged(df.withColumns({"_slice": coarse, "_entry": entry}).withColumns({
+        "_local": F.max("_entry").over(along.rowsBetween(W.unboundedPreceding, -1)), "_sum": F.max("_entry").over(whole),
+        "_opens": F.row_number().over(along) == 1}).drop("_entry"), "folded")
+    earlier = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    carried = folded.where("_opens").select(*keys, "_slice", F.max("_sum").over(earlier).alias("_carry"))
+    return folded.join(carried, [*keys, "_slice"]).withColumn(out, F.greatest("_local", "_carry")).drop("_slice", "_local", "_sum", "_opens", "_carry")
 
 
 def safe_ratio(num: Column, den: Column, digits: int = 6) -> Column:

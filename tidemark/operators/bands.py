@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidemark import fixed_values as V
 from tidemark.functions import text as X
+from tidemark.operators import checks
 
 BAND = r"(\d+\.\d+ to <\d+\.\d+|100\.00 \(Default\))\s+(.*)$"
 MACQUARIE_BAND = r"(\d+\.\d+ to <\d+\.\d+|100\.00 \(Non-Performing\))\s+(.*)$"
@@ -28,8 +29,13 @@ NON_PERFORMING = "100.00 (Non-Performing)"
 _CUT, _END = "\u0001", "\u0002"
 
 
+def plain_lines(text: Column) -> Column:
+    """Trimmed lines of a text that has been normalised."""
+    return F.transform(F.split(text, "\n"), lambda x: F.trim(x))
+
+
 def trimmed_lines(text: Column) -> Column:
-    return F.transform(F.split(X.plain_text(text), "\n"), lambda x: F.trim(x))
+    return plain_lines(X.plain_text(text))
 
 
 def carried_lines(df: DataFrame, lines: Column, label: Callable[[Column, Column, Column], Column]) -> DataFrame:
@@ -88,22 +94,23 @@ def portfolio_label(patterns: Sequence[tuple[str, str]], index_prefix: str | Non
 
 def _band_cells(lines: DataFrame, keys: Sequence[str], band: str, columns: dict[str, int],
                 tidy: Callable[[Column], Column] = lambda rest: rest) -> DataFrame:
-    """Band lines as (keys, label, pd_band, named token values); each line is split once."""
+    """Band lines as (keys, label, pd_band, named token values), also those under no label; each line is split once."""
     rest = tidy(F.regexp_extract("line", band, 2))
     cells = X.let(F.split(F.trim(rest), r"\s+"), lambda tok: F.struct(
         *[X.number_token(F.get(tok, F.lit(i))).alias(n) for n, i in columns.items()]))
-    return lines.where(F.col("label").isNotNull() & F.col("line").rlike(band)).select(
+    return lines.where(F.col("line").rlike(band)).select(
         *keys, "label", F.regexp_extract("line", band, 1).alias("pd_band"), F.inline(F.array(cells)))
 
 
 def _metric_rows(rows: DataFrame, keys: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
-    """PD and LGD cells as rows, implausible values dropped."""
+    """PD and LGD cells as rows, each with its verdict."""
     cells = F.array(*[F.struct(F.lit(m).alias("metric_name"), (F.col(m) / 100).alias("value"), F.lit(hi).alias("hi"))
                       for m, hi in (("pd", V.METRIC_CEILINGS["pd"]), ("lgd", V.METRIC_CEILINGS["lgd"]))])
     long = rows.withColumn("c", F.explode(cells))
-    return long.where(F.col("c.value").between(0.0, F.col("c.hi"))).select(
+    reason = checks.verdict((F.col("label").isNull(), "no_portfolio"), *checks.range_rules(F.col("c.value"), F.col("c.hi")))
+    return long.select(
         *keys, F.col("label").alias("asset_class"), F.col("c.metric_name").alias("metric_name"), F.col("c.value").alias("value"),
-        "pd_band", *extra)
+        "pd_band", *extra, reason.alias("dropped"))
 
 
 def bank_patterns(bank: str) -> tuple[tuple[str, str], ...]:
@@ -112,7 +119,13 @@ def bank_patterns(bank: str) -> tuple[tuple[str, str], ...]:
 
 def band_rows(pages: DataFrame, patterns: Sequence[tuple[str, str]] = V.BAND_TABLE_PORTFOLIOS,
               index_prefix: str | None = None) -> DataFrame:
-    """PD-band table rows of every page that carries the table header.
+    """The accepted rows of ``band_verdicts``."""
+    return checks.accepted(band_verdicts(pages, patterns, index_prefix))
+
+
+def band_verdicts(pages: DataFrame, patterns: Sequence[tuple[str, str]] = V.BAND_TABLE_PORTFOLIOS,
+                  index_prefix: str | None = None) -> DataFrame:
+    """PD-band table rows of every page that carries the table header, with what is dropped and why.
 
     Text after the next table header on the page is not read. The fifth token
     after the band is the PD, the seventh the LGD, both in percent.
@@ -120,7 +133,7 @@ def band_rows(pages: DataFrame, patterns: Sequence[tuple[str, str]] = V.BAND_TAB
     keys = [c for c in pages.columns if c != "text"]
     plain = pages.withColumn("text", X.plain_text(F.col("text")))
     bodies = plain.where(F.col("text").rlike(TABLE_HEADER)).withColumn("text", F.regexp_replace("text", NEXT_TABLE, ""))
-    lines = carried_lines(bodies, trimmed_lines(F.col("text")), portfolio_label(patterns, index_prefix))
+    lines = carried_lines(bodies, plain_lines(F.col("text")), portfolio_label(patterns, index_prefix))
     return _metric_rows(_band_cells(lines, keys, BAND, {"pd": 4, "lgd": 6}), keys)
 
 
@@ -149,6 +162,12 @@ def target_pages(pages: DataFrame, target: str) -> DataFrame:
 
 def split_percent_rows(pages: DataFrame, target: str,
                        patterns: Sequence[tuple[str, str]] = V.MACQUARIE_PORTFOLIOS) -> DataFrame:
+    """The accepted rows of ``split_percent_verdicts``."""
+    return checks.accepted(split_percent_verdicts(pages, target, patterns))
+
+
+def split_percent_verdicts(pages: DataFrame, target: str,
+                           patterns: Sequence[tuple[str, str]] = V.MACQUARIE_PORTFOLIOS) -> DataFrame:
     """Variant with detached percent signs and a default band broken over two lines; keeps the exposure."""
     keys = [c for c in pages.columns if c != "text"]
     joined = F.regexp_replace("text", r"(?m)^\s*100\.00 \(Non-\s*\n\s*Performing\)", "100.00 (Non-Performing)")
@@ -157,7 +176,7 @@ def split_percent_rows(pages: DataFrame, target: str,
     def label(line: Column, i: Column, lines: Column) -> Column:
         return F.when(~line.rlike(MACQUARIE_BAND), X.contains_class(line, patterns))
 
-    lines = carried_lines(bodies, trimmed_lines(F.col("text")), label)
+    lines = carried_lines(bodies, plain_lines(F.col("text")), label)
     rows = _band_cells(lines, keys, MACQUARIE_BAND, {"pd": 4, "lgd": 6, "ead_mn": 3},
                        lambda rest: F.regexp_replace(rest, r"(\S+) %(?=\s|$)", "$1%"))
     return _metric_rows(rows, keys, ["ead_mn"])
@@ -180,6 +199,7 @@ def ead_weighted_portfolio(bands: DataFrame, keys: Sequence[str] = ("doc_id",))
 def slotting_weights(pages: DataFrame, header: str = "CR10") -> DataFrame:
     """Prescribed risk weight of every slotting grade a page mentions."""
     keys = [c for c in pages.columns if c != "text"]
+    pages = pages.withColumn("text", X.plain_text(F.col("text")))
     low = F.lower("text")
     grades = F.array_compact(F.array(*[
         F.when(low.contains(g.lower()), F.struct(F.lit(c).alias("asset_class"), F.lit(w).alias("value")))
@@ -189,6 +209,11 @@ def slotting_weights(pages: DataFrame, header: str = "CR10") -> DataFrame:
 
 
 def alias_band_rows(pages: DataFrame, source: str = "judo") -> DataFrame:
+    """The accepted rows of ``alias_band_verdicts``."""
+    return checks.accepted(alias_band_verdicts(pages, source))
+
+
+def alias_band_verdicts(pages: DataFrame, source: str = "judo") -> DataFrame:
     """Banded PDs whose labels go through the alias map; PD capped at one."""
     keys = [c for c in pages.columns if c != "text"]
 
@@ -206,4 +231,5 @@ def alias_band_rows(pages: DataFrame, source: str = "judo") -> DataFrame:
     rows = _band_cells(lines, keys, LOOSE_BAND, {"pd": 4}).select(
         *keys, F.split_part("label", F.lit("|"), F.lit(1)).alias("segment"), F.substring_index("label", "|", -1).alias("published_label"),
         F.regexp_replace("pd_band", r"\s+", " ").alias("pd_band"), (F.col("pd") / 100).alias("value"))
-    return rows.where(F.col("value").between(0.0, V.METRIC_CEILINGS["pd"])).withColumn("value", F.least("value", F.lit(1.0)))
+    reason = checks.verdict((F.col("segment").isNull(), "no_portfolio"), *checks.range_rules(F.col("value"), V.METRIC_CEILINGS["pd"]))
+    return rows.withColumn("dropped", reason).withColumn("value", F.when(F.col("dropped").isNull(), F.least("value", F.lit(1.0))).otherwise(F.col("value")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark import fixed_values as V
 from tidemark.functions import labels as L
@@ -86,6 +86,43 @@ def check_industry_rows(rows: DataFrame) -> DataFrame:
     return rows.withColumn("errors", failures(*rules))
 
 
+# --- two verdicts: a parser marks what it would drop, the sink splits ------------------------
+
+def verdict(*rules: tuple[Column, str]) -> Column:
+    """Reason of the first rule whose condition holds; null for a row that is accepted."""
+    return L.first_match([(F.coalesce(cond, F.lit(False)), F.lit(reason)) for cond, reason in rules], F.lit(None).cast("string"))
+
+
+def range_rules(value: Column, high: Column | float, low: float = 0.0) -> tuple[tuple[Column, str], ...]:
+    """A cell without a number, and a number outside its range."""
+    return (value.isNull(), "no_value"), (~value.between(low, high), "out_of_range")
+
+
+def accepted(rows: DataFrame) -> DataFrame:
+    """The rows a parser keeps."""
+    return rows.where("dropped IS NULL").drop("dropped")
+
+
+def quarantined(rows: DataFrame) -> DataFrame:
+    """The rows a parser would drop, each with its reason in ``dropped``."""
+    return rows.where("dropped IS NOT NULL")
+
+
+def conform(rows: DataFrame, contract: T.StructType, adapter: str) -> DataFrame:
+    """Rows with the columns of an adapter's output contract, in its order and types; a missing column is refused before any work."""
+    require_columns(rows, tuple(contract.fieldNames()), adapter)
+    return rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in contract.fields))
+
+
+def observation_verdicts(rows: DataFrame, contract: T.StructType, adapter: str) -> DataFrame:
+    """Parser rows through the observation rules: rows dropped while parsing keep that reason, others get the rules they break."""
+    parsed = rows if "dropped" in rows.columns else rows.withColumn("dropped", F.lit(None).cast("string"))
+    shaped = conform(parsed, T.StructType([*contract.fields, T.StructField("dropped", T.StringType())]), adapter)
+    errors = check_observations(shaped)
+    broken = F.when(F.size("errors") > 0, F.array_join("errors", ", "))
+    return errors.withColumn("dropped", F.coalesce("dropped", broken)).drop("errors")
+
+
 # --- plausibility: keep in-range rows, drop the rest with a reason --------------------------
 
 def within(rows: DataFrame, value: str, low: Column, high: Column) -> DataFrame:

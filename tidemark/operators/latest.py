@@ -77,20 +77,15 @@ def assign_versions(arrivals: DataFrame, order: Sequence[Column], coarse: Column
 
     ``superseded_by`` carries the row's own id, and is null on the live version.
     """
-    numbered = number_rows(arrivals, ["source_id"], order, coarse, "version")
+    numbered = number_rows(arrivals, ["source_id"], order, coarse, "version", "_last")
     if prior is not None:
         base = prior.groupBy("source_id").agg(F.max("version").alias("_base"))
         numbered = (
             numbered.join(base, "source_id", "left")
-            .withColumn("version", (F.col("version") + F.coalesce(F.col("_base"), F.lit(0))).cast("int"))
+            .withColumns({c: (F.col(c) + F.coalesce(F.col("_base"), F.lit(0))).cast("int") for c in ("version", "_last")})
             .drop("_base")
         )
-    last = numbered.groupBy("source_id").agg(F.max("version").alias("_last"))
-    return (
-        numbered.join(last, "source_id")
-        .withColumn("superseded_by", F.when(F.col("version") < F.col("_last"), F.col("source_id")))
-        .drop("_last")
-    )
+    return numbered.withColumn("superseded_by", F.when(F.col("version") < F.col("_last"), F.col("source_id"))).drop("_last")
 
 
 def segment_trend(observations: DataFrame) -> DataFrame:

@@ -6,11 +6,12 @@ import datetime as dt
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark import schemas
 from tidemark.functions import labels as L
-from tidemark.functions.stats import previous_in_order
+from tidemark.functions.stats import state_before
+from tidemark.operators.latest import assign_versions
 from tidemark.sources.tables import live_versions
 
 
@@ -92,43 +93,20 @@ def duplicate_versions(batch: DataFrame, stored: DataFrame) -> DataFrame:
 def refresh_actions(incoming: DataFrame, registry: DataFrame, order: Sequence[Column], coarse: Column) -> DataFrame:
     """Action for each incoming entry, applied in arrival order.
 
-    An entry is compared with the state left by the registry and the entries
-    before it. The state date never goes back, so an entry is too old exactly
-    when the registry, or an earlier arrival, has a later date; the value it
-    would replace is the one last accepted for the same date. Both questions
-    are answered per (source, date), never by walking a whole source.
+    An entry is compared with the state left by the registry and the entries before it: the latest date and
+    the value last seen for it. The state is a fold in which a later date wins, and of one date the later
+    arrival, so it is the greatest (date, arrival, value) so far. ``incoming`` is read once.
     """
     latest = registry.groupBy("source_id").agg(
         F.max_by(F.struct("value_date", "value"), F.col("version")).alias("_r")
-    ).select("source_id", F.col("_r.value_date").alias("reg_date"), F.col("_r.value").alias("reg_value"))
-
-    rank = F.struct(*order)
-    dated = incoming.withColumn("_rank", rank)
-    firsts = dated.groupBy("source_id", "value_date").agg(F.min("_rank").alias("_first"))
-    later_dates = W.partitionBy("source_id").orderBy(F.desc("value_date")).rowsBetween(W.unboundedPreceding, -1)
-    overtaken = firsts.select(
-        "source_id", "value_date",
-        F.min("_first").over(later_dates).alias("_overtaken"),
-    )
-    earlier_dates = W.partitionBy("source_id").orderBy("_first")
-    state_before = firsts.select(
-        "source_id", "value_date",
-        F.max("value_date").over(earlier_dates.rowsBetween(W.unboundedPreceding, -1)).alias("_batch_date"),
-    )
-    chained = previous_in_order(dated, ["source_id", "value_date"], order, coarse, "value", "_prev_value")
-    rows = (
-        chained.join(overtaken, ["source_id", "value_date"])
-        .join(state_before, ["source_id", "value_date"])
-        .join(latest, "source_id", "left")
-    )
-    first_of_date = F.col("_prev_value").isNull()
-    prior_date = F.greatest(F.col("reg_date"), F.col("_batch_date"))
-    too_old = F.coalesce(F.col("reg_date") > F.col("value_date"), F.lit(False)) | F.coalesce(
-        F.col("_overtaken") < F.col("_rank"), F.lit(False))
-    known = F.col("reg_date").isNotNull() | F.col("_batch_date").isNotNull() | ~first_of_date
-    state_value = F.coalesce(F.col("_prev_value"), F.when(F.col("reg_date") == F.col("value_date"), F.col("reg_value")))
-    same_date = ~first_of_date | F.coalesce(F.col("reg_date") == F.col("value_date"), F.lit(False))
-    unchanged = same_date & (state_value == F.col("value"))
+    ).select("source_id", F.col("_r.value_date").alias("_reg_date"), F.col("_r.value").alias("_reg_value"))
+    entry = F.struct(F.col("value_date").alias("date"), F.struct(*order).alias("rank"), F.col("value").alias("value"))
+    rows = state_before(incoming, ["source_id"], order, coarse, entry, "_state").join(latest, "source_id", "left")
+    stored = F.col("_state").isNull() | F.coalesce(F.col("_reg_date") > F.col("_state.date"), F.lit(False))
+    held_date = F.when(stored, F.col("_reg_date")).otherwise(F.col("_state.date"))
+    held_value = F.when(stored, F.col("_reg_value")).otherwise(F.col("_state.value"))
+    known, same_date = held_date.isNotNull(), held_date == F.col("value_date")
+    too_old, unchanged = held_date > F.col("value_date"), same_date & (held_value == F.col("value"))
     action = L.first_match(
         [
             (~known, F.lit("add")),
@@ -144,11 +122,26 @@ def refresh_actions(incoming: DataFrame, registry: DataFrame, order: Sequence[Co
             (unchanged, F.lit("identical value_date and value already in registry")),
             (same_date, F.lit("value correction (same date, new value)")),
         ],
-        F.concat(F.lit("newer data ("), prior_date.cast("string"), F.lit(" -> "), F.col("value_date").cast("string"), F.lit(")")),
+        F.concat(F.lit("newer data ("), held_date.cast("string"), F.lit(" -> "), F.col("value_date").cast("string"), F.lit(")")),
     )
     return rows.select(*incoming.columns, action.alias("action"), reason.alias("reason"))
 
 
+def supersede_verdicts(benchmarks: DataFrame, entries: DataFrame) -> DataFrame:
+    """Entries meant to replace a live version, with its ``prior_version``; ``dropped`` where there is none to replace."""
+    live = benchmarks.groupBy("source_id").agg(F.max("version").alias("prior_version"))
+    rows = entries.join(live, "source_id", "left")
+    return rows.withColumn("dropped", F.when(F.col("prior_version").isNull(), F.lit("nothing_to_supersede")))
+
+
+def supersede(benchmarks: DataFrame, entries: DataFrame, order: Sequence[Column], coarse: Column) -> DataFrame:
+    """New versions of sources that have a live one, numbered on; the job fails on the first entry that has none."""
+    rows = supersede_verdicts(benchmarks, entries)
+    guard = F.when(F.col("dropped").isNotNull(), F.raise_error(F.concat(F.lit("no live benchmark to supersede: "), F.col("source_id"))))
+    held = rows.where(F.coalesce(guard.cast("boolean"), F.lit(True))).drop("dropped", "prior_version", "version", "superseded_by")
+    return assign_versions(held, order, coarse, prior=benchmarks)
+
+
 def refresh_counts(actions: DataFrame) -> DataFrame:
     return actions.groupBy("action").agg(F.count(F.lit(1)).alias("n"))
 
@@ -203,11 +196,6 @@ def append_observations(accepted: DataFrame, path: str) -> None:
     rows.hint("rebalance", "parameter", "as_of_year").write.mode("append").partitionBy("parameter", "as_of_year").parquet(path)
 
 
-def write_registry_snapshot(rows: DataFrame, path: str) -> None:
-    """Whole new snapshot; readers switch when the caller moves its pointer."""
-    rows.write.mode("errorifexists").parquet(path)
-
-
 def audit_append(spark: SparkSession, path: str, operation: str, entity_id: str | None, params: Mapping,
                  result: str, at: dt.datetime, actor: str = "system") -> None:
     """One audit row per operation, reads included."""

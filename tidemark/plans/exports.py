@@ -29,6 +29,12 @@ def write_csv(df: DataFrame, path: str, order: Sequence[str], small: bool = Fals
      .option("nullValue", "").csv(path))
 
 
+def write_verdicts(rows: DataFrame, path: str) -> None:
+    """A parser's rows in one pass: ``verdict=accepted`` and ``verdict=quarantine`` as two partitions of one table."""
+    verdict = F.when(F.col("dropped").isNull(), F.lit("accepted")).otherwise(F.lit("quarantine"))
+    rows.withColumn("verdict", verdict).write.mode("overwrite").partitionBy("verdict").parquet(path)
+
+
 def export_model_inputs(observations: DataFrame, scenarios: Sequence[Scenario], bands: DataFrame, out: str) -> None:
     """The five model-input tables as Parquet and CSV, columns in published order."""
     for name, table in inputs.model_input_bundle(observations, scenarios, bands).items():

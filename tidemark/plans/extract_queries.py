@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.labels import first_match
-from tidemark.operators import bands, disclosures, industry_tables as tables_ops
+from tidemark.operators import bands, checks, disclosures, industry_tables as tables_ops
 from tidemark.plans import oracle_parts as O
 from tidemark.plans.catalog import query
 from tidemark.sources import testbed_pages as P
@@ -188,6 +188,47 @@ def disclosure_rows(spark, sf):
     return _r8(out).drop("product", "sample_size_n", "period_start")
 
 
+# --- what parsers drop ------------------------------------------------------------------------------
+
+DROPPED = """
+SELECT 'cr6' AS parser, doc_id, metric AS metric_name, v AS value, why AS dropped FROM (
+  SELECT doc_id, 'lgd' AS metric, 1.5 AS v, 'out_of_range' AS why FROM li WHERE l_linenumber <> 7 AND l_orderkey % 5 = 3
+  UNION ALL SELECT doc_id, 'lgd', NULL, 'no_value' FROM li WHERE l_linenumber <> 7 AND l_orderkey % 5 = 2
+  UNION ALL SELECT doc_id, 'pd', pd, 'no_portfolio' FROM li WHERE l_linenumber <> 7 AND l_orderkey % 5 = 4
+  UNION ALL SELECT doc_id, 'lgd', lgd, 'no_portfolio' FROM li WHERE l_linenumber <> 7 AND l_orderkey % 5 = 4)
+UNION ALL SELECT 'alias', doc_id, 'pd', pd, 'no_portfolio' FROM li WHERE l_orderkey % 3 = 2
+UNION ALL SELECT 'alias', doc_id, 'pd', NULL, 'no_value' FROM li
+UNION ALL SELECT 'note', doc_id, 'impaired', 0.03, 'no_segment' FROM li
+UNION ALL SELECT 'update', doc_id, 'loss_rate', round(l_quantity * 3 / 100, 8), 'out_of_range' FROM li WHERE l_quantity * 3 > 100
+UNION ALL SELECT 'results', doc_id, 'arrears', round(l_quantity * 2.5 / 100, 8), 'out_of_range' FROM li WHERE l_quantity * 2.5 > 100"""
+
+
+def _more(pages, *parts):
+    return pages.withColumn("text", F.concat("text", F.lit("\n"), *parts))
+
+
+def _verdicts(spark, sf):
+    """Rows of five parsers with their verdicts; results and updates end in a rate that may exceed the whole."""
+    none = F.lit(None).cast("date")
+    quantity = P.table(spark, sf, "lineitem").select(F.expr(P.LINE_ID).alias("doc_id"), "l_quantity")
+
+    def with_rate(pages, before, times):
+        return _more(pages.join(quantity, "doc_id"), F.lit(before), P.num(F.col("l_quantity") * times, 2), F.lit("%")).drop("l_quantity")
+
+    shape = lambda name, rows, metric: rows.select(F.lit(name).alias("parser"), "doc_id", F.col(metric).alias("metric_name"), F.round("value", 8).alias("value"), "dropped")
+    return (
+        shape("cr6", bands.band_verdicts(P.band_pages(spark, sf)), "metric_name")
+        .unionByName(shape("alias", bands.alias_band_verdicts(P.alias_band_pages(spark, sf)).withColumn("metric_name", F.lit("pd")), "metric_name"))
+        .unionByName(shape("note", disclosures.impaired_verdicts(P.note_pages(spark, sf), none), "parameter"))
+        .unionByName(shape("update", disclosures.update_verdicts(with_rate(P.update_pages(spark, sf), "Annualised net losses of ", 3), none), "parameter"))
+        .unionByName(shape("results", disclosures.results_verdicts(with_rate(P.results_pages(spark, sf), "90+ days arrears of ", 2.5), none), "parameter")))
+
+
+@query("dropped_rows", O.with_(L0, body=DROPPED))
+def dropped_rows(spark, sf):
+    return checks.quarantined(_verdicts(spark, sf))
+
+
 # --- industry tables --------------------------------------------------------------------------------
 
 O0 = """

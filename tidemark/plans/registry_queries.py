@@ -344,6 +344,14 @@ def refresh_counts(spark, sf):
     return registry.refresh_counts(_actions(spark, sf))
 
 
+@query("supersede_refusals", O.with_(*REG_SPLIT, INCOMING, body="""
+SELECT source_id, count(*) AS n, min(value_date) AS first_date FROM acts WHERE source_id NOT IN (SELECT source_id FROM bench) GROUP BY source_id"""))
+def supersede_refusals(spark, sf):
+    """Sources of which there is nothing live to replace, among entries meant to replace one."""
+    rows = registry.supersede_verdicts(_bench(spark, sf, testbed.SPLIT_DATE), testbed.incoming(spark, sf))
+    return checks.quarantined(rows).groupBy("source_id").agg(F.count(F.lit(1)).alias("n"), F.min("value_date").alias("first_date"))
+
+
 @query("ingest_status", O.with_(*REG, body="SELECT source_type, max(retrieval_date) AS last_retrieval FROM bench GROUP BY source_type"))
 def ingest_status(spark, sf):
     return registry.ingest_status(_bench(spark, sf))

@@ -23,6 +23,9 @@ RAW_OBSERVATIONS = _struct(
     ("obs_seq", _L, False),
 )
 
+#: What an adapter hands on: an observation before the store numbers it. Rules, not the schema, refuse nulls.
+PARSED_OBSERVATION = T.StructType([T.StructField(f.name, f.dataType) for f in RAW_OBSERVATIONS.fields if f.name != "obs_seq"])
+
 BENCHMARKS = _struct(
     ("source_id", _S, False), ("version", _I, False), ("publisher", _S, False),
     ("source_type", _S, False), ("data_type", _S, False), ("asset_class", _S, False),
