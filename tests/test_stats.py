@@ -47,3 +47,10 @@ def test_number_rows_and_folded_state_across_slices(spark):
         for i, (t, _) in enumerate(own):
             assert numbered[key, t] == i + 1
             assert before[key, t] == (max((v, u) for u, v in own[:i]) if i else None)
+
+
+def test_medians_of_money_and_of_single_values(spark):
+    rnd = random.Random(9)
+    rows = [("money", round(rnd.lognormvariate(10, 3), 2)) for _ in range(2500)] + [("money", 1e12)] + [("same", 5.0)] * 700 + [("neg", -float(i * i)) for i in range(99)]
+    got = {r.k: (r["median"], r.n) for r in stats.exact_median(spark.createDataFrame(rows, "k string, v double"), ["k"], "v").collect()}
+    assert got == {k: (statistics.median([v for x, v in rows if x == k]), sum(x == k for x, _ in rows)) for k in ("money", "same", "neg")}

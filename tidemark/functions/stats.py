@@ -2,8 +2,8 @@
 
 Segments, classes and sources are few and very uneven, so nothing here gathers
 a group into one task. Rows are first reduced to (key, distinct value, count)
-with map-side combine; ranks are then found through a fixed grid of value
-buckets, so each sort or window partition is one bucket of one group.
+with map-side combine; ranks are then found through pieces cut at quantiles, so
+each sort or window partition is one piece of one group.
 
 Key columns are the non-null identifiers of the data model.
 """
@@ -16,33 +16,32 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidemark.session import staged
 
-# Rates lie in [0, 1]; wider values fall into the two end buckets, still exact.
-GRID = 4096
+#: Stretches that the values of a group are cut into; their edges are quantiles of its own distinct values.
+EDGES = 64
 
 
-def value_bucket(value: Column) -> Column:
-    return F.floor(F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0)) * GRID).cast("int")
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, *carried: Column) -> DataFrame:
+    """Rows per (keys, value) as ``_c``, nulls included, with further aggregates; a written table.
 
+    Everything that a group's values are asked for can be read from it, so the rows are read once.
+    """
+    return staged(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"), *carried), "counts")
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
-                 newest: str | None = None) -> DataFrame:
-    """Exact median of ``value`` per key group: keys + [out, n, min, max].
 
-    Nulls are ignored. ``newest`` names a column whose maximum is carried along,
-    so one pass serves a whole summary. One shuffle of the distinct values; the
-    bucket totals that locate the middle ranks are at most GRID + 1 small rows
-    per group.
+def median_of_counts(counts: DataFrame, keys: Sequence[str], value: str, out: str = "median", newest: str | None = None) -> DataFrame:
+    """Exact median of ``value`` per key group from a table of values with counts ``_c``: keys + [out, n, min, max].
+
+    A group is cut at quantiles of its distinct values, whatever their unit; totals of the pieces locate the
+    middle ranks, and only the pieces that hold these are ordered. ``newest`` names a column whose maximum is
+    carried along.
     """
     keys = list(keys)
     carried = [] if newest is None else [newest]
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"), *[F.max(c).alias(c) for c in carried])
-        .withColumn("_b", value_bucket(F.col("_v")))
-    )
+    known = counts.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"), "_c", *carried)
+    edges = known.groupBy(*keys).agg(F.percentile_approx("_v", [i / EDGES for i in range(1, EDGES)], 2000).alias("_edges"))
+    binned = known.join(edges, keys).withColumn("_b", F.size(F.filter("_edges", lambda e: e < F.col("_v")))).drop("_edges")
     by_key = W.partitionBy(*keys)
-    totals = counts.groupBy(*keys, "_b").agg(
+    totals = binned.groupBy(*keys, "_b").agg(
         F.sum("_c").alias("_bc"), F.min("_v").alias("_min"), F.max("_v").alias("_max"), *[F.max(c).alias(c) for c in carried])
     middle = (
         totals
@@ -56,7 +55,7 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "med
         .select(*keys, "_b", "_n", "_min", "_max", "_before", "_lo", "_hi", *carried)
     )
     upto = F.sum("_c").over(W.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)) + F.col("_before")
-    ranked = counts.drop(*carried).join(middle, [*keys, "_b"]).withColumn("_upto", upto)
+    ranked = binned.drop(*carried).join(middle, [*keys, "_b"]).withColumn("_upto", upto)
     covers_lo = (F.col("_upto") >= F.col("_lo")) & (F.col("_upto") - F.col("_c") < F.col("_lo"))
     covers_hi = (F.col("_upto") >= F.col("_hi")) & (F.col("_upto") - F.col("_c") < F.col("_hi"))
     return ranked.groupBy(*keys).agg(
@@ -65,6 +64,13 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "med
     )
 
 
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
+                 newest: str | None = None) -> DataFrame:
+    """Exact median of ``value`` per key group: keys + [out, n, min, max]; nulls are ignored, the rows are read once."""
+    carried = [] if newest is None else [F.max(newest).alias(newest)]
+    return median_of_counts(value_counts(df.where(F.col(value).isNotNull()), keys, value, *carried), keys, value, out, newest)
+
+
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], coarse: Column, out: str = "rn",
                 total: str | None = None) -> DataFrame:
     """1-based position of each row in its key group, and the group's size where ``total`` names a column for it.

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import fixed_values as V
 from tidemark.functions import labels as L
-from tidemark.functions.stats import exact_median
+from tidemark.functions.stats import median_of_counts, value_counts
 from tidemark.operators.latest import read_side
 
 QUIET_BANNER = ("Refresh pipeline has not fetched recently; per-row staleness column suppressed "
@@ -46,40 +46,39 @@ def with_cohort(observations: DataFrame) -> DataFrame:
     return read_side(observations).withColumn("cohort", L.cohort_for(F.col("source_type"), F.col("source_id")))
 
 
-def _groups(rules: FlagRules) -> Column:
-    """Median groups a row belongs to."""
-    arithmetic = (F.col("parameter") == rules.parameter) & F.col("value").isNotNull()
-    return F.array_compact(F.array(
-        F.when(arithmetic & F.col("cohort").isin(*V.PEER_COHORTS), F.lit("peer")),
-        F.when(arithmetic & (F.col("cohort") == "peer_big4"), F.lit("big4")),
-        F.when(arithmetic & (F.col("cohort") == "peer_non_bank"), F.lit("non_bank")),
-    ))
+def source_counts(observations: DataFrame, rules: FlagRules) -> DataFrame:
+    """The one pass over the observations: rows and staleness per (segment, source, cohort, value).
 
-
-def per_source(observations: DataFrame, rules: FlagRules) -> DataFrame:
-    """One row per (segment, source) with everything the segment step needs."""
-    rows = with_cohort(observations)
-    used = (F.col("parameter") == rules.parameter) & F.col("value").isNotNull()
-    peer = used & F.col("cohort").isin(*V.PEER_COHORTS)
-    big4 = used & (F.col("cohort") == "peer_big4")
+    Flags, their sources, medians of any cohort and the headline are all read from this table.
+    """
     limit = (stale_after(F.col("source_type")) if rules.staleness_days is None else F.lit(rules.staleness_days))
     age = F.datediff(F.lit(rules.as_of), F.col("as_of_date"))
     stale = F.lit(False) if rules.pipeline_quiet else age > limit
+    used = F.coalesce((F.col("parameter") == rules.parameter) & F.col("value").isNotNull(), F.lit(False))
+    rows = with_cohort(observations).withColumns({"used": used, "_stale": stale})
+    return value_counts(rows, ["segment", "source_id", "cohort", "used"], "value", F.bool_or("_stale").alias("stale"))
+
 
+def per_source(counts: DataFrame) -> DataFrame:
+    """One row per (segment, source) with everything the segment step needs."""
     def only(cond: Column) -> Column:
-        return F.when(cond, F.col("value"))
+        return F.when(F.col("used") & cond, F.col("value"))
 
-    return rows.groupBy("segment", "source_id").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.bool_or(stale).alias("stale"),
-        F.min(only(peer)).alias("peer_min"), F.max(only(peer)).alias("peer_max"),
-        F.min(only(big4)).alias("big4_min"), F.max(only(big4)).alias("big4_max"),
+    peer, big4 = only(F.col("cohort").isin(*V.PEER_COHORTS)), only(F.col("cohort") == "peer_big4")
+    return counts.groupBy("segment", "source_id").agg(
+        F.sum("_c").alias("n_rows"), F.bool_or("stale").alias("stale"),
+        F.min(peer).alias("peer_min"), F.max(peer).alias("peer_max"), F.min(big4).alias("big4_min"), F.max(big4).alias("big4_max"),
     )
 
 
-def segment_medians(observations: DataFrame, rules: FlagRules) -> DataFrame:
-    """Peer, Big-4 and non-bank medians of each segment in one pass."""
-    long = with_cohort(observations).select("segment", F.explode(_groups(rules)).alias("grp"), "value")
-    med = exact_median(long, ["segment", "grp"], "value")
+def segment_medians(counts: DataFrame) -> DataFrame:
+    """Peer, Big-4 and non-bank medians of each segment; a row of the table counts in each of its groups."""
+    groups = F.array_compact(F.array(
+        F.when(F.col("cohort").isin(*V.PEER_COHORTS), F.lit("peer")),
+        F.when(F.col("cohort") == "peer_big4", F.lit("big4")),
+        F.when(F.col("cohort") == "peer_non_bank", F.lit("non_bank"))))
+    long = counts.where("used").select("segment", F.explode(groups).alias("grp"), "value", "_c")
+    med = median_of_counts(long.groupBy("segment", "grp", "value").agg(F.sum("_c").alias("_c")), ["segment", "grp"], "value")
 
     def part(grp: str, column: str) -> Column:
         return F.max(F.when(F.col("grp") == grp, F.col(column)))
@@ -99,14 +98,18 @@ def _outlier(rules: FlagRules) -> Column:
         F.lit(False))
 
 
-def flagged_sources(observations: DataFrame, rules: FlagRules) -> DataFrame:
-    """Per (segment, source): outlier and stale marks beside the segment medians."""
-    sources = per_source(observations, rules)
-    return sources.join(segment_medians(observations, rules), "segment", "left").withColumn("outlier", _outlier(rules))
+def flagged_sources(counts: DataFrame, rules: FlagRules) -> DataFrame:
+    """Per (segment, source) of ``source_counts``: outlier and stale marks beside the segment medians."""
+    return per_source(counts).join(segment_medians(counts), "segment", "left").withColumn("outlier", _outlier(rules))
 
 
 def validation_flags(observations: DataFrame, rules: FlagRules) -> DataFrame:
-    """One row of flags per canonical segment.
+    """One row of flags per canonical segment."""
+    return segment_flags(flagged_sources(source_counts(observations, rules), rules), rules)
+
+
+def segment_flags(sources: DataFrame, rules: FlagRules) -> DataFrame:
+    """Flags per segment from its flagged sources.
 
     ``n_sources`` counts rows, as published; distinct sources sit beside it.
     """
@@ -116,7 +119,7 @@ def validation_flags(observations: DataFrame, rules: FlagRules) -> DataFrame:
     big4 = F.when((F.first("big4_n", True) >= 2) & (F.first("big4_median", True) > 0),
                   F.try_divide(F.max("big4_max") - F.min("big4_min"), F.first("big4_median", True)))
     banner = F.lit(QUIET_BANNER) if rules.pipeline_quiet else F.lit(None).cast("string")
-    return flagged_sources(observations, rules).groupBy("segment").agg(
+    return sources.groupBy("segment").agg(
         F.sum("n_rows").alias("n_sources"), F.count(F.lit(1)).alias("n_distinct_sources"),
         F.round(spread, 8).alias("spread_decimal"), F.round(big4, 8).alias("big4_spread_decimal"),
         F.round(ratio, 8).alias("peer_big4_vs_non_bank_ratio"),
@@ -128,7 +131,7 @@ def validation_flag_sources(observations: DataFrame, rules: FlagRules) -> DataFr
     """Long form: one row per (segment, flag_type, source_id)."""
     kinds = F.array_compact(F.array(
         F.when(F.col("outlier"), F.lit("outlier")), F.when(F.col("stale"), F.lit("stale"))))
-    return flagged_sources(observations, rules).select("segment", F.explode(kinds).alias("flag_type"), "source_id")
+    return flagged_sources(source_counts(observations, rules), rules).select("segment", F.explode(kinds).alias("flag_type"), "source_id")
 
 
 def reference_anchors(observations: DataFrame) -> DataFrame:

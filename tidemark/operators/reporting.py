@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 
 from tidemark import fixed_values as V
 from tidemark.functions import labels as L
-from tidemark.functions.stats import exact_median
-from tidemark.operators.flags import FlagRules, flagged_sources, validation_flags, with_cohort
+from tidemark.functions.stats import exact_median, median_of_counts, value_counts
+from tidemark.operators.flags import FlagRules, flagged_sources, segment_flags, source_counts, with_cohort
 from tidemark.operators.latest import read_side
+from tidemark.session import staged
 from tidemark.sources.tables import dimension
 
 PARAMETER_ORDER = V.PARAMETERS
@@ -21,13 +22,13 @@ def _newest() -> Column:
 def per_source_observations(observations: DataFrame) -> DataFrame:
     """Latest value, vintage median and count per (parameter, segment, source)."""
     keys = ["parameter", "segment", "source_id"]
-    rows = read_side(observations)
-    latest = rows.groupBy(*keys).agg(
-        F.min_by(F.struct("source_type", F.col("value").alias("latest_value"), "reporting_basis", "methodology_note",
-                          "page_or_table_ref", "source_url"), _newest()).alias("row"),
-        F.max("as_of_date").alias("latest_as_of"), F.count(F.lit(1)).alias("n_vintages"),
-    ).select(*keys, "row.*", "latest_as_of", "n_vintages")
-    medians = exact_median(rows, keys, "value", "median_value").select(*keys, "median_value")
+    shown = ("source_type", "reporting_basis", "methodology_note", "page_or_table_ref", "source_url")
+    counts = value_counts(read_side(observations), keys, "value", F.min(_newest()).alias("at"), F.min_by(F.struct(*shown), _newest()).alias("row"),
+                          F.max("as_of_date").alias("latest_as_of"))
+    latest = counts.groupBy(*keys).agg(
+        F.min_by(F.struct(F.col("value").alias("latest_value"), "row"), "at").alias("l"), F.max("latest_as_of").alias("latest_as_of"),
+        F.sum("_c").alias("n_vintages")).select(*keys, "l.latest_value", "l.row.*", "latest_as_of", "n_vintages")
+    medians = median_of_counts(counts, keys, "value", "median_value").select(*keys, "median_value")
     return latest.join(medians, keys, "left").withColumn(
         "cohort", L.cohort_for(F.col("source_type"), F.col("source_id"))).withColumns({
             "friendly_name": L.friendly_name(F.col("source_id")), "cohort_label": L.cohort_label(F.col("cohort")),
@@ -123,16 +124,18 @@ def headline_segment(observations: DataFrame, rules: FlagRules) -> DataFrame:
 
     Commercial property leads when present, else the segment with most rows.
     """
-    flags = validation_flags(observations, rules)
+    counts = source_counts(observations, rules)
+    sources = staged(flagged_sources(counts, rules), "sources")
+    flags = segment_flags(sources, rules)
     # the segment list is the fixed canonical vocabulary, so these lists stay short
     lead = F.struct((F.col("segment") == "commercial_property").alias("c"), F.col("n_sources"), F.col("segment"))
     thin = F.array_sort(F.collect_set(F.when(F.col("n_sources") < 2, F.col("segment"))))
     pick = flags.agg(F.max_by("segment", lead).alias("segment"), F.array_join(thin, ", ").alias("thin_segments"), F.size(thin).cast("long").alias("n_thin"),
                      F.min(F.when(F.col("n_outlier_sources") > 0, F.col("segment"))).alias("outlier_segment"))
-    big4 = with_cohort(observations).where(L.is_big4(F.col("source_id")) & F.col("value").isNotNull())
-    spread = exact_median(big4, ["segment"], "value", "big4_median").select(
+    big4 = counts.where(L.is_big4(F.col("source_id")) & F.col("value").isNotNull()).groupBy("segment", "value").agg(F.sum("_c").alias("_c"))
+    spread = median_of_counts(big4, ["segment"], "value", "big4_median").select(
         "segment", F.col("min").alias("big4_low"), F.col("max").alias("big4_high"), "big4_median", F.col("n").alias("n_disclosures"))
-    marked = flagged_sources(observations, rules).where("outlier").select(
+    marked = sources.where("outlier").select(
         F.col("segment").alias("outlier_segment"), "source_id")
     ranked = marked.withColumn("_r", F.row_number().over(W.partitionBy("outlier_segment").orderBy("source_id"))).where("_r <= 3")
     firsts = ranked.groupBy("outlier_segment").agg(F.array_join(F.array_sort(F.collect_list("source_id")), ", ").alias("first_outliers"))
