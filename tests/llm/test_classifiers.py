@@ -120,6 +120,14 @@ def test_quality_model_and_rules_follow_the_labels(spark):
         assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.15 * len(bad)
 
 
+def test_columns_named_like_the_models_own_are_left_alone(docs, labels):
+    frame = docs((1, "some good text here"), (2, "other text")).selectExpr("*", "doc_id AS trusted_id", "1 AS surprise", "'x' AS limit_lang", "0 AS quality", "1 AS toxic")
+    assert {r.doc_id for r in L.classify(frame, labels((1, 1, 0))).collect()} == {1, 2}
+    kept = L.keep_accepted(frame, labels((1, 1, 0)))
+    assert kept.columns == frame.columns and kept.count() == 2
+    assert {r.doc_id for r in Q.classify(frame, labels((1, 1, 0), (2, 0, 0))).collect()} == {1, 2}
+
+
 def test_model_edges(docs, labels):
     frame = docs((1, "some good text here"), (1, "some good text here"), (2, None), (3, ""), (None, "some good text"), (4, "x" * 100_000))
     rows = L.classify(frame, labels((1, 1, 0))).collect()

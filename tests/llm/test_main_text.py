@@ -58,6 +58,23 @@ def test_content_is_not_cut_by_names():
     assert text(f"<body><p>menu</p>{inside}</body>") == "Related work one two three four five six"
 
 
+@pytest.mark.parametrize("tag", ["article", "main"])
+@pytest.mark.parametrize("block", [
+    '<section id="comments">', '<div id="disqus_thread">', '<div class="comment-thread">', '<div class="sidebar">', '<ul class="menu">', '<div class="footer">',
+    '<div class="cookie-popup">', '<div class="newsletter">', '<p class="sponsored">', '<div class="x post-comments">', '<div role="complementary">', '<aside>', '<div class="ad">'])
+def test_known_blocks_inside_content_are_left_out(tag, block):
+    body = " ".join(f"word{i}" for i in range(200))
+    name, tail = block[1:].split()[0].strip("<>"), " ".join(f"tail{i}" for i in range(20))
+    page = f"<body><{tag}><h1 id='menu'>Head</h1><p>{body}</p>{block}not of the text</{name}><p class='with-sidebar'>{tail} <span class='comment'>here</span></p></{tag}></body>"
+    assert text(page) == f"Head {body} {tail} here"
+
+
+def test_fieldset_around_the_body_is_a_wrapper():
+    body = " ".join(f"word{i}" for i in range(50))
+    assert text(f"<body><nav>menu</nav><form><fieldset><p>{body}</p></fieldset></form></body>") == body
+    assert text(f"<body><p>{body}</p><form><fieldset><label>Name</label></fieldset></form></body>") == body
+
+
 def test_forms_around_content_are_wrappers():
     menu = "<nav>menu words</nav><form id='s'><label>Find words</label><input name=q></form>"
     assert text(f"<body><form id='aspnetForm' class='search'><nav>menu</nav><article><p>body of the page</p></article><footer>end</footer></form></body>") == "body of the page"

@@ -198,6 +198,7 @@ def held_back(doc_id: Column) -> Column:
 
 def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, lang, text_key, n_symbols, perplexity (per symbol), surprise, limit, accepted; one row per row of ``documents``."""
+    documents = documents.select("doc_id", "lang", "text")
     trusted = labels.where("quality = 1").select(F.col("doc_id").alias("trusted_id")).distinct()
     training = documents.join(small_side(trusted.where(~held_back(F.col("trusted_id")))), documents["doc_id"] == F.col("trusted_id"), "left_semi")
     scored = staged(scores(documents, train(training)), "scores")

@@ -7,9 +7,11 @@ their content with <article> or <main>: how often words under an element, and ta
 themselves, lie inside and outside that mark. Text of elements that never hold
 content (scripts, menus, forms, notices, adverts, comments and so on, by name, role,
 class or learned weight) is left out wherever it lies. Inside <article> and <main>
-only exact class names and roles of known blocks count; elsewhere a key that labelled
-pages mostly have inside their mark overrules its words. A form that holds <article>,
-<main> or most of the words of the page is a wrapper. Marks of content within content,
+a block element goes if one whole name of its class or id is that of a known block
+(sidebar, comment-thread, site_footer), or its role is; names that only hold such a word
+(related-work) and ambiguous ones (search, social) count for nothing. Elsewhere a key
+that labelled pages mostly have inside their mark overrules its words. A form or fieldset
+that holds <article>, <main> or most of the words of the page is a wrapper. Marks of content within content,
 or one after the other, are no border.
 
 Weights are learned from at most SAMPLE pages, the first by a hash of page_id;
@@ -58,7 +60,15 @@ _HINTS = frozenset("""ad ads adv advert adverts advertisement advertising banner
 _BLOCKS = frozenset("""ad ads ad-slot ad-banner ad-container ad-unit ad-wrapper adsbygoogle advert adverts advertisement cookie-notice cookie-banner
     cookie-consent share-buttons share-bar social-share sharedaddy related-posts related-articles newsletter-signup newsletter-form breadcrumb breadcrumbs
     pagination comment comments comment-body comment-list comments-area disqus navbar""".split())
-_ROLES = frozenset("navigation search dialog alertdialog".split())
+_ROLES = frozenset("navigation search dialog alertdialog complementary contentinfo".split())
+#: Words that name such a block by themselves or in one name with words of the next set and of _HINTS: "comment-thread", "site_footer".
+_SURE = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr sidebar nav navbar menu breadcrumb breadcrumbs
+    footer comment comments disqus newsletter pagination pager""".split())
+_FILL = frozenset("""area bar block body bottom box button buttons container count entry form group holder inner item items left link links list module outer page panel
+    post primary right row secondary section site slot strip thread threads title top unit wrap wrapper zone""".split())
+#: Elements whose class or id names such a block inside content; headings and inline elements never do.
+_PLACES = frozenset("div section aside ul ol li dl table p center details figure".split())
+_PHRASES = frozenset("span code em strong b i a td th h1 h2 h3 h4 h5 h6".split())
 #: Words that, without one of the above, mark content inside a wrapper that was taken for something else.
 _LIKELY = frozenset("content article post entry story main maincontent body text".split())
 _CLOSES_P = frozenset("""address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul""".split())
@@ -86,7 +96,8 @@ class Outline:
     """Words before each token of a page, ends of its forms and starts of its content marks."""
 
     def __init__(self, html: str):
-        self.places, self.words, self.ends, self.marks = [0], [0], [], []
+        self.places, self.words, self.marks = [0], [0], []
+        self.ends: dict[str, list[int]] = {"form": [], "fieldset": []}
         at, end = 0, len(html)
         while at < end:
             found = _TOKEN.search(html, at)
@@ -97,17 +108,18 @@ class Outline:
                 break
             at, name = found.end(), (found["name"] or "").lower()
             if found["close"]:
-                if name == "form":
-                    self.ends.append(found.start())
+                if name in self.ends:
+                    self.ends[name].append(found.start())
             elif name in _CONTENT:
                 self.marks.append(found.start())
             elif name in _RAW:
                 at = _raw_end(html, name, at)
 
-    def is_wrapper(self, at: int) -> bool:
-        """Whether the form that opens at a place holds a content mark or most of the words."""
-        i = bisect_left(self.ends, at)
-        end = self.ends[i] if i < len(self.ends) else self.places[-1]
+    def is_wrapper(self, name: str, at: int) -> bool:
+        """Whether the form or fieldset that opens at a place holds a content mark or most of the words."""
+        ends = self.ends[name]
+        i = bisect_left(ends, at)
+        end = ends[i] if i < len(ends) else self.places[-1]
         if bisect_left(self.marks, at) < bisect_left(self.marks, end):
             return True
         before, upto = (self.words[bisect_right(self.places, x) - 1] for x in (at, end))
@@ -119,11 +131,17 @@ def _raw_end(html: str, name: str, at: int) -> int:
     return closing.end() if closing else len(html)
 
 
-def _marks(attrs: str) -> tuple[list[str], bool, bool]:
-    """Class, id and role words of a tag in order, whether it is hidden, and whether it is a known block by a whole class name or role."""
+def _names_block(name: str) -> bool:
+    """Whether a whole class or id name is that of a known block."""
+    parts = [w for w in _PARTS.findall(name) if not w.isdigit()]
+    return not _SURE.isdisjoint(parts) and all(w in _SURE or w in _FILL or w in _HINTS for w in parts)
+
+
+def _marks(attrs: str) -> tuple[list[str], bool, bool, bool]:
+    """Class, id and role words of a tag in order, whether it is hidden, whether it is a known block by an exact class name or role, and by any whole name."""
     if not attrs or "=" not in attrs and "hidden" not in attrs.lower():
-        return [], False, False
-    words, hidden, block = [], False, False
+        return [], False, False, False
+    words, hidden, block, named = [], False, False, False
     for name, value in _ATTR.findall(attrs):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "style":
@@ -134,16 +152,19 @@ def _marks(attrs: str) -> tuple[list[str], bool, bool]:
             words += _PARTS.findall(value)
             if name != "id":
                 block |= not (_BLOCKS if name == "class" else _ROLES).isdisjoint(value.split())
-    return list(dict.fromkeys(w for w in words if not w.isdigit())), hidden, block
+            if name != "role":
+                named |= any(map(_names_block, value.split()))
+    return list(dict.fromkeys(w for w in words if not w.isdigit())), hidden, block, named
 
 
-def _left_out(name: str, marks: list[str], hidden: bool, block: bool, parent: Element | None, wrapper: bool, lifted: bool) -> int:
+def _left_out(name: str, marks: list[str], hidden: bool, block: bool, named: bool, parent: Element | None, wrapper: bool, lifted: bool) -> int:
     """Whether text of a new element is left out, as Element.out has it."""
     above = parent.out if parent else 0
     if above == 2 or hidden or name in _NEVER and not wrapper:
         return 2
     if parent and parent.content:
-        return 1 if block else 0 if name in _CONTENT else above
+        known = block and name not in _PHRASES or named and name in _PLACES
+        return 1 if known else 0 if name in _CONTENT else above
     if name in _CONTENT:
         return 1 if block else 0
     if name == "header":
@@ -183,7 +204,7 @@ def units(html: str, lifted: frozenset[str] = frozenset()) -> Iterator[tuple[str
             else:
                 yield "inline" if name in _INLINE else "tag", name, None, "/" + name
             continue
-        marks, hidden, block = _marks(found["attrs"])
+        marks, hidden, block, named = _marks(found["attrs"])
         key = ".".join([name, *marks])
         if name in _CLOSES_P:
             for depth in range(len(stack) - 1, -1, -1):
@@ -194,10 +215,10 @@ def units(html: str, lifted: frozenset[str] = frozenset()) -> Iterator[tuple[str
                     break
         parent = stack[-1] if stack else None
         wrapper = False
-        if name == "form":
+        if name == "form" or name == "fieldset":
             outline = outline or Outline(html)
-            wrapper = outline.is_wrapper(found.start())
-        element = Element(name, key, _left_out(name, marks, hidden, block, parent, wrapper, key in lifted), parent)
+            wrapper = outline.is_wrapper(name, found.start())
+        element = Element(name, key, _left_out(name, marks, hidden, block, named, parent, wrapper, key in lifted), parent)
         yield "inline" if name in _INLINE else "tag", name, element, key
         if name in _RAW:
             at = _raw_end(html, name, at)
