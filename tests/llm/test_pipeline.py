@@ -2,13 +2,13 @@
 
 import hashlib
 import os
+import re
 from collections import defaultdict
 
 import pytest
 
 import corpus_pipeline
 from tests.llm.test_decontaminate import brute as contaminated
-from tests.llm.test_line_dedup import brute as without_repeats
 from tests.llm.test_near_duplicates import brute as components
 from tidemark.llm import language_model, line_dedup
 from tidemark.llm.registry import tokenizer_path
@@ -18,12 +18,40 @@ tokenizers = pytest.importorskip("tokenizers")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="driver tables absent")
 
 
+def without_runs(texts, need):
+    """Words in windows of ``need`` words seen earlier are cut with the white space behind them; lines of such words alone go."""
+    first, out = {}, []
+    for doc, text in sorted(texts):
+        found = [m.span() for m in re.finditer(r"[^\x20\x09-\x0d]+", text)]
+        words, marked = [text[a:b] for a, b in found], set()
+        for a in range(len(words) - need + 1):
+            at = first.setdefault(tuple(words[a:a + need]), (doc, a))
+            if at != (doc, a):
+                marked.update(range(max(a, at[1] + need) if at[0] == doc else a, a + need))
+        lines, begin = [], 0
+        for line in text.split("\n"):
+            own = [i for i, (a, _) in enumerate(found) if begin <= a < begin + len(line)]
+            kept = [i for i in own if i not in marked]
+            if kept or not own:
+                for i in reversed(own):  # from the end, so that places before stay
+                    if i in marked:
+                        behind = [j for j in kept if j > i]
+                        cut = (found[i][0], found[i + 1][0]) if behind else (found[i - 1][1], found[i][1])
+                        line = line[:cut[0] - begin] + line[cut[1] - begin:]
+                lines.append(line)
+            begin = text.index("\n", begin) + 1 if "\n" in text[begin:] else len(text)
+        out.append((doc, "\n".join(lines)))
+    return out
+
+
 def test_whole_run_matches_plain_versions(spark):
     table = lambda t: spark.read.parquet(f"{SMALL}/{t}.parquet")
     good = {r.doc_id for r in language_model.classify(table("documents"), table("labels")).collect() if r.accepted}
     texts = sorted((r.doc_id, r.text) for r in table("documents").collect() if r.doc_id in good)
-    texts = list(zip([d for d, _ in texts], without_repeats(texts, line_dedup.MIN_WORDS)))
-    firsts = {d for d, _, c in components(texts, 2) if d == c}
+    before = dict(texts)
+    texts = without_runs(texts, line_dedup.RUN_WORDS)
+    assert sum(before[d] != t for d, t in texts) > 10
+    firsts = {d for d, _, c in components(texts, 5) if d == c}
     texts = [(d, t) for d, t in texts if d in firsts]
     items = [(r.item_id, r.text) for r in table("benchmark").collect()]
     bad = {row[0] for row in contaminated(texts, items) if row[5]}

@@ -54,3 +54,12 @@ def test_passage_inside_a_line_and_an_edited_line(spark):
     frame = spark.createDataFrame(texts, "doc_id long, text string")
     got = {r.doc_id: (r.text, r.n_lines, r.n_lines_removed) for r in line_dedup.report(frame).collect()}
     assert got == {1: (texts[0][1], 1, 0), 2: ("é own  tail\nlast ", 2, 0), 3: ("new", 1, 0), 4: (texts[3][1], 1, 0)}
+
+
+def test_many_repeated_anchors_are_joined_by_a_shuffle_with_the_same_result(spark):
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(90)]
+    texts = [(d, " ".join(rng.choices("abcdefg", k=rng.randint(0, 30)) + passage[rng.randrange(40):rng.randint(50, 90)] * rng.randint(0, 2))) for d in range(50)]
+    frame = spark.createDataFrame([*texts, *texts[:3]], "doc_id long, text string")
+    spans = [sorted((r.doc_id, [tuple(s) for s in r.spans]) for r in line_dedup.repeated_words(frame, 20, n).collect()) for n in (2_000_000, 0)]
+    assert spans[0] == spans[1] and len(spans[0]) > 20

@@ -17,13 +17,15 @@ when it has at least MIN_WORDS words. A later copy of a run loses those lines.
 
 5. Runs of RUN_WORDS words are found wherever they lie, inside a line or across line
    ends, by the same means over words: each window of RUN_WORDS words has one anchor,
-   its smallest hash of GRAM words. The windows of one anchor follow each other, and
-   their union is one content, of which the first place stays. Where the unions of an
-   anchor differ, as at the ends of a run, each window of their first places is
-   compared by itself, so a run is known to the word. Every later window
+   its smallest hash of GRAM words. Bare anchors are counted first; only those found
+   twice or more are looked up again in the texts, with the windows they anchor. These
+   follow each other, and their union is one content, of which the first place stays.
+   Where the unions of an anchor differ, as at the ends of a run, each window of their
+   first places is compared by itself, so a run is known to the word. Every later window
    marks its words; of places in one text that overlap, the first stays whole. A
    line all of whose words are marked goes like a marked line, others lose the marked
-   words. Steps 1 to 4 are needed only for runs of lines with fewer words than that.
+   words. Steps 1 to 4 run for runs of lines with fewer words than that (``min_words``
+   below ``run_words``); any other run of lines is a run of words.
 
 Places are ordered by doc_id, then line or word. Nothing is paired within a group: each
 place meets only the first one, so a passage in a third of all texts is a grouped
@@ -49,13 +51,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import textbytes as B
-from tidemark.session import staged
+from tidemark.llm.joins import BROADCAST_ROWS
+from tidemark.session import discard, staged
 
 #: Fewest words of a run that counts as a repeated passage.
 MIN_WORDS = 20
 #: Words of a window that counts as repeated wherever it lies, and of the stretch that anchors it.
 RUN_WORDS = 20
-GRAM = 10
+GRAM = 5
 
 _NOT_FEED = np.arange(256) != 10
 
@@ -178,11 +181,13 @@ def repeated_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFram
     return marked_lines.dropDuplicates(["doc_id", "text_key"])  # rows that repeat doc_id and text have one entry
 
 
-def word_anchors(words: np.ndarray, bounds: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hash, row, first and last window start, and hash of the union of the windows, of every anchor.
+def anchor_places(words: np.ndarray, bounds: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and place of every anchor, and the first and last word of the windows it anchors.
 
-    Rows are stretches of ``words``; a start counts words of its row. A window's anchor
-    is its smallest hash of ``GRAM`` words, the last of equals.
+    Rows are stretches of ``words``; all places count from the first word of all. A window's
+    anchor is its smallest hash of ``GRAM`` words by the upper half, the last of equals. The
+    lower half of what is compared holds the place, so minima of twice the length are made
+    of two minima until the window is covered.
     """
     gram = min(GRAM, run)
     rows = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
@@ -190,31 +195,31 @@ def word_anchors(words: np.ndarray, bounds: np.ndarray, run: int) -> tuple[np.nd
     starts = np.flatnonzero(rows[:n] == rows[run - 1:]) if n > 0 else np.zeros(0, np.int64)
     if not len(starts):
         none = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), none, none, none, np.zeros(0, np.uint64)
-    steps = np.arange(len(words), dtype=np.uint64)
+        return np.zeros(0, np.uint64), none, none, none
     grams = np.zeros(len(words) - gram + 1, np.uint64)
     for i in range(gram):
         grams += words[i:i + len(grams)] * B._ROLL[i]
     grams = B.mix(grams)
-    best, at = grams[starts].copy(), starts.copy()
-    for i in range(1, run - gram + 1):
-        other = grams[starts + i]
-        less = other <= best
-        best[less] = other[less]
-        at[less] = starts[less] + i
+    least = (grams & np.uint64(0xFFFFFFFF00000000)) | np.arange(0xFFFFFFFF, 0xFFFFFFFF - len(grams), -1, dtype=np.uint64)
+    width, size = run - gram + 1, 1
+    while size < width:
+        step = min(size, width - size)
+        least = np.minimum(least[:-step], least[step:])
+        size += step
+    at = 0xFFFFFFFF - (least[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     fresh = np.ones(len(starts), bool)
     fresh[1:] = (at[1:] != at[:-1]) | (rows[starts[1:]] != rows[starts[:-1]])
     first = np.flatnonzero(fresh)
     last = np.r_[first[1:], len(starts)] - 1
+    return grams[at[first]], at[first], starts[first], starts[last]
+
+
+def _content(words: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the words from ``begin`` to before ``end``, before it is mixed."""
     powers, inverses = B._power_tables(len(words) + 1)
     sums = np.zeros(len(words) + 1, np.uint64)
     np.cumsum(words * powers[:len(words)], out=sums[1:])
-    a, b = starts[first], starts[last] + run
-    # where the anchor lies within the union counts as well, as offsets of the windows are compared by it
-    place = (at[first] - a).astype(np.uint64)
-    union = B.mix((sums[b] - sums[a]) * inverses[a] + (b - a).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + B.mix(place + np.uint64(1)))
-    row = rows[a]
-    return best[first], row, a - bounds[row], starts[last] - bounds[row], union
+    return (sums[end] - sums[begin]) * inverses[begin]
 
 
 def _words_of(piece: B.Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -223,24 +228,43 @@ def _words_of(piece: B.Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return B.span_hashes(piece.data, starts, ends), starts, ends, B.row_bounds(rows, piece.last - piece.first)
 
 
-def _anchor_table(documents: DataFrame, run: int) -> DataFrame:
-    """Per text with a window its anchors: hashes, first and last window starts, hashes of the unions."""
+def _anchor_counts(batches: Iterator[pa.RecordBatch], run: int) -> Iterator[pa.RecordBatch]:
+    """Anchors of each piece of a batch, and how often they stand there."""
+    for batch in batches:
+        for p in B.pieces(batch.column("text")):
+            words, _, _, bounds = _words_of(p)
+            anchors, counts = np.unique(anchor_places(words, bounds, run)[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(anchors.view(np.int64)), pa.array(counts)], ["anchor", "n"])
+
+
+def _anchored(documents: DataFrame, run: int, probe: np.ndarray | None) -> DataFrame:
+    """One row per anchor, of those in the sorted ``probe`` if one is given: first and last window start, hash of the union of the windows."""
     keyed = documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    schema = T.StructType([keyed.schema["doc_id"], *T._parse_datatype_string(
-        "text_key long, anchors array<long>, starts array<int>, lasts array<int>, unions array<long>").fields])
+    schema = T.StructType([keyed.schema["doc_id"], *T._parse_datatype_string("text_key long, anchor long, start int, last int, union long").fields])
+    held = documents.sparkSession.sparkContext.broadcast(probe)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = held.value
         for batch in batches:
             for p in B.pieces(batch.column("text")):
                 words, _, _, bounds = _words_of(p)
-                anchors, row, first, last, union = word_anchors(words, bounds, run)
-                own = B.row_bounds(row, p.last - p.first)
-                part = batch.slice(p.first, p.last - p.first)
+                found = anchor_places(words, bounds, run)
+                if known is not None:
+                    wanted = known[np.minimum(np.searchsorted(known, found[0]), len(known) - 1)] == found[0] if len(known) else np.zeros(len(found[0]), bool)
+                    found = tuple(c[wanted] for c in found)
+                anchors, at, begin, last = found
+                size = (last + run - begin).astype(np.uint64)
+                # where the anchor lies within the union counts as well, as offsets of the windows are compared by it
+                place = (at - begin).astype(np.uint64)
+                union = B.mix(_content(words, begin, last + run) + size * np.uint64(0x9E3779B97F4A7C15) + B.mix(place + np.uint64(1)))
+                row = np.searchsorted(bounds, begin, "right") - 1
+                part, take = batch.slice(p.first, p.last - p.first), pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("text_key"), B.list_array(anchors.view(np.int64), own), B.list_array(first.astype(np.int32), own),
-                     B.list_array(last.astype(np.int32), own), B.list_array(union.view(np.int64), own)], schema.fieldNames())
+                    [part.column("doc_id").take(take), part.column("text_key").take(take), pa.array(anchors.view(np.int64)),
+                     pa.array((begin - bounds[row]).astype(np.int32)), pa.array((last - bounds[row]).astype(np.int32)), pa.array(union.view(np.int64))],
+                    schema.fieldNames())
 
-    return keyed.mapInArrow(scan, schema).where(F.size("anchors") > 0)
+    return keyed.mapInArrow(scan, schema)
 
 
 def _single_windows(batches: Iterator[pa.RecordBatch], run: int) -> Iterator[pa.RecordBatch]:
@@ -248,7 +272,9 @@ def _single_windows(batches: Iterator[pa.RecordBatch], run: int) -> Iterator[pa.
     for batch in batches:
         for p in B.pieces(batch.column("text")):
             words, _, _, bounds = _words_of(p)
-            _, row, first, last, _ = word_anchors(words, bounds, run)
+            _, _, first, last = anchor_places(words, bounds, run)
+            row = np.searchsorted(bounds, first, "right") - 1
+            first, last = first - bounds[row], last - bounds[row]
             part = batch.slice(p.first, p.last - p.first)
             wanted = part.column("wanted")
             asked = np.repeat(np.arange(len(wanted)), wanted.value_lengths().to_numpy())
@@ -257,25 +283,52 @@ def _single_windows(batches: Iterator[pa.RecordBatch], run: int) -> Iterator[pa.
             each = last - first + 1
             row = np.repeat(row, each)
             start = np.repeat(first, each) + np.arange(int(each.sum())) - np.repeat(np.cumsum(each) - each, each)
-            powers, inverses = B._power_tables(len(words) + 1)
-            sums = np.zeros(len(words) + 1, np.uint64)
-            np.cumsum(words * powers[:len(words)], out=sums[1:])
             at = bounds[row] + start
-            content = B.mix((sums[at + run] - sums[at]) * inverses[at]) if len(at) else np.zeros(0, np.uint64)
+            content = B.mix(_content(words, at, at + run)) if len(at) else np.zeros(0, np.uint64)
             rows = pa.array(row)
             yield pa.RecordBatch.from_arrays([part.column("doc_id").take(rows), part.column("text_key").take(rows), pa.array(content.view(np.int64)),
                                               pa.array(start.astype(np.int32))], ["doc_id", "text_key", "content", "start"])
 
 
-def repeated_words(documents: DataFrame, run: int = RUN_WORDS) -> DataFrame:
-    """(doc_id, text_key, spans): stretches of words (from, to) that repeat an earlier run, for every text that has some."""
-    texts = staged(_anchor_table(documents, run), "anchors")
-    # rows that repeat doc_id and text have the same places and so count once
-    anchors = texts.select("doc_id", "text_key", F.explode(F.arrays_zip("anchors", "starts", "lasts", "unions")).alias("a")).select(
-        F.col("a.anchors").alias("anchor"), "doc_id", "text_key", F.col("a.starts").alias("start"), F.col("a.lasts").alias("last"), F.col("a.unions").alias("union"))
-    known = texts.select(F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    hits = staged(anchors.join(known, "anchor", "left_semi"), "hits")
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's stretches with those that meet made one, in order."""
+    for batch in batches:
+        spans = batch.column("spans")
+        row = np.repeat(np.arange(len(spans)), spans.value_lengths().to_numpy())
+        begin, end = (spans.flatten().field(n).to_numpy().astype(np.int64) for n in ("from", "to"))
+        some = end > begin
+        row, begin, end = row[some], begin[some], end[some]
+        order = np.lexsort((begin, row))
+        row, begin, end = row[order], begin[order], end[order]
+        reach = np.maximum.accumulate((row << 32) + end)
+        opens = np.ones(len(row), bool)
+        opens[1:] = (row << 32)[1:] + begin[1:] > reach[:-1]
+        first = np.flatnonzero(opens)
+        stop = (reach & 0xFFFFFFFF)[np.r_[first[1:], len(row)] - 1] if len(first) else end
+        flat = pa.StructArray.from_arrays([pa.array(begin[first].astype(np.int32)), pa.array(stop.astype(np.int32))], ["from", "to"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), B.list_array(flat, B.row_bounds(row[first], len(spans)))],
+                                         ["doc_id", "text_key", "spans"])
+
+
+def _small(table: DataFrame, array: str, rows: int) -> DataFrame:
+    """``table`` with a broadcast hint if the arrays it holds have few entries in all."""
+    return F.broadcast(table) if (table.agg(F.sum(F.size(array) + 1)).first()[0] or 0) <= rows else table
+
+
+def repeated_words(documents: DataFrame, run: int = RUN_WORDS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """(doc_id, text_key, spans): stretches of words (from, to) that repeat an earlier run, for every text that has some.
+
+    At most ``broadcast_rows`` repeated anchors, or stretches, are sent to all tasks; more are joined by a shuffle.
+    """
+    counts = documents.select("text").mapInArrow(lambda batches: _anchor_counts(batches, run), "anchor long, n long")
+    known = staged(counts.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"), "known")
+    if known.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        hits = _anchored(documents, run, np.sort(known.toArrow()["anchor"].to_numpy().view(np.uint64)))
+    else:
+        hits = _anchored(documents, run, None).join(known, "anchor", "left_semi")
+    hits = staged(hits, "hits")
     place = F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "text_key", "start")
+    # rows that repeat doc_id and text have the same places and so count once
     groups = staged(hits.groupBy("anchor", "union").agg(F.min(place).alias("first"), F.max(place).alias("end")), "groups")
     apart = groups.groupBy("anchor").agg(F.min("union").alias("low"), F.max("union").alias("high")).where("low <> high").select("anchor")
 
@@ -286,13 +339,17 @@ def repeated_words(documents: DataFrame, run: int = RUN_WORDS) -> DataFrame:
         return found.where(place != F.col("first")).select("doc_id", "text_key", F.struct(start.alias("from"), end.alias("to")).alias("span"))
 
     alike = later(hits.join(groups.where("first <> end").select("anchor", "union", "first"), ["anchor", "union"]), F.col("last") + run)
-    mixed = groups.join(apart, "anchor", "left_semi").groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.text_key").alias("text_key")).agg(
-        F.collect_set("first.start").alias("wanted")).alias("w")
-    near = documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text").alias("d").join(mixed, _same("d", "w")).select("d.doc_id", "d.text_key", "text", "wanted")
+    mixed = staged(groups.join(apart, "anchor", "left_semi").groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.text_key").alias("text_key")).agg(
+        F.collect_set("first.start").alias("wanted")), "mixed")
+    near = documents.select("doc_id", F.xxhash64("text").alias("text_key"), "text").alias("d").join(
+        _small(mixed, "wanted", broadcast_rows).alias("w"), _same("d", "w")).select("d.doc_id", "d.text_key", "text", "wanted")
     schema = T.StructType([documents.schema["doc_id"], *T._parse_datatype_string("text_key long, content long, start int").fields])
     single = staged(near.mapInArrow(lambda batches: _single_windows(batches, run), schema), "single")
-    first = single.groupBy("content").agg(F.min(place).alias("first"), F.max(place).alias("end")).where("first <> end").select("content", "first")
-    return alike.unionByName(later(single.join(first, "content"), F.col("start") + run)).groupBy("doc_id", "text_key").agg(F.collect_set("span").alias("spans"))
+    first = staged(single.groupBy("content").agg(F.min(place).alias("first"), F.max(place).alias("end")).where("first <> end").select("content", "first"), "first")
+    spans = alike.unionByName(later(single.join(first, "content"), F.col("start") + run)).groupBy("doc_id", "text_key").agg(F.collect_set("span").alias("spans"))
+    marked = staged(spans.mapInArrow(_merged, spans.schema), "marked")
+    discard(known, hits, groups, mixed, single, first)
+    return _small(marked, "spans", broadcast_rows)
 
 
 def _without(text: str, removed: list[int], spans: list[dict]) -> tuple[str, int]:
@@ -335,18 +392,22 @@ def _without(text: str, removed: list[int], spans: list[dict]) -> tuple[str, int
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Row, new text and number of lines that went."""
+    """Row, new text and number of lines that went; texts without marks pass as they are."""
     for batch in batches:
-        texts = batch.column("text").to_pylist()
-        counts = [0] * len(texts)
-        removed, spans = batch.column("removed"), batch.column("spans")
-        for i in np.flatnonzero(pa.compute.or_(removed.is_valid(), spans.is_valid()).to_numpy(zero_copy_only=False)).tolist():
-            texts[i], counts[i] = _without(texts[i], removed[i].as_py() or [], spans[i].as_py() or [])
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string()), pa.array(counts, pa.int64())], ["row", "text", "n_lines_removed"])
+        texts, removed, spans = (batch.column(c) for c in ("text", "removed", "spans"))
+        marked = pa.compute.or_(removed.is_valid(), spans.is_valid())
+        counts = np.zeros(batch.num_rows, np.int64)
+        fresh = []
+        for i in np.flatnonzero(marked.to_numpy(zero_copy_only=False)).tolist():
+            text, counts[i] = _without(texts[i].as_py(), removed[i].as_py() or [], spans[i].as_py() or [])
+            fresh.append(text)
+        cut = pa.compute.replace_with_mask(texts, marked, pa.array(fresh, texts.type)) if fresh else texts
+        yield pa.RecordBatch.from_arrays([batch.column("row"), cut, pa.array(counts), batch.column("n_lines")],
+                                         ["row", "text", "n_lines_removed", "n_lines"])
 
 
 def _cleaned(documents: DataFrame, min_words: int, run_words: int) -> DataFrame:
-    """(row, text, n_lines_removed): each input row as a struct, and its new text."""
+    """(row, text, n_lines_removed, n_lines): the other columns of each input row as a struct, its new text, and its lines before."""
     texts = documents.select("doc_id", "text")
     words = repeated_words(texts, run_words)
     if min_words < run_words:
@@ -357,9 +418,12 @@ def _cleaned(documents: DataFrame, min_words: int, run_words: int) -> DataFrame:
     else:  # a repeated run of lines is one of words
         marks = words.withColumn("removed", F.lit(None).cast("array<int>"))
     marks = marks.alias("m")
-    rows = documents.select(F.struct("*").alias("row"), F.xxhash64("text").alias("text_key"), F.col("doc_id")).alias("d")
-    joined = rows.join(marks, _same("d", "m"), "left").select("row", F.col("row.text").alias("text"), "removed", "spans")
-    schema = T.StructType([joined.schema["row"], T.StructField("text", T.StringType()), T.StructField("n_lines_removed", T.LongType())])
+    rest = F.struct(*(F.col(f"`{c}`") for c in documents.columns if c != "text"))
+    feeds = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    n_lines = F.when(F.coalesce("text", F.lit("")) == "", 0).otherwise(feeds + 1).cast("long")
+    rows = documents.select(rest.alias("row"), F.xxhash64("text").alias("text_key"), "doc_id", "text", n_lines.alias("n_lines")).alias("d")
+    joined = rows.join(marks, _same("d", "m"), "left").select("row", "text", "removed", "spans", "n_lines")
+    schema = T.StructType([joined.schema["row"], T.StructField("text", T.StringType()), T.StructField("n_lines_removed", T.LongType()), joined.schema["n_lines"]])
     return joined.mapInArrow(_cut, schema)
 
 
@@ -373,5 +437,4 @@ def drop_repeated_lines(documents: DataFrame, min_words: int = MIN_WORDS, run_wo
 
 def report(documents: DataFrame, min_words: int = MIN_WORDS, run_words: int = RUN_WORDS) -> DataFrame:
     """Per row: doc_id, n_lines before, n_lines_removed, and the new text."""
-    n_lines = F.when(F.coalesce(F.col("row.text"), F.lit("")) == "", 0).otherwise(F.size(F.split("row.text", "\n", -1))).cast("long")
-    return _cleaned(documents.select("doc_id", "text"), min_words, run_words).select(F.col("row.doc_id").alias("doc_id"), n_lines.alias("n_lines"), "n_lines_removed", "text")
+    return _cleaned(documents.select("doc_id", "text"), min_words, run_words).select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_lines_removed", "text")
