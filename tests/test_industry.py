@@ -5,6 +5,8 @@ from decimal import Decimal
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tidemark import schemas
 from tidemark.operators import checks, industry, industry_tables as T
 from tidemark.sources import tables
@@ -128,3 +130,8 @@ def test_page_without_a_date_is_quarantined(pages):
     undated = pages("Manufacturing 1 2 3 4 5")
     assert T.table_rows(undated, T.LAYOUTS["nab"]).count() == 0
     assert T.undated_pages(undated, "nab").first().reason == "no_as_of_date"
+
+
+def test_labels_with_any_kind_of_space(spark):
+    rows = spark.createDataFrame([("wbc", " Property services "), ("wbc", "Property  services")], "bank_code string, industry_published string")
+    assert {r[0] for r in rows.select(industry.label_norm(F.col("industry_published"))).collect()} == {"property services"}

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from tidemark import fixed_values as V
 from tidemark.functions import labels as L
 from tidemark.functions.stats import poisoned_sum, safe_ratio
 from tidemark.operators.checks import PROVENANCE_COLUMNS, RefusedError, require_columns
-from tidemark.operators.latest import keep_global_latest, most_recent_per_bank
+from tidemark.operators.latest import most_recent_per_bank
 from tidemark.sources.tables import collapse
 
 SUBROW_COLUMNS = ("gross_carrying_component", "portfolio_type")
@@ -100,18 +100,38 @@ def writeoff_period(rows: DataFrame, months: int | None) -> DataFrame:
     return rows.where(F.col("period_length_months") == months)
 
 
-def _by_bucket(rows: DataFrame, metric: str, months: int | None = None) -> DataFrame:
-    per_bank = rows.groupBy("canonical_bucket", "bank_code").agg(
-        F.sum("value_aud_m").alias("_sum"), F.count("value_aud_m").alias("_known"), F.count(F.lit(1)).alias("_rows"),
-        F.max("as_of_date").alias("_date"), F.bool_or("derived_from_intra_bank_sum").alias("_derived"))
-    whole = F.sum("_known") == F.sum("_rows")
+def _bank_sums(rows: DataFrame, *, newest: bool, prefer_total: bool) -> DataFrame:
+    """Sum and date per (bucket, bank), in one chain of aggregates over one read of the rows.
+
+    Each (bank, industry, date) carries the sums of its published totals and of all its geographies, and
+    one of the two is chosen; sums of a date follow, and of the dates either the newest is picked with
+    its sums or all are added.
+    """
+    total = F.coalesce(F.lower("geography") == "total", F.lit(False))
+    value, derived = F.col("value_aud_m"), F.col("derived_from_intra_bank_sum")
+    parts = {"all": F.lit(True), "total": total}
+    cells = rows.groupBy("canonical_bucket", "bank_code", "as_of_date", "industry_published").agg(
+        *(F.struct(F.sum(F.when(c, value)).alias("sum"), F.count(F.when(c, value)).alias("known"), F.count_if(c).alias("rows"),
+                   F.bool_or(F.when(c, derived)).alias("derived")).alias(n) for n, c in parts.items()))
+    chosen = F.when(F.col("total.rows") > 0, F.col("total")).otherwise(F.col("all")) if prefer_total else F.col("all")
+    dates = cells.withColumn("c", chosen).groupBy("canonical_bucket", "bank_code", "as_of_date").agg(
+        F.struct(F.sum("c.sum").alias("sum"), F.sum("c.known").alias("known"), F.sum("c.rows").alias("rows"), F.bool_or("c.derived").alias("derived")).alias("d"))
+    banks = dates.groupBy("canonical_bucket", "bank_code")
+    if newest:
+        return banks.agg(F.max_by("d", "as_of_date").alias("d"), F.max("as_of_date").alias("date")).select("canonical_bucket", "bank_code", "d.*", "date")
+    return banks.agg(F.sum("d.sum").alias("sum"), F.sum("d.known").alias("known"), F.sum("d.rows").alias("rows"), F.bool_or("d.derived").alias("derived"),
+                     F.max("as_of_date").alias("date"))
+
+
+def _by_bucket(per_bank: DataFrame, metric: str, months: int | None = None) -> DataFrame:
+    whole = F.sum("known") == F.sum("rows")
     # at most one row per bank of the label map reaches these lists
-    dated = F.sort_array(F.collect_list(F.struct("bank_code", "_date")))
+    dated = F.sort_array(F.collect_list(F.struct("bank_code", "date")))
     return per_bank.groupBy("canonical_bucket").agg(
-        F.when(whole, F.sum("_sum")).cast("double").alias("value_aud_m"),
+        F.when(whole, F.sum("sum")).cast("double").alias("value_aud_m"),
         F.sort_array(F.collect_set("bank_code")).alias("contributing_banks"),
-        F.map_from_entries(dated).alias("bank_as_of_dates"), F.max("_date").alias("as_of_date"),
-        F.bool_or("_derived").alias("derived_from_intra_bank_sum"),
+        F.map_from_entries(dated).alias("bank_as_of_dates"), F.max("date").alias("as_of_date"),
+        F.bool_or("derived").alias("derived_from_intra_bank_sum"),
         F.when(~whole, F.lit("contributing_bank_null")).alias("null_reason"),
     ).select(
         "canonical_bucket", F.lit(metric).alias("metric"), "value_aud_m", "contributing_banks", "bank_as_of_dates",
@@ -120,13 +140,6 @@ def _by_bucket(rows: DataFrame, metric: str, months: int | None = None) -> DataF
         F.lit(None).cast("string").alias("coverage_ratio_caveat"), F.lit(None).cast("boolean").alias("low_coverage_flag"))
 
 
-def prefer_total(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Drop the geographic parts of a group that also publishes its total."""
-    totals = rows.where(F.lower("geography") == "total").select(*keys).distinct().withColumn("_has_total", F.lit(True))
-    return rows.join(totals, list(keys), "left").where(
-        F.col("_has_total").isNull() | (F.lower("geography") == "total")).drop("_has_total")
-
-
 def inter_bank_aggregate(totals: DataFrame, metric: str, labels: DataFrame, *, view: str | None = None,
                          months: int | None = None, geography: str = "prefer_total") -> DataFrame:
     """Bank totals -> one row per canonical bucket.
@@ -139,10 +152,10 @@ def inter_bank_aggregate(totals: DataFrame, metric: str, labels: DataFrame, *, v
                            "only exposure, non-performing exposure and write-offs are summable across banks")
     rows = consumer_view(harmonise(totals.where(F.col("metric") == metric), labels), view)
     # the period comes first: a total of another period says nothing about these parts
-    rows = writeoff_period(rows, months) if metric == "write_offs_aud_m" else most_recent_per_bank(rows)
-    if geography == "prefer_total":
-        rows = prefer_total(rows, ("bank_code", "industry_published", "as_of_date"))
-    return _by_bucket(rows, metric, months if metric == "write_offs_aud_m" else None)
+    flow = metric == "write_offs_aud_m"
+    rows = writeoff_period(rows, months) if flow else rows
+    per_bank = _bank_sums(rows, newest=not flow, prefer_total=geography == "prefer_total")
+    return _by_bucket(per_bank, metric, months if flow else None)
 
 
 def provisions_same_basis(totals: DataFrame, basis: str, labels: DataFrame, *, view: str | None = None) -> DataFrame:
@@ -158,7 +171,27 @@ def provisions_same_basis(totals: DataFrame, basis: str, labels: DataFrame, *, v
     if found and basis not in found:
         raise RefusedError("CrossBankAggregation", asked, f"requested basis is not in the input, which carries {found}")
     kept = consumer_view(harmonise(rows.where(F.col("provision_basis") == basis), labels), view)
-    return _by_bucket(most_recent_per_bank(kept), "individually_assessed_provision_aud_m").withColumn("provision_basis", F.lit(basis))
+    per_bank = _bank_sums(kept, newest=True, prefer_total=False)
+    return _by_bucket(per_bank, "individually_assessed_provision_aud_m").withColumn("provision_basis", F.lit(basis))
+
+
+def mixed_groups(rows: DataFrame) -> DataFrame:
+    """Refusals as rows: groups of one bank, date and metric that no sum may cover, with the rule they break.
+
+    Provisions on more than one accounting basis, and write-offs over periods of more than one length.
+    """
+    keys = ["bank_code", "as_of_date", "metric"]
+    # both lists are of a handful of published values
+    groups = rows.groupBy(*keys).agg(
+        F.array_sort(F.collect_set("provision_basis")).alias("bases"), F.array_sort(F.collect_set("period_length_months")).alias("lengths"),
+        F.count_if(F.col("source_table_ref").isNull()).alias("unsourced"))
+    found = F.array_compact(F.array(
+        F.when((F.col("metric") == "individually_assessed_provision_aud_m") & (F.size("bases") > 1),
+               F.struct(F.lit("CrossBankAggregation").alias("refusal_type"), F.array_join("bases", ", ").alias("found"))),
+        F.when((F.col("metric") == "write_offs_aud_m") & (F.size("lengths") > 1),
+               F.struct(F.lit("IncompatiblePeriodLength").alias("refusal_type"), F.array_join(F.transform("lengths", lambda m: m.cast("string")), ", ").alias("found"))),
+        F.when(F.col("unsourced") > 0, F.struct(F.lit("MissingProvenance").alias("refusal_type"), F.col("unsourced").cast("string").alias("found")))))
+    return groups.select(*keys, F.explode(found).alias("r")).select(*keys, "r.*")
 
 
 def refusal_log(spark: SparkSession, refusals: list[RefusedError]) -> DataFrame:
@@ -172,14 +205,17 @@ def refusal_log(spark: SparkSession, refusals: list[RefusedError]) -> DataFrame:
 
 def system_stock_by_bucket(stock: DataFrame, labels: DataFrame) -> DataFrame:
     """System lending of the newest date per bucket; unmapped labels are left out."""
-    rows = keep_global_latest(stock.where(
-        ~F.col("industry_published").isin(*V.SYSTEM_CONSTRUCTION_PARTS, V.SYSTEM_UNIVERSE_LABEL)))
-    keyed = rows.withColumn("label_norm", label_norm(F.col("industry_published"))).join(F.broadcast(labels), "label_norm")
-    flags = F.sort_array(F.collect_set("series_break_flag"))
-    return keyed.groupBy("canonical_bucket").agg(
-        poisoned_sum(F.col("value_aud_m")).cast("double").alias("outstanding_aud_m"),
-        F.min("source_publication_date").alias("publication_date"),
-        F.transform(flags, lambda f: F.concat(F.lit("d14_1_series_break_"), f)).alias("caveats"))
+    used = stock.where(~F.col("industry_published").isin(*V.SYSTEM_CONSTRUCTION_PARTS, V.SYSTEM_UNIVERSE_LABEL))
+    keyed = used.withColumn("label_norm", label_norm(F.col("industry_published"))).join(F.broadcast(labels), "label_norm", "left")
+    dates = keyed.groupBy("canonical_bucket", "as_of_date").agg(F.struct(
+        poisoned_sum(F.col("value_aud_m")).cast("double").alias("sum"), F.min("source_publication_date").alias("published"),
+        F.sort_array(F.collect_set("series_break_flag")).alias("flags")).alias("d"))
+    # one row per bucket: its newest date with the sums of that date; buckets without the newest of all have none
+    buckets = dates.groupBy("canonical_bucket").agg(F.max_by("d", "as_of_date").alias("d"), F.max("as_of_date").alias("date"))
+    newest = buckets.withColumn("newest", F.max("date").over(W.partitionBy(F.lit(0))))
+    return newest.where((F.col("date") == F.col("newest")) & F.col("canonical_bucket").isNotNull()).select(
+        "canonical_bucket", F.col("d.sum").alias("outstanding_aud_m"), F.col("d.published").alias("publication_date"),
+        F.transform("d.flags", lambda f: F.concat(F.lit("d14_1_series_break_"), f)).alias("caveats"))
 
 
 def coverage_ratios(aggregates: DataFrame, stock_by_bucket: DataFrame) -> DataFrame:

@@ -65,12 +65,6 @@ def most_recent_per_bank(rows: DataFrame, keys: Sequence[str] = ("bank_code", "c
     return rows.join(newest, list(keys)).where(F.col("as_of_date") == F.col("_newest")).drop("_newest")
 
 
-def keep_global_latest(rows: DataFrame, date: str = "as_of_date") -> DataFrame:
-    """Rows on the newest date of the whole table."""
-    newest = rows.agg(F.max(date).alias("_newest"))
-    return rows.join(F.broadcast(newest), F.col(date) == F.col("_newest"), "left_semi")
-
-
 def assign_versions(arrivals: DataFrame, order: Sequence[Column], coarse: Column,
                     prior: DataFrame | None = None) -> DataFrame:
     """Version numbers by arrival, continuing from ``prior``; older rows point on.

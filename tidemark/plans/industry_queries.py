@@ -134,6 +134,56 @@ def inter_bank_exposure(spark, sf):
     return _flat(industry.inter_bank_aggregate(_intra(spark, sf), "exposure_aud_m", tables.industry_labels(spark)))
 
 
+# some industries also publish a total, which is not the sum of its parts
+TOTALS = """
+tot AS (
+  SELECT bank_code, industry_published, metric, as_of_date, 'Total' AS geography, period_length_months, CAST(sum(value_aud_m) + 1 AS DECIMAL(38,2)) AS value_aud_m,
+    CAST(NULL AS VARCHAR) AS redaction_reason, FALSE AS derived, CAST(NULL AS VARCHAR) AS null_reason, CAST(NULL AS VARCHAR) AS provision_basis, min(source_page) AS source_page
+  FROM intra WHERE length(industry_published) % 2 = 0 GROUP BY bank_code, industry_published, metric, as_of_date, period_length_months),
+both_ AS (SELECT * FROM intra UNION ALL SELECT * FROM tot)"""
+HARM_ALL = HARM.replace("FROM intra i", "FROM both_ i")
+HARM_TOTAL = HARM.replace("FROM intra i", """FROM (SELECT * FROM (
+  SELECT *, bool_or(lower(geography) = 'total') OVER (PARTITION BY bank_code, industry_published, as_of_date, metric) AS has_total FROM both_)
+  WHERE NOT has_total OR lower(geography) = 'total') i""")
+
+
+def _with_totals(spark, sf):
+    rows = _intra(spark, sf)
+    keys = ["bank_code", "industry_published", "metric", "as_of_date", "period_length_months"]
+    totals = rows.where(F.length("industry_published") % 2 == 0).groupBy(*keys).agg((F.sum("value_aud_m") + 1).alias("value_aud_m")).withColumns(
+        {"geography": F.lit("Total"), "derived_from_intra_bank_sum": F.lit(False)})
+    return rows.unionByName(totals, allowMissingColumns=True)
+
+
+@query("inter_bank_prefer_total", O.with_(ROWS, INTRA, TOTALS, LABELS, HARM_TOTAL, _bucket_sql("exposure_aud_m"), body="SELECT * FROM agg"))
+def inter_bank_prefer_total(spark, sf):
+    """Totals beside their parts: a published total counts once, in place of its parts."""
+    return _flat(industry.inter_bank_aggregate(_with_totals(spark, sf), "exposure_aud_m", tables.industry_labels(spark)))
+
+
+@query("inter_bank_sum_all", O.with_(ROWS, INTRA, TOTALS, LABELS, HARM_ALL, _bucket_sql("exposure_aud_m"), body="SELECT * FROM agg"))
+def inter_bank_sum_all(spark, sf):
+    """Totals beside their parts: every published geography counts, totals included."""
+    return _flat(industry.inter_bank_aggregate(_with_totals(spark, sf), "exposure_aud_m", tables.industry_labels(spark), geography="sum_all"))
+
+
+@query("mixed_groups", O.with_(ROWS, body="""
+SELECT bank_code, as_of_date, metric, 'IncompatiblePeriodLength' AS refusal_type, string_agg(CAST(m AS VARCHAR), ', ' ORDER BY m) AS found
+FROM (SELECT DISTINCT bank_code, as_of_date, metric, period_length_months AS m FROM ir WHERE metric = 'write_offs_aud_m' AND period_length_months IS NOT NULL)
+GROUP BY ALL HAVING count(*) > 1
+UNION ALL SELECT bank_code, as_of_date, metric, 'CrossBankAggregation', string_agg(b, ', ' ORDER BY b)
+FROM (SELECT DISTINCT bank_code, as_of_date, metric, CASE WHEN row_seq % 7 = 0 THEN 'aps220_specific' ELSE provision_basis END AS b FROM ir
+      WHERE metric = 'individually_assessed_provision_aud_m') WHERE b IS NOT NULL GROUP BY ALL HAVING count(*) > 1
+UNION ALL SELECT bank_code, as_of_date, metric, 'MissingProvenance', CAST(count(*) AS VARCHAR) FROM ir WHERE row_seq % 997 = 0 GROUP BY ALL"""))
+def mixed_groups(spark, sf):
+    """Refusals as rows, from published rows some of which change their basis or lose their table reference."""
+    k = F.col("row_seq")
+    rows = _rows(spark, sf).withColumns({
+        "provision_basis": F.when((F.col("metric") == "individually_assessed_provision_aud_m") & (k % 7 == 0), F.lit("aps220_specific")).otherwise(F.col("provision_basis")),
+        "source_table_ref": F.when(k % 997 != 0, F.col("source_table_ref"))})
+    return industry.mixed_groups(rows)
+
+
 @query("inter_bank_npe", O.with_(*BASE, _bucket_sql("npe_aud_m"), body="SELECT * FROM agg"))
 def inter_bank_npe(spark, sf):
     return _flat(industry.inter_bank_aggregate(_intra(spark, sf), "npe_aud_m", tables.industry_labels(spark)))

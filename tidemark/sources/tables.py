@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark import fixed_values as V, schemas
+from tidemark.functions import text as X
 from tidemark.functions.labels import default_note, lookup
 from tidemark.sources import seeds
 
@@ -152,8 +153,8 @@ def _norm(label: str) -> str:
 
 
 def collapse(text: Column) -> Column:
-    """Trim and collapse runs of white space."""
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    """Trim and collapse runs of white space of any kind, non-breaking spaces included."""
+    return F.trim(F.regexp_replace(X.plain_text(text), r"\s+", " "))
 
 
 # --- sheet, table and document sources ----------------------------------------------------
