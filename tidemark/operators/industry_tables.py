@@ -6,14 +6,16 @@ halves are cut out of the page text. Everything stays inside the page's row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import fixed_values as V
 from tidemark.functions import text as X
-from tidemark.functions.labels import lookup
-from tidemark.operators.bands import trimmed_lines
+from tidemark.functions.labels import first_match, lookup
+from tidemark.operators.bands import plain_lines, trimmed_lines
+from tidemark.session import staged
 
 NUMBER = r"(?:\(\d[\d,]*\)|\d[\d,]*|[-–—])"
 _CUT = "\u0001"
@@ -99,66 +101,87 @@ def undated_pages(pages: DataFrame, bank: str) -> DataFrame:
         "reason", F.lit("no_as_of_date"))
 
 
-def table_rows(pages: DataFrame, layout: TableLayout, *, strict: bool = True, period_months: Column | int | None = None) -> DataFrame:
-    """Industry rows of one published table.
+def _by_layout(layouts: dict[str, TableLayout], value: Callable[[TableLayout], Column]) -> Column:
+    """The value of the row's own layout; the others are not evaluated."""
+    return first_match([(F.col("layout") == name, value(layout)) for name, layout in layouts.items()])
 
-    An unmatched industry label fails the job when strict; otherwise its row
-    carries a null label and ``error`` for the quarantine.
-    """
-    keys = [c for c in pages.columns if c != "text"]
-    dated = _dated(pages, layout.bank).where(F.col("as_of_date").isNotNull())
+
+def _sections(layout: TableLayout) -> Column:
+    """The table's part of a page as (geography, text) stretches, one of no geography where the table has no sections."""
     body = F.col("text")
-    if layout.start:
-        body = F.regexp_replace(body, layout.start, "")
-    if layout.end:
-        body = F.regexp_replace(body, layout.end, "")
-    held = dated.withColumn("text", body)
-    if layout.sections:
-        heads = "|".join(layout.sections)
-        cut = F.regexp_replace("text", rf"(?m)^\s*({heads})\s*$", _CUT + "$1")
-        parts = held.withColumn("_part", F.explode(F.split(cut, _CUT))).withColumn(
-            "geography", F.regexp_extract("_part", rf"^({heads})\s*(?:\n|$)", 1)).where("geography <> ''")
-        held = parts.withColumn("text", F.regexp_replace("_part", r"(?smi)^\s*Total\s.*", "")).drop("_part")
-        keys = [*keys, "geography"]
-    lines = held.select(*keys, "as_of_date", F.explode(trimmed_lines(F.col("text"))).alias("line"))
+    for cut in (layout.start, layout.end):
+        body = F.regexp_replace(body, cut, "") if cut else body
+    if not layout.sections:
+        return F.array(F.struct(F.lit(None).cast("string").alias("geography"), body.alias("body")))
+    heads = "|".join(layout.sections)
+    parts = F.split(F.regexp_replace(body, rf"(?m)^\s*({heads})\s*$", _CUT + "$1"), _CUT)
+    named = F.transform(parts, lambda p: F.struct(F.regexp_extract(p, rf"^({heads})\s*(?:\n|$)", 1).alias("geography"),
+                                                  F.regexp_replace(p, r"(?smi)^\s*Total\s.*", "").alias("body")))
+    return F.filter(named, lambda p: p["geography"] != "")
+
+
+def _cut_line(layout: TableLayout) -> Column:
+    """(label, tokens): the figures at the right edge of a line, and the label before them."""
+    line = F.col("line")
     if layout.row_index:
-        lines = lines.where(F.col("line").rlike(r"^\d{1,2}\s+")).withColumn("line", F.regexp_replace("line", r"^\d{1,2}\s+", ""))
+        line = F.when(line.rlike(r"^\d{1,2}\s+"), F.regexp_replace(line, r"^\d{1,2}\s+", ""))
     pattern = _peel(layout.tokens)
-    # the right edge must hold figures before the full pattern is tried
-    likely = lines.where(F.col("line").rlike(r"[\d)–—-]$"))
-    label = F.regexp_extract("line", pattern, 1)
+    label = F.regexp_extract(line, pattern, 1)
     if layout.footnotes:
         label = F.regexp_replace(label, r"\(\d+\)\s*$", "")
-    cut = F.struct(F.trim(label).alias("label"), F.split(F.regexp_extract("line", pattern, 2), r"\s+").alias("tokens"))
-    rows = likely.select(*keys, "as_of_date", F.inline(F.array(cut))).where(F.size("tokens") == layout.tokens)
+    tokens = F.split(F.regexp_extract(line, pattern, 2), r"\s+")
+    return F.struct(F.trim(label).alias("label"), F.when(F.size(tokens) == layout.tokens, tokens).alias("tokens"))
+
+
+def dispatched_rows(pages: DataFrame, layouts: dict[str, TableLayout] | None = None, *, strict: bool = True, period_months: Column | None = None) -> DataFrame:
+    """Industry rows of pages that each name their ``layout``, all layouts in one pass over the pages.
+
+    An unmatched industry label fails the job when strict; otherwise its row
+    carries a null label and ``error`` for the quarantine.
+    """
+    layouts = layouts or LAYOUTS
+    pages = pages.where(F.col("layout").isin(*layouts))
+    keys = [c for c in pages.columns if c not in ("text", "layout")]
+    fact = lambda value: _by_layout(layouts, lambda x: F.lit(value(x)))
+    plain = pages.withColumn("text", X.plain_text(F.col("text")))
+    dated = plain.withColumn("as_of_date", _by_layout(layouts, lambda x: X.page_as_of_date(F.col("text"), x.bank))).where(F.col("as_of_date").isNotNull())
+    parts = dated.select(*keys, "layout", "as_of_date", F.inline(_by_layout(layouts, _sections)))
+    lines = parts.select(*keys, "layout", "as_of_date", "geography", F.explode(plain_lines(F.col("body"))).alias("line"))
+    # the right edge must hold figures before the full pattern is tried
+    likely = lines.where(F.col("line").rlike(r"[\d)–—-]$"))
+    rows = likely.select(*keys, "layout", "as_of_date", "geography", F.inline(F.array(_by_layout(layouts, _cut_line)))).where(F.col("tokens").isNotNull())
     # column headings that end in figures are not rows of the table
-    rows = rows.where(F.col("label").rlike("[A-Za-z]") & ~F.lower("label").rlike(r"\$m|industry sector"))
-    known = _known(layout.bank, F.col("label"))
-    miss = F.raise_error(F.concat(F.lit(f"{layout.bank} {layout.table_ref}: unmatched industry label "), F.col("label"))).cast("string")
+    rows = rows.where(F.col("label").rlike("[A-Za-z]") & ~F.lower("label").rlike(r"\$m|industry sector")).withColumns(
+        {"bank_code": fact(lambda x: x.bank), "source_table_ref": fact(lambda x: x.table_ref)})
+    known = _by_layout(layouts, lambda x: _known(x.bank, F.col("label")))
+    miss = F.raise_error(F.concat(F.col("bank_code"), F.lit(" "), F.col("source_table_ref"), F.lit(": unmatched industry label "), F.col("label"))).cast("string")
     rows = rows.withColumn("industry_published", F.coalesce(known, miss) if strict else known)
-    cells = F.array(*[
+    columns = lambda x: F.array(*[
         F.struct(F.get("tokens", F.lit(i)).alias("token"), F.lit(m).alias("metric"), F.lit(g).alias("geo"), F.lit(c).cast("string").alias("component"))
-        for i, m, g, c in layout.columns])
-    long = rows.withColumn("c", F.explode(cells))
+        for i, m, g, c in x.columns])
+    long = rows.withColumn("c", F.explode(_by_layout(layouts, columns)))
     token = F.when(F.col("c.token").isin(*X.DASHES), F.lit("-")).otherwise(F.col("c.token"))
-    cell = X.coerce_metric_cell(F.lit(layout.bank), F.col("industry_published"), token, F.lit(layout.table_ref))
-    months = period_months if period_months is not None else layout.period_months
-    months = months if isinstance(months, Column) else F.lit(months)
-    geography = F.col("geography") if layout.sections else F.col("c.geo")
-    note = F.lit(" (APS 120 securitisation excluded)") if layout.bank == "cba" else F.lit("")
+    cell = X.coerce_metric_cell(F.col("bank_code"), F.col("industry_published"), token, F.col("source_table_ref"))
+    months = period_months if period_months is not None else fact(lambda x: x.period_months)
+    note = F.when(F.col("bank_code") == "cba", F.lit(" (APS 120 securitisation excluded)")).otherwise(F.lit(""))
     metric = F.col("c.metric")
-    base = [k for k in keys if k != "geography"]
     return long.withColumn("cell", cell).select(
-        *base, F.lit(f"pillar3_{layout.bank}").alias("data_source"), F.lit("single_bank").alias("aggregation_level"),
-        F.lit(layout.bank).alias("bank_code"), "as_of_date",
-        F.when(metric == _WO, months.cast("int")).alias("period_length_months"), geography.alias("geography"), "industry_published",
+        *keys, F.concat(F.lit("pillar3_"), "bank_code").alias("data_source"), F.lit("single_bank").alias("aggregation_level"),
+        "bank_code", "as_of_date",
+        F.when(metric == _WO, months.cast("int")).alias("period_length_months"), F.coalesce("geography", "c.geo").alias("geography"), "industry_published",
         metric.alias("metric"), F.col("cell.value").alias("value_aud_m"), F.col("cell.redaction").alias("redaction_reason"),
-        F.concat(F.lit(layout.bank.upper() + " Pillar 3"), F.when(metric == _NPE, note).otherwise(F.lit(""))).alias("source_publication"),
-        F.lit(layout.table_ref).alias("source_table_ref"),
-        F.when(metric == _PROV, F.lit(layout.basis)).alias("provision_basis"), F.col("c.component").alias("gross_carrying_component"),
+        F.concat(F.upper("bank_code"), F.lit(" Pillar 3"), F.when(metric == _NPE, note).otherwise(F.lit(""))).alias("source_publication"),
+        "source_table_ref",
+        F.when(metric == _PROV, fact(lambda x: x.basis)).alias("provision_basis"), F.col("c.component").alias("gross_carrying_component"),
         F.when(F.col("industry_published").isNull(), F.concat(F.lit("unmatched label: "), F.col("label"))).alias("error"))
 
 
+def table_rows(pages: DataFrame, layout: TableLayout, *, strict: bool = True, period_months: Column | int | None = None) -> DataFrame:
+    """Industry rows of one published table."""
+    months = F.lit(period_months) if isinstance(period_months, int) else period_months
+    return dispatched_rows(pages.withColumn("layout", F.lit("only")), {"only": layout}, strict=strict, period_months=months)
+
+
 def _matrix_halves(pages: DataFrame) -> DataFrame:
     """Dated pages with the data lines of each half of their matrix."""
     keys = [c for c in pages.columns if c != "text"]
@@ -219,18 +242,15 @@ PAGE_MAP = (
 
 
 def bank_industry_rows(pages: DataFrame, page_map=PAGE_MAP, *, strict: bool = True) -> DataFrame:
-    """All industry rows of the annual documents, table by table from their fixed pages."""
-    frames = []
-    for name in dict.fromkeys(layout for _, layout, _, _ in page_map):
-        used = [(b, p, m) for b, layout, p, m in page_map if layout == name]
-        bank = used[0][0]
-        chosen = pages.where((F.col("bank") == bank) & F.col("page_no").isin(*[p for _, p, _ in used])).drop("bank")
-        if name == "matrix":
-            frames.append(matrix_rows(chosen))
-            continue
-        months = lookup(F.col("page_no").cast("string"), {str(p): str(m) for _, p, m in used if m is not None} or {"": ""}).cast("int")
-        frames.append(table_rows(chosen, LAYOUTS[name], strict=strict, period_months=months))
-    out = frames[0]
-    for more in frames[1:]:
-        out = out.unionByName(more, allowMissingColumns=True)
-    return out
+    """All industry rows of the annual documents: a page's bank and number name its layout, and each page is read once.
+
+    The pages that hold a table are written first, as the matrix is read by another rule than the tables.
+    """
+    at = F.concat_ws(" ", "bank", "page_no")
+    layout = lookup(at, {f"{b} {p}": name for b, name, p, _ in page_map})
+    held = staged(pages.withColumn("layout", layout).where(F.col("layout").isNotNull()), "industry-pages")
+    months = lookup(F.concat_ws(" ", "bank_code", "page_no"), {f"{b} {p}": str(m) for b, _, p, m in page_map if m is not None} or {"": ""}).cast("int")
+    tables = dispatched_rows(held.where("layout <> 'matrix'").drop("bank"), strict=strict, period_months=months)
+    if "matrix" not in {name for _, name, _, _ in page_map}:
+        return tables
+    return tables.unionByName(matrix_rows(held.where("layout = 'matrix'").drop("bank", "layout")), allowMissingColumns=True)

@@ -275,11 +275,7 @@ FROM po CROSS JOIN (SELECT * FROM {_vals(_PEEL)})"""))
 def industry_table_right_peel(spark, sf):
     cols = ["doc_id", "bank_code", "industry_published", "metric", "geography", "gross_carrying_component", "as_of_date", "value_aud_m",
             "redaction_reason", "period_length_months", "provision_basis"]
-    frames = [tables_ops.table_rows(P.industry_pages(spark, sf, name), layout).select(*cols) for name, layout in tables_ops.LAYOUTS.items()]
-    out = frames[0]
-    for more in frames[1:]:
-        out = out.unionByName(more)
-    return out
+    return tables_ops.dispatched_rows(P.industry_pages(spark, sf)).select(*cols)
 
 
 def _matrix_cells():

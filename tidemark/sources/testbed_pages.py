@@ -117,8 +117,8 @@ def note_pages(spark: SparkSession, sf: str) -> DataFrame:
 # --- industry tables: one page per order or customer -----------------------------------------
 
 
-def industry_pages(spark: SparkSession, sf: str, bank: str) -> DataFrame:
-    """A published industry table per order, in the bank's own layout."""
+def industry_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """The published industry tables of every order, each page with its ``layout``; the orders are read once."""
     d = F.add_months(F.col("o_orderdate").cast("date"), 240)
     long = F.date_format(d, "d MMMM yyyy")
     n = F.format_number(F.round("o_totalprice"), 0)
@@ -135,7 +135,9 @@ def industry_pages(spark: SparkSession, sf: str, bank: str) -> DataFrame:
         "cba_npe": page("CRB(f)(i)", F.concat(F.lit("30 June "), F.date_format(d, "yyyy")), "Industry Sector $M 1 2 3", row("Manufacturing", n, "–", paren),
                         row("Wholesale & Retail Trade 1", n, "3"), "Total 9 9 9"),
     }
-    return pages_table(spark, sf, "orders", "o_orderkey").select(F.col("o_orderkey").cast("string").alias("doc_id"), F.lit(1).alias("page_no"), texts[bank].alias("text"))
+    each = F.explode(F.array(*[F.struct(F.lit(name).alias("layout"), text.alias("text")) for name, text in texts.items()]))
+    return pages_table(spark, sf, "orders", "o_orderkey").select(F.col("o_orderkey").cast("string").alias("doc_id"), F.lit(1).alias("page_no"), each.alias("p")).select(
+        "doc_id", "page_no", "p.*")
 
 
 def matrix_pages(spark: SparkSession, sf: str) -> DataFrame:
