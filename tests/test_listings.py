@@ -80,3 +80,16 @@ def test_links_join_the_address_of_their_page(spark):
     rows = spark.createDataFrame([(b, h) for b in base for h in hrefs], "b string, h string")
     got = {(r.b, r.h): r.u for r in rows.select("b", "h", listings.X.absolute_url(F.col("b"), F.col("h")).alias("u")).collect()}
     assert got == {(b, h): None if h.split(":")[0] in ("mailto", "javascript") else u.urljoin(b, h) for b in base for h in hrefs}
+
+
+def test_manifest_merges_by_url_and_replays_cleanly(spark, tmp_path):
+    path, day = f"{tmp_path}/m", dt.date(2026, 5, 1)
+    schema = "source_key string, url string, title string, published_date date"
+    make = lambda *rows: spark.createDataFrame([("s", u, t, d) for u, t, d in rows], schema)
+    first = make(("u1", "one", day), ("u2", "two", None), ("u2", "again", None), (None, "no address", day))
+    second = make(("u1", "renamed", day), ("u3", "three", dt.date(2026, 6, 1)))
+    for batch, rows in ((0, first), (1, second), (1, second), (0, first)):
+        listings.manifest_append(rows, path, batch)
+    items = listings.manifest_items(spark, path, first.schema).collect()
+    assert [(r.url, r.title) for r in items] == [("u3", "three"), ("u1", "one"), ("u2", "again")]
+    assert listings.manifest_items(spark, f"{tmp_path}/none", first.schema).count() == 0

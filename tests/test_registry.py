@@ -118,7 +118,7 @@ def test_append_is_additive_and_audited(spark, observe, tmp_path):
     obs = observe({"source_id": "a", "value": .1}, {"source_id": "b", "value": .2, "parameter": "npl"})
     for _ in range(2):
         registry.append_observations(obs, str(tmp_path / "obs"))
-        registry.audit_append(spark, str(tmp_path / "audit"), "append", None, {"rows": 2}, "2", dt.datetime(2025, 1, 1))
+        registry.audit_append(spark, str(tmp_path / "audit"), [("append", None, {"rows": 2}, "2")], dt.datetime(2025, 1, 1))
     assert spark.read.parquet(str(tmp_path / "obs")).count() == 4
     assert spark.read.schema(schemas.AUDIT_LOG).parquet(str(tmp_path / "audit")).count() == 2
 
@@ -163,3 +163,13 @@ def test_superseding_nothing_live_is_refused(spark):
     assert [(r.source_id, r.version, r.superseded_by) for r in good.collect()] == [("a", 4, None)]
     with pytest.raises(Exception, match="no live benchmark to supersede: zz"):
         registry.supersede(stored, entries, order, F.to_date("inserted_at")).collect()
+
+
+def test_counts_come_from_the_write_itself(spark, tmp_path):
+    rows = bench(spark, {"source_id": "a", "value": .1}, {"source_id": "b", "value": .5}, {"source_id": "c", "value": .6})
+    seen = spark.sparkContext.accumulator(0)
+    watched = rows.rdd.map(lambda r: (seen.add(1), r)[1])
+    frame = spark.createDataFrame(watched, rows.schema)
+    registry.audited_write(frame, f"{tmp_path}/rows", f"{tmp_path}/log", "read", {"high": F.col("value") > .3, "all": F.lit(True)}, dt.datetime(2025, 1, 1))
+    assert {r.entity_id: r.result_summary for r in spark.read.parquet(f"{tmp_path}/log").collect()} == {"high": "2", "all": "3"}
+    assert spark.read.parquet(f"{tmp_path}/rows").count() == 3 and seen.value == 3

@@ -10,11 +10,12 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark import fixed_values as V
 from tidemark.functions import text as X
-from tidemark.functions.labels import first_match
+from tidemark.functions.labels import first_match, lookup
+from tidemark.session import stored
 
 # comments, scripts and styles hold no text; then tags, text, and a stray "<"
 _EVENT = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)|<(/?)([a-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>|[^<]+|<")
@@ -228,17 +229,57 @@ def tiered_link_match(links: DataFrame, rules: Sequence[LinkRule], keys: Sequenc
         *keys, "target", "b.link", F.when(F.col("b.tier") == 1, "primary-glob").otherwise("fallback-keywords").alias("matched_by"))
 
 
-def capture_records(documents: DataFrame, retrieval_date: Column) -> DataFrame:
-    """Captured-document records: file name, content hash and period."""
-    return documents.select(
-        "source_key", "title", "url", F.concat(F.col("source_key"), F.lit("/"), X.publication_filename(F.col("url"), F.col("title"))).alias("local_path"),
+def capture_records(documents: DataFrame, retrieval_date: Column, publishers: dict[str, str]) -> DataFrame:
+    """Captured-document records: publisher, landing page and resolved address, file name, content hash and period.
+
+    ``documents`` has source_key, title, landing_url, href, published_date and content.
+    """
+    url = X.absolute_url(F.col("landing_url"), F.col("href"))
+    return documents.withColumn("url", url).select(
+        "source_key", lookup(F.col("source_key"), publishers).alias("publisher"), "title", F.col("landing_url"), "url", "published_date",
+        F.concat(F.col("source_key"), F.lit("/"), X.publication_filename(F.col("url"), F.col("title"))).alias("local_path"),
         X.quarter_label(F.col("published_date")).alias("period"), retrieval_date.alias("retrieval_date"),
         F.sha2(F.col("content"), 256).alias("sha256"))
 
 
-def capture_audit(records: DataFrame) -> DataFrame:
+def capture_audit(records: DataFrame, actor: str = "system") -> DataFrame:
     """One audit row per captured document."""
     return records.select(
         F.lit("read_source_document").alias("operation"), F.col("source_key").alias("entity_id"),
-        F.to_json(F.struct("url", "retrieval_date", F.col("sha256").alias("file_hash"), F.col("local_path").alias("local_cached_file"), "period")).alias("params_json"),
-        F.lit("captured").alias("result_summary"))
+        F.to_json(F.struct("url", F.col("retrieval_date").alias("retrieved_at"), F.col("sha256").alias("file_hash"),
+                           F.col("local_path").alias("local_cached_file"), "period")).alias("params_json"),
+        F.lit("captured").alias("result_summary"), F.lit(actor).alias("actor"), F.col("retrieval_date").cast("timestamp").alias("timestamp"))
+
+
+# --- manifest of captures ----------------------------------------------------------------------
+
+#: Folders that a manifest is spread over by a hash of the URL.
+MANIFEST_BUCKETS = 64
+
+
+def _url_bucket() -> Column:
+    return F.pmod(F.xxhash64("url"), F.lit(MANIFEST_BUCKETS)).cast("int")
+
+
+def manifest_append(records: DataFrame, path: str, batch_id: int) -> None:
+    """Merge captures into a manifest by URL: the first capture of a URL stays, whatever comes later.
+
+    Stored by batch and hash of the URL: a batch reads only the buckets of its own URLs, and overwrites only
+    its own folder, so a batch that is tried again leaves what one try would have left.
+    """
+    spark = records.sparkSession
+    schema = T.StructType([*records.schema.fields, T.StructField("batch_id", T.LongType()), T.StructField("bucket", T.IntegerType())])
+    mine = records.where("url IS NOT NULL").withColumn("bucket", _url_bucket())
+    buckets = [r.bucket for r in mine.select("bucket").distinct().collect()]  # MANIFEST_BUCKETS numbers at most
+    held = stored(spark, path, schema).where(F.col("bucket").isin(*buckets) & (F.col("batch_id") != batch_id)).select("bucket", "url")
+    rest = [c for c in records.columns if c != "url"]
+    first = mine.groupBy("bucket", "url").agg(F.min(F.struct(*rest)).alias("row"))
+    fresh = first.join(held, ["bucket", "url"], "left_anti").select(*(F.col("url") if c == "url" else F.col(f"row.{c}") for c in records.columns), "bucket")
+    fresh.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/batch_id={batch_id}")
+
+
+def manifest_items(spark: SparkSession, path: str, schema: T.StructType, source_key: str | None = None) -> DataFrame:
+    """The captures of a manifest, newest publication first, then by title from the end; undated ones last."""
+    items = stored(spark, path, schema)
+    items = items if source_key is None else items.where(F.col("source_key") == source_key)
+    return items.orderBy(F.col("published_date").desc_nulls_last(), F.col("title").desc_nulls_last(), F.col("url").desc())

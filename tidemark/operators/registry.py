@@ -6,7 +6,7 @@ import datetime as dt
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tidemark import schemas
 from tidemark.functions import labels as L
@@ -196,11 +196,23 @@ def append_observations(accepted: DataFrame, path: str) -> None:
     rows.hint("rebalance", "parameter", "as_of_year").write.mode("append").partitionBy("parameter", "as_of_year").parquet(path)
 
 
-def audit_append(spark: SparkSession, path: str, operation: str, entity_id: str | None, params: Mapping,
-                 result: str, at: dt.datetime, actor: str = "system") -> None:
-    """One audit row per operation, reads included."""
-    row = (operation, entity_id, json.dumps(dict(params), sort_keys=True, default=str), result, actor, at)
-    spark.createDataFrame([row], schemas.AUDIT_LOG).coalesce(1).write.mode("append").parquet(path)
+def audit_append(spark: SparkSession, path: str, rows: Sequence[tuple[str, str | None, Mapping, str]], at: dt.datetime, actor: str = "system") -> None:
+    """One audit row per operation (operation, entity, parameters, result), reads included."""
+    log = [(operation, entity, json.dumps(dict(params), sort_keys=True, default=str), result, actor, at) for operation, entity, params, result in rows]
+    spark.createDataFrame(log, schemas.AUDIT_LOG).coalesce(1).write.mode("append").parquet(path)
+
+
+def audited_write(rows: DataFrame, out: str, audit_path: str, operation: str, counts: Mapping[str, Column], at: dt.datetime, actor: str = "system") -> None:
+    """Write rows and log how many met each condition, counted by observation while they are written.
+
+    ``counts`` names what is logged: an audit row per name, with the rows for which its condition held.
+    """
+    seen = Observation(operation)
+    named = {f"c{i}": (name, condition) for i, (name, condition) in enumerate(counts.items())}
+    watched = rows.observe(seen, *(F.count_if(condition).alias(c) for c, (_, condition) in named.items()))
+    watched.write.mode("overwrite").parquet(out)
+    found = seen.get
+    audit_append(rows.sparkSession, audit_path, [(operation, name, {"entity": name}, str(found[c])) for c, (name, _) in named.items()], at, actor)
 
 
 def observation_set_json(observations: DataFrame, flags: DataFrame) -> DataFrame:

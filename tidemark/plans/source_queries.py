@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import re
-
 import datetime as dt
+import re
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F, types as T
 
 from tidemark import fixed_values as V
 from tidemark.operators import checks, grids, industry, ingest, listings, registry, reporting
@@ -318,16 +317,54 @@ def latest_issue(spark, sf):
     return listings.latest_issue(table(spark, sf, "pages").select(key.alias("source_key"), href.alias("href")), r"^/publications/[a-z]+/(\d{4})/([a-z]{3})/?$")
 
 
-@query("capture_record", """
-SELECT source AS source_key, 'Doc ' || doc_id AS title, 'https://site.example/docs/' || doc_id || '.html' AS url, source || '/' || doc_id || '.html' AS local_path,
-  'Q' || quarter(d) || ' ' || year(d) AS period, DATE '2025-01-01' AS retrieval_date, sha256(text) AS sha256
-FROM (SELECT *, DATE '2024-01-01' + CAST(doc_id % 400 AS INT) AS d FROM documents)""")
-def capture_record(spark, sf):
+CAPTURED = """
+cap AS (
+  SELECT source AS source_key, upper(source) || ' publisher' AS publisher, 'Doc ' || doc_id AS title, 'https://site.example/docs/list?p=1' AS landing_url,
+    'https://site.example/docs/' || doc_id || '.html' AS url, d AS published_date, source || '/' || doc_id || '.html' AS local_path,
+    'Q' || quarter(d) || ' ' || year(d) AS period, DATE '2025-01-01' AS retrieval_date, sha256(text) AS sha256, doc_id
+  FROM (SELECT *, DATE '2024-01-01' + CAST(doc_id % 400 AS INT) AS d FROM documents))"""
+
+
+def _captures(spark, sf):
     d = table(spark, sf, "documents").select(
         F.col("source").alias("source_key"), F.concat(F.lit("Doc "), F.col("doc_id").cast("string")).alias("title"),
-        F.concat(F.lit("https://site.example/docs/"), F.col("doc_id").cast("string"), F.lit(".html")).alias("url"),
+        F.lit("https://site.example/docs/list?p=1").alias("landing_url"), F.concat(F.col("doc_id").cast("string"), F.lit(".html")).alias("href"),
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 400).cast("int")).alias("published_date"), F.col("text").alias("content"))
-    return listings.capture_records(d, F.lit("2025-01-01").cast("date"))
+    publishers = {r.source: f"{r.source.upper()} publisher" for r in table(spark, sf, "documents").select("source").distinct().limit(1000).collect()}
+    return listings.capture_records(d, F.lit("2025-01-01").cast("date"), publishers)
+
+
+@query("capture_record", O.with_(CAPTURED, body="SELECT * EXCLUDE (doc_id) FROM cap"))
+def capture_record(spark, sf):
+    return _captures(spark, sf)
+
+
+@query("capture_audit", O.with_(CAPTURED, body="""
+SELECT 'read_source_document' AS operation, source_key AS entity_id, url, '2025-01-01' AS retrieved_at, sha256 AS file_hash, local_path AS local_cached_file, period,
+  'captured' AS result_summary, 'system' AS actor FROM cap"""))
+def capture_audit(spark, sf):
+    rows = listings.capture_audit(_captures(spark, sf))
+    fields = ("url", "retrieved_at", "file_hash", "local_cached_file", "period")
+    return rows.select("operation", "entity_id", *(F.get_json_object("params_json", f"$.{f}").alias(f) for f in fields), "result_summary", "actor")
+
+
+@query("manifest_append", O.with_(CAPTURED, body="""
+SELECT source_key, url, published_date, title, CAST(row_number() OVER (PARTITION BY source_key ORDER BY published_date DESC, title DESC, url DESC) AS INT) AS place,
+  CASE WHEN doc_id % 3 = 2 THEN 1 ELSE doc_id % 3 END AS batch FROM cap"""))
+def manifest_append(spark, sf):
+    """Three batches, the second also with captures of the first under another title, the third the second again; newest first."""
+    base = f"{work_folder(spark, 'manifest')}/items"
+    rows = _captures(spark, sf).withColumn("k", F.regexp_extract("url", r"(\d+)\.html$", 1).cast("long"))
+    part = lambda cond: rows.where(cond).drop("k")
+    listings.manifest_append(part(F.col("k") % 3 == 0), base, 0)
+    second = part(F.col("k") % 3 != 0).unionByName(part(F.col("k") % 3 == 0).withColumn("title", F.lit("seen again")))
+    listings.manifest_append(second, base, 1)
+    listings.manifest_append(second, base, 1)
+    schema = T.StructType([*second.schema.fields, T.StructField("batch_id", T.LongType())])
+    items = listings.manifest_items(spark, base, schema)
+    order = [F.col("published_date").desc(), F.col("title").desc(), F.col("url").desc()]
+    return items.select("source_key", "url", "published_date", "title", F.row_number().over(W.partitionBy("source_key").orderBy(*order)).alias("place"),
+                        F.col("batch_id").alias("batch"))
 
 
 # --- writes, refusals, streams -------------------------------------------------------------------------------
@@ -342,13 +379,15 @@ def append_observations(spark, sf):
     return stored.groupBy("parameter", F.col("as_of_year").cast("long").alias("as_of_year")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("audit_append", O.with_(O.OBS, body="""
-SELECT 'query_observations' AS operation, 'npl' AS entity_id, 'npl' AS parameter, CAST(count(*) AS VARCHAR) AS result_summary FROM obs WHERE parameter = 'npl'"""))
+@query("audit_append", O.with_(O.OBS, body=f"""
+SELECT 'query_observations' AS operation, p AS entity_id, p AS parameter, CAST((SELECT count(*) FROM obs WHERE parameter = p) AS VARCHAR) AS result_summary
+FROM (VALUES {', '.join(f"('{p}')" for p in V.PARAMETERS)}) AS t(p)"""))
 def audit_append(spark, sf):
-    rows = registry.query_observations(testbed.observations(spark, sf), parameter="npl")
-    path = work_folder(spark, "audit")
-    registry.audit_append(spark, path, "query_observations", "npl", {"parameter": "npl"}, str(rows.count()), dt.datetime(2025, 1, 1))
-    return spark.read.parquet(path).select("operation", "entity_id", F.get_json_object("params_json", "$.parameter").alias("parameter"), "result_summary")
+    """Rows written once, counted per parameter while they are written."""
+    base = work_folder(spark, "audit")
+    counts = {p: F.col("parameter") == p for p in V.PARAMETERS}
+    registry.audited_write(testbed.observations(spark, sf), f"{base}/rows", f"{base}/log", "query_observations", counts, dt.datetime(2025, 1, 1))
+    return spark.read.parquet(f"{base}/log").select("operation", "entity_id", F.get_json_object("params_json", "$.entity").alias("parameter"), "result_summary")
 
 
 @query("refusal_log", """

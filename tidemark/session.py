@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 # Adaptive execution sizes the reduce side, splits skewed join partitions and
 # picks broadcast joins from measured sizes. UTC keeps dates comparable.
@@ -51,6 +52,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table as it is stored; no folder yet is an empty table."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete the folders of ``staged`` tables that nothing reads any more."""
     for table in tables:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
 from tidemark.operators import registry
 from tidemark.operators.latest import assign_versions
+from tidemark.session import stored
 
 ENTRY_SCHEMA = schemas.BENCHMARKS
 #: Folders that the registry is spread over by a hash of its source.
@@ -29,25 +29,19 @@ def bucket_of(source_id: str = "source_id") -> Column:
 def stored_versions(spark: SparkSession, path: str, buckets: Sequence[int]) -> DataFrame:
     """Registry rows of the given buckets; other buckets' folders are not read. No folder yet is an empty registry."""
     schema = T.StructType([*schemas.BENCHMARKS.fields, T.StructField("batch_id", T.LongType()), T.StructField("bucket", T.IntegerType())])
-    try:
-        stored = spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:  # before the first batch
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        stored = spark.createDataFrame([], schema)
-    return stored.where(F.col("bucket").isin(*buckets))
+    return stored(spark, path, schema).where(F.col("bucket").isin(*buckets))
 
 
-def decide(entries: DataFrame, stored: DataFrame, batch_id: int) -> DataFrame:
+def decide(entries: DataFrame, held: DataFrame, batch_id: int) -> DataFrame:
     """Actions of one micro-batch against the stored registry, without what an earlier try of the batch stored."""
-    known = stored.where(F.col("batch_id") != batch_id)
+    known = held.where(F.col("batch_id") != batch_id)
     return registry.refresh_actions(entries.drop("version", "superseded_by"), known, ORDER, F.date_trunc("hour", "inserted_at"))
 
 
-def versions(actions: DataFrame, stored: DataFrame, batch_id: int) -> DataFrame:
+def versions(actions: DataFrame, held: DataFrame, batch_id: int) -> DataFrame:
     """The accepted entries of a batch as registry rows."""
     accepted = actions.where(F.col("action").isin("add", "supersede"))
-    return assign_versions(accepted, ORDER, F.to_date("inserted_at"), prior=stored.where(F.col("batch_id") != batch_id))
+    return assign_versions(accepted, ORDER, F.to_date("inserted_at"), prior=held.where(F.col("batch_id") != batch_id))
 
 
 def refresh_stream(spark: SparkSession, source: str, registry_path: str, actions_path: str, checkpoint: str, max_files: int = 1000) -> StreamingQuery:
@@ -66,11 +60,11 @@ def refresh_stream(spark: SparkSession, source: str, registry_path: str, actions
     def run(entries: DataFrame, batch_id: int) -> None:
         session = entries.sparkSession
         buckets = [r.bucket for r in entries.select(bucket_of().alias("bucket")).distinct().collect()]  # BUCKETS numbers at most
-        stored = stored_versions(session, registry_path, buckets)
-        decided = decide(entries, stored, batch_id)
+        known = stored_versions(session, registry_path, buckets)
+        decided = decide(entries, known, batch_id)
         decided.write.mode("overwrite").parquet(f"{actions_path}/batch_id={batch_id}")
         actions = session.read.schema(decided.schema).parquet(f"{actions_path}/batch_id={batch_id}")
-        rows = versions(actions, stored, batch_id).select(*schemas.BENCHMARKS.fieldNames(), bucket_of().alias("bucket"))
+        rows = versions(actions, known, batch_id).select(*schemas.BENCHMARKS.fieldNames(), bucket_of().alias("bucket"))
         rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{registry_path}/batch_id={batch_id}")
 
     return (
