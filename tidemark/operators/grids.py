@@ -1,18 +1,20 @@
 """Workbook grids: cells (doc, sheet, row, column) -> ratio rows.
 
-Header rows and label rows are found by aggregates per sheet, then joined back
-on the sheet; no sheet is gathered whole.
+A sheet is one row with its filled cells in order, so header rows, label rows and
+figures are found inside the row: one exchange brings the cells together, and
+thousands of workbooks are thousands of rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import labels as L, text as X
-from tidemark.operators.checks import metric_ceiling
+from tidemark.operators.checks import accepted, metric_ceiling, range_rules, verdict
 
 SHEET = ["doc_id", "sheet"]
 
@@ -53,18 +55,47 @@ QUARTERLY_PORTFOLIOS = (
 )
 
 
-def date_header(cells: DataFrame, preferred: int = 3, scan: int = 10, min_cells: int = 10) -> DataFrame:
-    """Header row of each sheet and its (col_idx, as_of_date) cells.
+# --- a sheet as one row --------------------------------------------------------------------
+
+def sheets(cells: DataFrame, keys: Sequence[str] = SHEET) -> DataFrame:
+    """One row per sheet (or workbook) with its filled cells in order of row and column; one exchange, the only one of a grid job.
+
+    A sheet is bounded by the format it comes from, a corpus of workbooks is not.
+    """
+    inside = [c for c in ("sheet", "row_idx", "col_idx", "text", "num") if c not in keys]
+    filled = cells.where(F.col("text").isNotNull() | F.col("num").isNotNull())
+    return filled.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*inside))).alias("cells"))
+
+
+def _number(cell: Column) -> Column:
+    return F.coalesce(cell["num"], X.number_token(cell["text"]))
+
+
+def _label(cell: Column) -> Column:
+    return F.lower(F.trim(cell["text"]))
+
+
+def _header(preferred: int = 3, scan: int = 10, min_cells: int = 10) -> Column:
+    """Cells (row_idx, col_idx, as_of_date) of a sheet's date row.
 
     The preferred row wins when it holds enough dates, else the first of the
     top rows that does. Column 0 carries labels and is never a date.
     """
-    dated = cells.where(((F.col("row_idx") < scan) | (F.col("row_idx") == preferred)) & (F.col("col_idx") > 0)).withColumn(
-        "as_of_date", X.quarter_end(F.col("text"))).where(F.col("as_of_date").isNotNull()).select(*SHEET, "row_idx", "col_idx", "as_of_date")
-    enough = dated.groupBy(*SHEET, "row_idx").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_cells)
-    chosen = enough.groupBy(*SHEET).agg(
-        F.min_by("row_idx", F.when(F.col("row_idx") == preferred, F.lit(-1)).otherwise(F.col("row_idx"))).alias("row_idx"))
-    return dated.join(chosen, [*SHEET, "row_idx"]).withColumnRenamed("row_idx", "header_row")
+    rows = sorted({*range(scan), preferred})
+    top = F.filter("cells", lambda c: c["row_idx"].isin(rows) & (c["col_idx"] > 0))
+    dated = F.filter(F.transform(top, lambda c: F.struct(c["row_idx"], c["col_idx"], X.quarter_end(c["text"]).alias("as_of_date"))), lambda d: d["as_of_date"].isNotNull())
+
+    def chosen(found: Column) -> Column:
+        enough = F.filter(F.array(*map(F.lit, rows)), lambda r: F.size(F.filter(found, lambda d: d["row_idx"] == r)) >= min_cells)
+        row = F.when(F.array_contains(enough, preferred), preferred).otherwise(F.array_min(enough))
+        return X.let(row, lambda r: F.filter(found, lambda d: d["row_idx"] == r))
+
+    return X.let(dated, chosen)
+
+
+def date_header(cells: DataFrame) -> DataFrame:
+    """Header row of each sheet and its (col_idx, as_of_date) cells."""
+    return sheets(cells).select(*SHEET, F.inline(_header())).withColumnRenamed("row_idx", "header_row")
 
 
 def _matches(label: Column, m: RowMatcher) -> Column:
@@ -73,79 +104,93 @@ def _matches(label: Column, m: RowMatcher) -> Column:
     return yes & no
 
 
-def label_rows(cells: DataFrame, matchers=EXPOSURE_MATCHERS) -> DataFrame:
-    """First row per (sheet, role) whose label fits; the sheet's book picks the matchers."""
-    low = F.lower(F.trim("text"))
-    roles = F.array_compact(F.array(*[F.when((F.col("book") == m.book) & _matches(low, m), F.lit(m.role)) for m in matchers]))
-    labels = cells.where((F.col("col_idx") == 0) & F.col("text").isNotNull())
-    return labels.select(*SHEET, "book", "row_idx", F.explode(roles).alias("role")).groupBy(*SHEET, "book", "role").agg(
-        F.min("row_idx").alias("row_idx"))
+def _role_row(role: str, matchers: Sequence[RowMatcher]) -> Column:
+    """First row of a sheet whose label fits a role; the sheet's book picks the matcher."""
+    labels = F.filter("cells", lambda c: (c["col_idx"] == 0) & c["text"].isNotNull())
+    return L.first_match([
+        (F.col("book") == m.book, F.array_min(F.transform(F.filter(labels, lambda c: _matches(_label(c), m)), lambda c: c["row_idx"])))
+        for m in matchers if m.role == role], F.lit(None).cast("int"))
 
 
-def number_cell() -> Column:
-    return F.coalesce(F.col("num"), X.number_token(F.col("text")))
+def label_rows(cells: DataFrame, matchers: Sequence[RowMatcher] = EXPOSURE_MATCHERS) -> DataFrame:
+    """First row per (sheet, role) whose label fits."""
+    roles = list(dict.fromkeys(m.role for m in matchers))
+    found = F.array(*[F.struct(F.lit(r).alias("role"), _role_row(r, matchers).alias("row_idx")) for r in roles])
+    return sheets(cells, [*SHEET, "book"]).select(*SHEET, "book", F.inline(found)).where(F.col("row_idx").isNotNull())
 
 
-def exposure_ratios(cells: DataFrame) -> DataFrame:
-    """Non-performing over total exposure per sheet and quarter, with both sides kept."""
+def _at(cells: Column, row: Column, col: Column) -> Column:
+    """Number in a cell of a sheet."""
+    return F.array_max(F.transform(F.filter(cells, lambda c: (c["row_idx"] == row) & (c["col_idx"] == col)), _number))
+
+
+def exposure_verdicts(cells: DataFrame) -> DataFrame:
+    """Non-performing over total exposure per sheet and quarter, with both sides kept and what is dropped and why."""
     sector = L.lookup(F.col("sheet"), {s: a for s, (a, _) in EXPOSURE_SHEETS.items()})
     book = L.lookup(F.col("sheet"), {s: b for s, (_, b) in EXPOSURE_SHEETS.items()})
-    used = cells.where(F.col("sheet").isin(*EXPOSURE_SHEETS)).withColumn("book", book)
-    roles = label_rows(used)
-    values = used.join(roles, [*SHEET, "book", "row_idx"]).groupBy(*SHEET, "book", "col_idx").agg(
-        F.max(F.when(F.col("role") == "numerator", number_cell())).alias("numerator_value"),
-        F.max(F.when(F.col("role") == "denominator", number_cell())).alias("denominator_value"),
-        F.max(F.when(F.col("role") == "numerator", F.col("row_idx"))).alias("numerator_row"),
-        F.max(F.when(F.col("role") == "denominator", F.col("row_idx"))).alias("denominator_row"))
+    held = sheets(cells.where(F.col("sheet").isin(*EXPOSURE_SHEETS))).withColumn("book", book)
+    # only the two rows that are read stay beside the header
+    roles = held.withColumns({f"{r}_row": _role_row(r, EXPOSURE_MATCHERS) for r in ("numerator", "denominator")})
+    rows = roles.select(*SHEET, "book", "numerator_row", "denominator_row", F.filter("cells", lambda c: c["row_idx"].isin(
+        F.col("numerator_row"), F.col("denominator_row"))).alias("used"), F.inline(_header()))
+    both = rows.withColumns({f"{r}_value": _at(F.col("used"), F.col(f"{r}_row"), F.col("col_idx")) for r in ("numerator", "denominator")})
     ratio = F.try_divide(F.col("numerator_value"), F.col("denominator_value"))
-    return (
-        values.join(date_header(used), [*SHEET, "col_idx"]).where((F.col("denominator_value") != 0) & F.col("numerator_value").isNotNull())
-        .withColumn("value", ratio).where(F.col("value").between(0.0, metric_ceiling(F.lit("npl_ratio"))))
-        .select("doc_id", sector.alias("institution_sector"), L.lookup(F.col("book"), EXPOSURE_CLASSES).alias("asset_class"),
-                L.period_slug(F.col("as_of_date")).alias("period"), F.lit("npl_ratio").alias("metric_name"), "value", "as_of_date",
-                "numerator_value", "denominator_value", F.col("sheet").alias("source_sheet"), "numerator_row", "denominator_row")
-    )
+    reason = verdict((F.col("numerator_value").isNull(), "no_numerator"), (F.coalesce(F.col("denominator_value"), F.lit(0.0)) == 0, "no_denominator"),
+                     *range_rules(F.col("value"), metric_ceiling(F.lit("npl_ratio"))))
+    return both.withColumn("value", ratio).select(
+        "doc_id", sector.alias("institution_sector"), L.lookup(F.col("book"), EXPOSURE_CLASSES).alias("asset_class"),
+        L.period_slug(F.col("as_of_date")).alias("period"), F.lit("npl_ratio").alias("metric_name"), "value", "as_of_date",
+        "numerator_value", "denominator_value", F.col("sheet").alias("source_sheet"), "numerator_row", "denominator_row", reason.alias("dropped"))
+
+
+def exposure_ratios(cells: DataFrame) -> DataFrame:
+    """The accepted rows of ``exposure_verdicts``."""
+    return accepted(exposure_verdicts(cells))
+
+
+def performance_verdicts(cells: DataFrame) -> DataFrame:
+    """Fixed ratio rows of the sector sheets, with what is dropped and why; quarters before the first comparable one are."""
+    held = sheets(cells.where(F.col("sheet").isin(*PERFORMANCE_SHEETS)))
+    used = F.filter("cells", lambda c: c["row_idx"].isin(*PERFORMANCE_ROWS) & (c["col_idx"] > 0))
+    rows = held.select(*SHEET, used.alias("used"), F.inline(_header()))
+    metrics = F.array(*[F.struct(F.lit(m).alias("metric_name"), F.lit(r).alias("source_row"), _at(F.col("used"), F.lit(r), F.col("col_idx")).alias("value"))
+                        for r, m in PERFORMANCE_ROWS.items()])
+    reason = verdict((F.col("as_of_date") < F.lit(FIRST_QUARTER).cast("date"), "before_first_quarter"),
+                     *range_rules(F.col("value"), metric_ceiling(F.col("metric_name"))))
+    return rows.select(*SHEET, "as_of_date", F.inline(metrics)).select(
+        "doc_id", L.lookup(F.col("sheet"), PERFORMANCE_SHEETS).alias("institution_sector"), F.lit("adi_sector_total").alias("asset_class"),
+        L.period_slug(F.col("as_of_date")).alias("period"), "metric_name", "value", "as_of_date",
+        F.col("sheet").alias("source_sheet"), "source_row", reason.alias("dropped"))
 
 
 def performance_ratios(cells: DataFrame) -> DataFrame:
-    """Fixed ratio rows of the sector sheets, from the first comparable quarter on."""
-    used = cells.where(F.col("sheet").isin(*PERFORMANCE_SHEETS))
-    metric = L.lookup(F.col("row_idx").cast("string"), {str(k): v for k, v in PERFORMANCE_ROWS.items()})
-    rows = used.where(F.col("row_idx").isin(*PERFORMANCE_ROWS) & (F.col("col_idx") > 0)).select(
-        *SHEET, "row_idx", "col_idx", metric.alias("metric_name"), number_cell().alias("value"))
-    return (
-        rows.join(date_header(used).drop("header_row"), [*SHEET, "col_idx"])
-        .where((F.col("as_of_date") >= F.lit(FIRST_QUARTER).cast("date")) & F.col("value").between(0.0, metric_ceiling(F.col("metric_name"))))
-        .select("doc_id", L.lookup(F.col("sheet"), PERFORMANCE_SHEETS).alias("institution_sector"), F.lit("adi_sector_total").alias("asset_class"),
-                L.period_slug(F.col("as_of_date")).alias("period"), "metric_name", "value", "as_of_date",
-                F.col("sheet").alias("source_sheet"), F.col("row_idx").alias("source_row"))
-    )
-
-
-def first_numbers(cells: DataFrame) -> DataFrame:
-    """Label of each row with its first numeric cell to the right."""
-    label = F.max(F.when(F.col("col_idx") == 0, F.lower(F.trim("text"))))
-    number = number_cell()
-    first = F.min_by(number, F.when((F.col("col_idx") > 0) & number.isNotNull(), F.col("col_idx")))
-    return cells.groupBy(*SHEET, "row_idx").agg(label.alias("label"), first.alias("value")).where(
-        (F.col("label") != "") & F.col("value").isNotNull())
+    """The accepted rows of ``performance_verdicts``."""
+    return accepted(performance_verdicts(cells))
 
 
-def quarterly_ratios(cells: DataFrame) -> DataFrame:
-    """Non-performing sheet over exposure sheet per portfolio, first matching row of each."""
-    used = cells.where(F.col("sheet").isin(QUARTERLY_NPE_SHEET, QUARTERLY_EAD_SHEET))
-    classes = F.array_compact(F.array(*[F.when(F.col("label").contains(p), F.lit(c)) for c, p in QUARTERLY_PORTFOLIOS]))
-    rows = first_numbers(used).select("doc_id", "sheet", "row_idx", "value", F.explode(classes).alias("asset_class"))
-    first = rows.groupBy("doc_id", "sheet", "asset_class").agg(F.min_by("value", "row_idx").alias("value"))
+def quarterly_verdicts(cells: DataFrame) -> DataFrame:
+    """Non-performing sheet over exposure sheet per portfolio, first matching row of each, with what is dropped and why."""
+    held = sheets(cells.where(F.col("sheet").isin(QUARTERLY_NPE_SHEET, QUARTERLY_EAD_SHEET)), ["doc_id"])
 
-    def side(sheet: str) -> Column:
-        return F.max(F.when(F.col("sheet") == sheet, F.col("value")))
+    def first_number(sheet: str, phrase: str) -> Column:
+        """First number right of the first label that has one."""
+        own = F.filter("cells", lambda c: c["sheet"] == sheet)
+        labels = F.filter(own, lambda c: (c["col_idx"] == 0) & _label(c).contains(phrase))
+        right = F.flatten(F.transform(labels, lambda x: F.filter(own, lambda c: (c["row_idx"] == x["row_idx"]) & (c["col_idx"] > 0) & _number(c).isNotNull())))
+        return F.get(F.transform(F.slice(right, 1, 1), _number), F.lit(0))
 
-    both = first.groupBy("doc_id", "asset_class").agg(
-        side(QUARTERLY_NPE_SHEET).alias("numerator_value"), side(QUARTERLY_EAD_SHEET).alias("denominator_value"))
-    ratio = F.try_divide(F.col("numerator_value"), F.col("denominator_value"))
-    return both.where(F.col("numerator_value").isNotNull() & (F.col("denominator_value") != 0)).withColumn("value", ratio).where(
-        F.col("value").between(0.0, metric_ceiling(F.lit("npl_ratio")))).withColumn("metric_name", F.lit("npl_ratio"))
+    sides = F.array(*[F.struct(F.lit(c).alias("asset_class"), first_number(QUARTERLY_NPE_SHEET, p).alias("numerator_value"),
+                               first_number(QUARTERLY_EAD_SHEET, p).alias("denominator_value")) for c, p in QUARTERLY_PORTFOLIOS])
+    both = held.select("doc_id", F.inline(sides)).where(F.col("numerator_value").isNotNull() | F.col("denominator_value").isNotNull())
+    reason = verdict((F.col("numerator_value").isNull(), "no_numerator"), (F.coalesce(F.col("denominator_value"), F.lit(0.0)) == 0, "no_denominator"),
+                     *range_rules(F.col("value"), metric_ceiling(F.lit("npl_ratio"))))
+    return both.withColumn("value", F.try_divide("numerator_value", "denominator_value")).withColumns(
+        {"metric_name": F.lit("npl_ratio"), "dropped": reason})
+
+
+def quarterly_ratios(cells: DataFrame) -> DataFrame:
+    """The accepted rows of ``quarterly_verdicts``."""
+    return accepted(quarterly_verdicts(cells))
 
 
 def detected_tables(cells: DataFrame, pattern: str, columns: dict[str, int]) -> DataFrame:

@@ -137,6 +137,18 @@ def qpex_npl_ratio(spark, sf):
     return grids.exposure_ratios(G.exposure_cells(spark, sf)).drop("doc_id", "numerator_row", "denominator_row").withColumn("value", F.round("value", 8))
 
 
+@query("exposure_workbooks", O.with_(LQ, body="""
+SELECT 'qpex-' || l_suppkey AS doc_id, ['Tab 1a', 'Tab 1b', 'Tab 2a', 'Tab 2b', 'Tab 4a', 'Tab 4b'][((l_suppkey % 3) * 2 + l_linenumber % 2 + 1)::INT] AS source_sheet,
+  as_of AS as_of_date, CAST(sum(price) FILTER (WHERE l_quantity <= 3) AS DOUBLE) AS numerator_value, CAST(sum(price) AS DOUBLE) AS denominator_value,
+  CASE WHEN count(*) FILTER (WHERE l_quantity <= 3) = 0 THEN 'no_numerator'
+    WHEN CAST(sum(price) FILTER (WHERE l_quantity <= 3) AS DOUBLE) / CAST(sum(price) AS DOUBLE) > 0.10 THEN 'out_of_range' END AS dropped
+FROM lq GROUP BY l_suppkey, (l_suppkey % 3) * 2 + l_linenumber % 2, as_of"""))
+def exposure_workbooks(spark, sf):
+    """A workbook for each supplier: every quarter with its two sides, and why it gives no ratio."""
+    rows = grids.exposure_verdicts(G.exposure_cells(spark, sf, by_supplier=True))
+    return rows.select("doc_id", "source_sheet", "as_of_date", "numerator_value", "denominator_value", "dropped")
+
+
 @query("perf_ratio_grid", O.with_(LQ, body="SELECT *, 'adi_sector_total' AS asset_class FROM pr"))
 def perf_ratio_grid(spark, sf):
     return grids.performance_ratios(G.performance_cells(spark, sf)).drop("doc_id", "source_row")

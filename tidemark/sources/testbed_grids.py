@@ -25,13 +25,14 @@ def _quarters(spark: SparkSession, sf: str) -> DataFrame:
         "col", (F.year("as_of") - 2018) * 4 + F.quarter("as_of")).withColumn("price", F.col("l_extendedprice").cast("decimal(18,2)"))
 
 
-def exposure_cells(spark: SparkSession, sf: str) -> DataFrame:
-    """Six exposure sheets: header in row 3, role rows among look-alike rows."""
+def exposure_cells(spark: SparkSession, sf: str, by_supplier: bool = False) -> DataFrame:
+    """Six exposure sheets: header in row 3, role rows among look-alike rows; one workbook, or one of two sheets for each supplier."""
     sheet = pick((F.col("l_suppkey") % 3) * 2 + F.col("l_linenumber") % 2, ["Tab 1a", "Tab 1b", "Tab 2a", "Tab 2b", "Tab 4a", "Tab 4b"])
-    base = _quarters(spark, sf).groupBy(sheet.alias("sheet"), "as_of", "col").agg(
+    doc = F.concat(F.lit("qpex-"), F.col("l_suppkey").cast("string")) if by_supplier else F.lit("qpex")
+    base = _quarters(spark, sf).groupBy(doc.alias("book_id"), sheet.alias("sheet"), "as_of", "col").agg(
         F.sum("price").alias("total"), F.sum(F.when(F.col("l_quantity") <= 3, F.col("price"))).alias("bad"))
     s, col = F.col("sheet"), F.col("col")
-    numbers = _cells(base, F.lit("qpex"), [
+    numbers = _cells(base, F.col("book_id"), [
         _cell(s, 3, col, F.date_format("as_of", "MMM yyyy")), _cell(s, 10, col, None, F.col("total") * 2), _cell(s, 11, col, None, F.col("total")),
         _cell(s, 12, col, None, F.col("total") / 2), _cell(s, 20, col, None, F.col("bad")), _cell(s, 21, col, None, F.col("bad") / 2)])
     commercial = s.endswith("a")
@@ -40,7 +41,7 @@ def exposure_cells(spark: SparkSession, sf: str) -> DataFrame:
         return F.when(commercial, F.lit(a)).otherwise(F.lit(b))
 
     zero = F.lit(0)
-    names = _cells(base.select("sheet").distinct(), F.lit("qpex"), [
+    names = _cells(base.select("book_id", "sheet").distinct(), F.col("book_id"), [
         _cell(s, 10, zero, label("Total commercial property exposure limits", "Total credit limits")),
         _cell(s, 11, zero, label(" Total commercial property exposures ", "Total credit oustanding")),
         _cell(s, 12, zero, label("Total commercial property exposures of which: Australia", "Total credit outstanding by purpose")),
