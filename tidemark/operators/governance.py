@@ -126,23 +126,34 @@ def report_flags(stale: DataFrame, quality: DataFrame, coverage: DataFrame, peer
 
 def annual_review(benchmarks: DataFrame, segments: DataFrame, matrix: DataFrame, as_of: dt.date,
                   own: DataFrame | None = None, institution: str = "bank") -> DataFrame:
-    """All report sections stacked: a header, findings counts per section, and every flag."""
-    stale = stale_benchmarks(benchmarks, as_of)
-    quality = quality_assessment(benchmarks, matrix)
-    coverage = coverage_report(benchmarks, segments)
-    peers = None if own is None else peer_comparison(benchmarks, segments, own)
-    divergence = pillar3_divergence(benchmarks)
+    """All report sections stacked: a header, the number of findings of each section, and every flag."""
+    sections = _review_sections(benchmarks, segments, matrix, as_of, own)
     committee = "MRC" if institution == "bank" else "Credit Committee"
-    header = segments.agg(F.count(F.lit(1)).alias("n")).select(
+    out = segments.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit("header").alias("section"), F.lit("committee").alias("kind"),
         F.lit(f"{committee} ({institution})").alias("detail"), "n")
-    sections = {"stale": stale, "quality": quality, "coverage": coverage, "pillar3_peer_divergence": divergence}
-    if peers is not None:
-        sections["peer_comparison"] = peers
-    out = header
     for name, findings in sections.items():
         out = out.unionByName(findings.agg(F.count(F.lit(1)).alias("n")).select(
             F.lit(name).alias("section"), F.lit("findings").alias("kind"), F.lit(None).cast("string").alias("detail"), "n"))
-    flags = report_flags(stale, quality, coverage, peers, divergence).select(
+    order = ("stale", "quality", "coverage", "peer_comparison", "pillar3_peer_divergence")
+    flags = report_flags(*(sections.get(name) for name in order)).select(
         "section", F.lit("flag").alias("kind"), F.col("flag").alias("detail"), F.lit(1).cast("long").alias("n"))
     return out.unionByName(flags)
+
+
+def review_findings(benchmarks: DataFrame, segments: DataFrame, matrix: DataFrame, as_of: dt.date, own: DataFrame | None = None) -> DataFrame:
+    """Every finding of every section as a row: section, what it is about, and all its fields as JSON."""
+    out = None
+    for name, findings in _review_sections(benchmarks, segments, matrix, as_of, own).items():
+        about = [c for c in ("segment", "source_id") if c in findings.columns]
+        rows = findings.select(F.lit(name).alias("section"), F.concat_ws(":", *about).alias("subject"), F.to_json(F.struct("*")).alias("finding"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _review_sections(benchmarks: DataFrame, segments: DataFrame, matrix: DataFrame, as_of: dt.date, own: DataFrame | None) -> dict[str, DataFrame]:
+    stale = stale_benchmarks(benchmarks, as_of)
+    quality = quality_assessment(benchmarks, matrix)
+    coverage = coverage_report(benchmarks, segments)
+    sections = {"stale": stale, "quality": quality, "coverage": coverage, "pillar3_peer_divergence": pillar3_divergence(benchmarks)}
+    return sections if own is None else sections | {"peer_comparison": peer_comparison(benchmarks, segments, own)}

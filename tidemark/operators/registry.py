@@ -48,6 +48,11 @@ def by_source_type(observations: DataFrame, *, big4_only: bool = False, non_big4
     return observations.where(big4) if big4_only else observations.where(~big4) if non_big4_only else observations
 
 
+def with_side(observations: DataFrame) -> DataFrame:
+    """Both sides in one read: the four major banks, and all others."""
+    return observations.withColumn("side", F.when(L.is_big4(F.col("source_id")), F.lit("big4")).otherwise(F.lit("other")))
+
+
 def list_segments(observations: DataFrame) -> DataFrame:
     return observations.select(L.canonical_segment(F.col("segment")).alias("segment")).distinct()
 

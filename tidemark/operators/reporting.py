@@ -202,8 +202,11 @@ def band_source_check(references: DataFrame, observations: DataFrame) -> DataFra
 
 
 def bands_export(bands: DataFrame) -> DataFrame:
-    return bands.select("product", "upper_band_pd", "lower_band_pd", F.array_join("upper_sources", "|").alias("upper_sources"),
-                        F.array_join("lower_sources", "|").alias("lower_sources"))
+    """The published columns in their order; a rationale of many lines becomes one, with its line ends written out."""
+    flat = F.replace(F.trim(F.regexp_replace("rationale", r"^\s+|\s+$", "")), F.lit("\n"), F.lit("\\n"))
+    return bands.select(
+        "product", *(F.format_string("%.6f", c).alias(c) for c in ("lower_band_pd", "upper_band_pd")),
+        *(F.array_join(c, "|").alias(c) for c in ("lower_sources", "upper_sources")), flat.alias("rationale"), "last_review_date", "next_review_due")
 
 
 def bands_with_gaps(bands: DataFrame, observations: DataFrame) -> DataFrame:

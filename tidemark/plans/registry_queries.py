@@ -95,8 +95,7 @@ UNION ALL SELECT 'other', source_id, segment, parameter, value, as_of_date FROM
 def by_source_type(spark, sf):
     rows = registry.query_observations(_obs(spark, sf), parameter="npl").select(
         "source_id", "segment", "parameter", "value", "as_of_date")
-    sides = {"big4": registry.by_source_type(rows, big4_only=True), "other": registry.by_source_type(rows, non_big4_only=True)}
-    return sides["big4"].withColumn("side", F.lit("big4")).unionByName(sides["other"].withColumn("side", F.lit("other")))
+    return registry.with_side(rows)
 
 
 @query("list_segments", O.with_(O.OBS, O.READ, body="SELECT DISTINCT segment FROM rd"))
@@ -494,3 +493,17 @@ def annual_review(spark, sf):
     # the registry is a stored table; here it is staged once for the five sections
     return governance.annual_review(
         staged(_bench(spark, sf), "registry"), _segments(spark, sf), tables.quality_matrix(spark), REVIEW_DATE, own=_own(spark, sf))
+
+
+@query("review_findings", O.with_(*REG, SEGS, MATRIX, GOV_STALE, GOV_QUALITY, GOV_COVER, GOV_PEER, GOV_DIV, body="""
+SELECT 'stale' AS section, source_id AS subject, CAST(stale AS VARCHAR) AS outcome FROM gstale
+UNION ALL SELECT 'quality', source_id, low_dimensions FROM gqual
+UNION ALL SELECT 'coverage', segment, CAST(meets_threshold AS VARCHAR) FROM gcover
+UNION ALL SELECT 'peer_comparison', segment, status FROM gpeer
+UNION ALL SELECT 'pillar3_peer_divergence', concat_ws(':', segment, source_id), status FROM gdiv"""))
+def review_findings(spark, sf):
+    rows = governance.review_findings(
+        staged(_bench(spark, sf), "registry"), _segments(spark, sf), tables.quality_matrix(spark), REVIEW_DATE, own=_own(spark, sf))
+    fields = {"stale": "stale", "quality": "low_dimensions", "coverage": "meets_threshold", "peer_comparison": "status", "pillar3_peer_divergence": "status"}
+    outcome = F.coalesce(*[F.when(F.col("section") == s, F.get_json_object("finding", f"$.{f}")) for s, f in fields.items()])
+    return rows.select("section", "subject", outcome.alias("outcome"))

