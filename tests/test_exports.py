@@ -64,3 +64,26 @@ def test_seed_entries_pass_their_own_rules(spark):
     assert check_benchmarks(seeds).where(F.size("errors") > 0).count() == 0
     notes = {r.source_id: r.notes for r in seeds.collect()}
     assert notes["NAB_PILLAR3_RES_2024H2"] == "National Australia Bank Pillar 3 residential mortgage PD disclosure (2024-12-31); https://www.nab.com.au/pillar3"
+
+
+def test_printed_formats(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.functions import text as X
+
+    rows = spark.createDataFrame([(0.025, 1.5, "2024-01-01", "2024-03-31"), (-0.0014, 0.333, "2024-01-01", "2024-01-01"), (None, None, None, None), (0.0, 0.0, None, "2024-05-01")],
+                                 "v double, r double, lo string, hi string")
+    got = rows.select(X.percent_places(F.col("v")).alias("p"), X.percent_places(F.col("v"), 1, signed=True).alias("s"), X.basis_points(F.col("v")).alias("b"),
+                      X.times(F.col("r")).alias("t"), X.date_window(F.col("lo"), F.col("hi")).alias("w")).collect()
+    assert [tuple(r) for r in got] == [
+        ("2.5000%", "+2.5%", "250 bps", "1.50x", "2024-01-01–2024-03-31"), ("-0.1400%", "-0.1%", "-14 bps", "0.33x", "2024-01-01"), ("-", "-", "-", "-", "-"),
+        ("0.0000%", "0.0%", "0 bps", "0.00x", "–2024-05-01")]
+
+
+def test_quarter_of_a_publication_period(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.functions import text as X
+
+    rows = spark.createDataFrame([("March 2025",), ("Statement, Nov 2024",), ("undated",)], "t string")
+    assert [tuple(r[0]) for r in rows.select(X.year_quarter(F.col("t"))).collect()] == [(2025, 1), (2024, 4), (None, None)]

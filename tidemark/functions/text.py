@@ -361,3 +361,30 @@ def absolute_url(base: str | Column, href: Column) -> Column:
 
 def four_places(value: Column) -> Column:
     return F.coalesce(F.when(value.isNotNull(), F.format_string("%.4f", value)), F.lit(""))
+
+
+def shown(value: Column, body: Column, blank: str = "-") -> Column:
+    """A formatted value, or the mark that stands for none."""
+    return F.when(value.isNull(), F.lit(blank)).otherwise(body)
+
+
+def percent_places(value: Column, digits: int = 4, *, signed: bool = False) -> Column:
+    """0.025 -> "2.5000%"; with ``signed`` a gain shows its plus."""
+    plus = F.when(value > 0, F.lit("+")).otherwise(F.lit("")) if signed else F.lit("")
+    return shown(value, F.concat(plus, F.format_string(f"%.{digits}f%%", value * 100)))
+
+
+def basis_points(value: Column) -> Column:
+    """Small rates in whole hundredths of a percent: 0.0014 -> "14 bps"."""
+    return shown(value, F.concat(F.bround(value * 10_000).cast("long").cast("string"), F.lit(" bps")))
+
+
+def times(value: Column) -> Column:
+    """1.5 -> "1.50x"."""
+    return shown(value, F.format_string("%.2fx", value))
+
+
+def date_window(low: Column, high: Column) -> Column:
+    """One date, or the first and the last; a window open at one end shows that end empty."""
+    lo, hi = F.coalesce(low.cast("string"), F.lit("")), F.coalesce(high.cast("string"), F.lit(""))
+    return F.when((lo == "") & (hi == ""), F.lit("-")).when(lo == hi, lo).otherwise(F.concat(lo, F.lit("–"), hi))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from tidemark import fixed_values as V
-from tidemark.functions import labels as L
+from tidemark.functions import labels as L, text as X
 from tidemark.functions.stats import exact_median, median_of_counts, value_counts
 from tidemark.operators.flags import FlagRules, flagged_sources, segment_flags, source_counts, with_cohort
 from tidemark.operators.latest import read_side
@@ -228,3 +228,17 @@ def newest_publications(links: DataFrame, limit: int = 3) -> DataFrame:
     """Top items per source by (date, title); the window keeps only ``limit`` rows per task."""
     order = W.partitionBy("source_key").orderBy(F.desc("published_date"), F.desc("title"), F.desc("url"))
     return links.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
+
+
+def peer_table(observations: DataFrame) -> DataFrame:
+    """Medians of the two peer groups per segment as they are printed: percentages, their ratio and signed gap, the gap in basis points."""
+    rows = big4_vs_nonbank(observations)
+    gap = F.col("nonbank_median") - F.col("big4_median")
+    return rows.select(
+        "segment", X.percent_places(F.col("big4_median")).alias("big4"), X.percent_places(F.col("nonbank_median")).alias("non_bank"),
+        X.times(F.col("ratio")).alias("ratio"), X.percent_places(gap, 2, signed=True).alias("gap"), X.basis_points(gap).alias("gap_bps"))
+
+
+def data_window(meta: DataFrame) -> DataFrame:
+    """The printed date window of the store."""
+    return meta.select(X.date_window(F.col("data_as_of_min"), F.col("data_as_of_max")).alias("data_as_of"))

@@ -71,6 +71,17 @@ def big4_vs_nonbank(spark, sf):
     return reporting.big4_vs_nonbank(_obs(spark, sf))
 
 
+@query("peer_table", O.with_(*OBS3, body="""
+SELECT segment, CASE WHEN bm IS NULL THEN '-' ELSE printf('%.4f%%', bm * 100) END AS big4, CASE WHEN nm IS NULL THEN '-' ELSE printf('%.4f%%', nm * 100) END AS non_bank,
+  CASE WHEN r IS NULL THEN '-' ELSE printf('%.2fx', r) END AS ratio,
+  CASE WHEN nm - bm IS NULL THEN '-' ELSE CASE WHEN nm - bm > 0 THEN '+' ELSE '' END || printf('%.2f%%', (nm - bm) * 100) END AS gap,
+  CASE WHEN nm - bm IS NULL THEN '-' ELSE CAST(CAST(round_even((nm - bm) * 10000, 0) AS BIGINT) AS VARCHAR) || ' bps' END AS gap_bps
+FROM (SELECT segment, bm, nm, CASE WHEN bm > 0 THEN round(nm / bm, 8) END AS r FROM (
+  SELECT segment, round(median(value) FILTER (WHERE cohort = 'peer_big4'), 8) AS bm, round(median(value) FILTER (WHERE cohort = 'peer_non_bank'), 8) AS nm FROM coh GROUP BY segment))"""))
+def peer_table(spark, sf):
+    return reporting.peer_table(_obs(spark, sf))
+
+
 META = """
 meta AS (SELECT count(*) AS n_observations, count(DISTINCT segment) AS n_segments, count(DISTINCT source_id) AS n_sources,
   min(as_of_date) AS data_as_of_min, max(as_of_date) AS data_as_of_max FROM rd)"""
@@ -81,6 +92,11 @@ def report_meta(spark, sf):
     return reporting.report_meta(_obs(spark, sf))
 
 
+@query("data_window", O.with_(O.OBS, O.READ, META, body="SELECT CAST(data_as_of_min AS VARCHAR) || '–' || CAST(data_as_of_max AS VARCHAR) AS data_as_of FROM meta"))
+def data_window(spark, sf):
+    return reporting.data_window(reporting.report_meta(_obs(spark, sf)))
+
+
 @query("report_headline", O.with_(O.OBS, O.READ, META, ROWS, INTRA, WIDE, body="""
 SELECT meta.*, (SELECT string_agg(bank, ', ' ORDER BY bank) FROM (SELECT DISTINCT bank FROM wide)) AS banks, (SELECT count(*) FROM wide) AS n_industry_rows FROM meta"""))
 def report_headline(spark, sf):
