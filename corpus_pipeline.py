@@ -22,7 +22,7 @@ def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without later copies of runs of lines."""
+    """Every document, without later copies of runs of twenty words or more."""
     return line_dedup.drop_repeated_lines(docs)
 
 
