@@ -1,7 +1,9 @@
 """Toxicity, language model and quality rules: statistics against brute force, accuracy on held-out labels, edge cases."""
 
 import collections
+import math
 import os
+import random
 import re
 import zlib
 
@@ -12,6 +14,7 @@ from tidemark.llm import language_model as L
 from tidemark.llm import quality_rules as Q
 from tidemark.llm import textbytes as B
 from tidemark.llm import toxicity as X
+from tidemark.llm import word_model as W
 
 SMALL = "/root/testdata/sf0.1"
 given = pytest.mark.skipif(not os.path.isdir(SMALL), reason="driver tables absent")
@@ -110,6 +113,87 @@ def test_model_equals_plain_dictionaries(docs):
     assert abs(np.exp(table.reshape(-1, 64)[:4096].astype(float)).sum(1) - 1).max() < 1e-3
 
 
+def brute_words(training, texts, least, frequent):
+    """Mean surprise of the words of each text and of their order, their spreads and token counts, from plain dictionaries."""
+    def shape(t):
+        return ("CAPS" if "A" <= t[-1] <= "Z" and len(t) > 1 else "Cap") if "A" <= t[0] <= "Z" else "digit" if t[0] in "0123456789" else "far" if t[0] > "\x7f" \
+            else "small" if "a" <= t[0] <= "z" else "mark"
+
+    cut_up = lambda t: re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+|[^\s]", t or "")
+    seen = collections.Counter(t for x in training for t in cut_up(x))
+    known = {t for t, n in seen.items() if n >= least}
+    tokens = lambda x: ["^"] + [("known", t) if t in known else shape(t) for t in cut_up(x)]
+    pairs = collections.Counter(p for x in training for p in zip(tokens(x), tokens(x)[1:]))
+    after = collections.Counter(b for _, b in pairs)
+
+    def discount(table):
+        n = [sum(c == k for c in table.values()) for k in range(5)]
+        if not (n[1] and n[2] and n[3]):
+            return lambda c: 0.5
+        y = n[1] / (n[1] + 2 * n[2])
+        d = [min(max(i - (i + 1) * y * n[i + 1] / n[i], 0.05), i) for i in (1, 2, 3)]
+        return lambda c: d[min(c, 3) - 1]
+
+    low, high = discount(after), discount(pairs)
+    size = len(known) + W.SHAPES
+    alone = lambda b: (after[b] - low(after[b]) if after[b] else 0) / sum(after.values()) + sum(map(low, after.values())) / sum(after.values()) / size
+
+    def p(a, b):
+        own = [c for (x, _), c in pairs.items() if x == a]
+        if not own:
+            return alone(b)
+        return ((pairs[a, b] - high(pairs[a, b])) if pairs[a, b] else 0) / sum(own) + sum(map(high, own)) / sum(own) * alone(b)
+
+    out = {}
+    for doc, x in texts.items():
+        t = tokens(x)
+        if len(t) > 1:
+            logs = [math.log(p(a, b)) for a, b in zip(t, t[1:])]
+            order = [v - math.log(alone(b)) for v, b in zip(logs, t[1:])]
+            out[doc] = (len(logs), -np.mean(logs), np.std(logs), -np.mean(order), np.std(order))
+    return out
+
+
+@pytest.mark.parametrize("frequent", [1, 8, 1 << 17])
+def test_word_scores_equal_plain_dictionaries(docs, monkeypatch, frequent):
+    """Whether bigrams count as frequent (sent to all tasks) or are joined, the result is the same."""
+    monkeypatch.setattr(W, "FREQUENT_ONE_IN", frequent)
+    training = ["The cat sat on the mat. The cat sat, the dog ran.", "A DOG ran to the mat; 12 cats sat on 7 mats.", "Éa the cat. The dog sat on the cat.\nThe end", ""] * 2
+    texts = {1: training[0], 2: "mat the on sat cat the The", 3: "", 4: None, 5: " \n ", 6: "Zork 99 !! éé the", 7: "the cat " * 3_000, 8: training[0], None: "The dog"}
+    model = W.WordModel(docs(*enumerate(training)))
+    frame = docs(*texts.items(), (1, training[0]))  # one row twice
+    rows = W.word_scores(frame.selectExpr("coalesce(doc_id, -1) AS key", "text"), model).collect()
+    got = {None if r.key == -1 else r.key: (r.n_tokens, r.word_surprise, r.word_spread, r.order_surprise, r.order_spread) for r in rows}
+    want = brute_words(training, texts, W.LEAST_SEEN, frequent)
+    assert len(rows) == len(got) and got.keys() == want.keys() == {1, 2, 6, 7, 8, None}
+    for key, values in want.items():
+        assert got[key] == pytest.approx(values, abs=1e-5), key
+    assert got[2][3] > got[1][3]
+
+
+def test_word_model_without_training_text(docs):
+    model = W.WordModel(docs((1, "a b")).limit(0))
+    assert [r.n_tokens for r in W.word_scores(docs((1, "a b c")).selectExpr("doc_id AS key", "text"), model).collect()] == [3]
+
+
+@given
+def test_shuffled_words_are_rejected(spark):
+    """Trusted texts of 50 words or more, their words in random order: at most a tenth still passes, while the texts themselves do."""
+    frame, known = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    trusted = frame.join(known.where("quality = 1"), "doc_id").select("doc_id", "text", "lang").where("text is not null").collect()
+    shuffle = random.Random(5).shuffle
+    mixed = []
+    for r in trusted:
+        words = r.text.split()
+        if len(words) >= 50:
+            shuffle(words)
+            mixed.append((-1 - r.doc_id, " ".join(words), r.lang))
+    both = frame.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(mixed, "doc_id long, text string, lang string"))
+    passed = {r.doc_id for r in L.classify(both, known).where("accepted").select("doc_id").collect()}
+    assert len(mixed) > 3000 and sum(d in passed for d, _, _ in mixed) <= 0.1 * len(mixed)
+    assert sum(r.doc_id in passed for r in trusted) >= 0.995 * len(trusted)
+
+
 @given
 def test_quality_model_and_rules_follow_the_labels(spark):
     frame, known = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))

@@ -1,4 +1,9 @@
-"""Quality classifier: an interpolated modified Kneser-Ney n-gram model of trusted text.
+"""Quality classifier: interpolated modified Kneser-Ney n-gram models of trusted text.
+
+Three surprises are judged, each against limits of its own: that of the words and
+that of their order (``word_model``: count joins over bigrams of known words and
+marks), and that of the symbols words are written with, which tells how plausible
+an unknown word is. A text is accepted if none is above trusted text of its language.
 
 Symbols are classes of UTF-8 bytes, 64 in all (letters, capitals, digits, marks,
 parts of characters beyond ASCII), and a word that repeats the one before it is one
@@ -12,11 +17,12 @@ are small enough to be broadcast.
    are grouped from them, and joined back on the context, shard by shard. That
    gives each n-gram its discounted part and each context its interpolation weight.
 3. Every whole text is scored in one pass: mean surprise per symbol, and perplexity.
-4. Trusted texts that were held back from training set, per language, the quantile
-   of surprise above which a text is rejected. Short texts vary more, so the limit
+4. Trusted texts that were held back from training set, per language and surprise, the
+   quantile of surprise above which a text is rejected. Short texts vary more, so the limit
    widens with the standard error of the mean.
 
-Defined cases: a null or empty text has no perplexity and is rejected; a language
+Defined cases: a null or empty text has no perplexity and is rejected; a text
+without tokens (white space) is judged by its symbols alone; a language
 with fewer than LEAST held-back texts, or a null one, uses the limit of all
 languages; without any held-back trusted text nothing but empty texts is rejected;
 repeated rows are scored alike; other columns pass through.
@@ -34,6 +40,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm import textbytes as B
 from tidemark.llm.joins import small_side
+from tidemark.llm.word_model import WordModel, word_scores
 from tidemark.session import staged
 
 ORDER = 4
@@ -197,21 +204,28 @@ def held_back(doc_id: Column) -> Column:
 
 
 def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, lang, text_key, n_symbols, perplexity (per symbol), surprise, limit, accepted; one row per row of ``documents``."""
+    """doc_id, lang, text_key, n_symbols, perplexity (per symbol), surprise, limit, n_tokens, word_perplexity (per token), then surprise,
+    spread and limit of words and of their order, accepted; one row per row of ``documents``."""
     documents = documents.select("doc_id", "lang", "text")
     trusted = labels.where("quality = 1").select(F.col("doc_id").alias("trusted_id")).distinct()
     training = documents.join(small_side(trusted.where(~held_back(F.col("trusted_id")))), documents["doc_id"] == F.col("trusted_id"), "left_semi")
-    scored = staged(scores(documents, train(training)), "scores")
+    symbols = scores(documents, train(training)).withColumn("key", F.xxhash64("doc_id", "text_key"))
+    words = word_scores(documents.select(F.xxhash64("doc_id", F.xxhash64("text")).alias("key"), "text"), WordModel(training))
+    scored = staged(symbols.join(words, "key", "left").drop("key"), "scores")
     calibration = scored.join(small_side(trusted.where(held_back(F.col("trusted_id")))), scored["doc_id"] == F.col("trusted_id"), "left_semi")
-    known = calibration.where("surprise is not null").select("lang", "surprise")
-    limit = F.percentile_approx("surprise", QUANTILE, 10_000)
-    by_lang = known.groupBy(F.col("lang").alias("limit_lang")).agg(limit.alias("own"), F.count("*").alias("n")).where((F.col("n") >= LEAST) & F.col("limit_lang").isNotNull())
-    overall = F.lit(known.agg(limit).first()[0]).cast("double")
-    limited = scored.join(small_side(by_lang), scored["lang"] == F.col("limit_lang"), "left").withColumn("all_langs", overall)
-    bound = F.coalesce("own", "all_langs") + MARGIN * F.col("spread") / F.sqrt("n_symbols")
-    accepted = F.col("surprise").isNotNull() & F.coalesce(F.col("surprise") <= bound, F.lit(True))
-    return limited.select("doc_id", "lang", "text_key", "n_symbols", F.exp("surprise").alias("perplexity"), "surprise", F.coalesce("own", "all_langs").alias("limit"),
-                          accepted.alias("accepted"))
+    levels = {"surprise": ("spread", "n_symbols"), "word_surprise": ("word_spread", "n_tokens"), "order_surprise": ("order_spread", "n_tokens")}
+    known = calibration.where("surprise is not null").select("lang", *levels)
+    limits = [F.percentile_approx(c, QUANTILE, 10_000).alias(f"{c}_limit") for c in levels]
+    by_lang = known.groupBy(F.col("lang").alias("limit_lang")).agg(*limits, F.count("*").alias("n")).where((F.col("n") >= LEAST) & F.col("limit_lang").isNotNull())
+    overall = known.agg(*limits).first()
+    judged = scored.join(small_side(by_lang), scored["lang"] == F.col("limit_lang"), "left")
+    accepted = F.col("surprise").isNotNull()
+    for level, (spread, n) in levels.items():
+        judged = judged.withColumn(f"{level}_limit", F.coalesce(f"{level}_limit", F.lit(overall[f"{level}_limit"]).cast("double")))
+        accepted &= F.coalesce(F.col(level) <= F.col(f"{level}_limit") + MARGIN * F.col(spread) / F.sqrt(n), F.lit(True))
+    return judged.select("doc_id", "lang", "text_key", "n_symbols", F.exp("surprise").alias("perplexity"), "surprise", F.col("surprise_limit").alias("limit"),
+                         F.coalesce("n_tokens", F.lit(0).cast("long")).alias("n_tokens"), F.exp("word_surprise").alias("word_perplexity"), "word_surprise", "word_spread",
+                         F.col("word_surprise_limit").alias("word_limit"), "order_surprise", "order_spread", F.col("order_surprise_limit").alias("order_limit"), accepted.alias("accepted"))
 
 
 def keep_accepted(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_model.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
-    return found.select("doc_id", "lang", "n_symbols", "perplexity", "accepted")
+    return found.select("doc_id", "lang", "n_symbols", "perplexity", "n_tokens", "word_perplexity", "accepted")
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
