@@ -16,8 +16,10 @@ are spelled is left to the model over symbols in ``language_model``.
 3. One scan of whole texts sums what contexts and words give, and adds the gain of the
    bigrams that are at least one in ``FREQUENT_ONE_IN`` of trusted text (at most so
    many: a bound), so that no frequent bigram meets one task. Each further
-   distinct bigram of a document is one row with its count; these rows are joined
-   with the gains and summed for each document.
+   distinct bigram of a document is one row with its count, unless a bitmap of
+   hashed bigrams, FILTER_BITS at most, shows that trusted text has none such: a join
+   would find nothing for it. The rows are joined with the gains and summed for each
+   document. A bitmap too small for the model lets more rows through and changes no result.
 4. Besides the surprise of a text there is that of its order: surprise less what the
    same tokens give in any order. Rare words raise the one and leave the other.
 
@@ -39,7 +41,9 @@ from tidemark.session import discard, staged
 
 KNOWN_ONE_IN = 1 << 20
 LEAST_SEEN = 3
-FREQUENT_ONE_IN = 1 << 17
+FREQUENT_ONE_IN = 1 << 20
+#: Logarithm of the most bits of the bitmap: 32 MB. It is sized at 16 to 32 bits for each bigram below that.
+FILTER_BITS = 28
 #: Bits of a token number in a packed bigram; numbers below SHAPES stand for shapes, 0 for the start of a text.
 BITS = 21
 SHAPES = 8
@@ -147,16 +151,39 @@ class WordModel:
         self.frequent = training.sparkSession.sparkContext.broadcast(tuple(frequent[c].to_numpy() for c in ("gram", "gain", "more", "more_order")))
         self.known_held = known
         self.rare = self.gains.where(F.col("n") * FREQUENT_ONE_IN < F.lit(total))
+        self.bitmap = training.sparkSession.sparkContext.broadcast(_bitmap(self.rare))
+
+
+def _places(gram: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word of the bitmap and bit within it for each bigram."""
+    place = B.mix(gram.view(np.uint64)) >> np.uint64(64 - bits)
+    return (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63))
+
+
+def _bitmap(table: DataFrame) -> tuple[int, np.ndarray]:
+    """Bits of every bigram in ``table``, set by tasks and joined by word, and the logarithm of their number."""
+    bits = min(FILTER_BITS, max(10, int(table.count() * 16).bit_length()))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            word, bit = _places(batch.column("gram").to_numpy(), bits)
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bit.view(np.int64))], ["word", "bit"])
+
+    found = table.select("gram").mapInArrow(scan, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
+    words = np.zeros(1 << (bits - 6), np.uint64)
+    words[found["word"].to_numpy()] = found["bit"].to_numpy().view(np.uint64)
+    return bits, words
 
 
 def word_scores(keyed: DataFrame, model: WordModel) -> DataFrame:
     """key, n_tokens, word_surprise and order_surprise (means, in nats) and their spreads, of every text of (key, text); one row for each key."""
-    known, base, frequent = model.known_held, model.base, model.frequent
+    known, base, frequent, bitmap = model.known_held, model.base, model.frequent, model.bitmap
     names = ["key", "gram", "n", "sums"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, alone = base.value
         grams, gain, more, more_order = frequent.value
+        bits, words = bitmap.value
         for batch in batches:
             keys = batch.column("key").to_numpy()
             for p in B.pieces(batch.column("text")):
@@ -180,6 +207,8 @@ def word_scores(keyed: DataFrame, model: WordModel) -> DataFrame:
                 sums = np.stack([np.bincount(rows, v, n) for v in (logs, squares, order, order_squares)], axis=1).astype(np.float64)  # of no tokens: whole zeros
                 yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(-1 - (own & ((1 << 62) - 1))), pa.array(np.bincount(rows, minlength=n)),
                                                   B.list_array(sums.ravel(), np.arange(n + 1) * 4)], names)
+                word, bit = _places(gram, bits)
+                rest &= (words[word] & bit) != 0
                 # the other bigrams: one row for each in a document, with its count
                 sort = np.lexsort((gram[rest], rows[rest]))
                 gram, rows = gram[rest][sort], rows[rest][sort]
