@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import fixed_values as V
 from tidemark.functions.labels import first_match, lookup
@@ -37,9 +37,26 @@ _BREAKS = "\u0085\u2028\u2029"
 _NOTHING = "".join(map(chr, range(1, 9))) + "\u000e\u000f\u200b\u2060\ufeff"
 
 
+def _char_class(chars: str) -> str:
+    """Character class in runs of neighbours: a class of single characters tries each of them on every letter."""
+    runs: list[list[int]] = []
+    for c in sorted(map(ord, chars)):
+        if runs and runs[-1][1] == c - 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return "[" + "".join(rf"\u{low:04x}-\u{high:04x}" for low, high in runs) + "]"
+
+
 def plain_text(text: Column) -> Column:
-    """Published text with one kind of space and of line end, and without control and zero-width characters."""
-    return F.translate(text, _SPACES + _BREAKS + _NOTHING, " " * len(_SPACES) + "\n" * len(_BREAKS))
+    """Published text with one kind of space and of line end, and without control and zero-width characters.
+
+    Text of printable ASCII and line feeds, which one cheap scan tells, is that already.
+    """
+    plain = text
+    for odd, mark in ((_SPACES, " "), (_BREAKS, "\n"), (_NOTHING, "")):
+        plain = F.regexp_replace(plain, _char_class(odd), mark)
+    return F.when(text.rlike(r"[^\n -~]"), plain).otherwise(text)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -51,6 +68,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Costly columns, added or replaced: each is evaluated once a row, where it stands.
+
+    They come out of a generator. A filter on a plain column would be moved below the projection, and below a
+    shuffle under it, and the column's text be made a second time there, by as few tasks as read the files.
+    """
+    return df.select(*[c for c in df.columns if c not in columns], F.inline(F.array(F.struct(*[v.alias(n) for n, v in columns.items()]))))
+
+
 def in_match(text: Column, pattern: str, body: Callable[[Column], Column]) -> Column:
     """Scan ``text`` once for ``pattern`` and work on the short match; null without one."""
     return let(F.regexp_extract(text, pattern, 0), lambda m: F.when(m != "", body(m)))
@@ -64,8 +90,8 @@ def number_token(token: Column) -> Column:
 
 def unit_decimal(number: Column, unit: Column) -> Column:
     """Number with a published unit -> decimal rate."""
-    u = F.lower(unit)
-    return F.when(u.contains("bps") | u.contains("basis"), number / F.lit(10000.0)).when(u.contains("%"), number / F.lit(100.0))
+    return let(F.lower(unit), lambda u: F.when(u.contains("bps") | u.contains("basis"), number / F.lit(10000.0))
+               .when(u.contains("%"), number / F.lit(100.0)))
 
 
 def coerce_metric_cell(bank: Column, industry: Column, token: Column, table_ref: Column | None = None) -> Column:
@@ -101,18 +127,16 @@ def label_class(label: Column) -> Column:
 
 def contains_class(label: Column, patterns: Sequence[tuple[str, str]]) -> Column:
     """First contained pattern wins; null when none is contained."""
-    s = F.lower(F.trim(label))
-    return first_match([(s.contains(p), F.lit(c)) for p, c in patterns])
+    return let(F.lower(F.trim(label)), lambda s: first_match([(s.contains(p), F.lit(c)) for p, c in patterns]))
 
 
 def map_segment(source: str, label: Column) -> Column:
     """Segment whose alias for ``source`` contains, or is contained in, the label."""
-    s = F.lower(F.trim(label))
-    rules = [
-        (F.lit(alias.lower()).contains(s) | s.contains(alias.lower()), F.lit(segment))
-        for segment, sources in V.SEGMENT_ALIAS_MAP.items() for alias in sources.get(source, [])
-    ]
-    return F.when(s != "", first_match(rules)) if rules else F.lit(None).cast("string")
+    aliases = [(alias.lower(), segment) for segment, sources in V.SEGMENT_ALIAS_MAP.items() for alias in sources.get(source, [])]
+    if not aliases:
+        return F.lit(None).cast("string")
+    return let(F.lower(F.trim(label)), lambda s: F.when(s != "", first_match([
+        (F.lit(alias).contains(s) | s.contains(alias), F.lit(segment)) for alias, segment in aliases])))
 
 
 def band_slug(band: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark import fixed_values as V
 from tidemark.functions import text as X
 from tidemark.functions.labels import first_match, lookup
-from tidemark.operators.bands import plain_lines, trimmed_lines
+from tidemark.operators.bands import plain_lines
 from tidemark.session import staged
 
 NUMBER = r"(?:\(\d[\d,]*\)|\d[\d,]*|[-–—])"
@@ -92,7 +92,8 @@ def _known(bank: str, label: Column) -> Column:
 
 def _dated(pages: DataFrame, bank: str) -> DataFrame:
     """Pages with their printed date; a page without one is never given one."""
-    return pages.withColumn("text", X.plain_text(F.col("text"))).withColumn("as_of_date", X.page_as_of_date(F.col("text"), bank))
+    plain = X.once(pages, text=X.plain_text(F.col("text")))
+    return X.once(plain, as_of_date=X.page_as_of_date(F.col("text"), bank))
 
 
 def undated_pages(pages: DataFrame, bank: str) -> DataFrame:
@@ -143,8 +144,8 @@ def dispatched_rows(pages: DataFrame, layouts: dict[str, TableLayout] | None = N
     pages = pages.where(F.col("layout").isin(*layouts))
     keys = [c for c in pages.columns if c not in ("text", "layout")]
     fact = lambda value: _by_layout(layouts, lambda x: F.lit(value(x)))
-    plain = pages.withColumn("text", X.plain_text(F.col("text")))
-    dated = plain.withColumn("as_of_date", _by_layout(layouts, lambda x: X.page_as_of_date(F.col("text"), x.bank))).where(F.col("as_of_date").isNotNull())
+    plain = X.once(pages, text=X.plain_text(F.col("text")))
+    dated = X.once(plain, as_of_date=_by_layout(layouts, lambda x: X.page_as_of_date(F.col("text"), x.bank))).where(F.col("as_of_date").isNotNull())
     parts = dated.select(*keys, "layout", "as_of_date", F.inline(_by_layout(layouts, _sections)))
     lines = parts.select(*keys, "layout", "as_of_date", "geography", F.explode(plain_lines(F.col("body"))).alias("line"))
     # the right edge must hold figures before the full pattern is tried
@@ -190,9 +191,9 @@ def _matrix_halves(pages: DataFrame) -> DataFrame:
     pattern = _peel(8)
 
     def data(part: Column) -> Column:
-        return F.filter(trimmed_lines(F.regexp_replace(part, r"(?smi)^\s*total credit exposures.*", "")), lambda x: x.rlike(pattern))
+        return F.filter(plain_lines(F.regexp_replace(part, r"(?smi)^\s*total credit exposures.*", "")), lambda x: x.rlike(pattern))
 
-    return dated.select(*keys, "as_of_date", F.transform(parts, data).alias("halves"))
+    return X.once(dated, halves=F.transform(parts, data)).select(*keys, "as_of_date", "halves")
 
 
 def _matrix_fault() -> Column:

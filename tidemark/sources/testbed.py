@@ -5,6 +5,8 @@ Each projection is row-local or one equi-join, so its size follows its input.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions import labels as L
@@ -16,13 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def pages_table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
+def pages_table(spark: SparkSession, sf_dir: str, name: str, keys: Sequence[str], rows_a_task: int) -> DataFrame:
     """A table from which pages are rendered and parsed row by row, dealt out by row keys.
 
-    The rows are narrow and the work on each is heavy, so the shuffle is small beside what it spreads;
-    adaptive execution sets the number of partitions.
+    The rows are narrow and the work on each is heavy, so the shuffle is small beside what it spreads, and bytes
+    say nothing of the work: the partitions follow the rows, which the files count in their footers.
     """
-    return table(spark, sf_dir, name).repartition(*keys)
+    rows = table(spark, sf_dir, name)
+    return rows.repartition(max(spark.sparkContext.defaultParallelism, -(-rows.count() // rows_a_task)), *keys)
 
 
 def quarter_end(date: Column) -> Column:

@@ -7,8 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.functions import labels as L
-from tidemark.sources.testbed import pick, pages_table, table
+from tidemark.functions import labels as L, text as X
+from tidemark.sources.testbed import pick, pages_table
 
 LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(l_shipdate as date))"
 
@@ -27,12 +27,17 @@ def row(*parts: Column | str) -> Column:
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
-    return pages_table(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").withColumns({
+    return pages_table(spark, sf, "lineitem", ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), 40_000).withColumns({
         "doc_id": F.expr(LINE_ID), "page_no": F.lit(1),
         "pd_pct": num((F.col("l_discount") + F.col("l_tax")) * 100), "lgd_pct": num(F.col("l_discount") * 100, 1)})
 
 
-def band_pages(spark: SparkSession, sf: str) -> DataFrame:
+def _rendered(spark: SparkSession, sf: str, text: Column, *keep: str) -> DataFrame:
+    """The page of every row, its text made once, and the columns of the row to ``keep``."""
+    return X.once(_lines(spark, sf), text=text).select("doc_id", "page_no", *keep, "text")
+
+
+def band_pages(spark: SparkSession, sf: str, *keep: str) -> DataFrame:
     """Five label styles; every seventh line number mentions the table only in prose."""
     pd_, lgd, k = F.col("pd_pct"), F.col("lgd_pct"), F.col("l_orderkey") % 5
     body = L.first_match([
@@ -47,71 +52,71 @@ def band_pages(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("CR6: IRB - credit risk exposures by portfolio and probability of default range"))
     text = page("Annual disclosure", header, "PD range Original Off-balance CCF EAD PD Borrowers LGD", body,
                 "CR7: IRB - effect on RWA", "Sovereign 0.00 to <0.15 1 1 1 1 0.50 1 40.0 2 1 1 1")
-    return _lines(spark, sf).select("doc_id", "page_no", text.alias("text"))
+    return _rendered(spark, sf, text, *keep)
 
 
 MACQUARIE_TARGET = "30 September 2001"
 
 
-def split_percent_pages(spark: SparkSession, sf: str) -> DataFrame:
+def split_percent_pages(spark: SparkSession, sf: str, *keep: str) -> DataFrame:
     """Detached percent signs; odd line numbers carry the target date."""
     date = F.when(F.col("l_linenumber") % 2 == 1, F.lit(MACQUARIE_TARGET)).otherwise(F.lit("31 March 2001"))
     text = page("Table 7: CR6 - IRB exposures", date, "PD Scale", "Residential Mortgage",
                 row("0.00 to <0.15 1,210 250 50 %", num(F.col("l_quantity"), 0), F.col("pd_pct"), "% 1,200", F.col("lgd_pct"), "% 800"),
                 "0.15 to <0.25 10 2 50 % 500 2.00 % 3 20.00 % 4", "100.00 (Non-", "Performing) 5 5 50 % 7 100.00 % 1 30.00 % 2")
-    return _lines(spark, sf).select("doc_id", "page_no", text.alias("text"))
+    return _rendered(spark, sf, text, *keep)
 
 
-def slotting_pages(spark: SparkSession, sf: str) -> DataFrame:
+def slotting_pages(spark: SparkSession, sf: str, *keep: str) -> DataFrame:
     text = page("CR10: Specialised lending", "Strong 10 20 70% 14", F.when(F.col("l_returnflag") == "R", F.lit("WEAK 1 2 250% 5")),
                 F.when(F.col("l_linestatus") == "O", F.lit("Satisfactory 3 4 115% 4")))
-    return _lines(spark, sf).select("doc_id", "page_no", text.alias("text"))
+    return _rendered(spark, sf, text, *keep)
 
 
-def alias_band_pages(spark: SparkSession, sf: str) -> DataFrame:
+def alias_band_pages(spark: SparkSession, sf: str, *keep: str) -> DataFrame:
     label = pick(F.col("l_orderkey") % 3, ["Commercial real estate", "Construction and land", "Leasing"])
     text = page("CR6 equivalent", row(label, "0.00 to < 0.15 1 2 3 4", F.col("pd_pct"), "6 7"), "SME lending",
                 "100.00 (Default) 1 2 3 4 100.50 6 7", "0.15 to <0.25 1 2 3 4 n/a 6 7")
-    return _lines(spark, sf).select("doc_id", "page_no", text.alias("text"))
+    return _rendered(spark, sf, text, *keep)
 
 
 def _ship20(column: str = "l_shipdate") -> Column:
     return F.add_months(F.col(column).cast("date"), 240)
 
 
-def index_pages(spark: SparkSession, sf: str) -> DataFrame:
+def index_pages(spark: SparkSession, sf: str, *keep: str) -> DataFrame:
     """Table rows on even orders, phrases on odd ones; every seventh line has no date."""
     month = F.date_format(_ship20(), "MMMM yyyy")
     even = F.col("l_orderkey") % 2 == 0
     prime = F.when(even, row("Prime SPIN 0.91 0.85", F.col("pd_pct"))).otherwise(row("The weighted-average prime SPIN rose to", F.concat(F.col("pd_pct"), F.lit("%"))))
     other = F.when(even, row("Non-Conforming SPIN 4.10 4.00", F.col("lgd_pct"))).otherwise(F.lit("The non-conforming pool was stable"))
     head = F.when(F.col("l_linenumber") == 7, F.lit("RMBS arrears, undated")).otherwise(row("RMBS arrears statistics for", month))
-    return _lines(spark, sf).select("doc_id", "page_no", page(head, prime, other, "End of release").alias("text"))
+    return _rendered(spark, sf, page(head, prime, other, "End of release"), *keep)
 
 
-def results_pages(spark: SparkSession, sf: str) -> DataFrame:
+def results_pages(spark: SparkSession, sf: str, *keep: str) -> DataFrame:
     text = page(F.concat(F.lit("1H FY"), F.date_format(_ship20(), "yy"), F.lit(" Results")),
                 "Residential mortgages", F.concat(F.lit("Loan loss expense of "), F.col("pd_pct"), F.lit("% of average book. Loss rate "), F.col("pd_pct"), F.lit("%")),
                 F.concat(F.lit("90+ days arrears of "), num(F.col("l_quantity"), 0), F.lit(" bps")),
                 "Asset finance grew", F.concat(F.lit("cost of risk "), F.col("lgd_pct"), F.lit("%; 30+ dpd at "), F.col("lgd_pct"), F.lit(" %")))
-    return _lines(spark, sf).select("doc_id", "page_no", text.alias("text"))
+    return _rendered(spark, sf, text, *keep)
 
 
-def update_pages(spark: SparkSession, sf: str) -> DataFrame:
+def update_pages(spark: SparkSession, sf: str, *keep: str) -> DataFrame:
     text = page(F.concat(F.lit("Trading update for the quarter ended "), F.date_format(_ship20(), "d MMMM yyyy")),
                 F.concat(F.lit("Loan portfolio of $"), num(F.col("l_quantity") / 10, 1), F.lit("B")),
                 F.concat(F.lit("Annualised net losses of "), num(F.col("l_quantity"), 0), F.lit(" bps")),
                 F.concat(F.lit("Automotive loans: 90+ day arrears of "), F.col("pd_pct"), F.lit("%, annualised net credit losses were 43 basis points")),
                 F.concat(F.lit("with 90+ day arrears at "), F.col("lgd_pct"), F.lit(" %")))
-    return _lines(spark, sf).select("doc_id", "page_no", text.alias("text"))
+    return _rendered(spark, sf, text, *keep)
 
 
-def note_pages(spark: SparkSession, sf: str) -> DataFrame:
+def note_pages(spark: SparkSession, sf: str, *keep: str) -> DataFrame:
     q = num(F.col("l_quantity"), 0)
     text = page(F.concat(F.lit("Annual report for the year ended "), F.date_format(_ship20(), "d MMMM yyyy")), "Sme loans 1 2 99.0%", "Credit risk",
                 row("Residential mortgages 234 12,540", F.concat(F.col("pd_pct"), F.lit("%"))), row("Commercial property loans", q, "12,540"),
                 row("SME loans", q, "0.0345"), "Leases 1 2 3.0%", "Liquidity risk", "Personal loans 5 10 4.0%")
-    return _lines(spark, sf).select("doc_id", "page_no", text.alias("text"))
+    return _rendered(spark, sf, text, *keep)
 
 
 # --- industry tables: one page per order or customer -----------------------------------------
@@ -136,10 +141,14 @@ def industry_pages(spark: SparkSession, sf: str) -> DataFrame:
                         row("Wholesale & Retail Trade 1", n, "3"), "Total 9 9 9"),
     }
     each = F.explode(F.array(*[F.struct(F.lit(name).alias("layout"), text.alias("text")) for name, text in texts.items()]))
-    return pages_table(spark, sf, "orders", "o_orderkey").select(F.col("o_orderkey").cast("string").alias("doc_id"), F.lit(1).alias("page_no"), each.alias("p")).select(
+    return pages_table(spark, sf, "orders", ("o_orderkey",), 10_000).select(F.col("o_orderkey").cast("string").alias("doc_id"), F.lit(1).alias("page_no"), each.alias("p")).select(
         "doc_id", "page_no", "p.*")
 
 
+def _customers(spark: SparkSession, sf: str) -> DataFrame:
+    return pages_table(spark, sf, "customer", ("c_custkey",), 2_000)
+
+
 def matrix_pages(spark: SparkSession, sf: str) -> DataFrame:
     """A ten-portfolio matrix per customer; cell (portfolio i, column j) = key + 10 i + j."""
     k = F.col("c_custkey")
@@ -150,7 +159,7 @@ def matrix_pages(spark: SparkSession, sf: str) -> DataFrame:
 
     text = page("CRB(e)(ii): Credit exposures by portfolio type and industry sector (continued)", "30 June 2025", "Industry Sector", *block(0),
                 "Total credit exposures 1 1 1 1 1 1 1 1", "Industry Sector (continued)", *block(1000), "Total credit exposures 1 1 1 1 1 1 1 1")
-    return table(spark, sf, "customer").select(k.cast("string").alias("doc_id"), F.lit(36).alias("page_no"), text.alias("text"))
+    return X.once(_customers(spark, sf), text=text).select(k.cast("string").alias("doc_id"), F.lit(36).alias("page_no"), "text")
 
 
 def bank_document_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -167,4 +176,4 @@ def bank_document_pages(spark: SparkSession, sf: str) -> DataFrame:
         ("cba", 12, page("30 June 2025", "Manufacturing 7 7 7")),
     ]
     each = F.explode(F.array(*[F.struct(F.lit(b).alias("bank"), F.lit(p).alias("page_no"), t.alias("text")) for b, p, t in pages]))
-    return table(spark, sf, "customer").select(k.cast("string").alias("doc_id"), each.alias("p")).select("doc_id", "p.*")
+    return _customers(spark, sf).select(k.cast("string").alias("doc_id"), each.alias("p")).select("doc_id", "p.*")
