@@ -38,20 +38,36 @@ def trimmed_lines(text: Column) -> Column:
     return plain_lines(X.plain_text(text))
 
 
+def _marked_pieces(lines: Column, label: Callable[[Column, Column, Column], Column]) -> Column:
+    """The page cut before its labelled lines; a piece opens with its label and the end mark, if it has one."""
+    marked = F.transform(
+        lines, lambda x, i: F.concat(F.coalesce(F.concat(F.lit(_CUT), label(x, i, lines), F.lit(_END)), F.lit("")), x))
+    return F.split(F.array_join(marked, "\n"), "\n?" + _CUT)
+
+
+def _piece_label(piece: Column) -> Column:
+    return F.when(piece.contains(_END), F.substring_index(piece, _END, 1))
+
+
+def _piece_lines(piece: Column) -> Column:
+    return F.split(F.substring_index(piece, _END, -1), "\n")
+
+
+def carried_pieces(lines: Column, label: Callable[[Column, Column, Column], Column]) -> Column:
+    """Stretches (no, label, lines) of a page in order, each from one labelled line to the next; ``lines`` is a plain column."""
+    return F.transform(_marked_pieces(lines, label), lambda piece, no: F.struct(
+        no.alias("no"), _piece_label(piece).alias("label"), _piece_lines(piece).alias("lines")))
+
+
 def carried_lines(df: DataFrame, lines: Column, label: Callable[[Column, Column, Column], Column]) -> DataFrame:
     """Explode lines with the label of the last labelled line at or above them, and their number.
 
     ``label(line, index, all_lines)`` is null on lines that do not relabel.
     """
     held = df.withColumn("_lines", lines)
-    marked = F.transform(
-        F.col("_lines"),
-        lambda x, i: F.concat(F.coalesce(F.concat(F.lit(_CUT), label(x, i, F.col("_lines")), F.lit(_END)), F.lit("")), x))
     kept = [c for c in held.columns if c != "_lines"]
-    pieces = held.select(*kept, F.posexplode(F.split(F.array_join(marked, "\n"), "\n?" + _CUT)).alias("_at", "_piece"))
-    labelled = F.col("_piece").contains(_END)
-    lines = pieces.select(*kept, "_at", F.when(labelled, F.substring_index("_piece", _END, 1)).alias("label"),
-                          F.posexplode(F.split(F.substring_index("_piece", _END, -1), "\n")).alias("_in", "line"))
+    pieces = held.select(*kept, F.posexplode(_marked_pieces(F.col("_lines"), label)).alias("_at", "_piece"))
+    lines = pieces.select(*kept, "_at", _piece_label(F.col("_piece")).alias("label"), F.posexplode(_piece_lines(F.col("_piece"))).alias("_in", "line"))
     # pieces are in page order, and so are the lines of a piece
     return lines.select(*kept, F.struct("_at", "_in").alias("line_no"), "label", "line")
 
@@ -131,7 +147,7 @@ def band_verdicts(pages: DataFrame, patterns: Sequence[tuple[str, str]] = V.BAND
     after the band is the PD, the seventh the LGD, both in percent.
     """
     keys = [c for c in pages.columns if c != "text"]
-    plain = pages.withColumn("text", X.plain_text(F.col("text")))
+    plain = X.once(pages, text=X.plain_text(F.col("text")))
     bodies = plain.where(F.col("text").rlike(TABLE_HEADER)).withColumn("text", F.regexp_replace("text", NEXT_TABLE, ""))
     lines = carried_lines(bodies, plain_lines(F.col("text")), portfolio_label(patterns, index_prefix))
     return _metric_rows(_band_cells(lines, keys, BAND, {"pd": 4, "lgd": 6}), keys)
@@ -141,15 +157,21 @@ def target_pages(pages: DataFrame, target: str) -> DataFrame:
     """Pages of the banded table for one report date, continuation pages included.
 
     A header page decides by its dates; a later page of another date ends the
-    run; other pages follow the page before. Only (document, page, state) is
-    sorted, sliced by page number so one huge document is not one sort; the text
-    of pages that hold a band line joins what is kept.
+    run; other pages follow the page before. Pages that decide for themselves are
+    read where they are. Only for documents with a band line on an undecided page is
+    (document, page, state) sorted, sliced by page number so one huge document is
+    not one sort; the text of such pages joins what is kept.
     """
-    pages = pages.withColumn("text", X.plain_text(F.col("text")))
+    pages = X.once(pages, text=X.plain_text(F.col("text")))
     dates = F.regexp_extract_all("text", F.lit(MACQUARIE_DATE), F.lit(1))
     hit = F.exists(dates, lambda d: F.lower(F.regexp_replace(d, r"\s+", " ")) == target.lower())
     state = F.when(F.col("text").rlike(MACQUARIE_HEADER), hit).when((F.size(dates) > 0) & ~hit, F.lit(False))
-    marked = pages.select("doc_id", "page_no", state.alias("_state"), F.floor(F.col("page_no") / 1000).alias("_slice"))
+    stated = X.once(pages, _state=state)
+    banded = F.col("text").rlike(ANY_BAND)
+    own = stated.where(F.col("_state") & banded).drop("_state")
+    open_ = stated.where(F.col("_state").isNull() & banded).drop("_state")
+    marked = stated.select("doc_id", "page_no", "_state", F.floor(F.col("page_no") / 1000).alias("_slice")).join(
+        open_.select("doc_id").distinct(), "doc_id", "left_semi")
     local = W.partitionBy("doc_id", "_slice").orderBy("page_no").rowsBetween(W.unboundedPreceding, 0)
     lasts = marked.groupBy("doc_id", "_slice").agg(
         F.max_by("_state", F.when(F.col("_state").isNotNull(), F.col("page_no"))).alias("_end"))
@@ -157,7 +179,7 @@ def target_pages(pages: DataFrame, target: str) -> DataFrame:
     carried = lasts.withColumn("_carry", F.last("_end", True).over(before)).drop("_end")
     kept = (marked.withColumn("_here", F.last("_state", True).over(local)).join(carried, ["doc_id", "_slice"])
             .where(F.coalesce("_here", "_carry", F.lit(False))).select("doc_id", "page_no").distinct())
-    return pages.where(F.col("text").rlike(ANY_BAND)).join(kept, ["doc_id", "page_no"])
+    return own.unionByName(open_.join(kept, ["doc_id", "page_no"]))
 
 
 def split_percent_rows(pages: DataFrame, target: str,
@@ -218,11 +240,11 @@ def alias_band_verdicts(pages: DataFrame, source: str = "judo") -> DataFrame:
     keys = [c for c in pages.columns if c != "text"]
 
     def segment(textual: Column) -> Column:
-        low = F.lower(textual)
-        needle = F.coalesce(*[F.when(low.contains(n) & X.map_segment(source, F.lit(n)).isNotNull(),
-                                     F.concat_ws("|", X.map_segment(source, F.lit(n)), F.lit(n))) for n in V.JUDO_NEEDLES])
-        whole = X.map_segment(source, textual)
-        return F.coalesce(needle, F.when(whole.isNotNull(), F.concat_ws("|", whole, textual)))
+        needle = X.let(F.lower(textual), lambda low: F.coalesce(*[
+            F.when(low.contains(n), X.let(X.map_segment(source, F.lit(n)), lambda known: F.when(known.isNotNull(), F.concat_ws("|", known, F.lit(n)))))
+            for n in V.JUDO_NEEDLES]))
+        whole = X.let(X.map_segment(source, textual), lambda known: F.when(known.isNotNull(), F.concat_ws("|", known, textual)))
+        return F.coalesce(needle, whole)
 
     def label(line: Column, i: Column, lines: Column) -> Column:
         return X.let(_prefix(line, None, LOOSE_BAND), lambda prefix: F.when(prefix != "", segment(prefix)))
