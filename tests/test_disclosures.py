@@ -92,3 +92,13 @@ def test_detected_table_points(spark):
                                   "cr6", {"asset_class": 0, "pd": 2, "lgd": 3})
     assert {(r.asset_class, r.metric_name, r.value) for r in grids.irb_table_points(table).collect()} == {
         ("residential_mortgage", "pd", .0125), ("residential_mortgage", "lgd", .2)}
+
+
+def test_plain_text_is_the_same_as_a_character_map(spark):
+    from tidemark.functions import text as X
+
+    odd = X._SPACES + X._BREAKS + X._NOTHING
+    texts = [None, "", "plain\nlines ~", "".join("x" + c + c + "–é" for c in odd), odd, "a" + odd[::-1] + "\U0001f600"]
+    table = str.maketrans(dict.fromkeys(X._SPACES, " ") | dict.fromkeys(X._BREAKS, "\n") | dict.fromkeys(X._NOTHING, ""))
+    got = spark.createDataFrame([(t,) for t in texts], "text string").select("text", X.plain_text(F.col("text")).alias("plain")).collect()
+    assert [r.plain for r in got] == [t and t.translate(table) for t in texts]

@@ -62,3 +62,40 @@ def test_the_fact_is_read_once(spark, monkeypatch, name, fact):
         monkeypatch.setattr(module, "staged", watched)
     plans.append(queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString())
     assert sum(p.count(f"/{fact}.parquet]") for p in plans) == 1
+
+
+@pytest.mark.parametrize("name", [
+    "industry_matrix", "dropped_rows", "cr6_rows_dirty", "line_metric_regex", "cr6_rows_split_percent", "ead_weighted_portfolio", "segment_metric_regex",
+    "bank_industry_rows", "refused_matrix_pages", "index_headline", "cr6_rows", "judo_style_pd_bands", "first_occurrence_dedupe", "peer_lookaround",
+    "impaired_table", "industry_table_right_peel", "disclosure_rows", "section_carry_forward", "section_blocks"])
+def test_pages_are_dealt_out_by_rows_before_any_text_is_made(spark, monkeypatch, name):
+    """The parse runs above a shuffle into as many partitions as the rows ask for; nothing of it is moved below."""
+    plans = []
+
+    def watched(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return session.staged(df, label)
+
+    monkeypatch.setattr(industry_tables, "staged", watched)
+    plans.append(queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString())
+    dealt = 0
+    for plan in plans:
+        lines = plan.split("\n")
+        for i, line in enumerate(lines):
+            if "REPARTITION_BY_NUM" in line:
+                dealt += 1
+                below = next(n for n in lines[i + 1:] if "FileScan" not in n and n.strip()) if "FileScan" not in lines[i + 1] else ""
+                assert "RLIKE" not in below and "concat_ws" not in below and "Generate" not in below
+    assert dealt >= 1
+
+
+@pytest.mark.parametrize("name", ["line_metric_regex", "segment_metric_regex", "first_occurrence_dedupe", "impaired_table", "disclosure_rows", "dropped_rows"])
+def test_first_occurrence_stays_in_the_page(spark, name):
+    plan = queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+
+
+def test_partitions_follow_the_rows(spark):
+    from tidemark.sources import testbed
+
+    assert testbed.pages_table(spark, SMALL, "lineitem", ("l_orderkey",), 500).rdd.getNumPartitions() == -(-spark.read.parquet(f"{SMALL}/lineitem.parquet").count() // 500)
