@@ -171,6 +171,34 @@ def test_word_scores_equal_plain_dictionaries(docs, monkeypatch, frequent):
     assert got[2][3] > got[1][3]
 
 
+@pytest.mark.parametrize("frequent", [1, 1 << 17])
+def test_bigrams_of_texts_are_looked_up_packed(docs, monkeypatch, frequent):
+    """Many shards, rows of few bigrams and tasks that add up often give the same; no bigram of a text is a row of a join."""
+    monkeypatch.setattr(W, "FREQUENT_ONE_IN", frequent)
+    for name, value in (("SHARD_TOKENS", 256), ("ROW", 2), ("GATHERED", 7)):
+        monkeypatch.setattr(W, name, value)
+    dice = random.Random(3)
+    training = [" ".join(dice.choice(["one", "two", "Three", "4", "é", "six", "x."]) for _ in range(60)) for _ in range(40)]
+    texts = dict(enumerate(training[:20] + ["new words one two", "two one " * 2_000]))
+    model = W.WordModel(docs(*enumerate(training)))
+    assert model.shards_log > 3 and model.table.where("grams is not null").groupBy("shard").count().where("count > 1").count()
+    scored = W.word_scores(docs(*texts.items()).selectExpr("doc_id AS key", "text"), model)
+    assert "Join" not in scored._jdf.queryExecution().executedPlan().toString()
+    got = {r.key: (r.n_tokens, r.word_surprise, r.word_spread, r.order_surprise, r.order_spread) for r in scored.collect()}
+    want = brute_words(training, texts, W.LEAST_SEEN, frequent)
+    assert got.keys() == want.keys()
+    for key, values in want.items():
+        assert got[key] == pytest.approx(values, abs=1e-5), key
+
+
+def test_packed_numbers_are_small_and_come_back():
+    gram = np.unique(np.random.default_rng(1).integers(0, 1 << 35, 50_000))
+    packed = W._pack(np.diff(gram, prepend=0))
+    assert (np.cumsum(W._unpack(packed)) == gram).all() and len(packed) < 4 * len(gram)
+    for values in (np.zeros(0, np.int64), np.array([-1, 1 << 62, 0, -(1 << 63)])):
+        assert W._unpack(W._pack(values)).tolist() == values.tolist()
+
+
 def test_word_model_without_training_text(docs):
     model = W.WordModel(docs((1, "a b")).limit(0))
     assert [r.n_tokens for r in W.word_scores(docs((1, "a b c")).selectExpr("doc_id AS key", "text"), model).collect()] == [3]

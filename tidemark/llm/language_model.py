@@ -1,7 +1,7 @@
 """Quality classifier: interpolated modified Kneser-Ney n-gram models of trusted text.
 
 Three surprises are judged, each against limits of its own: that of the words and
-that of their order (``word_model``: count joins over bigrams of known words and
+that of their order (``word_model``: counts of bigrams of known words and
 marks), and that of the symbols words are written with, which tells how plausible
 an unknown word is. A text is accepted if none is above trusted text of its language.
 
