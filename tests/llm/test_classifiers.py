@@ -249,6 +249,16 @@ def test_model_edges(docs, labels):
     assert L.keep_accepted(frame.limit(0), labels((1, 1, 0))).count() == 0
 
 
+def test_tables_sent_to_tasks_are_taken_back(docs, labels, monkeypatch):
+    """Later stages need the memory: no table stays with the executors after scoring."""
+    sent, context = [], docs((1, "")).sparkSession.sparkContext
+    send = context.broadcast
+    monkeypatch.setattr(context, "broadcast", lambda value: sent.append(send(value)) or sent[-1])
+    found = L.classify(docs((1, "some good text here"), (2, "other text")), labels((1, 1, 0)))
+    assert len(sent) >= 5 and not any(b._jbroadcast.isValid() for b in sent)
+    assert found.count() == 2 and {r.accepted for r in found.collect()} == {True}
+
+
 def brute_statistics(text):
     w = re.findall(r"[^\x20\x09-\x0d]+", text or "")
     seen = collections.Counter(tuple(w[i:i + 8]) for i in range(len(w) - 7))

@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -109,7 +110,7 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """N-gram counts of a whole task, one row for each n-gram."""
     totals = np.zeros(SYMBOLS ** ORDER, np.int32)
     for batch in batches:
-        for p in B.pieces(batch.column("text")):
+        for p in B.pieces(batch.column("text"), B.SMALL_PIECE):
             grams, counts = np.unique(symbol_grams(p)[0], return_counts=True)
             totals[grams] += counts.astype(np.int32)
     found = np.flatnonzero(totals)
@@ -169,9 +170,8 @@ def dense(model: dict[str, np.ndarray]) -> np.ndarray:
     return np.log(lower, out=lower)
 
 
-def scores(documents: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
-    """doc_id, lang, text_key, n_symbols, surprise (mean, in nats) and spread (standard deviation) of every whole text."""
-    held = documents.sparkSession.sparkContext.broadcast(model)
+def scores(documents: DataFrame, held: Broadcast) -> DataFrame:
+    """doc_id, lang, text_key, n_symbols, surprise (mean, in nats) and spread (standard deviation) of every whole text, by tables sent to all tasks."""
     keyed = documents.select("doc_id", "lang", F.xxhash64("text").alias("text_key"), "text")
     schema = T.StructType([keyed.schema["doc_id"], keyed.schema["lang"],
                            *T._parse_datatype_string("text_key long, n_symbols long, surprise double, spread double").fields])
@@ -182,7 +182,7 @@ def scores(documents: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
         for batch in batches:
             if table is None:
                 table = dense(held.value)
-            for p in B.pieces(batch.column("text")):
+            for p in B.pieces(batch.column("text"), B.SMALL_PIECE):
                 grams, bounds = symbol_grams(p)
                 logs = table[grams].astype(np.float64)
                 sums, squares = np.r_[0, np.cumsum(logs)], np.r_[0, np.cumsum(logs * logs)]
@@ -209,9 +209,12 @@ def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
     documents = documents.select("doc_id", "lang", "text")
     trusted = labels.where("quality = 1").select(F.col("doc_id").alias("trusted_id")).distinct()
     training = documents.join(small_side(trusted.where(~held_back(F.col("trusted_id")))), documents["doc_id"] == F.col("trusted_id"), "left_semi")
-    symbols = scores(documents, train(training)).withColumn("key", F.xxhash64("doc_id", "text_key"))
-    words = word_scores(documents.select(F.xxhash64("doc_id", F.xxhash64("text")).alias("key"), "text"), WordModel(training))
+    held, model = documents.sparkSession.sparkContext.broadcast(train(training)), WordModel(training)
+    symbols = scores(documents, held).withColumn("key", F.xxhash64("doc_id", "text_key"))
+    words = word_scores(documents.select(F.xxhash64("doc_id", F.xxhash64("text")).alias("key"), "text"), model)
     scored = staged(symbols.join(words, "key", "left").drop("key"), "scores")
+    held.destroy()
+    model.release()  # later stages have the memory
     calibration = scored.join(small_side(trusted.where(held_back(F.col("trusted_id")))), scored["doc_id"] == F.col("trusted_id"), "left_semi")
     levels = {"surprise": ("spread", "n_symbols"), "word_surprise": ("word_spread", "n_tokens"), "order_surprise": ("order_spread", "n_tokens")}
     known = calibration.where("surprise is not null").select("lang", *levels)

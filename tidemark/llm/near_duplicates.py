@@ -100,7 +100,7 @@ def _sketches(documents: DataFrame, k: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for p in B.pieces(batch.column("text")):
+            for p in B.pieces(batch.column("text"), B.SMALL_PIECE):
                 part = batch.slice(p.first, p.last - p.first)
                 found, bounds = shingle_sets(p, k)
                 sizes = np.diff(bounds)
@@ -125,7 +125,7 @@ def _full_sets(texts: DataFrame, k: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for p in B.pieces(batch.column("text")):
+            for p in B.pieces(batch.column("text"), B.SMALL_PIECE):
                 found, bounds = shingle_sets(p, k)
                 yield pa.RecordBatch.from_arrays([batch.column("node").slice(p.first, p.last - p.first), B.list_array(found.view(np.int64), bounds)],
                                                  ["node", "grams"])

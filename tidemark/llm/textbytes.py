@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 
 PIECE = 1 << 20
+#: For scans that hold many arrays for each byte; results are the same for every size.
+SMALL_PIECE = 1 << 18
 
 _BYTES = np.arange(256)
 #: Not white space: ``[^\x20\x09-\x0D]``.

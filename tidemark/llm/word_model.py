@@ -99,7 +99,7 @@ def _counted(texts: DataFrame, what, name: str) -> DataFrame:
     """(name, n): occurrences of the numbers ``what`` gives for a piece, summed by task and then in shards."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for p in B.pieces(batch.column("text")):
+            for p in B.pieces(batch.column("text"), B.SMALL_PIECE):
                 values, counts = np.unique(what(p), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts.astype(np.int64))], [name, "n"])
 
@@ -151,7 +151,7 @@ def _counted_bigrams(texts: DataFrame, known, log: int, bits: int, least: float)
 
         grams, counts = [], []
         for batch in batches:
-            for p in B.pieces(batch.column("text")):
+            for p in B.pieces(batch.column("text"), B.SMALL_PIECE):
                 gram, n = np.unique(_bigrams(p, known.value)[0], return_counts=True)
                 grams.append(gram), counts.append(n)
                 if sum(map(len, grams)) > GATHERED:
@@ -261,6 +261,12 @@ class WordModel:
             bitmap[shard * len(own):(shard + 1) * len(own)] = own
         self.bitmap = spread((bits, bitmap))
 
+    def release(self) -> None:
+        """Take the tables from all tasks and from the disk, once nothing is left to score."""
+        for held in (self.known, self.gains, self.frequent, self.bitmap):
+            held.destroy()
+        discard(self.table)
+
 
 def _places(hashed: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Word of the bitmap and bit within it for each hashed bigram."""
@@ -288,7 +294,7 @@ def word_scores(keyed: DataFrame, model: WordModel) -> DataFrame:
         last = np.iinfo(np.int32).max
         for batch in batches:
             keys = batch.column("key").to_numpy()
-            for p in B.pieces(batch.column("text")):
+            for p in B.pieces(batch.column("text"), B.SMALL_PIECE):
                 gram, rows = _bigrams(p, known.value)
                 order = gains.weight[gram >> BITS]
                 logs = order + gains.alone[gram & MASK]
