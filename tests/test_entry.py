@@ -99,3 +99,20 @@ def test_partitions_follow_the_rows(spark):
     from tidemark.sources import testbed
 
     assert testbed.pages_table(spark, SMALL, "lineitem", ("l_orderkey",), 500).rdd.getNumPartitions() == -(-spark.read.parquet(f"{SMALL}/lineitem.parquet").count() // 500)
+
+
+def test_stream_entries_are_written_and_read_by_many_tasks(spark, con, monkeypatch, tmp_path):
+    """Six days are one batch of many files, and the result is that of the one order of arrival."""
+    from tidemark.plans import source_queries
+
+    monkeypatch.setattr(source_queries, "work_folder", lambda spark, name: f"{tmp_path}/{name}")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so that few rows are not joined into one file
+    try:
+        df = queries()["refresh_stream"](spark, SMALL)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = spark.read.parquet(f"{tmp_path}/refresh/entries").inputFiles()
+    assert len(files) >= 15
+    assert [r.batch_id for r in spark.read.parquet(f"{tmp_path}/refresh/actions").select("batch_id").distinct().orderBy("batch_id").collect()] == [0, 1, 2, 3, 4]
+    rel = con.sql(oracle_sql()["refresh_stream"])
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(rel.columns, rel.fetchall())

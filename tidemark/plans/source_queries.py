@@ -431,6 +431,10 @@ st AS (
     lag(value) OVER (PARTITION BY source_id, value_date ORDER BY arrived, value) AS pvalue FROM arr)"""
 
 
+#: Files per trigger so many that all files waiting are one batch: a batch cut short would change the order of arrival.
+ONE_BATCH = 2**31 - 1
+
+
 @query("refresh_stream", O.with_(ARRIVALS, STREAMED, """
 ac AS (
   SELECT *, CASE WHEN bdate IS NULL THEN 'add' WHEN bdate > value_date THEN 'skip_newer_in_registry'
@@ -439,14 +443,16 @@ SELECT source_id, value, value_date, action, CAST(NULL AS INT) AS version FROM a
 UNION ALL SELECT source_id, value, value_date, 'stored', CAST(row_number() OVER (PARTITION BY source_id ORDER BY arrived, value) AS INT)
 FROM ac WHERE action IN ('add', 'supersede')"""))
 def refresh_stream(spark, sf):
-    """Six days of entries a file, one file a batch: what each entry did, and the registry that is left."""
+    """Six days of entries arrive, in files of even size, then the stream runs on: what each entry did, and the registry that is left."""
     base = work_folder(spark, "refresh")
     entries = testbed.benchmark_arrivals(spark, sf).withColumn("inserted_at", F.timestamp_micros("arrived")).withColumns(
         {"version": F.lit(1), "superseded_by": F.lit(None).cast("string")})
     part = F.least(F.greatest(F.floor(F.datediff("value_date", F.lit("2024-01-01").cast("date")) / 6), F.lit(0)), F.lit(4))
     for i in range(5):
-        entries.where(part == i).select(*refresh.ENTRY_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(f"{base}/entries")
-    refresh.refresh_stream(spark, f"{base}/entries", f"{base}/registry", f"{base}/actions", f"{base}/state", max_files=1).awaitTermination()
+        days = entries.where(part == i).select(*refresh.ENTRY_SCHEMA.fieldNames())
+        days.hint("rebalance", "inserted_at").write.mode("append").parquet(f"{base}/entries")
+        refresh.refresh_stream(
+            spark, f"{base}/entries", f"{base}/registry", f"{base}/actions", f"{base}/state", max_files=ONE_BATCH).awaitTermination()
     actions, stored = spark.read.parquet(f"{base}/actions"), spark.read.parquet(f"{base}/registry")
     return actions.select("source_id", "value", "value_date", "action", F.lit(None).cast("int").alias("version")).unionByName(
         stored.select("source_id", "value", "value_date", F.lit("stored").alias("action"), "version"))
