@@ -101,6 +101,42 @@ def test_partitions_follow_the_rows(spark):
     assert testbed.pages_table(spark, SMALL, "lineitem", ("l_orderkey",), 500).rdd.getNumPartitions() == -(-spark.read.parquet(f"{SMALL}/lineitem.parquet").count() // 500)
 
 
+def test_observations_are_counted_by_a_hash_and_joined_before_text_is_made(spark, con, monkeypatch):
+    """The rows are not sorted to find the newest of a source, and a shuffle to the parts moves no text made of them."""
+    plans = []
+
+    def watched(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return session.staged(df, label)
+
+    monkeypatch.setattr(stats, "staged", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = queries()["per_source_observations"](spark, SMALL)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(plans) == 1 and "HashAggregate" in plans[0] and "SortAggregate" not in plans[0]
+    joined = plans[0].split("SortMergeJoin")[1]
+    assert "MACQUARIE" not in joined and "disclosure.example" not in joined
+    rel = con.sql(oracle_sql()["per_source_observations"])
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(rel.columns, rel.fetchall())
+
+
+def test_newest_row_of_a_source_by_date_then_stored_segment_then_place(spark, observe):
+    import datetime as dt
+
+    rows = observe(
+        {"source_id": "a", "value": .3, "obs_seq": 7, "segment": "commercial_property_investment", "reporting_basis": "x"},
+        {"source_id": "a", "value": .2, "obs_seq": 9, "reporting_basis": "y"}, {"source_id": "a", "value": .1, "obs_seq": 8, "reporting_basis": "z"},
+        {"source_id": "a", "value": .9, "obs_seq": -2**62, "as_of_date": dt.date(2024, 9, 30)},
+        {"source_id": "a", "value": .8, "obs_seq": 2**62, "as_of_date": dt.date(2024, 9, 30)}, {"source_id": "b", "value": None})
+    full = {r.source_id: (r.latest_value, r.reporting_basis, r.n_vintages, r.median_value) for r in reporting.per_source_observations(rows).collect()}
+    assert full == {"a": (.1, "z", 5, .3), "b": (None, "b", 1, None)}
+    bare = reporting.per_source_observations(rows, shown=())
+    assert "reporting_basis" not in bare.columns
+    assert {r.source_id: (r.latest_value, r.n_vintages, r.median_value) for r in bare.collect()} == {"a": (.1, 5, .3), "b": (None, 1, None)}
+
+
 def test_stream_entries_are_written_and_read_by_many_tasks(spark, con, monkeypatch, tmp_path):
     """Six days are one batch of many files, and the result is that of the one order of arrival."""
     from tidemark.plans import source_queries

@@ -54,3 +54,20 @@ def test_medians_of_money_and_of_single_values(spark):
     rows = [("money", round(rnd.lognormvariate(10, 3), 2)) for _ in range(2500)] + [("money", 1e12)] + [("same", 5.0)] * 700 + [("neg", -float(i * i)) for i in range(99)]
     got = {r.k: (r["median"], r.n) for r in stats.exact_median(spark.createDataFrame(rows, "k string, v double"), ["k"], "v").collect()}
     assert got == {k: (statistics.median([v for x, v in rows if x == k]), sum(x == k for x, _ in rows)) for k in ("money", "same", "neg")}
+
+
+def test_large_groups_are_cut_and_small_ones_ordered_whole_with_the_same_medians(spark, monkeypatch):
+    rnd = random.Random(11)
+    rows = [("hot", rnd.choice([None, round(rnd.random(), 3)])) for _ in range(2000)]
+    rows += [(f"k{i % 40}", rnd.choice([None, 0.5, rnd.random()])) for i in range(400)] + [("none", None)] * 3
+    counts = spark.createDataFrame(rows, "k string, v double").groupBy("k", "v").agg(F.count(F.lit(1)).alias("_c")).cache()
+    want = {k: [v for x, v in rows if x == k and v is not None] for k, _ in rows}
+    whole = stats.median_of_counts(counts, ["k"], "v")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in whole and "LeftSemi" in whole
+    for limit in (0, 100, 1_000_000):
+        monkeypatch.setattr(stats, "WHOLE", limit)
+        plain = {r.k: (r["median"], r.n, r["min"], r["max"]) for r in stats.median_of_counts(counts, ["k"], "v").collect()}
+        assert plain == {k: (statistics.median(v), len(v), min(v), max(v)) for k, v in want.items() if v}
+        rest = stats.median_of_counts(counts, ["k"], "v", also=[F.sum("_c").alias("all")]).collect()
+        assert {r.k: (r["median"], r["all"]) for r in rest} == {
+            k: (statistics.median(v) if v else None, sum(x == k for x, _ in rows)) for k, v in want.items()}

@@ -18,6 +18,10 @@ from tidemark.session import staged
 
 #: Stretches that the values of a group are cut into; their edges are quantiles of its own distinct values.
 EDGES = 64
+#: Distinct values up to which a group is ordered whole, in one task.
+WHOLE = 1_000_000
+#: Slots by hash of the keys, in which values are counted to find larger groups.
+SLOTS = 65536
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str, *carried: Column) -> DataFrame:
@@ -28,16 +32,59 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str, *carried: Colum
     return staged(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"), *carried), "counts")
 
 
-def median_of_counts(counts: DataFrame, keys: Sequence[str], value: str, out: str = "median", newest: str | None = None) -> DataFrame:
+def median_of_counts(counts: DataFrame, keys: Sequence[str], value: str, out: str = "median", newest: str | None = None,
+                     also: Sequence[Column] = ()) -> DataFrame:
     """Exact median of ``value`` per key group from a table of values with counts ``_c``: keys + [out, n, min, max].
 
-    A group is cut at quantiles of its distinct values, whatever their unit; totals of the pieces locate the
-    middle ranks, and only the pieces that hold these are ordered. ``newest`` names a column whose maximum is
-    carried along.
+    Groups are ordered whole, by one shuffle, but for those that share a hash slot of more than ``WHOLE`` values:
+    these are cut into pieces. No larger group escapes that, since its own values fill its slot. ``newest`` names
+    a column whose maximum is carried along. ``also`` are further aggregates, over null values too; with them a
+    group without any value stays, with a null median.
     """
     keys = list(keys)
     carried = [] if newest is None else [newest]
-    known = counts.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"), "_c", *carried)
+    rows = counts.withColumns({"_v": F.col(value), "_slot": F.pmod(F.xxhash64(*keys), F.lit(SLOTS)).cast("int")})
+    if not also:
+        rows = rows.where(F.col("_v").isNotNull())
+    full = F.broadcast(rows.groupBy("_slot").agg(F.count("_v").alias("_k")).where(F.col("_k") > WHOLE).select("_slot"))
+    whole = _median_of_whole(rows.join(full, "_slot", "left_anti"), keys, out, carried, also)
+    large = rows.join(full, "_slot", "left_semi")
+    pieces = _median_of_pieces(large.where(F.col("_v").isNotNull()).select(*keys, "_v", "_c", *carried), keys, out, carried)
+    if also:
+        pieces = large.groupBy(*keys).agg(*also).join(pieces, keys, "left")
+    return whole.unionByName(pieces)
+
+
+def _median_of_whole(rows: DataFrame, keys: list[str], out: str, carried: list[str], also: Sequence[Column]) -> DataFrame:
+    """Medians by running counts along the ordered values of each group; nulls come first and count nothing."""
+    by_key, counted = W.partitionBy(*keys), F.when(F.col("_v").isNotNull(), F.col("_c"))
+    ranked = rows.withColumns({
+        "_n": F.sum(counted).over(by_key), "_upto": F.sum(counted).over(by_key.orderBy("_v").rowsBetween(W.unboundedPreceding, 0))})
+    return _middle_values(ranked.withColumns(_middle_ranks()), keys, out, F.max("_n"), F.min("_v"), F.max("_v"), carried, also)
+
+
+def _middle_ranks() -> dict[str, Column]:
+    return {"_lo": F.floor((F.col("_n") + 1) / 2), "_hi": F.floor(F.col("_n") / 2) + 1}
+
+
+def _middle_values(ranked: DataFrame, keys: list[str], out: str, n: Column, least: Column, greatest: Column, carried: list[str],
+                   also: Sequence[Column] = ()) -> DataFrame:
+    """Mean of the values that hold the ranks ``_lo`` and ``_hi``; ``_upto`` counts the values up to a row's own."""
+    def covers(rank: str) -> Column:
+        return (F.col("_upto") >= F.col(rank)) & (F.col("_upto") - F.col("_c") < F.col(rank))
+
+    return ranked.groupBy(*keys).agg(
+        ((F.max(F.when(covers("_lo"), F.col("_v"))) + F.max(F.when(covers("_hi"), F.col("_v")))) / 2).alias(out),
+        n.alias("n"), least.alias("min"), greatest.alias("max"), *[F.max(c).alias(c) for c in carried], *also,
+    )
+
+
+def _median_of_pieces(known: DataFrame, keys: list[str], out: str, carried: list[str]) -> DataFrame:
+    """Medians of groups too large for one task.
+
+    A group is cut at quantiles of its distinct values, whatever their unit; totals of the pieces locate the
+    middle ranks, and only the pieces that hold these are ordered.
+    """
     edges = known.groupBy(*keys).agg(F.percentile_approx("_v", [i / EDGES for i in range(1, EDGES)], 2000).alias("_edges"))
     binned = known.join(edges, keys).withColumn("_b", F.size(F.filter("_edges", lambda e: e < F.col("_v")))).drop("_edges")
     by_key = W.partitionBy(*keys)
@@ -49,19 +96,13 @@ def median_of_counts(counts: DataFrame, keys: Sequence[str], value: str, out: st
             "_n": F.sum("_bc").over(by_key), "_min": F.min("_min").over(by_key), "_max": F.max("_max").over(by_key),
             **{c: F.max(c).over(by_key) for c in carried},
             "_before": F.sum("_bc").over(by_key.orderBy("_b").rowsBetween(W.unboundedPreceding, 0)) - F.col("_bc")})
-        .withColumn("_lo", F.floor((F.col("_n") + 1) / 2))
-        .withColumn("_hi", F.floor(F.col("_n") / 2) + 1)
+        .withColumns(_middle_ranks())
         .where((F.col("_before") < F.col("_hi")) & (F.col("_before") + F.col("_bc") >= F.col("_lo")))
         .select(*keys, "_b", "_n", "_min", "_max", "_before", "_lo", "_hi", *carried)
     )
     upto = F.sum("_c").over(W.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)) + F.col("_before")
     ranked = binned.drop(*carried).join(middle, [*keys, "_b"]).withColumn("_upto", upto)
-    covers_lo = (F.col("_upto") >= F.col("_lo")) & (F.col("_upto") - F.col("_c") < F.col("_lo"))
-    covers_hi = (F.col("_upto") >= F.col("_hi")) & (F.col("_upto") - F.col("_c") < F.col("_hi"))
-    return ranked.groupBy(*keys).agg(
-        ((F.max(F.when(covers_lo, F.col("_v"))) + F.max(F.when(covers_hi, F.col("_v")))) / 2).alias(out),
-        F.max("_n").alias("n"), F.max("_min").alias("min"), F.max("_max").alias("max"), *[F.max(c).alias(c) for c in carried],
-    )
+    return _middle_values(ranked, keys, out, F.max("_n"), F.max("_min"), F.max("_max"), carried)
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",

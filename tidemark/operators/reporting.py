@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from tidemark import fixed_values as V
@@ -19,17 +22,37 @@ def _newest() -> Column:
     return F.struct(-F.unix_date("as_of_date"), F.col("stored_segment"), F.col("obs_seq"))
 
 
-def per_source_observations(observations: DataFrame) -> DataFrame:
-    """Latest value, vintage median and count per (parameter, segment, source)."""
-    keys = ["parameter", "segment", "source_id"]
-    shown = ("source_type", "reporting_basis", "methodology_note", "page_or_table_ref", "source_url")
-    counts = value_counts(read_side(observations), keys, "value", F.min(_newest()).alias("at"), F.min_by(F.struct(*shown), _newest()).alias("row"),
-                          F.max("as_of_date").alias("latest_as_of"))
-    latest = counts.groupBy(*keys).agg(
-        F.min_by(F.struct(F.col("value").alias("latest_value"), "row"), "at").alias("l"), F.max("latest_as_of").alias("latest_as_of"),
-        F.sum("_c").alias("n_vintages")).select(*keys, "l.latest_value", "l.row.*", "latest_as_of", "n_vintages")
-    medians = median_of_counts(counts, keys, "value", "median_value").select(*keys, "median_value")
-    return latest.join(medians, keys, "left").withColumn(
+def _newest_seq() -> Column:
+    """The newest date and in it the lowest ``obs_seq`` as one number, which a hash aggregate can keep the least of.
+
+    A step of 2e19 a day is wider than all that a long can hold. A missing date is the oldest.
+    """
+    day = F.coalesce(F.unix_date("as_of_date"), F.lit(-2**31)).cast("decimal(10,0)")
+    seq = F.coalesce(F.col("obs_seq"), F.lit(-2**63)).cast("decimal(19,0)")
+    return seq - day * F.lit(Decimal(2 * 10**19))
+
+
+#: What a source's newest row is shown with.
+SHOWN = ("reporting_basis", "methodology_note", "page_or_table_ref", "source_url")
+
+
+def per_source_observations(observations: DataFrame, shown: Sequence[str] = SHOWN) -> DataFrame:
+    """Latest value, vintage median and count per (parameter, segment, source).
+
+    ``shown`` names the columns of the newest row that are carried along. Without any, the rows are counted
+    by a hash aggregate over numbers only, which sorts nothing.
+    """
+    keys = ["source_id", "segment", "parameter"]  # the most telling first, which decides most comparisons of a sort
+    row = [F.min_by(F.struct(*shown), "_at").alias("row")] if shown else []
+    counts = value_counts(read_side(observations).withColumn("_at", _newest_seq()), [*keys, "stored_segment", "source_type"], "value",
+                          F.min("_at").alias("at"), F.max("as_of_date").alias("as_of"), *row)
+    newest = F.struct(F.col("as_of").isNull(), -F.unix_date("as_of"), F.col("stored_segment"), F.col("at"))
+    latest = F.min_by(F.struct(F.col("value").alias("latest_value"), "source_type", *(["row"] if shown else [])), newest)
+    out = median_of_counts(counts, keys, "value", "median_value", also=(
+        latest.alias("l"), F.max("as_of").alias("latest_as_of"), F.sum("_c").alias("n_vintages")))
+    out = out.select("parameter", "segment", "source_id", "l.latest_value", "l.source_type", *[f"l.row.{c}" for c in shown],
+                     "latest_as_of", "n_vintages", "median_value")
+    return out.withColumn(
         "cohort", L.cohort_for(F.col("source_type"), F.col("source_id"))).withColumns({
             "friendly_name": L.friendly_name(F.col("source_id")), "cohort_label": L.cohort_label(F.col("cohort")),
             "cohort_rank": L.rank_in(F.col("cohort"), V.COHORT_ORDER),

@@ -31,7 +31,7 @@ RANKS = f"""CAST(list_position({list(V.COHORT_ORDER)!r}, cohort) - 1 AS INT) AS
 @query("per_source_observations", O.with_(*OBS3, PER_SOURCE, body=f"""
 SELECT parameter, segment, source_id, source_type, cohort, {O.case('cohort', V.COHORT_LABELS)} AS cohort_label, latest_value, latest_as_of, n_vintages, median_value, {RANKS} FROM ps"""))
 def per_source_observations(spark, sf):
-    return reporting.per_source_observations(_obs(spark, sf)).select(
+    return reporting.per_source_observations(_obs(spark, sf), shown=()).select(
         "parameter", "segment", "source_id", "source_type", "cohort", "cohort_label", "latest_value", "latest_as_of", "n_vintages",
         F.round("median_value", 8).alias("median_value"), "cohort_rank", "parameter_rank")
 
@@ -40,7 +40,7 @@ def per_source_observations(spark, sf):
 SELECT parameter, segment, cohort, {O.case('cohort', V.COHORT_LABELS)} AS cohort_label, round(median(latest_value), 8) AS median, count(*) AS n
 FROM ps WHERE latest_value IS NOT NULL GROUP BY ALL"""))
 def cohort_medians(spark, sf):
-    return reporting.cohort_medians(reporting.per_source_observations(_obs(spark, sf))).withColumn("median", F.round("median", 8))
+    return reporting.cohort_medians(reporting.per_source_observations(_obs(spark, sf), shown=())).withColumn("median", F.round("median", 8))
 
 
 @query("segments_missing_metric", O.with_(O.OBS, O.READ, body=f"""
