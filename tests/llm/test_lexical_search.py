@@ -3,9 +3,11 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from tidemark.llm import lexical_search as L
@@ -105,3 +107,29 @@ def test_blocks_are_rejected_before_they_are_unpacked():
     shard.opened.clear(), shard.whole.clear()
     found, _ = shard.best(np.array([1, 2]), np.array([6_000, 10]), 10, top + 1)
     assert not len(found) and not [b for b in shard.opened if b >= shard.first_block[1]]
+
+
+def test_packing_holds_few_bytes_a_posting_and_unpacks_to_them():
+    rng = np.random.default_rng(5)
+    pairs = np.unique(rng.integers(0, 4_000, 700_000) * (1 << 40) + rng.integers(0, 50_000, 700_000))
+    docs, terms = (pairs >> 40).astype(np.int32), (pairs & ((1 << 40) - 1)).astype(np.uint64)
+    tfs, sizes = rng.integers(1, 70_000, len(pairs)).astype(np.int32), rng.integers(1, 900, 4_000)
+    tracemalloc.start()
+    made = L.pack(terms, docs, tfs, sizes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * len(pairs)
+    shard = L.Shard(made, 4_000, 1_000_000)
+    order = np.argsort(terms, kind="stable")
+    heads = np.r_[0, np.cumsum(made["counts"])]
+    for place in range(0, len(made["terms"]), 999):
+        held, values = shard.unpack_all(place)
+        own = order[heads[place]:heads[place + 1]]
+        assert np.array_equal(held, docs[own]) and np.array_equal(values, L.impacts(tfs[own].astype(np.int64), sizes[docs[own]], 4_000, 1_000_000))
+
+
+def test_row_groups_of_the_written_index_hold_few_shards(spark):
+    long = spark.range(0, 40, 1, 1).selectExpr("id", "repeat(sha2(string(id), 256), 4000) AS payload")
+    held = staged(long, "index", **{**L._SHARD_GROUPS, "parquet.block.size": "300000"})
+    assert held.count() == 40
+    assert sum(pq.ParquetFile(f.removeprefix("file:")).metadata.num_row_groups for f in held.inputFiles()) > 10

@@ -46,6 +46,8 @@ from tidemark.session import staged
 
 TOP = 50
 BLOCK = 128
+#: Blocks whose bytes are placed in the payload at one time.
+PACK_BLOCKS = 2_048
 #: A shard ends at this many documents or postings, whichever comes first.
 SHARD_DOCS, SHARD_POSTINGS = 16_384, 2_000_000
 #: Terms of the queries that are searched in one pass over the index, 16 bytes each in every task.
@@ -53,6 +55,9 @@ QUERY_TERMS = 1_000_000
 #: Parts that each query's heaps are first merged in.
 PARTS = 64
 
+#: A shard is megabytes long, so a row group of the written index is closed after few of them, as the reader holds a whole one.
+_SHARD_GROUPS = {"parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "1"}
+
 _SHARD = [("doc_ids", None), ("sizes", "array<bigint>"), ("terms", "array<bigint>"), ("counts", "array<int>"), ("first", "array<int>"), ("last", "array<int>"),
           ("at", "array<int>"), ("doc_width", "array<tinyint>"), ("tf_width", "array<tinyint>"), ("top_tf", "array<bigint>"), ("low_size", "array<bigint>"),
           ("payload", "binary")]
@@ -76,29 +81,50 @@ def _width(top: np.ndarray) -> np.ndarray:
 
 
 def pack(terms: np.ndarray, docs: np.ndarray, tfs: np.ndarray, sizes: np.ndarray) -> dict[str, np.ndarray]:
-    """A shard's lists, from its postings in order of documents."""
+    """A shard's lists, from its postings in order of documents.
+
+    Numbers of postings and documents take 32 bits, and the bytes of the payload are placed some blocks at a time.
+    """
     order = np.argsort(terms, kind="stable")
     terms, docs, tfs = terms[order], docs[order], tfs[order]
+    del order
     heads = np.flatnonzero(np.r_[True, terms[1:] != terms[:-1]]) if len(terms) else np.zeros(0, np.int64)
     counts = np.diff(np.r_[heads, len(terms)])
-    index = np.arange(len(terms))
-    opens = (index - np.repeat(heads, counts)) % BLOCK == 0
-    begin = np.flatnonzero(opens)
-    length = np.diff(np.r_[begin, len(terms)])
-    block = np.cumsum(opens) - 1
-    steps = np.where(opens, 0, np.diff(docs, prepend=0))
+    names = terms[heads].view(np.int64)
+    total = len(terms)
+    del terms
+    # a list's blocks begin at every BLOCK-th posting from its head
+    blocks = -(-counts // BLOCK)
+    own = np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    begin = np.repeat(heads, blocks) + own * BLOCK
+    length = np.diff(np.r_[begin, total])
+    steps = np.diff(docs, prepend=docs[:1])
+    steps[begin] = 0
     top_tf = np.maximum.reduceat(tfs, begin) if len(begin) else tfs
     widths = {"doc_width": _width(np.maximum.reduceat(steps, begin) if len(begin) else steps), "tf_width": _width(top_tf)}
     at = np.r_[0, np.cumsum(length * (widths["doc_width"].astype(np.int64) + widths["tf_width"]))]
     payload = np.zeros(at[-1], np.uint8)
-    inside = index - begin[block] if len(begin) else index
-    for name, values, ahead in (("doc_width", steps, 0), ("tf_width", tfs, length * widths["doc_width"])):
-        for width in (1, 2, 4):
-            own = np.flatnonzero(widths[name][block] == width)
-            where = (at[block[own]] + (ahead[block[own]] if name == "tf_width" else 0) + inside[own] * width)[:, None] + np.arange(width)
-            payload[where] = values[own].astype(f"<u{width}").view(np.uint8).reshape(-1, width)
-    return {"sizes": sizes, "terms": terms[heads].view(np.int64), "counts": counts, "first": docs[begin], "last": docs[begin + length - 1], "at": at[:-1],
-            **widths, "top_tf": top_tf, "low_size": np.minimum.reduceat(sizes[docs], begin) if len(begin) else sizes[:0], "payload": payload}
+    for low in range(0, len(begin), PACK_BLOCKS):
+        some = slice(low, low + PACK_BLOCKS)
+        first, n = begin[low], length[some]
+        block = np.repeat(np.arange(len(n)), n)
+        inside = np.arange(len(block)) - (begin[some] - first)[block]
+        for name, values, ahead in (("doc_width", steps, 0), ("tf_width", tfs, n * widths["doc_width"][some])):
+            wide = widths[name][some][block]
+            start = (at[:-1][some] + ahead)[block] + inside * wide
+            for width in (1, 2, 4):
+                own = np.flatnonzero(wide == width)
+                payload[start[own, None] + np.arange(width)] = values[first + own].astype(f"<u{width}").view(np.uint8).reshape(-1, width)
+    low_size = np.minimum.reduceat(sizes[docs], begin) if len(begin) else sizes[:0]
+    return {"sizes": sizes, "terms": names, "counts": counts, "first": docs[begin], "last": docs[begin + length - 1], "at": at[:-1],
+            **widths, "top_tf": top_tf.astype(np.int64), "low_size": low_size, "payload": payload}
+
+
+def _joined(arrays: list[np.ndarray]) -> np.ndarray:
+    """The arrays as one; the list gives them up."""
+    whole = np.concatenate(arrays)
+    arrays.clear()
+    return whole
 
 
 def build_index(documents: DataFrame, shard_docs: int = SHARD_DOCS, shard_postings: int = SHARD_POSTINGS) -> DataFrame:
@@ -107,9 +133,8 @@ def build_index(documents: DataFrame, shard_docs: int = SHARD_DOCS, shard_postin
     id_type = T.ArrayType(texts.schema["doc_id"].dataType)
     schema = T.StructType([T.StructField(n, id_type if t is None else T._parse_datatype_string(t)) for n, t in _SHARD])
 
-    def shard(ids: list, parts: list[tuple], sizes: list) -> pa.RecordBatch:
-        docs, terms, tfs = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        made = pack(terms, docs, tfs, np.concatenate(sizes).astype(np.int64))
+    def shard(ids: list, parts: tuple[list, ...], sizes: list) -> pa.RecordBatch:
+        made = pack(*map(_joined, parts), np.concatenate(sizes).astype(np.int64))
         columns = [pa.concat_arrays(ids) if name == "doc_ids" else made[name] for name, _ in _SHARD]
         kinds = {"counts": np.int32, "first": np.int32, "last": np.int32, "at": np.int32}
         rows = [pa.array([c.tobytes()], pa.binary()) if name == "payload" else
@@ -118,20 +143,21 @@ def build_index(documents: DataFrame, shard_docs: int = SHARD_DOCS, shard_postin
         return pa.RecordBatch.from_arrays(rows, [n for n, _ in _SHARD])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, parts, sizes, n_docs, n_postings = [], [], [], 0, 0
+        ids, parts, sizes, n_docs, n_postings = [], ([], [], []), [], 0, 0
         for batch in batches:
-            for p in B.pieces(batch.column("text")):
+            for p in B.pieces(batch.column("text"), B.SMALL_PIECE):
                 rows, terms, tfs, n = term_counts(p)
                 some = n > 0
                 place = np.cumsum(some) - 1
                 if some.any():
                     ids.append(batch.column("doc_id").slice(p.first, p.last - p.first).filter(pa.array(some)))
-                    parts.append((place[rows] + n_docs, terms, tfs))
+                    for held, column in zip(parts, (terms, (place[rows] + n_docs).astype(np.int32), tfs.astype(np.int32))):
+                        held.append(column)
                     sizes.append(n[some])
                     n_docs, n_postings = n_docs + int(some.sum()), n_postings + len(rows)
                 if n_docs >= shard_docs or n_postings >= shard_postings:
                     yield shard(ids, parts, sizes)
-                    ids, parts, sizes, n_docs, n_postings = [], [], [], 0, 0
+                    ids, parts, sizes, n_docs, n_postings = [], ([], [], []), [], 0, 0
         if n_docs:
             yield shard(ids, parts, sizes)
 
@@ -315,7 +341,7 @@ def search(index: DataFrame, items: DataFrame, k: int = TOP, query_block: int =
 
 def rank_documents(documents: DataFrame, items: DataFrame, k: int = TOP) -> DataFrame:
     """The k best documents of each item."""
-    return search(staged(build_index(documents), "index"), items, k)
+    return search(staged(build_index(documents), "index", **_SHARD_GROUPS), items, k)
 
 
 ORACLE_SQL = r"""
