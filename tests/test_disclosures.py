@@ -102,3 +102,25 @@ def test_plain_text_is_the_same_as_a_character_map(spark):
     table = str.maketrans(dict.fromkeys(X._SPACES, " ") | dict.fromkeys(X._BREAKS, "\n") | dict.fromkeys(X._NOTHING, ""))
     got = spark.createDataFrame([(t,) for t in texts], "text string").select("text", X.plain_text(F.col("text")).alias("plain")).collect()
     assert [r.plain for r in got] == [t and t.translate(table) for t in texts]
+
+
+# --- how often a page is looked at: the same rows from fewer and cheaper looks ---------------
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_text_is_made_plain_by_one_map(pages):
+    from tidemark.functions import text as X
+
+    plan = plan_of(pages("a b").select(X.plain_text(F.col("text")).alias("t")))
+    assert "regexp_replace" not in plan and plan.count("translate(") == 1
+
+
+def test_control_characters_between_plain_ones_are_found(spark):
+    from tidemark.functions import text as X
+
+    texts = [f"a{chr(c)}b" for c in range(128)] + ["é", "a "]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "text string").select(X.plain_text(F.col("text"))).collect()]
+    assert got == [t.translate(str.maketrans(dict.fromkeys(X._SPACES, " ") | dict.fromkeys(X._NOTHING, ""))) for t in texts]

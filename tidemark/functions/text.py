@@ -25,9 +25,17 @@ def words(phrase: str) -> str:
     return r"\s+".join(re.escape(w) for w in phrase.split())
 
 
+def led(pattern: str, *phrases: str) -> str:
+    """``pattern``, tried only where one of the first letters of ``phrases`` stands, which each of its matches begins with.
+
+    One look at a character is cheaper than an alternation that fails branch by branch.
+    """
+    return "(?=[" + "".join(re.escape(c) for c in sorted({p[0] for p in phrases})) + f"]){pattern}"
+
+
 def any_of(*phrases: str) -> str:
     """Pattern of one of several phrases, longest first."""
-    return "(?:" + "|".join(words(p) for p in sorted(phrases, key=len, reverse=True)) + ")"
+    return "(?:" + led("(?:" + "|".join(words(p) for p in sorted(phrases, key=len, reverse=True)) + ")", *phrases) + ")"
 
 
 # --- white space -------------------------------------------------------------------------------
@@ -37,26 +45,19 @@ _BREAKS = "\u0085\u2028\u2029"
 _NOTHING = "".join(map(chr, range(1, 9))) + "\u000e\u000f\u200b\u2060\ufeff"
 
 
-def _char_class(chars: str) -> str:
-    """Character class in runs of neighbours: a class of single characters tries each of them on every letter."""
-    runs: list[list[int]] = []
-    for c in sorted(map(ord, chars)):
-        if runs and runs[-1][1] == c - 1:
-            runs[-1][1] = c
-        else:
-            runs.append([c, c])
-    return "[" + "".join(rf"\u{low:04x}-\u{high:04x}" for low, high in runs) + "]"
+#: ASCII but for its printable characters and the line feed. Each is named by itself: a class of single characters below
+#: 256 is one table, a range is a test of its own on every letter.
+_CONTROLS = "[" + "".join(rf"\x{c:02x}" for c in (*range(10), *range(11, 32), 127)) + "]"
 
 
 def plain_text(text: Column) -> Column:
     """Published text with one kind of space and of line end, and without control and zero-width characters.
 
-    Text of printable ASCII and line feeds, which one cheap scan tells, is that already.
+    Text of printable ASCII and line feeds, which cheap scans tell, is that already; other text goes through one
+    map of characters.
     """
-    plain = text
-    for odd, mark in ((_SPACES, " "), (_BREAKS, "\n"), (_NOTHING, "")):
-        plain = F.regexp_replace(plain, _char_class(odd), mark)
-    return F.when(text.rlike(r"[^\n -~]"), plain).otherwise(text)
+    plain = F.translate(text, _SPACES + _BREAKS + _NOTHING, " " * len(_SPACES) + "\n" * len(_BREAKS))
+    return F.when((F.length(text) != F.octet_length(text)) | text.rlike(_CONTROLS), plain).otherwise(text)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -160,7 +161,7 @@ def date_of(year: Column, month: Column, day: Column) -> Column:
     y = F.when(F.length(year) == 2, F.concat(F.lit("20"), year)).otherwise(year)
     text = F.concat_ws("-", y, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
     parts = (F.length(y) == 4) & month.isNotNull() & (F.length(day) > 0)
-    return F.when(parts, F.try_to_date(text, "yyyy-MM-dd"))
+    return F.when(parts, text.try_cast("date"))
 
 
 def quarter_end_of(date: Column) -> Column:
@@ -276,7 +277,7 @@ def half_year_end(text: Column, default: Column) -> Column:
 
 def annual_period_end(text: Column, default: Column) -> Column:
     """Annual-report date: a stated day, else the June end of "FY25"."""
-    stated = _stated(text, r"(?i)(?:as\s+at|year\s+ended|period\s+ended|reporting\s+date)" + _DMY)
+    stated = _stated(text, "(?i)" + any_of("as at", "year ended", "period ended", "reporting date") + _DMY)
     fy = r"(?i)\bFY\s*(\d{2,4})\b"
 
     def june(m: Column) -> Column:

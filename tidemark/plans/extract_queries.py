@@ -45,7 +45,7 @@ def cr6_rows(spark, sf):
 @query("cr6_rows_dirty", CR6_ROWS)
 def cr6_rows_dirty(spark, sf):
     """The same pages with non-breaking spaces, form feeds, zero-width and control characters give the same rows."""
-    dirt = F.concat(F.lit("\u0001\ufeff"), F.regexp_replace(F.regexp_replace("text", " ", "\u00a0"), "\n", "\u0002\f\n\u200b"))
+    dirt = F.concat(F.lit("\u0001\ufeff"), F.replace(F.replace("text", F.lit(" "), F.lit("\u00a0")), F.lit("\n"), F.lit("\u0002\f\n\u200b")))
     return _r8(bands.band_rows(P.band_pages(spark, sf).withColumn("text", dirt))).drop("page_no")
 
 
