@@ -124,3 +124,19 @@ def test_control_characters_between_plain_ones_are_found(spark):
     texts = [f"a{chr(c)}b" for c in range(128)] + ["é", "a "]
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "text string").select(X.plain_text(F.col("text"))).collect()]
     assert got == [t.translate(str.maketrans(dict.fromkeys(X._SPACES, " ") | dict.fromkeys(X._NOTHING, ""))) for t in texts]
+
+
+def test_pages_that_all_decide_are_not_joined(spark):
+    band = "Table 7: CR6 - IRB\n{}\nCorporate\n0.00 to <0.15 10 1 50 % 5 0.10 % 3 40.00 % 9"
+    texts = [("m", 1, band.format("30 September 2025")), ("m", 2, band.format("31 March 2025")), ("m", 3, "no table")]
+    rows = bands.split_percent_rows(spark.createDataFrame(texts, "doc_id string, page_no int, text string"), "30 September 2025")
+    assert "Join" not in plan_of(rows)
+    assert {(r.page_no, r.metric_name) for r in rows.collect()} == {(1, "pd"), (1, "lgd")}
+
+
+def test_undecided_page_follows_the_page_before(spark):
+    head, line = "Table 7: CR6 - IRB\n{}\nCorporate", "\n0.00 to <0.15 10 1 50 % 5 0.10 % 3 40.00 % 9"
+    texts = [("a", 1, head.format("30 September 2025")), ("a", 2, "Corporate" + line), ("b", 1, head.format("31 March 2025")), ("b", 2, "Corporate" + line),
+             ("c", 1, "Corporate" + line), ("d", 1, None), ("a", 1500, "Corporate" + line + " on 30 September 2025"), (None, 1, "Corporate" + line)]
+    rows = bands.split_percent_rows(spark.createDataFrame(texts, "doc_id string, page_no int, text string"), "30 September 2025")
+    assert sorted({(r.doc_id, r.page_no) for r in rows.collect()}) == [("a", 2), ("a", 1500)]

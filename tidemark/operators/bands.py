@@ -14,16 +14,17 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tidemark import fixed_values as V
 from tidemark.functions import text as X
 from tidemark.operators import checks
+from tidemark.session import staged
 
-BAND = r"(\d+\.\d+ to <\d+\.\d+|100\.00 \(Default\))\s+(.*)$"
-MACQUARIE_BAND = r"(\d+\.\d+ to <\d+\.\d+|100\.00 \(Non-Performing\))\s+(.*)$"
-LOOSE_BAND = r"(\d+\.\d+\s*to\s*<\s*\d+\.\d+|100\.00\s*\(Default\))\s+(.*)$"
+BAND = r"(?=\d)(\d+\.\d+ to <\d+\.\d+|100\.00 \(Default\))\s+(.*)$"
+MACQUARIE_BAND = r"(?=\d)(\d+\.\d+ to <\d+\.\d+|100\.00 \(Non-Performing\))\s+(.*)$"
+LOOSE_BAND = r"(?=\d)(\d+\.\d+\s*to\s*<\s*\d+\.\d+|100\.00\s*\(Default\))\s+(.*)$"
 TABLE_HEADER = r"(?mi)^\s*CR6\s*:\s*IRB"
 NEXT_TABLE = r"(?smi)^\s*CR(?:7|8|9|10)\s*:.*"
 MACQUARIE_HEADER = r"(?i)Table\s+7\s*:\s*CR6\s*-\s*IRB"
-MACQUARIE_DATE = r"(?i)\b((?:30|31)\s+(?:March|September)\s+\d{4})\b"
+MACQUARIE_DATE = r"(?i)(?=3)\b((?:30|31)\s+(?:March|September)\s+\d{4})\b"
 # a line of the table, its default band perhaps broken in two
-ANY_BAND = r"\d+\.\d+ to <\d+\.\d+|100\.00 \(Non-"
+ANY_BAND = r"(?=\d)(?:\d+\.\d+ to <\d+\.\d+|100\.00 \(Non-)"
 NON_PERFORMING = "100.00 (Non-Performing)"
 
 _CUT, _END = "\u0001", "\u0002"
@@ -158,20 +159,22 @@ def target_pages(pages: DataFrame, target: str) -> DataFrame:
 
     A header page decides by its dates; a later page of another date ends the
     run; other pages follow the page before. Pages that decide for themselves are
-    read where they are. Only for documents with a band line on an undecided page is
-    (document, page, state) sorted, sliced by page number so one huge document is
-    not one sort; the text of such pages joins what is kept.
+    read where they are. The undecided pages with a band line are written first, which is
+    one cheap pass over the pages; only where there are some, (document, page, state) of
+    their documents is sorted, sliced by page number so one huge document is not one
+    sort, and their text joins what is kept.
     """
     pages = X.once(pages, text=X.plain_text(F.col("text")))
     dates = F.regexp_extract_all("text", F.lit(MACQUARIE_DATE), F.lit(1))
     hit = F.exists(dates, lambda d: F.lower(F.regexp_replace(d, r"\s+", " ")) == target.lower())
-    state = F.when(F.col("text").rlike(MACQUARIE_HEADER), hit).when((F.size(dates) > 0) & ~hit, F.lit(False))
-    stated = X.once(pages, _state=state)
+    header, other = F.col("text").rlike(MACQUARIE_HEADER), (F.size(dates) > 0) & ~hit
     banded = F.col("text").rlike(ANY_BAND)
-    own = stated.where(F.col("_state") & banded).drop("_state")
-    open_ = stated.where(F.col("_state").isNull() & banded).drop("_state")
-    marked = stated.select("doc_id", "page_no", "_state", F.floor(F.col("page_no") / 1000).alias("_slice")).join(
-        open_.select("doc_id").distinct(), "doc_id", "left_semi")
+    own = pages.where(F.when(header, banded & hit))
+    open_ = staged(pages.where(F.when(header, F.lit(False)).otherwise(banded & ~F.coalesce(other, F.lit(False)))), "open-pages")
+    if open_.isEmpty():
+        return own
+    marked = X.once(pages, _state=F.when(header, hit).when(other, F.lit(False))).select(
+        "doc_id", "page_no", "_state", F.floor(F.col("page_no") / 1000).alias("_slice")).join(open_.select("doc_id").distinct(), "doc_id", "left_semi")
     local = W.partitionBy("doc_id", "_slice").orderBy("page_no").rowsBetween(W.unboundedPreceding, 0)
     lasts = marked.groupBy("doc_id", "_slice").agg(
         F.max_by("_state", F.when(F.col("_state").isNotNull(), F.col("page_no"))).alias("_end"))
