@@ -135,3 +135,29 @@ def test_page_without_a_date_is_quarantined(pages):
 def test_labels_with_any_kind_of_space(spark):
     rows = spark.createDataFrame([("wbc", " Property services "), ("wbc", "Property  services")], "bank_code string, industry_published string")
     assert {r[0] for r in rows.select(industry.label_norm(F.col("industry_published"))).collect()} == {"property services"}
+
+
+def test_figures_of_a_line_are_sought_once(pages):
+    rows = T.table_rows(pages("Sep 25\n9 Manufacturing 1 2 3 4 5 6 7 (8)"), T.LAYOUTS["anz"])
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(T._peel(8)) == 1
+    assert sorted(r.value_aud_m for r in rows.collect()) == [2, 3, 4, 5, 8]
+
+
+def test_figures_begin_behind_letters_spaces_and_footnotes(pages):
+    text = "As at 30 June 25\nUtilities(3)1 2 - 4 1,000\nManufacturing(1,5) 5 6 7 8\nConstruction 10 20 30 40 50 60\nTotal 1 1 1 1 1"
+    rows = T.table_rows(pages(text), T.LAYOUTS["nab"], strict=False).where("metric = 'exposure_aud_m'").select("industry_published", "error", "value_aud_m").collect()
+    assert len(rows) == 3
+    assert {(r.industry_published, r.error, r.value_aud_m) for r in rows} == {
+        ("Utilities", None, 1), ("Manufacturing", None, 15), (None, "unmatched label: Construction 10", 20)}
+
+
+def test_figure_of_an_order_is_made_once_for_all_its_pages(spark, tmp_path):
+    from tidemark.sources import testbed_pages as P
+
+    spark.createDataFrame([(7, D(2005, 3, 9), 1234.5), (8, None, None)], "o_orderkey long, o_orderdate date, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    made = P.industry_pages(spark, str(tmp_path))
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("format_number(") == 1
+    text = {(r.doc_id, r.layout): r.text for r in made.collect()}
+    assert len(text) == 10 and text["7", "nab"].split("\n")[1:4] == ["As at 9 Mar 25", "Industry sector $m 1 2 3 4 5", "Manufacturing 1,235 5 6 7 (1,235)"]
+    assert "As at" not in text["8", "nab"]

@@ -6,6 +6,7 @@ halves are cut out of the page text. Everything stays inside the page's row.
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -18,6 +19,8 @@ from tidemark.operators.bands import plain_lines
 from tidemark.session import staged
 
 NUMBER = r"(?:\(\d[\d,]*\)|\d[\d,]*|[-–—])"
+#: Where a letter or a space stands no figure begins. Each is named by itself: such a class is one table, while the figure's own signs are several tests.
+_NO_FIGURE = "(?![" + string.ascii_letters + " ])"
 _CUT = "\u0001"
 
 # --- fixed values: published table layouts ------------------------------------------------
@@ -82,7 +85,7 @@ LAYOUTS = {
 
 
 def _peel(n: int) -> str:
-    return rf"^(.*?)\s*(?<![\d,])({NUMBER}(?:\s+{NUMBER}){{{n - 1}}})$"
+    return rf"^(.*?)\s*{_NO_FIGURE}(?<![\d,])({NUMBER}(?:\s+{NUMBER}){{{n - 1}}})$"
 
 
 def _known(bank: str, label: Column) -> Column:
@@ -122,16 +125,17 @@ def _sections(layout: TableLayout) -> Column:
 
 
 def _cut_line(layout: TableLayout) -> Column:
-    """(label, tokens): the figures at the right edge of a line, and the label before them."""
+    """A line with a mark between its label and the figures at its right edge; one that is no row has no mark."""
     line = F.col("line")
     if layout.row_index:
         line = F.when(line.rlike(r"^\d{1,2}\s+"), F.regexp_replace(line, r"^\d{1,2}\s+", ""))
-    pattern = _peel(layout.tokens)
-    label = F.regexp_extract(line, pattern, 1)
-    if layout.footnotes:
-        label = F.regexp_replace(label, r"\(\d+\)\s*$", "")
-    tokens = F.split(F.regexp_extract(line, pattern, 2), r"\s+")
-    return F.struct(F.trim(label).alias("label"), F.when(F.size(tokens) == layout.tokens, tokens).alias("tokens"))
+    return F.regexp_replace(line, _peel(layout.tokens), f"$1{_CUT}$2")
+
+
+def _label(layout: TableLayout) -> Column:
+    """The label of a cut line."""
+    label = F.substring_index("_cut", _CUT, 1)
+    return F.trim(F.regexp_replace(label, r"\(\d+\)\s*$", "") if layout.footnotes else label)
 
 
 def dispatched_rows(pages: DataFrame, layouts: dict[str, TableLayout] | None = None, *, strict: bool = True, period_months: Column | None = None) -> DataFrame:
@@ -149,10 +153,12 @@ def dispatched_rows(pages: DataFrame, layouts: dict[str, TableLayout] | None = N
     parts = dated.select(*keys, "layout", "as_of_date", F.inline(_by_layout(layouts, _sections)))
     lines = parts.select(*keys, "layout", "as_of_date", "geography", F.explode(plain_lines(F.col("body"))).alias("line"))
     # the right edge must hold figures before the full pattern is tried
-    likely = lines.where(F.col("line").rlike(r"[\d)–—-]$"))
-    rows = likely.select(*keys, "layout", "as_of_date", "geography", F.inline(F.array(_by_layout(layouts, _cut_line)))).where(F.col("tokens").isNotNull())
+    likely = lines.where(F.right("line", F.lit(1)).rlike(r"[\d)–—-]"))
+    cut = X.once(likely, _cut=_by_layout(layouts, _cut_line)).where(F.col("_cut").contains(_CUT))
+    rows = X.once(cut, label=_by_layout(layouts, _label), tokens=F.split(F.substring_index("_cut", _CUT, -1), r"\s+")).drop("line", "_cut")
     # column headings that end in figures are not rows of the table
-    rows = rows.where(F.col("label").rlike("[A-Za-z]") & ~F.lower("label").rlike(r"\$m|industry sector")).withColumns(
+    heading = F.lower("label").contains("$m") | F.lower("label").contains("industry sector")
+    rows = rows.where(F.col("label").rlike("[A-Za-z]") & ~heading).withColumns(
         {"bank_code": fact(lambda x: x.bank), "source_table_ref": fact(lambda x: x.table_ref)})
     known = _by_layout(layouts, lambda x: _known(x.bank, F.col("label")))
     miss = F.raise_error(F.concat(F.col("bank_code"), F.lit(" "), F.col("source_table_ref"), F.lit(": unmatched industry label "), F.col("label"))).cast("string")

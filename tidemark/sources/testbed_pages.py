@@ -125,8 +125,10 @@ def note_pages(spark: SparkSession, sf: str, *keep: str) -> DataFrame:
 def industry_pages(spark: SparkSession, sf: str) -> DataFrame:
     """The published industry tables of every order, each page with its ``layout``; the orders are read once."""
     d = F.add_months(F.col("o_orderdate").cast("date"), 240)
-    long = F.date_format(d, "d MMMM yyyy")
-    n = F.format_number(F.round("o_totalprice"), 0)
+    # the figure and the date that several pages print are made once an order
+    orders = X.once(pages_table(spark, sf, "orders", ("o_orderkey",), 10_000), _n=F.format_number(F.round("o_totalprice"), 0),
+                    _long=F.date_format(d, "d MMMM yyyy"))
+    n, long = F.col("_n"), F.col("_long")
     paren = F.concat(F.lit("("), n, F.lit(")"))
     texts = {
         "wbc_exposure": page("CRB(e)", F.concat(F.lit("As at "), long), "Australia", row("Manufacturing 1 2 3 4", n), "Mining 1 2 3 4 -", "Total Australia 2 4 6 8 9",
@@ -141,7 +143,7 @@ def industry_pages(spark: SparkSession, sf: str) -> DataFrame:
                         row("Wholesale & Retail Trade 1", n, "3"), "Total 9 9 9"),
     }
     each = F.explode(F.array(*[F.struct(F.lit(name).alias("layout"), text.alias("text")) for name, text in texts.items()]))
-    return pages_table(spark, sf, "orders", ("o_orderkey",), 10_000).select(F.col("o_orderkey").cast("string").alias("doc_id"), F.lit(1).alias("page_no"), each.alias("p")).select(
+    return orders.select(F.col("o_orderkey").cast("string").alias("doc_id"), F.lit(1).alias("page_no"), each.alias("p")).select(
         "doc_id", "page_no", "p.*")
 
 
