@@ -140,3 +140,32 @@ def test_undecided_page_follows_the_page_before(spark):
              ("c", 1, "Corporate" + line), ("d", 1, None), ("a", 1500, "Corporate" + line + " on 30 September 2025"), (None, 1, "Corporate" + line)]
     rows = bands.split_percent_rows(spark.createDataFrame(texts, "doc_id string, page_no int, text string"), "30 September 2025")
     assert sorted({(r.doc_id, r.page_no) for r in rows.collect()}) == [("a", 2), ("a", 1500)]
+
+
+def test_a_line_of_a_note_is_cut_once(pages):
+    plan = plan_of(disclosures.impaired_verdicts(pages("Credit risk\nSME loans 5 200"), never()))
+    assert plan.count(disclosures.NOTE_ROW) == 1
+
+
+def test_sort_keys_of_a_page_lie_flat(pages):
+    from pyspark.sql import types as T
+
+    for rows in (disclosures.results_verdicts, disclosures.update_verdicts, disclosures.impaired_verdicts):
+        plan = rows(pages("x"), never())._jdf.queryExecution().optimizedPlan()
+        nodes = [plan.apply(i) for i in range(6) if plan.apply(i) is not None]
+        ranked = [a for n in nodes for a in (n.output().apply(i) for i in range(n.output().size())) if a.name() == "_ranked"]
+        fields = T._parse_datatype_json_string(ranked[0].dataType().json()).elementType.fields
+        assert not any(isinstance(f.dataType, T.StructType) for f in fields[:fields.index(next(f for f in fields if f.name == "_at"))])
+
+
+def test_repeats_are_told_by_all_their_keys_in_page_order(pages):
+    text = ("1H FY25\nResidential mortgages\nloss rate 0.5%, cost of risk 0.50%, 90+ days arrears of 0.5%, 30+ days arrears of 50 bps, loss rate 250%, loss rate 250%\n"
+            "Asset finance\ncost of risk 50 basis points, loss rate 0.5%")
+    got = sorted((r.segment, r.data_definition_class, r.snippet, round(r.value, 6), r.dropped or "") for r in disclosures.results_verdicts(pages(text), never()).collect())
+    assert got == [
+        ("consumer_secured", "loss_expense_rate", "cost of risk 50 basis points", .005, ""),
+        ("residential_mortgage", "arrears_30_plus_days", "30+ days arrears of 50 bps", .005, ""),
+        ("residential_mortgage", "arrears_90_plus_days", "90+ days arrears of 0.5%", .005, ""),
+        ("residential_mortgage", "loss_expense_rate", "loss rate 0.5%", .005, ""),
+        ("residential_mortgage", "loss_expense_rate", "loss rate 250%", 2.5, "out_of_range"),
+        ("residential_mortgage", "loss_expense_rate", "loss rate 250%", 2.5, "out_of_range")]
