@@ -169,3 +169,10 @@ def test_repeats_are_told_by_all_their_keys_in_page_order(pages):
         ("residential_mortgage", "loss_expense_rate", "loss rate 0.5%", .005, ""),
         ("residential_mortgage", "loss_expense_rate", "loss rate 250%", 2.5, "out_of_range"),
         ("residential_mortgage", "loss_expense_rate", "loss rate 250%", 2.5, "out_of_range")]
+
+
+def test_update_phrases_end_with_their_line_and_are_sought_once_a_piece(pages):
+    text = "Annualised net losses of\n116 bps\nAuto loans\n90+ day arrears  of 43 bps\n90+ day arrears\nat 2%"
+    rows = disclosures.update_verdicts(pages(text), never())
+    assert [(r.segment, r.snippet, round(r.value, 6)) for r in rows.collect()] == [("consumer_secured", "90+ day arrears  of 43 bps", .0043)]
+    assert r"day\s+arrears" not in plan_of(rows)

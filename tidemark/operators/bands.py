@@ -55,9 +55,9 @@ def _piece_lines(piece: Column) -> Column:
 
 
 def carried_pieces(lines: Column, label: Callable[[Column, Column, Column], Column]) -> Column:
-    """Stretches (no, label, lines) of a page in order, each from one labelled line to the next; ``lines`` is a plain column."""
-    return F.transform(_marked_pieces(lines, label), lambda piece, no: F.struct(
-        no.alias("no"), _piece_label(piece).alias("label"), _piece_lines(piece).alias("lines")))
+    """Stretches (label, text) of a page in order, each from one labelled line to the next; ``lines`` is a plain column."""
+    return F.transform(_marked_pieces(lines, label), lambda piece: F.struct(
+        _piece_label(piece).alias("label"), F.substring_index(piece, _END, -1).alias("text")))
 
 
 def carried_lines(df: DataFrame, lines: Column, label: Callable[[Column, Column, Column], Column]) -> DataFrame:
