@@ -176,3 +176,15 @@ def test_update_phrases_end_with_their_line_and_are_sought_once_a_piece(pages):
     rows = disclosures.update_verdicts(pages(text), never())
     assert [(r.segment, r.snippet, round(r.value, 6)) for r in rows.collect()] == [("consumer_secured", "90+ day arrears  of 43 bps", .0043)]
     assert r"day\s+arrears" not in plan_of(rows)
+
+
+def test_dropped_rows_cut_each_note_line_once(spark, tmp_path):
+    from tidemark.plans import extract_queries as Q
+
+    spark.createDataFrame([(4, 1, 2, 3, D(2005, 3, 31), 0.05, 0.01, 45.0)], "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_shipdate date, l_discount double, "
+                          "l_tax double, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows = Q.dropped_rows(spark, str(tmp_path))
+    assert plan_of(rows).count(disclosures.NOTE_ROW) == 1
+    assert {(r.parser, r.metric_name, r.value, r.dropped) for r in rows.collect()} == {
+        ("cr6", "pd", .06, "no_portfolio"), ("cr6", "lgd", .05, "no_portfolio"), ("alias", "pd", None, "no_value"),
+        ("note", "impaired", .03, "no_segment"), ("update", "loss_rate", 1.35, "out_of_range"), ("results", "arrears", 1.125, "out_of_range")}
