@@ -247,12 +247,14 @@ def month_end_in_text(text: Column) -> Column:
     return F.last_day(F.coalesce(read(dated), read(plain)))
 
 
-def _stated(text: Column, pattern: str) -> Column:
-    return in_match(text, pattern, lambda m: date_of(
-        F.regexp_extract(m, pattern, 3), month_number(F.regexp_extract(m, pattern, 2), False), F.regexp_extract(m, pattern, 1)))
+_DMY = r"\s+(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})"
 
 
-_DMY = r"\s+(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})"
+def _stated(text: Column, pattern: str) -> Column:
+    """The date that a match ends in; no digit stands before it."""
+    end = _DMY.removeprefix(r"\s+") + "$"
+    return in_match(text, pattern, lambda m: date_of(
+        F.regexp_extract(m, end, 3), month_number(F.regexp_extract(m, end, 2), False), F.regexp_extract(m, end, 1)))
 
 
 def quarter_ended(text: Column, default: Column) -> Column:

@@ -54,12 +54,6 @@ def _piece_lines(piece: Column) -> Column:
     return F.split(F.substring_index(piece, _END, -1), "\n")
 
 
-def carried_pieces(lines: Column, label: Callable[[Column, Column, Column], Column]) -> Column:
-    """Stretches (label, text) of a page in order, each from one labelled line to the next; ``lines`` is a plain column."""
-    return F.transform(_marked_pieces(lines, label), lambda piece: F.struct(
-        _piece_label(piece).alias("label"), F.substring_index(piece, _END, -1).alias("text")))
-
-
 def carried_lines(df: DataFrame, lines: Column, label: Callable[[Column, Column, Column], Column]) -> DataFrame:
     """Explode lines with the label of the last labelled line at or above them, and their number.
 
